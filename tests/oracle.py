@@ -56,7 +56,7 @@ def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> str |
     result = query(spark, sf_dir).toArrow()
     if sql is None:
         return None if result.num_rows else "no rows"
-    return differences(result, con.execute(sql).to_arrow_table())
+    return differences(result, con.sql(sql).to_arrow_table())
 
 
 def main(sf: str = "0.01", *names: str) -> int:

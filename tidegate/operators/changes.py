@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .skew import ROWS_PER_TASK, semi_join_by_key
 
+SNAPSHOT = "r"
 DELETE = "d"
-UPSERT_OPS = ("r", "c", "u")
+UPSERT_OPS = (SNAPSHOT, "c", "u")
 EVENT_COLUMNS = ("op", "before", "after", "order_key", "commit_ts", "db", "schema", "table", "txid")
 
 

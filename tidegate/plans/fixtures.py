@@ -206,3 +206,32 @@ def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 13 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
     )
 
+
+
+def captured_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and customers as one feed of Debezium envelopes: a snapshot of each, then changes of every seventh order."""
+    orders = load(spark, sf_dir, "orders")
+    customers = load(spark, sf_dir, "customer")
+    later = orders.filter("o_orderkey % 7 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    done = F.when(F.col("o_orderstatus") == "F", F.lit("d")).otherwise(F.lit("u"))
+
+    def envelopes(df: DataFrame, table: str, key: str, op: Column, lsn: Column) -> DataFrame:
+        row = wire_row(df)
+        source = F.struct(
+            F.lit("app").alias("db"), F.lit("sales").alias("schema"), F.lit(table).alias("table"), lsn.alias("lsn"),
+            F.col(key).cast("long").alias("txId"),
+        )
+        envelope = F.struct(
+            op.alias("op"),
+            F.when(op == "d", row).alias("before"),
+            F.when(op != "d", row).alias("after"),
+            source.alias("source"),
+        )
+        return df.select(F.to_json(F.struct(key)).cast("binary").alias("key"), F.to_json(envelope).cast("binary").alias("value"))
+
+    start = F.lit(0).cast("long")
+    return (
+        envelopes(orders, "orders", "o_orderkey", F.lit("r"), start)
+        .unionByName(envelopes(customers, "customer", "c_custkey", F.lit("r"), start))
+        .unionByName(envelopes(later, "orders", "o_orderkey", done, F.col("o_orderkey") + 1))
+    )

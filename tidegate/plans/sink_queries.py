@@ -342,6 +342,6 @@ def upsert_messages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("key", "$.message").cast("long").alias("offset"),
     )
     rows = accepted(decode_upsert(feed, EVENT_COLUMNS, {"user_id": "BIGINT"}))
-    return apply_latest(rows, ["user_id"], ["offset"]).drop("rw_key", "offset")
+    return apply_latest(rows, ["user_id"], ["_offset"], op="_op").drop("rw_key", "_offset")
 
 

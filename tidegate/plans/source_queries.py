@@ -27,6 +27,8 @@ from ..sources import (
     with_metadata,
 )
 from ..sources import decode
+from ..connect import CapturedTable, Ingest
+from ..operators.selection import ColumnSelection, TableColumns, TableSelector
 from ..session import work_path
 from . import fixtures as fx
 from .fixtures import EVENT_COLUMNS, load
@@ -251,7 +253,7 @@ def decode_canal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kafka_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest value per message key; a message without a value deletes its key."""
     rows = accepted(decode.decode_upsert(fx.upsert_log(spark, sf_dir), EVENT_COLUMNS))
-    return apply_latest(rows, ["rw_key"], ["offset"]).drop("rw_key", "offset")
+    return apply_latest(rows, ["rw_key"], ["_offset"], op="_op").drop("rw_key", "_offset")
 
 
 @query("SELECT event_id AS kafka_offset, user_id AS key_user_id FROM events")
@@ -380,3 +382,49 @@ def pk_change_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An update of the key as a delete and an insert."""
     flat = flatten_events(split_key_changes(_moving_events(spark, sf_dir), ["user_id"]))
     return flat.select(F.col("_op").alias("op"), "user_id", "event_id")
+
+
+@query("""
+    SELECT 'clean_orders' AS target, o_orderkey AS id, o_orderstatus AS label,
+           CAST(CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS DOUBLE) AS amount
+    FROM orders WHERE NOT (o_orderkey % 7 = 0 AND o_orderstatus = 'F')
+    UNION ALL SELECT 'customer', c_custkey, c_name, c_acctbal FROM customer
+""")
+def ingest_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole database feed: table selection, column selection, renaming, snapshot and changes, to lake tables."""
+    orders = CapturedTable(
+        "sales",
+        "orders",
+        fx.ORDER_COLUMNS,
+        ("o_orderkey",),
+        TableColumns(
+            "orders",
+            (ColumnSelection("o_orderkey", primary_key=True), ColumnSelection("o_orderstatus"), ColumnSelection("o_totalprice")),
+            target_table="clean_orders",
+        ),
+    )
+    customers = CapturedTable(
+        "sales", "customer", {"c_custkey": "BIGINT", "c_name": "VARCHAR", "c_acctbal": "DOUBLE"}, ("c_custkey",)
+    )
+    ingest = Ingest(
+        spark,
+        PostgresSource("app"),
+        (orders, customers),
+        work_path(spark, "database"),
+        TableSelector(include=("sales.*",), exclude=("*_backup",)),
+    )
+    ingest.deliver(fx.captured_log(spark, sf_dir), 0)
+    ingest.maintain()
+    kept = ingest.read(orders).select(
+        F.lit("clean_orders").alias("target"),
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderstatus").alias("label"),
+        F.col("o_totalprice").alias("amount"),
+    )
+    people = ingest.read(customers).select(
+        F.lit("customer").alias("target"),
+        F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("label"),
+        F.col("c_acctbal").alias("amount"),
+    )
+    return kept.unionByName(people)

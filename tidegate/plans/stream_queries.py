@@ -51,8 +51,8 @@ def stream_cdc_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def decode(batch: DataFrame) -> DataFrame:
         events = decode_changes(batch, PostgresSource("app"), EVENT_COLUMNS)
-        flat = flatten_events(events.filter("error IS NULL"))
-        bad = events.filter("error IS NOT NULL").select("raw", "error")
+        flat = flatten_events(events.filter("_error IS NULL"))
+        bad = events.filter("_error IS NOT NULL").select("_raw", "_error")
         return flat.unionByName(bad, allowMissingColumns=True)
 
     table = LakeTable(spark, work_path(spark, "stream"), ["user_id"], ["_order"], op="_op")

@@ -17,7 +17,14 @@ TEXT_TIMES = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 _SPARK_FORMAT = {"PARQUET": "parquet", "JSON": "json", "CSV": "csv"}
-_CSV_OPTIONS = {"header": "true", "escape": '"', "nullValue": "\\N", "emptyValue": ""}
+# An empty text is a quoted empty field and a null is \\N; blanks around a value are kept.
+_CSV_OPTIONS = {
+    "header": "true",
+    "nullValue": "\\N",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def _options(sink: FileSink) -> dict[str, str]:

@@ -1,7 +1,7 @@
 """Message values -> rows and change events.
 
-Every decoder keeps the rows it cannot decode: ``error`` names the reason and is null on good rows, so that
-``accepted`` and ``rejected`` split one parsed frame.
+Every decoder keeps the rows it cannot decode: ``_error`` names the reason and is null on good rows, so that
+``accepted`` and ``rejected`` split one parsed frame. ``_raw`` is the text of a rejected message.
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ from ..functions.times import from_micros, local_to_utc
 from ..functions.typemap import spark_type, split_target
 from ..operators.changes import EVENT_COLUMNS
 
-ERROR = "error"
+RAW, ERROR = "_raw", "_error"
 _CORRUPT = "_corrupt"
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col(ERROR).isNull()).drop(ERROR, "raw")
+    return decoded.filter(F.col(ERROR).isNull()).drop(ERROR, RAW)
 
 
 def rejected(decoded: DataFrame) -> DataFrame:
@@ -68,23 +68,29 @@ def _parse(value: Column, schema: T.StructType) -> Column:
     return F.from_json(value, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
 
 
+def _parsed(feed: DataFrame, *kept: Column | str, message: Column) -> DataFrame:
+    """``kept`` columns and the parsed ``message`` as ``_m``.
+
+    The one-element explode keeps filters on ``_m`` above the parsing. Without it the optimizer moves them below and
+    repeats the parsing in every condition.
+    """
+    return feed.select(*kept, F.explode(F.array(message)).alias("_m"))
+
+
 def _malformed(message: Column) -> Column:
     return message.isNull() | message[_CORRUPT].isNotNull()
 
 
 def decode_json(feed: DataFrame, columns: Mapping[str, str], metadata: Sequence[Column] = ()) -> DataFrame:
-    """PLAIN JSON: the declared columns, then ``metadata``, ``raw`` and ``error``."""
-    parsed = feed.select(
-        *metadata,
-        F.col("value").cast("string").alias("raw"),
-        _parse(F.col("value").cast("string"), _wire_schema(columns)).alias("_m"),
-    )
-    kept = [c for c in parsed.columns if c not in ("raw", "_m")]
+    """PLAIN JSON: the declared columns, then ``metadata``, ``_raw`` and ``_error``."""
+    text = F.col("value").cast("string")
+    parsed = _parsed(feed, *metadata, text.alias(RAW), message=_parse(text, _wire_schema(columns)))
+    kept = [c for c in parsed.columns if c not in (RAW, "_m")]
     message = F.col("_m")
     return parsed.select(
         *[_value(message[c], t, "UTC").alias(c) for c, t in columns.items()],
         *kept,
-        F.when(_malformed(message), F.col("raw")).alias("raw"),
+        F.when(_malformed(message), F.col(RAW)).alias(RAW),
         F.when(_malformed(message), F.lit("malformed JSON")).alias(ERROR),
     )
 
@@ -102,11 +108,11 @@ def decode_csv(
         text = F.substr(text, F.instr(text, "\n") + 1)
     ddl = ", ".join(f"`{c}` string" for c in [*columns, _CORRUPT])
     options = {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = feed.select(*metadata, text.alias("raw"), F.from_csv(text, ddl, options).alias("_m"))
-    kept = [c for c in parsed.columns if c not in ("raw", "_m")]
+    parsed = _parsed(feed, *metadata, text.alias(RAW), message=F.from_csv(text, ddl, options))
+    kept = [c for c in parsed.columns if c not in (RAW, "_m")]
     message = F.col("_m")
     cast = parsed.select(
-        *[cast_to_target(message[c], t).alias(c) for c, t in columns.items()], *kept, "raw", "_m"
+        *[cast_to_target(message[c], t).alias(c) for c, t in columns.items()], *kept, RAW, "_m"
     )
     failed = F.array_compact(
         F.array(*[F.when(message[c].isNotNull() & F.col(c).isNull(), F.lit(c)) for c in columns])
@@ -115,7 +121,7 @@ def decode_csv(
         F.when(message.isNull() | message[_CORRUPT].isNotNull(), F.lit("malformed CSV"))
         .when(F.size(failed) > 0, F.concat(F.lit("cast failed: "), F.array_join(failed, ",")))
     )
-    return cast.select(*columns, *kept, F.when(error.isNotNull(), F.col("raw")).alias("raw"), error.alias(ERROR))
+    return cast.select(*columns, *kept, F.when(error.isNotNull(), F.col(RAW)).alias(RAW), error.alias(ERROR))
 
 
 def decode_bytes(feed: DataFrame, column: str = "id", metadata: Sequence[Column] = ()) -> DataFrame:
@@ -132,17 +138,24 @@ def decode_key(columns: Mapping[str, str] | None, encode: str = "JSON") -> Colum
     return _row(F.from_json(F.col("key").cast("string"), _wire_schema(columns)), columns)
 
 
-def _events(decoded: DataFrame, op: Column, before: Column, after: Column, error: Column, **rest: Column) -> DataFrame:
+def _events(
+    decoded: DataFrame, op: Column, error: Column, has_before: Column, has_after: Column, **columns: Column
+) -> DataFrame:
+    """Change events from parsed messages.
+
+    Reasons to reject are told from message fields only, so that the filter on them, which runs before the projection,
+    does not build the row images.
+    """
     reason = F.coalesce(
         error,
         F.when(op.isNull(), F.lit("unknown operation"))
-        .when(op.isin("r", "c", "u") & after.isNull(), F.lit("no after image"))
-        .when((op == "d") & before.isNull(), F.lit("no before image")),
+        .when(op.isin("r", "c", "u") & ~has_after, F.lit("no after image"))
+        .when((op == "d") & ~has_before, F.lit("no before image")),
     )
-    columns = {"op": op, "before": before, "after": after, **rest}
+    columns["op"] = op
     return decoded.select(
         *[columns[c].alias(c) for c in EVENT_COLUMNS],
-        F.when(reason.isNotNull(), F.col("_raw")).alias("raw"),
+        F.when(reason.isNotNull(), F.col(RAW)).alias(RAW),
         reason.alias(ERROR),
     )
 
@@ -163,17 +176,18 @@ def decode_debezium(
     schema = (
         T.StructType().add("op", "string").add("before", row).add("after", row).add("source", source).add("ts_us", "long")
     )
-    parsed = feed.filter(F.col("value").isNotNull()).select(
-        F.col("value").cast("string").alias("_raw"), _parse(F.col("value").cast("string"), schema).alias("_m")
-    )
+    text = F.col("value").cast("string")
+    parsed = _parsed(feed.filter("value IS NOT NULL"), text.alias(RAW), message=_parse(text, schema))
     m = F.col("_m")
     src = m["source"]
     return _events(
         parsed,
         op=F.when(m["op"].isin("r", "c", "u", "d"), m["op"]),
+        error=F.when(_malformed(m), F.lit("malformed JSON")),
+        has_before=m["before"].isNotNull(),
+        has_after=m["after"].isNotNull(),
         before=_row(m["before"], columns, time_zone),
         after=_row(m["after"], columns, time_zone),
-        error=F.when(_malformed(m), F.lit("malformed JSON")),
         order_key=F.struct(*[src[f.name].alias(f.name) for f in order]),
         commit_ts=F.timestamp_micros(src["ts_us"]),
         db=src["db"],
@@ -209,20 +223,23 @@ def decode_maxwell(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         .add("data", row)
         .add("old", row)
     )
-    parsed = feed.filter(F.col("value").isNotNull()).select(
-        "offset", F.col("value").cast("string").alias("_raw"), _parse(F.col("value").cast("string"), schema).alias("_m")
-    )
+    text = F.col("value").cast("string")
+    parsed = _parsed(feed.filter("value IS NOT NULL"), "offset", text.alias(RAW), message=_parse(text, schema))
     m = F.col("_m")
     parsed = parsed.filter(F.coalesce(~m["type"].isin(*MAXWELL_MARKERS), F.lit(True)))
     op = _op(m["type"], MAXWELL_OPS)
-    overlaid = F.struct(*[F.coalesce(m["old"][c], m["data"][c]).alias(c) for c in columns])
-    old = F.when(m["data"].isNotNull() & op.isin("u", "d"), F.when(m["old"].isNull(), m["data"]).otherwise(overlaid))
+    overlaid = F.struct(
+        *[_value(F.coalesce(m["old"][c], m["data"][c]), t, "UTC").alias(c) for c, t in columns.items()]
+    )
+    has_row = m["data"].isNotNull()
     return _events(
         parsed,
         op=op,
-        before=_row(old, columns),
-        after=F.when(op != "d", _row(m["data"], columns)),
         error=F.when(_malformed(m), F.lit("malformed JSON")),
+        has_before=has_row,
+        has_after=has_row,
+        before=F.when(has_row & op.isin("u", "d"), overlaid),
+        after=F.when(op != "d", _row(m["data"], columns)),
         order_key=F.struct(F.col("offset").alias("offset")),
         commit_ts=F.timestamp_seconds(m["ts"]),
         db=m["database"],
@@ -249,28 +266,31 @@ def decode_canal(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         .add("es", "long")
         .add("isDdl", "boolean")
     )
-    parsed = feed.filter(F.col("value").isNotNull()).select(
-        "offset", F.col("value").cast("string").alias("_raw"), _parse(F.col("value").cast("string"), schema).alias("_m")
-    )
+    text = F.col("value").cast("string")
+    parsed = _parsed(feed.filter("value IS NOT NULL"), "offset", text.alias(RAW), message=_parse(text, schema))
     parsed = parsed.filter(~F.coalesce(F.col("_m")["isDdl"], F.lit(False)))
-    rows = parsed.select("offset", "_raw", "_m", F.posexplode_outer(F.col("_m")["data"]).alias("_pos", "_row"))
+    rows = parsed.select("offset", RAW, "_m", F.posexplode_outer(F.col("_m")["data"]).alias("_pos", "_row"))
     m, text = F.col("_m"), F.col("_row")
     op = _op(m["type"], CANAL_OPS)
     changed = F.get(m["old"], F.col("_pos"))
-    overlaid = F.struct(*[F.coalesce(changed[c], text[c]).alias(c) for c in columns])
-    old = F.when(op == "d", text).when(op == "u", F.when(changed.isNull(), text).otherwise(overlaid))
+    overlaid = F.struct(
+        *[cast_to_target(F.coalesce(changed[c], text[c]), t).alias(c) for c, t in columns.items()]
+    )
     failed = F.array_compact(
         F.array(*[F.when(text[c].isNotNull() & cast_to_target(text[c], t).isNull(), F.lit(c)) for c, t in columns.items()])
     )
     error = F.when(_malformed(m), F.lit("malformed JSON")).when(
         F.size(failed) > 0, F.concat(F.lit("cast failed: "), F.array_join(failed, ","))
     )
+    has_row = text.isNotNull()
     return _events(
         rows,
         op=op,
-        before=_text_row(old, columns),
-        after=F.when(op != "d", _text_row(text, columns)),
         error=error,
+        has_before=has_row,
+        has_after=has_row,
+        before=F.when(has_row & op.isin("u", "d"), overlaid),
+        after=F.when(op != "d", _text_row(text, columns)),
         order_key=F.struct(F.col("offset").alias("offset"), F.col("_pos").alias("position")),
         commit_ts=F.timestamp_millis(m["es"]),
         db=m["database"],
@@ -283,19 +303,20 @@ def decode_canal(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 def decode_upsert(
     feed: DataFrame, columns: Mapping[str, str], key_columns: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Keyed JSON messages -> flat change rows: ``op, rw_key, offset`` and the columns; a null value is a delete.
+    """Keyed JSON messages -> flat change rows: ``_op, rw_key, _offset`` and the columns; a null value is a delete.
 
     With ``key_columns`` the JSON key gives the primary key columns too, so that deletes have them.
     """
     value = F.col("value").cast("string")
-    parsed = feed.select(
+    parsed = _parsed(
+        feed,
         F.col("key").cast("string").alias("rw_key"),
         "offset",
-        value.alias("_raw"),
-        _parse(value, _wire_schema(columns)).alias("_m"),
+        value.alias(RAW),
         *([decode_key(key_columns).alias("_k")] if key_columns else []),
+        message=_parse(value, _wire_schema(columns)),
     )
-    m, delete = F.col("_m"), F.col("_raw").isNull()
+    m, delete = F.col("_m"), F.col(RAW).isNull()
     keys = key_columns or {}
 
     def column(c: str, t: str) -> Column:
@@ -307,11 +328,11 @@ def decode_upsert(
         .when(~delete & _malformed(m), F.lit("malformed JSON"))
     )
     return parsed.select(
-        F.when(delete, F.lit("d")).otherwise(F.lit("u")).alias("op"),
+        F.when(delete, F.lit("d")).otherwise(F.lit("u")).alias("_op"),
         "rw_key",
-        "offset",
+        F.col("offset").alias("_offset"),
         *[column(c, t).alias(c) for c, t in columns.items()],
-        F.when(error.isNotNull(), F.col("_raw")).alias("raw"),
+        F.when(error.isNotNull(), F.col(RAW)).alias(RAW),
         error.alias(ERROR),
     )
 

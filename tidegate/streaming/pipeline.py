@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.lake import LakeTable
@@ -27,6 +27,31 @@ def run_stream(
     )
 
 
+def append_and_reject(
+    decoded: DataFrame,
+    table: LakeTable,
+    batch_id: int,
+    to_changes: Callable[[DataFrame], DataFrame],
+    reject_path: str | None,
+) -> None:
+    """Append the good rows of a decoded batch; write ``_raw, _error`` of the others to ``reject_path``.
+
+    Rejects are counted while the good rows are written, so a clean batch is decoded once.
+    """
+    seen = Observation()
+    counted = decoded.observe(seen, F.count_if(F.col("_error").isNotNull()).alias("bad"))
+    table.append_batch(to_changes(counted.filter("_error IS NULL")), batch_id)
+    if reject_path and seen.get["bad"]:
+        (
+            decoded.filter("_error IS NOT NULL")
+            .select(F.col("_raw").alias("raw"), F.col("_error").alias("error"), F.lit(batch_id).alias("batch"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(reject_path)
+        )
+
+
 def stream_to_lake(
     stream: DataFrame,
     table: LakeTable,
@@ -37,30 +62,17 @@ def stream_to_lake(
 ) -> StreamingQuery:
     """Keep a lake table at the latest state of a change stream.
 
-    ``decode`` turns a micro-batch of messages into change rows with an ``error`` column; rejected rows go to
+    ``decode`` turns a micro-batch of messages into change rows with an ``_error`` column; rejected rows go to
     ``reject_path``. Each batch is reduced to one change per key before it is written, and order keys and tombstones are
     stored with the rows, so changes may arrive in any order across batches. There is no streaming state to grow.
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         rows = decode(batch) if decode else batch
-        if "error" not in rows.columns:
+        if "_error" not in rows.columns:
             table.append_batch(rows, batch_id)
             return
-        rows.persist()
-        try:
-            table.append_batch(rows.filter("error IS NULL").drop("error", "raw"), batch_id)
-            if reject_path:
-                (
-                    rows.filter("error IS NOT NULL")
-                    .select("raw", "error", F.lit(batch_id).alias("batch"))
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("batch")
-                    .parquet(reject_path)
-                )
-        finally:
-            rows.unpersist()
+        append_and_reject(rows, table, batch_id, lambda r: r.drop("_error", "_raw"), reject_path)
 
     return run_stream(stream, deliver, checkpoint, **trigger)
 
