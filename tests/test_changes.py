@@ -7,10 +7,10 @@ from tests.conftest import rows
 from tidegate.operators import (
     apply_events,
     apply_latest,
+    bring_together,
     collapse,
     evolve_union,
     evolved_schema,
-    repartition_by_key,
     semi_join_by_key,
     split_transactions,
     split_unkeyed,
@@ -92,16 +92,17 @@ def test_semi_join_splits_hot_keys_exactly(spark, rows_per_task):
     assert rows(kept) == rows(df.filter("k = -1 OR k > 50"))
 
 
-def test_hot_key_is_spread(spark):
-    spread = repartition_by_key(_skewed(spark), ["k"], ["id"], rows_per_task=100)
-    # these partitions are so small that the adaptive planner would join them again
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+def test_hot_key_is_spread(spark, out):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
     try:
-        tasks = spread.filter("k = -1").select(F.spark_partition_id().alias("p")).distinct().count()
+        bring_together(_skewed(spark).repartition(8), ["k"]).write.parquet(out)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert tasks > 1
-    assert rows(spread) == rows(_skewed(spark))
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.read.parquet(out)
+    assert rows(stored) == rows(_skewed(spark))
+    files = {r.k: r.n for r in stored.groupBy("k").agg(F.count_distinct(F.col("_metadata.file_path")).alias("n")).collect()}
+    assert files[-1] > 1
+    assert max(n for k, n in files.items() if k != -1) <= files[-1]
 
 
 @pytest.mark.parametrize("rows_per_task", [5, 10**6])

@@ -266,7 +266,7 @@ def test_routing_keeps_documents(spark):
         spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("r")),
         SearchSink("http://x", "idx", primary_key="k", routing_column="r"),
     )
-    assert rows(route(docs, rows_per_task=50)) == rows(docs)
+    assert rows(route(docs)) == rows(docs)
 
 
 def test_number_batches(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -54,7 +55,8 @@ class CapturedTable:
 class Ingest:
     """Keeps one merge-on-read table per captured table below ``warehouse``.
 
-    The feed holds the envelopes of many tables. Each batch is selected and read once, then decoded per table.
+    The feed holds the envelopes of many tables. Each batch is selected and read once, then decoded per table, with
+    ``writers`` tables at a time.
     """
 
     spark: SparkSession
@@ -63,6 +65,7 @@ class Ingest:
     warehouse: str
     selector: TableSelector = field(default_factory=lambda: TableSelector(include_all=True))
     snapshot: bool | None = None
+    writers: int = 4
 
     def target(self, table: CapturedTable) -> LakeTable:
         return LakeTable(self.spark, f"{self.warehouse}/{table.target}", table.primary_key, ["_order"], op="_op")
@@ -93,16 +96,20 @@ class Ingest:
     def deliver(self, batch: DataFrame, batch_id: int) -> None:
         """Apply one batch; the same batch again changes nothing."""
         messages = self.selected(batch).persist()
+
+        def one(table: CapturedTable) -> None:
+            mine = messages.filter((F.col("_schema") == table.schema) & (F.col("_table") == table.table))
+            append_and_reject(
+                decode_changes(mine, self.source, table.types),
+                self.target(table),
+                batch_id,
+                lambda good: self._to_changes(good, table),
+                f"{self.warehouse}/_rejects/{table.target}",
+            )
+
         try:
-            for table in self.tables:
-                mine = messages.filter((F.col("_schema") == table.schema) & (F.col("_table") == table.table))
-                append_and_reject(
-                    decode_changes(mine, self.source, table.types),
-                    self.target(table),
-                    batch_id,
-                    lambda good, t=table: self._to_changes(good, t),
-                    f"{self.warehouse}/_rejects/{table.target}",
-                )
+            with ThreadPoolExecutor(self.writers) as pool:
+                list(pool.map(one, self.tables))
         finally:
             messages.unpersist()
 

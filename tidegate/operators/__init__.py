@@ -25,6 +25,6 @@ from .selection import (
     resolve_specific,
     select_specific,
 )
-from .skew import repartition_by_key, salt_hot_keys, semi_join_by_key
+from .skew import bring_together, salt_hot_keys, semi_join_by_key
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -41,10 +41,9 @@ def semi_join_by_key(
     return salted.join(salted_keys, [*on, _SALT], "left_semi").select(*df.columns)
 
 
-def repartition_by_key(
-    df: DataFrame, on: list[str], spread_by: list[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Rows of one key in as few tasks as their number allows."""
-    keys = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    salted = salt_hot_keys(df, keys, on, "_rows", spread_by, rows_per_task)
-    return salted.repartition(*on, _SALT).select(*df.columns)
+def bring_together(df: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of one key in as few tasks as their size allows, by one shuffle and no scan for counting.
+
+    The adaptive planner splits a partition that is too large for one task and joins those that are too small.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in on])

@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from ..operators.skew import bring_together
+
 RESULT = "sink string, table string, rows long, ok boolean, error string, seconds double"
 
 
@@ -50,9 +52,13 @@ def deliver_tables(
 
 
 def fan_out(feed: DataFrame, path: str, schema: str = "schema", table: str = "table") -> None:
-    """One pass over a multi-table feed: its rows land in one partition per table."""
+    """One pass over a multi-table feed: its rows land in one partition per table.
+
+    The rows are brought together by table first. Otherwise every task would leave a file in every table's partition.
+    """
+    named = feed.withColumnsRenamed({schema: "source_schema", table: "source_table"})
     (
-        feed.withColumnsRenamed({schema: "source_schema", table: "source_table"})
+        bring_together(named, ["source_schema", "source_table"])
         .write.mode("append")
         .partitionBy("source_schema", "source_table")
         .parquet(path)

@@ -1,8 +1,8 @@
 """Lake tables: append, upsert, exactly-once batches, compaction, expiration.
 
 A catalog with row-level operations takes ``MERGE INTO``. Without one the table is merge-on-read: every batch of
-changes is one Parquet partition, and reading reduces them to the last change per key. That reading gives the same rows
-before, during and after a compaction or an expiration, because folded changes keep their order keys and tombstones.
+changes is one Parquet partition, and reading reduces them to the last change per key. Folded changes keep their order
+keys and tombstones, so a change that arrives after a compaction still loses to a later one.
 
     <path>/tier=delta/batch=<id>/    one partition per delivered batch
     <path>/tier=base/batch=<id>/     everything up to that batch, folded
@@ -11,7 +11,6 @@ before, during and after a compaction or an expiration, because folded changes k
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,8 +18,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.changes import DELETE, collapse, to_append_only
 from .config import LakeSink
 
-TARGET_FILE_BYTES = 512 * 1024 * 1024
-
 
 class LakeTable:
     """A merge-on-read table of changes keyed by ``pk`` and ordered by ``order_by``."""
@@ -50,14 +47,22 @@ class LakeTable:
 
     # -- reading
 
+    def _stored(self, evolving: bool) -> DataFrame:
+        return self.spark.read.option("mergeSchema", str(evolving).lower()).parquet(self.path)
+
+    def _live(self, evolving: bool) -> DataFrame:
+        """The newest complete base and the batches after it; partition pruning skips everything else."""
+        base = self._newest_base()
+        live = "tier = 'delta'" if base is None else f"(tier = 'base' AND batch = {base}) OR (tier = 'delta' AND batch > {base})"
+        return self._stored(evolving).filter(live).drop("tier", "batch")
+
     def changes(self, evolving: bool = False) -> DataFrame:
         """Every stored change, deletes included."""
-        stored = self.spark.read.option("mergeSchema", str(evolving).lower()).parquet(self.path)
-        return stored.drop("tier", "batch")
+        return self._stored(evolving).drop("tier", "batch")
 
     def read(self, evolving: bool = False) -> DataFrame:
         """Current rows."""
-        last = collapse(self.changes(evolving), self.pk, self.order_by, self.op)
+        last = collapse(self._live(evolving), self.pk, self.order_by, self.op)
         return last.filter(F.col(self.op) != DELETE).drop(self.op)
 
     # -- upkeep
@@ -79,41 +84,31 @@ class LakeTable:
         hadoop, fs = self._fs()
         fs.delete(hadoop.Path(f"{self.path}/tier={tier}/batch={batch_id}"), True)
 
-    def compact(self, target_file_bytes: int = TARGET_FILE_BYTES) -> int | None:
-        """Fold all batches present now into a new base; returns the last folded batch id."""
-        deltas = self._batches("delta")
-        if not deltas:
-            return None
-        last = deltas[-1]
-        if str(last) in self._names("_folded"):
-            return last
+    def _newest_base(self) -> int | None:
+        return max((int(n) for n in self._names("_folded") if n.isdigit()), default=None)
+
+    def compact(self) -> int | None:
+        """Fold all batches present now into a new base; returns the last folded batch id.
+
+        The reduce tasks of the fold write the files, so their size is the adaptive planner's advisory partition size.
+        """
+        newest, deltas = self._newest_base(), self._batches("delta")
+        later = [b for b in deltas if newest is None or b > newest]
+        if not later:
+            return newest
+        last = later[-1]
+        self._write(collapse(self._live(evolving=True), self.pk, self.order_by, self.op), "base", last)
         hadoop, fs = self._fs()
-        size = fs.getContentSummary(hadoop.Path(self.path)).getLength()
-        folded = collapse(
-            self.spark.read.option("mergeSchema", "true")
-            .parquet(self.path)
-            .filter(f"(tier = 'delta' AND batch <= {last}) OR (tier = 'base' AND batch < {last})")
-            .drop("tier", "batch"),
-            self.pk,
-            self.order_by,
-            self.op,
-        )
-        # one row per key is left, so hashing the key spreads evenly
-        files = max(1, math.ceil(size / target_file_bytes))
-        self._write(folded.repartition(files, *self.pk), "base", last)
         fs.create(hadoop.Path(f"{self.path}/_folded/{last}")).close()
         return last
 
     def expire(self, keep_batches: int = 0) -> list[int]:
         """Drop batches and bases a complete newer base holds, but keep the newest ``keep_batches`` batches."""
-        folded = [int(n) for n in self._names("_folded") if n.isdigit()]
-        if not folded:
+        newest, deltas = self._newest_base(), self._batches("delta")
+        if newest is None:
             return []
-        newest = max(folded)
-        deltas = self._batches("delta")
-        held = [b for b in deltas if b <= newest]
         kept = set(deltas[len(deltas) - keep_batches :]) if keep_batches else set()
-        dropped = [b for b in held if b not in kept]
+        dropped = [b for b in deltas if b <= newest and b not in kept]
         for b in dropped:
             self._delete("delta", b)
         for b in self._batches("base"):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.changes import DELETE
-from ..operators.skew import ROWS_PER_TASK, repartition_by_key
+from ..operators.skew import bring_together
 from .config import SearchSink
 from .encode import wire_value
 
@@ -57,9 +57,9 @@ def write_ndjson(docs: DataFrame, path: str) -> None:
     ndjson(docs).select("value").write.mode("append").text(path)
 
 
-def route(docs: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def route(docs: DataFrame) -> DataFrame:
     """Documents of one routing value together; a value with many documents takes several tasks."""
-    return repartition_by_key(docs, ["routing"], ["_id"], rows_per_task)
+    return bring_together(docs, ["routing"])
 
 
 def number_batches(docs: DataFrame, unique_id: str, max_docs: int, rows_per_lane: int = 100_000) -> DataFrame:
