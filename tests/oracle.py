@@ -1,8 +1,9 @@
-"""Compare registered queries with their SQL run by DuckDB: python -m tests.oracle [sf] [name…]"""
+"""Compare registered queries with their SQL run by DuckDB: python -m tests.oracle [sf or folder] [name…]"""
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -18,7 +19,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path + '/*.parquet' if os.path.isdir(path) else path}'")
     return con
 
 
@@ -64,7 +67,7 @@ def main(sf: str = "0.01", *names: str) -> int:
     from tidegate.session import build_session
 
     spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if sf.startswith("/") else f"/root/testdata/sf{sf}"
     con = duck(sf_dir)
     failed = 0
     for name in names or QUERIES:

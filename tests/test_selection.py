@@ -60,6 +60,8 @@ def test_specific_first_hit_and_placeholders(feed):
     ]
     assert ids(select_specific(feed, ["users", "hr.staff", "users"])) == [1, 2, 5]
     assert ids(TableSelector(specific=("orders",), exclude=("*",)).select(feed)) == [4]
+    known = [("sales", "users"), ("public", "users"), ("sales", "orders")]
+    assert ids(TableSelector(specific=("users", "sales.orders", "hr.staff")).select(feed, known=known)) == [3, 4]
 
 
 def test_missing_tables(feed):

@@ -84,7 +84,7 @@ class Ingest:
             F.coalesce("_where.schema", "_where.db").alias("_schema"),
             F.coalesce("_where.table", "_where.collection").alias("_table"),
         )
-        return self.selector.select(named, "_schema", "_table")
+        return self.selector.select(named, "_schema", "_table", known=[(t.schema, t.table) for t in self.tables])
 
     def _to_changes(self, decoded: DataFrame, table: CapturedTable) -> DataFrame:
         events = decoded.drop("_raw", "_error")

@@ -24,6 +24,7 @@ from .selection import (
     require_tables,
     resolve_specific,
     select_specific,
+    tables_condition,
 )
 from .skew import bring_together, salt_hot_keys, semi_join_by_key
 

@@ -99,10 +99,8 @@ class TableSelector:
     specific: tuple[str, ...] = field(default=())
 
     def condition(self, schema: str = "schema", table: str = "table") -> Column:
-        """Row condition; for ``specific`` without first-hit resolution of bare names, see ``select_specific``."""
+        """Row condition of the globs."""
         qualified = F.concat_ws(".", F.col(schema), F.col(table))
-        if self.specific:
-            return qualified.isin(*self.specific) | F.col(table).isin(*self.specific)
 
         def matches(patterns: tuple[str, ...]) -> Column:
             regexes = [glob_regex(p) for p in patterns]
@@ -113,10 +111,24 @@ class TableSelector:
         taken = F.lit(True) if self.include_all else matches(self.include)
         return taken & ~matches(self.exclude) if self.exclude else taken
 
-    def select(self, feed: DataFrame, schema: str = "schema", table: str = "table") -> DataFrame:
-        if self.specific:
+    def select(
+        self,
+        feed: DataFrame,
+        schema: str = "schema",
+        table: str = "table",
+        known: Sequence[tuple[str, str]] | None = None,
+    ) -> DataFrame:
+        """Rows of the selected tables.
+
+        Specific names are looked up among the ``known`` (schema, table) pairs, or in the feed itself when it is not a
+        stream; a stream needs ``known``, for a bare name must mean the same table in every batch.
+        """
+        if not self.specific:
+            return feed.filter(self.condition(schema, table))
+        if known is None:
             return select_specific(feed, self.specific, schema, table)
-        return feed.filter(self.condition(schema, table))
+        hits = [next((k for k in known if n in (k[1], ".".join(k))), None) for n in self.specific]
+        return feed.filter(tables_condition([h for h in hits if h], schema, table))
 
 
 def pattern_condition(
@@ -176,14 +188,22 @@ def resolve_specific(
     )
 
 
+def tables_condition(
+    tables: Iterable[tuple[str, str]], schema: str = "schema", table: str = "table"
+) -> Column:
+    """Rows of exactly these (schema, table) pairs."""
+    return _any_of([(F.col(schema) == s) & (F.col(table) == t) for s, t in tables])
+
+
 def select_specific(
     feed: DataFrame, names: Sequence[str], schema: str = "schema", table: str = "table"
 ) -> DataFrame:
-    """Rows of the tables the requested names resolve to, each row once."""
-    chosen = resolve_specific(feed, names, schema, table).filter("found").select(
-        F.col("schema").alias(schema), F.col("table").alias(table)
-    )
-    return feed.join(F.broadcast(chosen), [schema, table], "left_semi").select(*feed.columns)
+    """Rows of the tables the requested names resolve to, each row once.
+
+    At most as many tables as names come back to the driver, so that the choice is a filter the scan can use.
+    """
+    chosen = resolve_specific(feed, names, schema, table).filter("found").select("schema", "table").distinct().collect()
+    return feed.filter(tables_condition([(r.schema, r.table) for r in chosen], schema, table))
 
 
 def missing_tables(
