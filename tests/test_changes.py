@@ -11,7 +11,7 @@ from tidegate.operators import (
     collapse,
     evolve_union,
     evolved_schema,
-    semi_join_by_key,
+    join_by_key,
     split_transactions,
     split_unkeyed,
     to_append_only,
@@ -85,11 +85,14 @@ def _skewed(spark):
 
 
 @pytest.mark.parametrize("rows_per_task", [7, 100, 10**6])
-def test_semi_join_splits_hot_keys_exactly(spark, rows_per_task):
+def test_join_splits_hot_keys_exactly(spark, rows_per_task):
     df = _skewed(spark)
     sizes = df.groupBy("k").agg(F.count("*").alias("n"))
-    kept = semi_join_by_key(df, sizes.filter("k = -1 OR k > 50"), ["k"], "n", ["id"], rows_per_task)
+    some = sizes.filter("k = -1 OR k > 50")
+    kept = join_by_key(df, some, ["k"], "n", ["id"], "left_semi", rows_per_task)
     assert rows(kept) == rows(df.filter("k = -1 OR k > 50"))
+    joined = join_by_key(df, some, ["k"], "n", ["id"], rows_per_task=rows_per_task)
+    assert rows(joined) == rows(df.join(some, "k", "left"))
 
 
 def test_hot_key_is_spread(spark, out):

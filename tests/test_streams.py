@@ -9,7 +9,7 @@ from tidegate.plans import fixtures as fx
 from tidegate.session import shared_dir
 from tidegate.sources import decode_changes
 from tidegate.sources.feed import FEED_SCHEMA
-from tidegate.streaming import stream_to_lake
+from tidegate.streaming import complete_transactions, stream_to_lake
 
 import pytest
 
@@ -99,3 +99,39 @@ def test_captured_table_needs_its_key():
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_transactions_wait_until_they_are_whole(spark, out):
+    def batch(*items):
+        return spark.createDataFrame(list(items), "tx long, v string, n long")
+
+    def step(batch_id, *items):
+        return rows(complete_transactions(batch(*items), batch_id, out, "tx", "n", ["v"]))
+
+    assert step(0, (1, "a", None), (2, "b", None), (2, None, 1), (3, None, 2)) == [(2, "b")]
+    assert step(1, (1, None, 2), (3, "c", None)) == []
+    second = ((1, "d", None), (4, "e", None))
+    assert step(2, *second) == [(1, "a"), (1, "d")]
+    # a replay finds the same transactions
+    assert step(2, *second) == [(1, "a"), (1, "d")]
+    assert step(3, (3, "f", None), (4, None, 1)) == [(3, "c"), (3, "f"), (4, "e")]
+    assert step(4, (9, "z", None)) == []
+
+
+def test_ingest_with_a_column_added_and_one_widened(spark, out):
+    def feed(*after):
+        values = [f'{{"op":"c","after":{a},"source":{{"schema":"s","table":"t","lsn":{i}}}}}' for i, a in enumerate(after)]
+        return spark.createDataFrame([(bytearray(v.encode()),) for v in values], "value binary")
+
+    def ingest(columns):
+        table = CapturedTable("s", "t", columns, ("id",))
+        return Ingest(spark, PostgresSource("app", auto_schema_change=True), (table,), out), table
+
+    first, table = ingest({"id": "INT", "n": "INT"})
+    first.deliver(feed('{"id":1,"n":5}'), 0)
+    second, table = ingest({"id": "INT", "n": "BIGINT", "extra": "VARCHAR"})
+    second.deliver(feed('{"id":2,"n":5000000000,"extra":"x"}'), 1)
+    expected = [(1, 5, None), (2, 5000000000, "x")]
+    assert rows(second.read(table)) == expected
+    second.maintain()
+    assert rows(second.read(table)) == expected

@@ -6,9 +6,10 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from .functions.typemap import struct_of
 from .operators.changes import SNAPSHOT, flatten_events, split_key_changes
 from .operators.selection import TableColumns, TableSelector
 from .sinks.lake import LakeTable
@@ -68,7 +69,16 @@ class Ingest:
     writers: int = 4
 
     def target(self, table: CapturedTable) -> LakeTable:
-        return LakeTable(self.spark, f"{self.warehouse}/{table.target}", table.primary_key, ["_order"], op="_op")
+        """The stored table, read under the declared columns, so that added and widened columns need no merging."""
+        stored = (
+            T.StructType()
+            .add("_op", "string")
+            .add("_order", T.StructType.fromDDL(self.source.order_ddl))
+        )
+        stored = T.StructType([*stored.fields, *struct_of(table.types).fields])
+        return LakeTable(
+            self.spark, f"{self.warehouse}/{table.target}", table.primary_key, ["_order"], op="_op", schema=stored
+        )
 
     def read(self, table: CapturedTable) -> DataFrame:
         return self.target(table).read().drop("_order")

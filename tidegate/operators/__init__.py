@@ -3,6 +3,7 @@ from .changes import (
     apply_latest,
     collapse,
     flatten_events,
+    mark_transactions,
     snapshot_then_log,
     split_key_changes,
     split_transactions,
@@ -26,6 +27,6 @@ from .selection import (
     select_specific,
     tables_condition,
 )
-from .skew import bring_together, salt_hot_keys, semi_join_by_key
+from .skew import bring_together, join_by_key, salt_hot_keys
 
 __all__ = [name for name in dir() if not name.startswith("_")]

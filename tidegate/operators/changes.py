@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .skew import ROWS_PER_TASK, semi_join_by_key
+from .skew import ROWS_PER_TASK, join_by_key
 
 SNAPSHOT = "r"
 DELETE = "d"
@@ -119,20 +119,31 @@ def transaction_sizes(rows: DataFrame, txid: str, markers: DataFrame, declared:
     )
 
 
-def split_transactions(
+def mark_transactions(
     rows: DataFrame,
     txid: str,
     markers: DataFrame,
     declared: str,
     spread_by: list[str],
     rows_per_task: int = ROWS_PER_TASK,
-) -> tuple[DataFrame, DataFrame]:
-    """(rows of complete transactions, rows to carry to the next batch).
+) -> DataFrame:
+    """The rows with ``complete``: whether as many rows of their transaction arrived as its marker declares.
 
-    A transaction is complete when as many rows arrived as its marker declares. A transaction holding a large share of
-    the rows is spread over several tasks by a hash of ``spread_by``.
+    A transaction holding a large share of the rows is spread over several tasks by a hash of ``spread_by``.
     """
-    sizes = transaction_sizes(rows, txid, markers, declared)
-    done = semi_join_by_key(rows, sizes.filter("complete"), [txid], "seen", spread_by, rows_per_task)
-    open_ = semi_join_by_key(rows, sizes.filter("NOT complete"), [txid], "seen", spread_by, rows_per_task)
-    return done, open_
+    sizes = transaction_sizes(rows, txid, markers, declared).drop("declared")
+    marked = join_by_key(rows, sizes, [txid], "seen", spread_by, "left", rows_per_task)
+    return marked.select(*rows.columns, F.coalesce("complete", F.lit(False)).alias("complete"))
+
+
+def split_transactions(
+    rows: DataFrame,
+    txid: str,
+    markers: DataFrame,
+    declared: str,
+    spread_by: list[str],
+    rows_per_task: int = ROWS_PER_TASK,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of complete transactions, rows to carry to the next batch)."""
+    marked = mark_transactions(rows, txid, markers, declared, spread_by, rows_per_task)
+    return marked.filter("complete").drop("complete"), marked.filter("NOT complete").drop("complete")

@@ -31,14 +31,20 @@ def salt_hot_keys(
     return df.join(hot, on, "left").withColumn(_SALT, salt).drop(_SALTS)
 
 
-def semi_join_by_key(
-    df: DataFrame, keys: DataFrame, on: list[str], rows: str, spread_by: list[str], rows_per_task: int = ROWS_PER_TASK
+def join_by_key(
+    df: DataFrame,
+    keys: DataFrame,
+    on: list[str],
+    rows: str,
+    spread_by: list[str],
+    how: str = "left",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys``; a hot key is spread over several tasks."""
+    """``df`` joined with ``keys``, one row per key with its row count; a hot key is spread over several tasks."""
     salted = salt_hot_keys(df, keys, on, rows, spread_by, rows_per_task)
     last = F.greatest(F.ceil(F.col(rows) / rows_per_task).cast("long"), F.lit(1).cast("long")) - 1
-    salted_keys = keys.select(*on, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(_SALT))
-    return salted.join(salted_keys, [*on, _SALT], "left_semi").select(*df.columns)
+    salted_keys = keys.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(_SALT))
+    return salted.join(salted_keys, [*on, _SALT], how).drop(_SALT)
 
 
 def bring_together(df: DataFrame, on: list[str]) -> DataFrame:

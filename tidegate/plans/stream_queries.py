@@ -9,7 +9,14 @@ from ..operators.changes import flatten_events
 from ..session import work_path
 from ..sinks import FileSink, LakeTable, read_files, stream_files
 from ..sources import PostgresSource, decode_changes, read_recorded
-from ..streaming import dedupe_stream, fan_out_stream, rollup_to_lake, stream_rollup, stream_to_lake
+from ..streaming import (
+    dedupe_stream,
+    fan_out_stream,
+    rollup_to_lake,
+    stream_rollup,
+    stream_to_lake,
+    stream_transactions_to_lake,
+)
 from . import fixtures as fx
 from .fixtures import EVENT_COLUMNS, load
 from .registry import LATEST_EVENTS, query
@@ -111,3 +118,32 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         for (_, name), t in targets.items()
     ]
     return parts[0].unionByName(parts[1])
+
+
+@query("""
+    SELECT l_orderkey AS txid, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey
+                                     ORDER BY l_quantity DESC, l_extendedprice DESC) AS rn
+        FROM lineitem WHERE l_orderkey % 10 <> 0
+    ) WHERE rn = 1
+""")
+def stream_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as transactions whose rows and markers come in different batches; every tenth stays open."""
+    lines = load(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("txid"), "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
+    extra = F.when(F.col("txid") % 10 == 0, 1).otherwise(0)
+    markers = lines.groupBy("txid").agg((F.count(F.lit(1)) + F.max(extra)).alias("events"))
+    rows = lines.withColumn("op", F.lit("u")).withColumn("events", F.lit(None).cast("long"))
+    log = work_path(spark, "tx")
+    feed = rows.unionByName(markers, allowMissingColumns=True)
+    feed.repartition(4, "l_partkey").write.parquet(log)
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2).parquet(log)
+    key = ["txid", "l_linenumber", "l_partkey", "l_suppkey"]
+    table = LakeTable(spark, work_path(spark, "tx-lake"), key, ["l_quantity", "l_extendedprice"])
+    _finish(
+        stream_transactions_to_lake(
+            stream, table, work_path(spark, "cp"), work_path(spark, "carry"), "txid", "events", key[1:]
+        )
+    )
+    return table.read()

@@ -13,19 +13,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.changes import DELETE, collapse, to_append_only
+from . import paths
 from .config import LakeSink
 
 
 class LakeTable:
-    """A merge-on-read table of changes keyed by ``pk`` and ordered by ``order_by``."""
+    """A merge-on-read table of changes keyed by ``pk`` and ordered by ``order_by``.
+
+    With a ``schema`` of the stored columns files of older batches are read under it: a column they lack is null and a
+    narrower type is widened. Without one Spark takes the schema of a file, or merges all of them for ``evolving`` reads.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, pk: Sequence[str], order_by: Sequence[str], op: str = "op"
+        self,
+        spark: SparkSession,
+        path: str,
+        pk: Sequence[str],
+        order_by: Sequence[str],
+        op: str = "op",
+        schema: T.StructType | None = None,
     ) -> None:
-        self.spark, self.path, self.op = spark, path.rstrip("/"), op
+        self.spark, self.path, self.op, self.schema = spark, path.rstrip("/"), op, schema
         self.pk, self.order_by = list(pk), list(order_by)
 
     # -- writing
@@ -48,7 +59,10 @@ class LakeTable:
     # -- reading
 
     def _stored(self, evolving: bool) -> DataFrame:
-        return self.spark.read.option("mergeSchema", str(evolving).lower()).parquet(self.path)
+        if self.schema is None:
+            return self.spark.read.option("mergeSchema", str(evolving).lower()).parquet(self.path)
+        partitions = [T.StructField("tier", T.StringType()), T.StructField("batch", T.LongType())]
+        return self.spark.read.schema(T.StructType([*self.schema.fields, *partitions])).parquet(self.path)
 
     def _live(self, evolving: bool) -> DataFrame:
         """The newest complete base and the batches after it; partition pruning skips everything else."""
@@ -67,25 +81,15 @@ class LakeTable:
 
     # -- upkeep
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm.org.apache.hadoop.fs, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        hadoop, fs = self._fs()
-        path = hadoop.Path(f"{self.path}/{folder}")
-        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-
     def _batches(self, tier: str) -> list[int]:
-        return sorted(int(n.partition("=")[2]) for n in self._names(f"tier={tier}") if n.startswith("batch="))
+        return paths.partition_values(self.spark, f"{self.path}/tier={tier}", "batch")
 
     def _delete(self, tier: str, batch_id: int) -> None:
-        hadoop, fs = self._fs()
-        fs.delete(hadoop.Path(f"{self.path}/tier={tier}/batch={batch_id}"), True)
+        paths.delete(self.spark, f"{self.path}/tier={tier}/batch={batch_id}")
 
     def _newest_base(self) -> int | None:
-        return max((int(n) for n in self._names("_folded") if n.isdigit()), default=None)
+        marks = paths.names(self.spark, f"{self.path}/_folded")
+        return max((int(n) for n in marks if n.isdigit()), default=None)
 
     def compact(self) -> int | None:
         """Fold all batches present now into a new base; returns the last folded batch id.
@@ -98,8 +102,7 @@ class LakeTable:
             return newest
         last = later[-1]
         self._write(collapse(self._live(evolving=True), self.pk, self.order_by, self.op), "base", last)
-        hadoop, fs = self._fs()
-        fs.create(hadoop.Path(f"{self.path}/_folded/{last}")).close()
+        paths.touch(self.spark, f"{self.path}/_folded/{last}")
         return last
 
     def expire(self, keep_batches: int = 0) -> list[int]:

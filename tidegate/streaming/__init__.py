@@ -1,10 +1,13 @@
 from .pipeline import (
+    append_and_reject,
+    complete_transactions,
     dedupe_stream,
     fan_out_stream,
     rollup_to_lake,
     run_stream,
     stream_rollup,
     stream_to_lake,
+    stream_transactions_to_lake,
 )
 
-__all__ = ["dedupe_stream", "fan_out_stream", "rollup_to_lake", "run_stream", "stream_rollup", "stream_to_lake"]
+__all__ = [name for name in dir() if not name.startswith("_")]

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.changes import mark_transactions, transaction_sizes
+from ..sinks import paths
 from ..sinks.lake import LakeTable
 
 
@@ -77,6 +79,55 @@ def stream_to_lake(
     return run_stream(stream, deliver, checkpoint, **trigger)
 
 
+def complete_transactions(
+    batch: DataFrame, batch_id: int, carry_path: str, txid: str, declared: str, spread_by: Sequence[str]
+) -> DataFrame:
+    """Rows of the transactions that are whole by this batch; the rest waits below ``carry_path``.
+
+    The batch holds change rows and markers: a marker has the number of its transaction's rows in ``declared``, which is
+    null on rows. What a batch leaves open is stored under its id and joined by the next one, so a batch that is
+    replayed finds what it found the first time.
+    """
+    spark = batch.sparkSession
+    before = f"{carry_path}/batch={batch_id - 1}"
+    if paths.exists(spark, before):
+        batch = batch.unionByName(spark.read.schema(batch.schema).parquet(before))
+    rows = batch.filter(F.col(declared).isNull()).drop(declared)
+    markers = batch.filter(F.col(declared).isNotNull())
+    counts = markers.groupBy(txid).agg(F.max(declared).alias(declared))
+    marked = mark_transactions(rows, txid, counts, declared, list(spread_by))
+    whole = transaction_sizes(rows, txid, counts, declared).filter("complete").select(txid)
+    waiting = marked.filter("NOT complete").drop("complete")
+    left = waiting.unionByName(markers.join(whole, txid, "left_anti"), allowMissingColumns=True)
+    left.select(*batch.columns).write.mode("overwrite").parquet(f"{carry_path}/batch={batch_id}")
+    for old in paths.partition_values(spark, carry_path, "batch"):
+        if old < batch_id - 1:
+            paths.delete(spark, f"{carry_path}/batch={old}")
+    return marked.filter("complete").drop("complete")
+
+
+def stream_transactions_to_lake(
+    stream: DataFrame,
+    table: LakeTable,
+    checkpoint: str,
+    carry_path: str,
+    txid: str,
+    declared: str,
+    spread_by: Sequence[str],
+    **trigger,
+) -> StreamingQuery:
+    """Upsert a change stream by whole transactions: none is visible before all of its rows have come."""
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            table.append_batch(complete_transactions(batch, batch_id, carry_path, txid, declared, spread_by), batch_id)
+        finally:
+            batch.unpersist()
+
+    return run_stream(stream, deliver, checkpoint, **trigger)
+
+
 def fan_out_stream(
     stream: DataFrame,
     tables: dict[tuple[str, str], Callable[[DataFrame, int], None]],
