@@ -14,6 +14,7 @@ from .operators import (
 from .session import build_session, shared_dir, work_path
 from .sinks import FileSink, JdbcSink, LakeSink, LakeTable, SearchSink, deliver_tables, write_files, write_jdbc
 from .sources import KafkaSource, MongoSource, MySqlSource, PostgresSource, SqlServerSource
+from .topic import Topic
 
 __all__ = [
     "CapturedTable",
@@ -31,6 +32,7 @@ __all__ = [
     "SqlServerSource",
     "TableColumns",
     "TableSelector",
+    "Topic",
     "apply_events",
     "apply_latest",
     "build_session",

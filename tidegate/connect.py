@@ -111,7 +111,7 @@ class Ingest:
             mine = messages.filter((F.col("_schema") == table.schema) & (F.col("_table") == table.table))
             append_and_reject(
                 decode_changes(mine, self.source, table.types),
-                self.target(table),
+                self.target(table).append_batch,
                 batch_id,
                 lambda good: self._to_changes(good, table),
                 f"{self.warehouse}/_rejects/{table.target}",

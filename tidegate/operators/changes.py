@@ -59,10 +59,14 @@ def apply_latest(
 
 
 def flatten_events(events: DataFrame) -> DataFrame:
-    """Change events as flat change rows with ``_op`` and ``_order``: the after image, or the before image of a delete."""
+    """Change events as flat change rows with ``_op`` and ``_order``: the after image, or the before image of a delete.
+
+    Columns the events carry besides their own, such as message metadata, follow the row's.
+    """
+    others = [c for c in events.columns if c not in EVENT_COLUMNS and not c.startswith("_")]
     image = F.when(F.col("op") == DELETE, F.col("before")).otherwise(F.col("after"))
-    flat = events.select(F.col("op").alias("_op"), F.col("order_key").alias("_order"), image.alias("_image"))
-    return flat.select("_op", "_order", "_image.*")
+    flat = events.select(F.col("op").alias("_op"), F.col("order_key").alias("_order"), image.alias("_image"), *others)
+    return flat.select("_op", "_order", "_image.*", *others)
 
 
 def apply_events(events: DataFrame, pk: list[str]) -> DataFrame:

@@ -83,11 +83,19 @@ def candidate_keys(name: str, df: DataFrame, candidates: Sequence[Sequence[str]]
     return _union([one(c) for c in candidates])
 
 
-def collection_stats(feed: DataFrame, collection: str = "collection", payload: str = "payload") -> DataFrame:
-    """Documents and payload bytes per collection; ``system.*`` collections are left out."""
+# Databases of a document server itself.
+SYSTEM_DATABASES = ("admin", "config", "local")
+
+
+def collection_stats(
+    feed: DataFrame, collection: str = "collection", payload: str = "payload", database: str | None = None
+) -> DataFrame:
+    """Documents and payload bytes per collection; system databases and ``system.*`` collections are left out."""
+    named = feed.filter(~F.col(collection).startswith("system."))
+    if database:
+        named = named.filter(~F.col(database).isin(*SYSTEM_DATABASES))
     return (
-        feed.filter(~F.col(collection).startswith("system."))
-        .groupBy(collection)
+        named.groupBy(*([database] if database else []), collection)
         .agg(
             F.count(F.lit(1)).alias("documents"),
             F.coalesce(F.sum(F.octet_length(payload).cast("long")), F.lit(0)).alias("bytes"),

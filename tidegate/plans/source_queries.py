@@ -10,6 +10,7 @@ from ..operators.changes import split_key_changes, split_transactions
 from ..operators.evolve import evolve_union
 from ..sinks.fanout import fan_out, fan_out_table
 from ..sources import (
+    KafkaSource,
     MongoSource,
     MySqlSource,
     PostgresSource,
@@ -30,6 +31,7 @@ from ..sources import decode
 from ..connect import CapturedTable, Ingest
 from ..operators.selection import ColumnSelection, TableColumns, TableSelector
 from ..session import work_path
+from ..topic import Topic
 from . import fixtures as fx
 from .fixtures import EVENT_COLUMNS, load
 from .registry import LATEST_EVENTS, query
@@ -331,11 +333,12 @@ def cdc_metadata_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def stored_equals_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same question to a stored table and to a view over the feed."""
+    feed = fx.kafka_log(spark, sf_dir)
+    topic = Topic(KafkaSource("broker:9092", "app.user-events"), EVENT_COLUMNS, name="tidegate_feed_view")
     path = work_path(spark, "stored")
-    rows = accepted(decode.decode_json(fx.kafka_log(spark, sf_dir), EVENT_COLUMNS))
-    rows.write.parquet(path)
-    rows.createOrReplaceTempView("tidegate_feed_view")
-    spark.read.parquet(path).createOrReplaceTempView("tidegate_feed_table")
+    topic.store(feed, 0, path)
+    topic.view(feed)
+    topic.stored(feed, path).createOrReplaceTempView("tidegate_feed_table")
     ask = "SELECT '{0}' AS kind, event_type, count(*) AS n, sum(event_id) AS id_sum FROM {1} GROUP BY event_type"
     stored = spark.sql(ask.format("stored", "tidegate_feed_table"))
     return stored.unionByName(spark.sql(ask.format("view", "tidegate_feed_view")))
@@ -428,3 +431,20 @@ def ingest_database(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("amount"),
     )
     return kept.unionByName(people)
+
+
+@query(LATEST_EVENTS)
+def stored_changes_equal_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed topic stored in two batches and the same topic as a view: rows both have."""
+    feed = fx.upsert_log(spark, sf_dir)
+    topic = Topic(
+        KafkaSource("broker:9092", "app.user-state", format="UPSERT"),
+        EVENT_COLUMNS,
+        primary_key=("user_id",),
+        key_columns={"user_id": "BIGINT"},
+    )
+    path = work_path(spark, "stored")
+    clicks = header_value("event_type").isin("click", "error")
+    topic.store(feed.filter(clicks), 0, path)
+    topic.store(feed.filter(~clicks), 1, path)
+    return topic.stored(feed, path).intersect(topic.rows(feed))

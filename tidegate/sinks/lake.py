@@ -120,6 +120,22 @@ class LakeTable:
         return dropped
 
 
+def append_partition(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Append one batch of plain rows; delivering the same id again replaces it."""
+    (
+        rows.withColumn("batch", F.lit(batch_id).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .parquet(path)
+    )
+
+
+def read_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all batches."""
+    return spark.read.parquet(path).drop("batch")
+
+
 def merge_sql(target: str, view: str, columns: Sequence[str], pk: Sequence[str], op: str = "op") -> str:
     """``MERGE INTO`` for catalogs with row-level operations."""
     on = " AND ".join(f"t.`{c}` = s.`{c}`" for c in pk)

@@ -1,4 +1,4 @@
-from .backfill import SplitPlan, plan_even_splits, range_predicates, read_jdbc_snapshot, split_count, uneven_edges
+from .backfill import SplitPlan, plan_even_splits, range_predicates, read_jdbc_snapshot, read_snapshot, split_count, uneven_edges
 from .cdc import current_documents, current_rows, decode_changes, with_metadata
 from .config import DatabaseSource, KafkaSource, MongoSource, MySqlSource, PostgresSource, SqlServerSource
 from .decode import (

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .config import DatabaseSource
+
 
 @dataclass(frozen=True)
 class SplitPlan:
@@ -74,14 +76,18 @@ def read_jdbc_snapshot(
     rows_per_split: int,
     even: bool = True,
     fetch_size: int = 1000,
+    parallelism: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """A database table in one task per split. Bounds are computed inside the database by a pushed-down aggregate."""
+    """A database table in one task per split, or in ``parallelism`` tasks that read their splits one after another.
+
+    Bounds are computed inside the database by a pushed-down aggregate.
+    """
     properties = {"fetchsize": str(fetch_size), **options}
     whole = spark.read.format("jdbc").options(url=url, dbtable=table, pushDownAggregate="true", **properties).load()
     if even:
         plan = plan_even_splits(whole, column, rows_per_split)
-        return spark.read.jdbc(
+        rows = spark.read.jdbc(
             url,
             table,
             column=column,
@@ -90,5 +96,25 @@ def read_jdbc_snapshot(
             numPartitions=plan.splits,
             properties=properties,
         )
-    edges = uneven_edges(whole, column, rows_per_split)
-    return spark.read.jdbc(url, table, predicates=range_predicates(column, edges), properties=properties)
+    else:
+        edges = uneven_edges(whole, column, rows_per_split)
+        rows = spark.read.jdbc(url, table, predicates=range_predicates(column, edges), properties=properties)
+    return rows.coalesce(parallelism) if parallelism else rows
+
+
+def read_snapshot(spark: SparkSession, source: DatabaseSource, url: str, table: str, column: str) -> DataFrame:
+    """The snapshot of one captured table with the source's own split, parallelism and fetch settings."""
+    if not source.rows_per_split:
+        options = {"fetchsize": str(source.snapshot_batch_size), **source.options}
+        return spark.read.jdbc(url, table, properties=options)
+    return read_jdbc_snapshot(
+        spark,
+        url,
+        table,
+        column,
+        source.rows_per_split,
+        source.even_splits,
+        source.snapshot_batch_size,
+        source.parallelism,
+        **source.options,
+    )

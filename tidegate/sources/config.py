@@ -143,6 +143,3 @@ class MongoSource(DatabaseSource):
     dialect = "mongo"
     order = ("ts_us", "ord")
     order_ddl = "ts_us bigint, ord bigint"
-
-    # Databases of the server itself.
-    SYSTEM_DATABASES = ("admin", "config", "local")

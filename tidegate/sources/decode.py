@@ -14,6 +14,7 @@ from ..functions.casts import cast_to_target
 from ..functions.times import from_micros, local_to_utc
 from ..functions.typemap import spark_type, split_target
 from ..operators.changes import EVENT_COLUMNS
+from .feed import UPSERT_KEY
 
 RAW, ERROR = "_raw", "_error"
 _CORRUPT = "_corrupt"
@@ -85,7 +86,7 @@ def decode_json(feed: DataFrame, columns: Mapping[str, str], metadata: Sequence[
     """PLAIN JSON: the declared columns, then ``metadata``, ``_raw`` and ``_error``."""
     text = F.col("value").cast("string")
     parsed = _parsed(feed, *metadata, text.alias(RAW), message=_parse(text, _wire_schema(columns)))
-    kept = [c for c in parsed.columns if c not in (RAW, "_m")]
+    kept = _kept(parsed)
     message = F.col("_m")
     return parsed.select(
         *[_value(message[c], t, "UTC").alias(c) for c, t in columns.items()],
@@ -109,7 +110,7 @@ def decode_csv(
     ddl = ", ".join(f"`{c}` string" for c in [*columns, _CORRUPT])
     options = {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = _parsed(feed, *metadata, text.alias(RAW), message=F.from_csv(text, ddl, options))
-    kept = [c for c in parsed.columns if c not in (RAW, "_m")]
+    kept = _kept(parsed)
     message = F.col("_m")
     cast = parsed.select(
         *[cast_to_target(message[c], t).alias(c) for c, t in columns.items()], *kept, RAW, "_m"
@@ -138,10 +139,15 @@ def decode_key(columns: Mapping[str, str] | None, encode: str = "JSON") -> Colum
     return _row(F.from_json(F.col("key").cast("string"), _wire_schema(columns)), columns)
 
 
+def _kept(parsed: DataFrame) -> list[str]:
+    """Columns that are not part of the parsing: the metadata."""
+    return [c for c in parsed.columns if c not in ("_m", RAW, "_offset", "_pos", "_row", "_k", UPSERT_KEY)]
+
+
 def _events(
     decoded: DataFrame, op: Column, error: Column, has_before: Column, has_after: Column, **columns: Column
 ) -> DataFrame:
-    """Change events from parsed messages.
+    """Change events from parsed messages, then their metadata columns.
 
     Reasons to reject are told from message fields only, so that the filter on them, which runs before the projection,
     does not build the row images.
@@ -155,13 +161,18 @@ def _events(
     columns["op"] = op
     return decoded.select(
         *[columns[c].alias(c) for c in EVENT_COLUMNS],
+        *_kept(decoded),
         F.when(reason.isNotNull(), F.col(RAW)).alias(RAW),
         reason.alias(ERROR),
     )
 
 
 def decode_debezium(
-    feed: DataFrame, columns: Mapping[str, str], order_ddl: str = "lsn bigint, txId bigint", time_zone: str = "UTC"
+    feed: DataFrame,
+    columns: Mapping[str, str],
+    order_ddl: str = "lsn bigint, txId bigint",
+    time_zone: str = "UTC",
+    metadata: Sequence[Column] = (),
 ) -> DataFrame:
     """``{op, before, after, source, ts_us}`` -> change events.
 
@@ -177,7 +188,7 @@ def decode_debezium(
         T.StructType().add("op", "string").add("before", row).add("after", row).add("source", source).add("ts_us", "long")
     )
     text = F.col("value").cast("string")
-    parsed = _parsed(feed.filter("value IS NOT NULL"), text.alias(RAW), message=_parse(text, schema))
+    parsed = _parsed(feed.filter("value IS NOT NULL"), *metadata, text.alias(RAW), message=_parse(text, schema))
     m = F.col("_m")
     src = m["source"]
     return _events(
@@ -207,7 +218,7 @@ def _op(name: Column, ops: Mapping[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in ops.items() for x in pair])[name]
 
 
-def decode_maxwell(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+def decode_maxwell(feed: DataFrame, columns: Mapping[str, str], metadata: Sequence[Column] = ()) -> DataFrame:
     """``{database, table, type, ts, xid, data, old}`` -> change events, ordered by message offset.
 
     ``old`` holds only the changed columns, so the before image is ``data`` overlaid with it.
@@ -224,7 +235,10 @@ def decode_maxwell(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         .add("old", row)
     )
     text = F.col("value").cast("string")
-    parsed = _parsed(feed.filter("value IS NOT NULL"), "offset", text.alias(RAW), message=_parse(text, schema))
+    offset = F.col("offset").alias("_offset")
+    parsed = _parsed(
+        feed.filter("value IS NOT NULL"), *metadata, offset, text.alias(RAW), message=_parse(text, schema)
+    )
     m = F.col("_m")
     parsed = parsed.filter(F.coalesce(~m["type"].isin(*MAXWELL_MARKERS), F.lit(True)))
     op = _op(m["type"], MAXWELL_OPS)
@@ -240,7 +254,7 @@ def decode_maxwell(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         has_after=has_row,
         before=F.when(has_row & op.isin("u", "d"), overlaid),
         after=F.when(op != "d", _row(m["data"], columns)),
-        order_key=F.struct(F.col("offset").alias("offset")),
+        order_key=F.struct(F.col("_offset").alias("offset")),
         commit_ts=F.timestamp_seconds(m["ts"]),
         db=m["database"],
         schema=F.lit(None).cast("string"),
@@ -249,7 +263,7 @@ def decode_maxwell(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     )
 
 
-def decode_canal(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+def decode_canal(feed: DataFrame, columns: Mapping[str, str], metadata: Sequence[Column] = ()) -> DataFrame:
     """``{data: [..], old: [..], database, table, type, es, isDdl}`` -> change events, ordered by offset and position.
 
     Values are text and cast to the declared types; a value that does not fit rejects the row. DDL messages are
@@ -267,9 +281,12 @@ def decode_canal(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         .add("isDdl", "boolean")
     )
     text = F.col("value").cast("string")
-    parsed = _parsed(feed.filter("value IS NOT NULL"), "offset", text.alias(RAW), message=_parse(text, schema))
+    offset = F.col("offset").alias("_offset")
+    parsed = _parsed(
+        feed.filter("value IS NOT NULL"), *metadata, offset, text.alias(RAW), message=_parse(text, schema)
+    )
     parsed = parsed.filter(~F.coalesce(F.col("_m")["isDdl"], F.lit(False)))
-    rows = parsed.select("offset", RAW, "_m", F.posexplode_outer(F.col("_m")["data"]).alias("_pos", "_row"))
+    rows = parsed.select("*", F.posexplode_outer(F.col("_m")["data"]).alias("_pos", "_row"))
     m, text = F.col("_m"), F.col("_row")
     op = _op(m["type"], CANAL_OPS)
     changed = F.get(m["old"], F.col("_pos"))
@@ -291,7 +308,7 @@ def decode_canal(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         has_after=has_row,
         before=F.when(has_row & op.isin("u", "d"), overlaid),
         after=F.when(op != "d", _text_row(text, columns)),
-        order_key=F.struct(F.col("offset").alias("offset"), F.col("_pos").alias("position")),
+        order_key=F.struct(F.col("_offset").alias("offset"), F.col("_pos").alias("position")),
         commit_ts=F.timestamp_millis(m["es"]),
         db=m["database"],
         schema=F.lit(None).cast("string"),
@@ -301,7 +318,10 @@ def decode_canal(feed: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 
 def decode_upsert(
-    feed: DataFrame, columns: Mapping[str, str], key_columns: Mapping[str, str] | None = None
+    feed: DataFrame,
+    columns: Mapping[str, str],
+    key_columns: Mapping[str, str] | None = None,
+    metadata: Sequence[Column] = (),
 ) -> DataFrame:
     """Keyed JSON messages -> flat change rows: ``_op, rw_key, _offset`` and the columns; a null value is a delete.
 
@@ -310,8 +330,9 @@ def decode_upsert(
     value = F.col("value").cast("string")
     parsed = _parsed(
         feed,
-        F.col("key").cast("string").alias("rw_key"),
-        "offset",
+        *metadata,
+        F.col("key").cast("string").alias(UPSERT_KEY),
+        F.col("offset").alias("_offset"),
         value.alias(RAW),
         *([decode_key(key_columns).alias("_k")] if key_columns else []),
         message=_parse(value, _wire_schema(columns)),
@@ -324,14 +345,15 @@ def decode_upsert(
         return F.coalesce(decoded, F.col("_k")[c]) if c in keys else decoded
 
     error = (
-        F.when(F.col("rw_key").isNull(), F.lit("no key"))
+        F.when(F.col(UPSERT_KEY).isNull(), F.lit("no key"))
         .when(~delete & _malformed(m), F.lit("malformed JSON"))
     )
     return parsed.select(
         F.when(delete, F.lit("d")).otherwise(F.lit("u")).alias("_op"),
-        "rw_key",
-        F.col("offset").alias("_offset"),
+        UPSERT_KEY,
+        "_offset",
         *[column(c, t).alias(c) for c, t in columns.items()],
+        *_kept(parsed),
         F.when(error.isNotNull(), F.col(RAW)).alias(RAW),
         error.alias(ERROR),
     )

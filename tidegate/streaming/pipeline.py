@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import mark_transactions, transaction_sizes
 from ..sinks import paths
-from ..sinks.lake import LakeTable
+from ..sinks.lake import LakeTable, append_partition
 
 
 def run_stream(
@@ -31,7 +31,7 @@ def run_stream(
 
 def append_and_reject(
     decoded: DataFrame,
-    table: LakeTable,
+    append: Callable[[DataFrame, int], None],
     batch_id: int,
     to_changes: Callable[[DataFrame], DataFrame],
     reject_path: str | None,
@@ -42,16 +42,10 @@ def append_and_reject(
     """
     seen = Observation()
     counted = decoded.observe(seen, F.count_if(F.col("_error").isNotNull()).alias("bad"))
-    table.append_batch(to_changes(counted.filter("_error IS NULL")), batch_id)
+    append(to_changes(counted.filter("_error IS NULL")), batch_id)
     if reject_path and seen.get["bad"]:
-        (
-            decoded.filter("_error IS NOT NULL")
-            .select(F.col("_raw").alias("raw"), F.col("_error").alias("error"), F.lit(batch_id).alias("batch"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(reject_path)
-        )
+        bad = decoded.filter("_error IS NOT NULL")
+        append_partition(bad.select(F.col("_raw").alias("raw"), F.col("_error").alias("error")), reject_path, batch_id)
 
 
 def stream_to_lake(
@@ -74,7 +68,7 @@ def stream_to_lake(
         if "_error" not in rows.columns:
             table.append_batch(rows, batch_id)
             return
-        append_and_reject(rows, table, batch_id, lambda r: r.drop("_error", "_raw"), reject_path)
+        append_and_reject(rows, table.append_batch, batch_id, lambda r: r.drop("_error", "_raw"), reject_path)
 
     return run_stream(stream, deliver, checkpoint, **trigger)
 
