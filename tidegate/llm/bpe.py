@@ -34,7 +34,7 @@ ONE_LETTER = ("s", "t", "m", "d")
 TWO_LETTERS = ("re", "ve", "ll")
 
 #: Distinct slices kept with their merged ids in each worker; beyond it the cache starts anew, which changes no result.
-CACHE_SLICES = 400_000
+CACHE_SLICES = 250_000
 #: Bytes up to which slices of equal length are merged together; longer ones are merged one by one.
 WIDE = 64
 #: Code points that a block of the scan holds.
@@ -330,6 +330,17 @@ def decode_arrays(path: str, ids: np.ndarray, offsets: np.ndarray) -> bytes:
     return data[source].tobytes()
 
 
+def decode_columns(ids: pa.Array, offsets: pa.Array, path: str) -> pa.Array:
+    return pa.array(
+        [
+            decode_arrays(path, np.frombuffer(x or b"", "<u4"), np.frombuffer(y or b"", "<u4"))
+            for x, y in zip(ids.to_pylist(), offsets.to_pylist())
+        ],
+        pa.binary(),
+    )
+
+
+DECODED = T.StructField("decoded", T.BinaryType())
 ENCODED = [
     T.StructField("n_tokens", T.LongType()),
     T.StructField("ids", T.BinaryType()),
@@ -337,27 +348,38 @@ ENCODED = [
 ]
 
 
-def encode(df: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
-    """``df`` with ``n_tokens``, ``ids`` and ``offsets`` (byte offsets of the tokens), both little-endian unsigned 32-bit integers."""
-    return add_columns(df, text, ENCODED, None, prepare=lambda: Encoder(ranks_path))
+def encode(df: DataFrame, ranks_path: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``df`` with ``n_tokens``, ``ids`` and ``offsets`` (byte offsets of the tokens), both little-endian unsigned 32-bit integers.
+
+    With ``decoded`` the same worker decodes the ids again, as ``decode`` would, and adds that column too: one Python
+    worker for each task then holds what two would.
+    """
+    if not decoded:
+        return add_columns(df, text, ENCODED, None, prepare=lambda: Encoder(ranks_path))
+
+    def prepare():
+        encoder = Encoder(ranks_path)
+
+        def both(texts: pa.Array) -> list[pa.Array]:
+            made = encoder(texts)
+            return [*made, decode_columns(made[1], made[2], ranks_path)]
+
+        return both
+
+    return add_columns(df, text, [*ENCODED, DECODED], None, prepare=prepare)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", offsets: str = "offsets") -> DataFrame:
     """``df`` with ``decoded``, the bytes that ``ids`` stand for; null ids decode to empty bytes."""
     names = [c for c in df.columns if c.lower() != "decoded"]
     inner = df.select(*[df[c].alias(f"c{i}") for i, c in enumerate(names)], df[ids].alias("_ids"), df[offsets].alias("_at"))
-    schema = T.StructType([*inner.schema.fields[:-2], T.StructField("decoded", T.BinaryType())])
+    schema = T.StructType([*inner.schema.fields[:-2], DECODED])
 
     def run(batches):
         for b in batches:
             columns = [b.column(i) for i in range(b.num_columns - 2)]
-            made = [
-                decode_arrays(ranks_path, np.frombuffer(x or b"", "<u4"), np.frombuffer(y or b"", "<u4"))
-                for x, y in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(made, pa.binary())], names=[*b.schema.names[:-2], "decoded"]
-            )
+            made = decode_columns(b.column(b.num_columns - 2), b.column(b.num_columns - 1), ranks_path)
+            yield pa.RecordBatch.from_arrays([*columns, made], names=[*b.schema.names[:-2], "decoded"])
 
     out = inner.mapInArrow(run, schema)
     return out.select(*[out[f"c{i}"].alias(c) for i, c in enumerate(names)], "decoded")

@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidegate.session import work_path
 
 #: Bytes of text that one step of the vectorised code takes at once; a longer single text is taken alone.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 500_000
 
 ADDED = "__added"
 

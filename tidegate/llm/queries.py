@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, pii
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,8 +24,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def bpe_digests(docs: DataFrame, *kept: str) -> DataFrame:
-    encoded = bpe.encode(docs.select("doc_id", *kept, "text"), RANKS).drop("text")
-    return bpe.decode(encoded, RANKS).select(
+    return bpe.encode(docs.select("doc_id", *kept, "text"), RANKS, decoded=True).select(
         "doc_id",
         *kept,
         "n_tokens",
@@ -37,3 +36,18 @@ def bpe_digests(docs: DataFrame, *kept: str) -> DataFrame:
 @query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    of = lambda *kinds: F.filter("pii_spans", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(joined(of(*pii.BASE_KINDS)), 256).alias("base_sha256"),
+        joined(F.col("pii_spans")).alias("spans"),
+    )
