@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii
+from . import bpe, pii, url_filter
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,59 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(of(*pii.BASE_KINDS)), 256).alias("base_sha256"),
         joined(F.col("pii_spans")).alias("spans"),
     )
+
+
+RULES = (
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+)
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL["op10_url_filter"] = r"""
+WITH RECURSIVE
+marked AS (SELECT url, html FROM pages WHERE contains(url, '://')),
+named AS (
+    SELECT url, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''>\s]+)', 1) AS link FROM (
+        SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*?\brel\s*=\s*["'']?canonical\b[^>]*>')) AS tag FROM marked)
+    UNION ALL
+    SELECT url, regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''>\s]+)', 1) AS link FROM (
+        SELECT url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')) AS tag FROM marked)
+),
+links AS (
+    SELECT regexp_extract(url, '(?s)^([^#]*)', 1) AS a, regexp_extract(replace(link, '&amp;', '&'), '(?s)^([^#]*)', 1) AS b
+    FROM named WHERE contains(link, '://')
+),
+pairs AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, a AS b FROM pairs UNION SELECT r.a, e.b FROM reach r JOIN pairs e ON r.b = e.a),
+urls AS (SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT a FROM pairs),
+parts AS (
+    SELECT url,
+        translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+    FROM urls
+),
+judged AS (
+    SELECT *, CASE
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+    END AS rule FROM parts
+),
+ruled AS (SELECT *, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow' END AS own FROM judged),
+taken AS (
+    SELECT r.a, CASE WHEN bool_or(j.own = 'allow') THEN 'allow' WHEN bool_or(j.own = 'block') THEN 'block' END AS got
+    FROM reach r LEFT JOIN ruled j ON j.url = r.b GROUP BY r.a
+)
+SELECT p.page_id, coalesce(j.host, '') AS host, coalesce(j.path, '') AS path, j.rule,
+    coalesce(j.own, t.got, 'allow') AS verdict
+FROM pages p LEFT JOIN ruled j ON j.url = p.url LEFT JOIN taken t ON t.a = regexp_extract(p.url, '(?s)^([^#]*)', 1)
+"""
