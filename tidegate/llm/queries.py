@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, url_filter
+from . import bpe, html_text, pii, url_filter
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,9 @@ SELECT p.page_id, coalesce(j.host, '') AS host, coalesce(j.path, '') AS path, j.
     coalesce(j.own, t.got, 'allow') AS verdict
 FROM pages p LEFT JOIN ruled j ON j.url = p.url LEFT JOIN taken t ON t.a = regexp_extract(p.url, '(?s)^([^#]*)', 1)
 """
+
+
+@query
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
