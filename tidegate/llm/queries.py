@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, pii, url_filter
+from . import bpe, chat, html_text, pii, url_filter
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,37 @@ FROM pages p LEFT JOIN ruled j ON j.url = p.url LEFT JOIN taken t ON t.a = regex
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op5_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = chat.perspectives(table(spark, sf_dir, "conversations"))
+    joined = F.array_join(
+        F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    return made.select("conv_id", "perspective", "part", "n_messages", "n_own", "text", joined.alias("spans"))
+
+
+SQL["op5_chat_perspectives"] = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS said,
+        CAST(coalesce(floor(turn / 512), -1) AS BIGINT) AS part FROM conversations
+),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
+lines AS (
+    SELECT s.conv_id, p.perspective, s.part, s.turn, s.speaker, s.said, s.speaker = p.perspective AS own,
+        '<|im_start|>' || CASE WHEN s.speaker = p.perspective THEN 'assistant' WHEN s.speaker = 'system' THEN 'system'
+            ELSE 'user name=' || s.speaker END || chr(10) AS header
+    FROM said s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id
+),
+placed AS (
+    SELECT *, coalesce(sum(length(header) + length(said) + 11) OVER (PARTITION BY conv_id, perspective, part
+        ORDER BY turn, speaker, said ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(header) AS start
+    FROM lines
+)
+SELECT conv_id, perspective, part, count(*) AS n_messages, count(*) FILTER (own) AS n_own,
+    string_agg(header || said || '<|im_end|>' || chr(10), '' ORDER BY turn, speaker, said) AS text,
+    coalesce(string_agg(CAST(start AS VARCHAR) || ':' || CAST(start + length(said) + 11 AS VARCHAR), ',' ORDER BY start)
+        FILTER (own), '') AS spans
+FROM placed GROUP BY conv_id, perspective, part
+"""
