@@ -229,7 +229,12 @@ def extract_text(page: str, weights: dict[str, float]) -> str:
 def fit(pages: DataFrame, column: str = "html", sample: int = SAMPLE_PAGES) -> dict[str, float]:
     """Weights from at most ``sample`` labelled pages, chosen by the hash of their markup."""
     labelled = pages.select(F.col(column).alias("html")).filter(F.col("html").rlike(r"(?i)<(article|main)\b"))
-    rows = labelled.orderBy(F.xxhash64("html")).limit(sample).collect()
+    hashed = F.xxhash64("html")
+    # Hashes alone are sorted, so that tasks send no pages but the chosen ones.
+    cut = labelled.select(hashed.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    if cut is None:
+        return weigh(Counter())
+    rows = labelled.filter(hashed <= cut).limit(sample).collect()
     return weigh(count(r[0] for r in rows))
 
 

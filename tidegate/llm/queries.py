@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_text, pii, url_filter
+from . import bpe, chat, html_text, labels, pii, toxicity, url_filter
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,22 @@ SELECT conv_id, perspective, part, count(*) AS n_messages, count(*) FILTER (own)
         FILTER (own), '') AS spans
 FROM placed GROUP BY conv_id, perspective, part
 """
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Trained on labelled documents outside the held-out fold."""
+    learnable = labels.fold_of(F.col("doc_id"), 5) != 0
+    docs, marks = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.train(*labels.sample(docs, marks, "toxic", toxicity.SAMPLE_ROWS, learnable))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (labels.fold_of(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
