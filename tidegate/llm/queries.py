@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_text, labels, pii, toxicity, url_filter
+from . import bpe, chat, html_text, labels, pii, quality, toxicity, url_filter
 from .frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,22 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """Trained on labelled documents outside the held-out fold."""
+    learnable = labels.fold_of(F.col("doc_id"), 3) != 1
+    docs, marks = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.train(*labels.sample(docs, marks, "quality", quality.SAMPLE_ROWS, learnable))
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (labels.fold_of(F.col("doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
