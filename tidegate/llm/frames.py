@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -35,7 +36,7 @@ def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterat
     if not batch.num_rows:
         return
     sizes = np.nan_to_num(
-        pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.float64)
+        pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.float64)
     ).astype(np.int64)
     ends = np.cumsum(sizes)
     at = 0
@@ -72,7 +73,7 @@ def add_columns(
         fn = prepare() if prepare else compute
         for whole in batches:
             for b in steps(whole, ADDED):
-                texts = pa.compute.fill_null(b.column(ADDED), "")
+                texts = pc.fill_null(b.column(ADDED), "")
                 made = [
                     v if isinstance(v, pa.Array) else pa.array(v, arrow.field(b.num_columns - 1 + i).type)
                     for i, v in enumerate(fn(texts))

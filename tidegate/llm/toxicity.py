@@ -14,16 +14,15 @@ as its network begins. Input columns named like an output column are replaced, a
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .bpe import LETTER, classes
-from .frames import add_columns, code_points
+from .frames import add_columns
 from .labels import Adam, sigmoid
+from .words import words_of
 
 #: Words in a window, and from one window's begin to the next.
 WINDOW, STRIDE = 32, 16
@@ -49,58 +48,11 @@ INPUT = KINDS + WORD_SIZE + CHAR_SIZE
 CHUNK = 4096
 
 
-@cache
-def lower_codes() -> np.ndarray:
-    """Lower-case code point of every code point."""
-    out = np.arange(0x110000, dtype=np.uint32)
-    for c in range(0x110000):
-        low = chr(c).lower()
-        if len(low) == 1:
-            out[c] = ord(low)
-    return out
-
-
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
-
-
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every word of all texts, ``KINDS`` rows, and where each text's words begin (one more entry for the end)."""
-    codes, bounds, _, _ = code_points(texts)
-    letter = classes()[codes] == LETTER
-    first = letter.copy()
-    first[1:] &= ~letter[:-1]
-    at_text = bounds[:-1][bounds[:-1] < len(codes)]
-    first[at_text] = letter[at_text]
-    last = letter.copy()
-    last[:-1] &= ~letter[1:] | first[1:]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    out = np.zeros((KINDS, len(starts)), np.uint64)
-    if len(starts):
-        low = lower_codes()[codes].astype(np.uint64)
-        size = ends - starts
-        h = np.zeros(len(starts), np.uint64)
-        for i in range(max(PREFIXES)):
-            more = size > i
-            h[more] = _mixed(h[more] * _MIX + low[starts[more] + i] + np.uint64(1))
-            if i + 1 in PREFIXES:
-                k = PREFIXES.index(i + 1) + 1
-                out[k] = h + np.uint64(k)
-        # The whole word: a sum over its characters that depends on their places.
-        begin = np.concatenate(([0], starts))
-        place = np.arange(len(codes)) - np.repeat(begin, np.diff(np.append(begin, len(codes))))
-        each = np.where(letter, _mixed((low + np.uint64(1)) * _MIX + place.astype(np.uint64)), np.uint64(0))
-        out[0] = _mixed(np.add.reduceat(each, starts))
-        tail = np.zeros(len(starts), np.uint64)
-        for i in range(4, 0, -1):
-            more = size >= i
-            tail[more] = _mixed(tail[more] * _MIX + low[ends[more] - i] + np.uint64(7))
-        out[4] = tail + np.uint64(4)
-    return out, np.searchsorted(starts, bounds)
+    words = words_of(texts)
+    kinds = [words.whole(), *words.edges(PREFIXES), *words.edges((4,), from_end=True)]
+    return np.stack([h + np.uint64(k) for k, h in enumerate(kinds)]), words.rows
 
 
 def windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -214,7 +215,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], gather: int = GATHER) -> Ite
             continue
         t = pa.Table.from_batches(held).combine_chunks()
         last = t["group"][-1].as_py()
-        keep = pa.compute.sum(pa.compute.equal(t["group"], last).cast(pa.int64())).as_py()
+        keep = pc.sum(pc.equal(t["group"], last).cast(pa.int64())).as_py()
         if keep < t.num_rows:
             yield t.slice(0, t.num_rows - keep)
             held, n = t.slice(t.num_rows - keep).combine_chunks().to_batches(), keep
