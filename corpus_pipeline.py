@@ -1,11 +1,51 @@
-"""Cleans the documents table in stages; each stage's result is written as Parquet and read again by the next."""
+"""Cleans the documents table in stages; each stage's result is written as Parquet and read again by the next.
+
+Every stage returns the columns of documents, in their order and with their names, whatever other columns there are; the
+last returns ids and digests. Rows are told apart by doc_id. A row without one is judged by its own text: it never names a
+group of near duplicates, and of several such rows with one text one stays. Of rows that repeat an id and its text one
+stays. Null texts count as empty and stay null; empty tables pass through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from tidegate.llm import decontam, pii, queries, simhash
+from tidegate.llm import toxicity as toxic
+from tidegate.llm.frames import fresh, saved, table
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity stays below one half."""
+    score = fresh("score")
+    scored = toxic.score(docs, queries.toxicity_model(spark, sf_dir), into=score)
+    return scored.filter(F.col(score) < 0.5).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one of the smallest id, of each group of near duplicates."""
+    groups = simhash.near_duplicates(docs)
+    dropped = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct()
+    kept = docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    nth, key = fresh("nth"), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    repeats = W.partitionBy("doc_id", key).orderBy("doc_id")
+    return kept.withColumn(nth, F.row_number().over(repeats)).filter(F.col(nth) == 1).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    found = decontam.matches(docs, table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct()
+    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["found_id"]) & (key == found["found_key"]), "left_anti")
+
 
-from tidegate.llm import queries
-from tidegate.llm.frames import saved, table
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each span of personal data replaced by its kind."""
+    masked = pii.redact(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +53,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.bpe_digests(docs.select("doc_id", "lang", "source", "n_chars", "text"), "lang", "source", "n_chars")
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("tokens", tokens),
+]
 
 #: SQL cannot express the stages; tests compare them with plain versions.
 ORACLE_SQL = None

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import add_columns
+from .frames import add_columns, fresh
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn")
@@ -149,8 +149,9 @@ def mask(t: str) -> str:
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with every span in the text replaced by its kind; null texts stay null."""
+    into = fresh("masked")
     made = add_columns(
-        df, text, [T.StructField("_masked", T.StringType())], lambda texts: [[mask(t) for t in texts.to_pylist()]]
+        df, text, [T.StructField(into, T.StringType())], lambda texts: [[mask(t) for t in texts.to_pylist()]]
     )
-    out = [F.when(F.col(c).isNotNull(), F.col("_masked")).alias(c) if c == text else F.col(c) for c in df.columns]
+    out = [F.when(F.col(c).isNotNull(), F.col(into)).alias(c) if c == text else F.col(c) for c in df.columns]
     return made.select(*out)

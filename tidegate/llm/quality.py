@@ -200,9 +200,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11) -> Model:
     return model
 
 
-SCORE = T.StructField("score", T.DoubleType())
-
-
-def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``df`` with ``score``, from 0 to 1, higher for texts likelier to be good."""
-    return add_columns(df, text, [SCORE], lambda texts: [pa.array(model.score(texts), pa.float64())])
+def score(df: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
+    """``df`` with a score from 0 to 1, higher for texts likelier to be good."""
+    field = T.StructField(into, T.DoubleType())
+    return add_columns(df, text, [field], lambda texts: [pa.array(model.score(texts), pa.float64())])
