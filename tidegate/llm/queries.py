@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, html_text, labels, pii, quality, simhash, toxicity, url_filter
+from . import bpe, chat, decontam, embed_dedup, html_text, labels, pii, quality, simhash, toxicity, url_filter
 from .frames import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.matches(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "score", "first_word", "past_word")
+
+
+@query
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.links(table(spark, sf_dir, "embeddings"))
