@@ -65,10 +65,14 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|di
 PARTS = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
 
+#: Elements that show nothing and stand anywhere; their tags have one key, and no weight is learned for it.
+SILENT = ("script", "style", "noscript", "template")
+UNSEEN = "unseen"
+
 #: Pages read to fit the weights: those with the smallest hash of their markup. Weights hold a few dozen entries.
 SAMPLE_PAGES = 1000
 #: What words score that no labelled page has shown.
-PRIOR = {"word": 1.0, "link word": 0.3, "boilerplate word": -1.0, "skipped word": -0.1}
+PRIOR = {"word": 1.0, "link word": 0.3, "boilerplate word": -1.0, "skipped word": -0.1, UNSEEN: -0.02}
 
 
 def _boilerplate(name: str, attrs: str, in_content: bool) -> bool:
@@ -116,7 +120,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, int]]:
         attrs = m["attrs"] or m["attrs2"] or ""
         block = name in BLOCKS
         if m["close"] or m["close2"]:
-            key = "/" + name + (" boilerplate" if out_depth and not marked else "")
+            key = UNSEEN if name in SILENT else "/" + name + (" boilerplate" if out_depth and not marked else "")
             if any(n == name for n, _ in stack):
                 while stack:
                     n, left_out = stack.pop()
@@ -128,7 +132,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, int]]:
             yield key, "", block, marked
             continue
         left_out = _boilerplate(name, attrs, marked > 0)
-        yield name + (" boilerplate" if (left_out or out_depth) and not marked else ""), "", block, marked
+        far = (left_out or out_depth) and not marked
+        yield UNSEEN if name in SILENT else name + (" boilerplate" if far else ""), "", block, marked
         if name in RAW:
             # Its text ends at its own closing tag only.
             if lower is None:
@@ -172,15 +177,16 @@ def weigh(found: Counter) -> dict[str, float]:
             out[key] = min(1.0, max(0.5, odds))
         elif key == "link word":
             out[key] = min(1.0, max(-1.0, odds / 4))
-        elif not key.endswith("word"):
+        elif key not in PRIOR:
             out[key] = -min(8.0, max(0.02, -odds))
     return out
 
 
 def default_weight(key: str) -> float:
-    """Of a tag that no labelled page has shown: small for the blocks text is made of, large for boilerplate."""
-    name = key.lstrip("/").split(" ")[0]
-    if name in MARKERS:
+    """Of words without weights, or a tag that no labelled page has shown: small for the blocks text is made of, large for boilerplate."""
+    if key in PRIOR:
+        return PRIOR[key]
+    if key.lstrip("/").split(" ")[0] in MARKERS:
         return -8.0
     return -4.0 if key.endswith("boilerplate") else -0.05
 
@@ -201,9 +207,7 @@ def extract_text(page: str, weights: dict[str, float]) -> str:
     items = list(tokens(page))
     scores = []
     for key, text, _, _ in items:
-        w = weights.get(key)
-        if w is None:
-            w = default_weight(key)
+        w = weights[key] if key in weights else default_weight(key)
         scores.append(w * len(text.split()) if key.endswith("word") else w)
     a, b = best_region(scores)
     blocks: list[str] = []
