@@ -5,7 +5,7 @@ bits. ``near_duplicates`` finds documents whose shingle sets are similar: at a s
 unrelated texts and of copies lie too close for a budget that a trie could prune well (some 10 of 64 bits differ), so it runs
 the trie join within groups of documents that share the smallest shingles under a pair of random orders (one of
 ``BANDS`` pairs), with a wide budget, and compares the pairs that pass by the smallest ``SKETCH`` hashes of their sets. That
-is exact for sets up to that size and has a standard error of 0.025 beyond.
+is exact for sets up to that size and has a standard error of 0.018 beyond.
 
 Texts are lower-cased in A-Z; words are runs of anything but the six ASCII white-space characters. A text with fewer words
 than a shingle is one shingle; a wordless text has fingerprint zero.
@@ -35,7 +35,7 @@ BUDGET = 2
 WORDS, SIMILARITY = 5, 0.8
 #: Pairs of smallest hashes: copies of similarity 0.8 miss all with a chance of 0.36 ** BANDS.
 BANDS = 10
-SKETCH = 256
+SKETCH = 512
 #: Budget of the trie within a band's groups, twice what copies of similarity 0.8 differ in.
 WIDE_BUDGET = 26
 
@@ -120,14 +120,19 @@ def _describe(text: str, words: int) -> tuple[int, int, int, list[int], bytes]:
         least = np.minimum(least, (mixed * factor).min(0))
     pairs = least.reshape(BANDS, 2)
     bands = ((pairs[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ pairs[:, 1]).view(np.int64).tolist() if len(h) else []
-    return sign(whole >> 64), sign(whole & ((1 << 64) - 1)), simhash(h), bands, (h[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes()
+    return sign(whole >> 64), sign(whole & ((1 << 64) - 1)), simhash(h), bands, smallest(h).tobytes()
+
+
+def smallest(h: np.ndarray) -> np.ndarray:
+    """Upper halves of the smallest hashes of a sorted set; the largest value stands for none."""
+    return np.minimum(h[:SKETCH] >> np.uint64(32), np.uint64(0xFFFFFFFE)).astype("<u4")
 
 
 def similar_pairs(t: pa.Table) -> trie.Check:
     """Tells of pairs of rows whether the sets behind their ``sketch`` have the similarity."""
     packed = t["sketch"].to_pylist()
-    none = np.uint64(1 << 40)
-    sets = np.full((len(packed), SKETCH), none, np.uint64)
+    none = np.uint32(0xFFFFFFFF)
+    sets = np.full((len(packed), max(len(p) for p in packed) // 4), none, np.uint32)
     for row, p in enumerate(packed):
         sets[row, : len(p) // 4] = np.frombuffer(p, "<u4")
 

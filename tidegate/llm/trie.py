@@ -26,8 +26,8 @@ from .frames import saved
 LEAF = 4096
 #: Levels of the trie that a pass on tables descends.
 STEP = 6
-#: Rows that a task gathers before it traverses their groups together.
-GATHER = 100_000
+#: Rows that a task gathers before it traverses their groups together, without and with a payload.
+GATHER, GATHER_PAYLOAD = 100_000, 12_000
 #: Pairs of words that are compared one by one instead of descending further, for a pair of nodes.
 FEW = 24
 
@@ -186,17 +186,18 @@ def self_join(
         open_ = _node_pairs(large, budget)
     parts = ready[0]
     for more in ready[1:]:
-        parts = parts.union(more)
+        parts = parts.unionByName(more)
     extra = []
     if payload is not None:
         extra = [c for c in payload.columns if c != "node"]
         parts = parts.join(payload, "node")
+    payload_columns = bool(extra)
     parts = parts.select("group", "side", "node", "word", *extra)
     dealt = parts.repartition("group").sortWithinPartitions("group")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches):
+        for t in whole_groups(batches, GATHER_PAYLOAD if payload_columns else GATHER):
             yield pa.RecordBatch.from_arrays(list(map(pa.array, _links(t, budget, check))), names=["a", "b"])
 
     return dealt.mapInArrow(run, schema)
