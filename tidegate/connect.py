@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .functions.typemap import struct_of
 from .operators.changes import SNAPSHOT, flatten_events, split_key_changes
 from .operators.selection import TableColumns, TableSelector
-from .sinks.lake import LakeTable
+from .sinks.lake import LakeTable, append_partition
 from .sources.cdc import decode_changes
 from .sources.config import DatabaseSource
 from .streaming.pipeline import append_and_reject, run_stream
@@ -83,19 +84,37 @@ class Ingest:
     def read(self, table: CapturedTable) -> DataFrame:
         return self.target(table).read().drop("_order")
 
-    def selected(self, feed: DataFrame) -> DataFrame:
-        """Messages of the selected tables with their table's name."""
-        where = F.from_json(
-            F.col("value").cast("string"), "source struct<db: string, schema: string, table: string, collection: string>"
-        )["source"]
+    def named(self, feed: DataFrame) -> DataFrame:
+        """Messages with the schema and table their envelope names; null where it cannot be read."""
+        place = "source struct<db: string, schema: string, table: string, collection: string>"
+        where = F.from_json(F.col("value").cast("string"), f"{place}, payload struct<{place.replace(' ', ': ', 1)}>")
         # exploded so that the conditions of the selection share one parse
-        named = feed.select("*", F.explode(F.array(where)).alias("_where")).select(
+        exploded = feed.select("*", F.explode(F.array(F.coalesce(where["source"], where["payload"]["source"]))).alias("_where"))
+        return exploded.select(
             *feed.columns,
             F.coalesce("_where.schema", "_where.db").alias("_schema"),
             F.coalesce("_where.table", "_where.collection").alias("_table"),
         )
+
+    def selected(self, feed: DataFrame) -> DataFrame:
+        """Messages of the selected tables with their table's name."""
+        return self._select(self.named(feed))
+
+    def _select(self, named: DataFrame) -> DataFrame:
         return self.selector.select(named, "_schema", "_table", known=[(t.schema, t.table) for t in self.tables])
 
+    def _undelivered(self, named: DataFrame) -> DataFrame:
+        """``raw, error`` of messages that name no table, and of selected ones of a table that isn't declared."""
+        raw = F.col("value").cast("string").alias("raw")
+        unread = named.filter("value IS NOT NULL AND _table IS NULL").select(raw, F.lit("no table named").alias("error"))
+        declared = reduce(
+            lambda a, b: a | b,
+            [F.col("_schema").eqNullSafe(t.schema) & F.col("_table").eqNullSafe(t.table) for t in self.tables],
+            F.lit(False),
+        )
+        others = self._select(named.filter("_table IS NOT NULL")).filter(~declared)
+        return unread.union(others.select(raw, F.lit("table not declared").alias("error")))
+
     def _to_changes(self, decoded: DataFrame, table: CapturedTable) -> DataFrame:
         events = decoded.drop("_raw", "_error")
         with_snapshot = self.source.snapshot if self.snapshot is None else self.snapshot
@@ -104,24 +123,35 @@ class Ingest:
         return flatten_events(split_key_changes(events, list(table.primary_key)))
 
     def deliver(self, batch: DataFrame, batch_id: int) -> None:
-        """Apply one batch; the same batch again changes nothing."""
-        messages = self.selected(batch).persist()
+        """Apply one batch; the same batch again changes nothing.
+
+        What no table takes is kept below ``_rejects``: per table what cannot be decoded or keyed, under ``_unplaced`` what
+        names no table or one that isn't declared.
+        """
+        named = self.named(batch).persist()
+        messages = self._select(named)
 
         def one(table: CapturedTable) -> None:
             mine = messages.filter((F.col("_schema") == table.schema) & (F.col("_table") == table.table))
+            target = self.target(table)
             append_and_reject(
                 decode_changes(mine, self.source, table.types),
-                self.target(table).append_batch,
+                target.append_batch,
                 batch_id,
                 lambda good: self._to_changes(good, table),
                 f"{self.warehouse}/_rejects/{table.target}",
+                target.pk,
+                target.order_by,
             )
 
         try:
             with ThreadPoolExecutor(self.writers) as pool:
                 list(pool.map(one, self.tables))
+            unplaced = self._undelivered(named)
+            if not unplaced.isEmpty():
+                append_partition(unplaced, f"{self.warehouse}/_rejects/_unplaced", batch_id)
         finally:
-            messages.unpersist()
+            named.unpersist()
 
     def run(self, feed: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Continuously; by default until the end of what is there."""

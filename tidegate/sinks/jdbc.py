@@ -33,18 +33,26 @@ def upsert_rows(changes: DataFrame, pk: Sequence[str], order_by: Sequence[str],
     return last.withColumn(op, F.when(F.col(op).isin(*UPSERT_OPS), F.lit("u")).otherwise(F.col(op)))
 
 
-def merge_statements(target: str, staging: str, columns: Sequence[str], pk: Sequence[str], op: str = "op") -> list[str]:
-    """Statements that move staged rows into the target and remove deleted keys."""
+def merge_statements(
+    target: str, staging: str, columns: Sequence[str], pk: Sequence[str], op: str = "op", order_by: Sequence[str] = ()
+) -> list[str]:
+    """Statements that move staged rows into the target and remove deleted keys.
+
+    With ``order_by`` columns, kept in the target, an earlier change never replaces or removes a later row.
+    """
     t, s = _quoted_path(target), _quoted_path(staging)
     names = ", ".join(quoted(c) for c in columns)
     keys = ", ".join(quoted(c) for c in pk)
     values = [c for c in columns if c not in pk]
     action = "DO UPDATE SET " + ", ".join(f"{quoted(c)} = EXCLUDED.{quoted(c)}" for c in values) if values else "DO NOTHING"
+    row = lambda name: "(" + ", ".join(f"{name}.{quoted(c)}" for c in order_by) + ")"
+    newer = f" WHERE {row('EXCLUDED')} >= {row('t')}" if order_by and values else ""
+    not_older = f" AND {row('s')} >= {row('t')}" if order_by else ""
     same_key = " AND ".join(f"t.{quoted(c)} = s.{quoted(c)}" for c in pk)
     return [
-        f"DELETE FROM {t} AS t USING {s} AS s WHERE {same_key} AND s.{quoted(op)} = '{DELETE}'",
-        f"INSERT INTO {t} ({names}) SELECT {names} FROM {s} WHERE {quoted(op)} <> '{DELETE}' "
-        f"ON CONFLICT ({keys}) {action}",
+        f"DELETE FROM {t} AS t USING {s} AS s WHERE {same_key} AND s.{quoted(op)} = '{DELETE}'{not_older}",
+        f"INSERT INTO {t}{' AS t' if newer else ''} ({names}) SELECT {names} FROM {s} WHERE {quoted(op)} <> '{DELETE}' "
+        f"ON CONFLICT ({keys}) {action}{newer}",
     ]
 
 
@@ -76,7 +84,8 @@ def write_jdbc(df: DataFrame, sink: JdbcSink, order_by: Sequence[str] = (), op:
     staging = f"{sink.target}_stage_{uuid.uuid4().hex}"
     staged.write.jdbc(sink.url, staging, mode="overwrite", properties=sink.options)
     columns = [c for c in staged.columns if c != op]
+    kept_order = [c for c in order_by if c in columns]
     try:
-        _execute(df.sparkSession, sink, merge_statements(sink.target, staging, columns, sink.keys, op))
+        _execute(df.sparkSession, sink, merge_statements(sink.target, staging, columns, sink.keys, op, kept_order))
     finally:
         _execute(df.sparkSession, sink, [f"DROP TABLE {_quoted_path(staging)}"])

@@ -11,6 +11,7 @@ keys and tombstones, so a change that arrives after a compaction still loses to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -24,7 +25,8 @@ class LakeTable:
     """A merge-on-read table of changes keyed by ``pk`` and ordered by ``order_by``.
 
     With a ``schema`` of the stored columns files of older batches are read under it: a column they lack is null and a
-    narrower type is widened. Without one Spark takes the schema of a file, or merges all of them for ``evolving`` reads.
+    narrower type is widened. Without one the schemas of all files are merged; a read that is not ``evolving`` takes that of
+    one file, for tables whose columns never change.
     """
 
     def __init__(
@@ -58,7 +60,7 @@ class LakeTable:
 
     # -- reading
 
-    def _stored(self, evolving: bool) -> DataFrame:
+    def _stored(self, evolving: bool = True) -> DataFrame:
         if self.schema is None:
             return self.spark.read.option("mergeSchema", str(evolving).lower()).parquet(self.path)
         partitions = [T.StructField("tier", T.StringType()), T.StructField("batch", T.LongType())]
@@ -70,11 +72,11 @@ class LakeTable:
         live = "tier = 'delta'" if base is None else f"(tier = 'base' AND batch = {base}) OR (tier = 'delta' AND batch > {base})"
         return self._stored(evolving).filter(live).drop("tier", "batch")
 
-    def changes(self, evolving: bool = False) -> DataFrame:
+    def changes(self, evolving: bool = True) -> DataFrame:
         """Every stored change, deletes included."""
         return self._stored(evolving).drop("tier", "batch")
 
-    def read(self, evolving: bool = False) -> DataFrame:
+    def read(self, evolving: bool = True) -> DataFrame:
         """Current rows."""
         last = collapse(self._live(evolving), self.pk, self.order_by, self.op)
         return last.filter(F.col(self.op) != DELETE).drop(self.op)
@@ -136,20 +138,34 @@ def read_partitions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch")
 
 
-def merge_sql(target: str, view: str, columns: Sequence[str], pk: Sequence[str], op: str = "op") -> str:
-    """``MERGE INTO`` for catalogs with row-level operations."""
+def merge_sql(
+    target: str, view: str, columns: Sequence[str], pk: Sequence[str], op: str = "op", order_by: Sequence[str] = ()
+) -> str:
+    """``MERGE INTO`` for catalogs with row-level operations.
+
+    With ``order_by`` columns, kept in the target, only a later change touches a row, whatever order batches come in.
+    """
     on = " AND ".join(f"t.`{c}` = s.`{c}`" for c in pk)
     sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns if c not in pk)
     names = ", ".join(f"`{c}`" for c in columns)
     values = ", ".join(f"s.`{c}`" for c in columns)
-    update = f"WHEN MATCHED THEN UPDATE SET {sets} " if sets else ""
+    later = f" AND ({_later('s', 't', order_by)})" if order_by else ""
+    update = f"WHEN MATCHED{later} THEN UPDATE SET {sets} " if sets else ""
     return (
         f"MERGE INTO {target} t USING {view} s ON {on} "
-        f"WHEN MATCHED AND s.`{op}` = '{DELETE}' THEN DELETE {update}"
+        f"WHEN MATCHED AND s.`{op}` = '{DELETE}'{later} THEN DELETE {update}"
         f"WHEN NOT MATCHED AND s.`{op}` <> '{DELETE}' THEN INSERT ({names}) VALUES ({values})"
     )
 
 
+def _later(a: str, b: str, order_by: Sequence[str]) -> str:
+    """Whether ``a`` comes after ``b`` in the order of the columns; a row without an order comes first."""
+    first, *rest = order_by
+    x, y = f"{a}.`{first}`", f"{b}.`{first}`"
+    tie = f" OR ({x} = {y} AND ({_later(a, b, rest)}))" if rest else f" OR {x} = {y}"
+    return f"{y} IS NULL OR {x} > {y}{tie}"
+
+
 def append_table(df: DataFrame, sink: LakeSink, op: str = "op") -> None:
     """Append rows to a catalog table (made when missing), or to Parquet below the warehouse without a catalog."""
     rows = to_append_only(df, op) if op in df.columns else df
@@ -170,8 +186,8 @@ def upsert_table(changes: DataFrame, sink: LakeSink, order_by: Sequence[str], ba
         LakeTable(spark, sink.path, sink.keys, order_by, op).append_batch(changes, batch_id)
         return
     last = collapse(changes, sink.keys, list(order_by), op)
-    view = f"upsert_{sink.table}_{batch_id}"
+    view = f"upsert_{sink.table}_{uuid.uuid4().hex}"
     last.createOrReplaceTempView(view)
     columns = [c for c in last.columns if c != op]
-    spark.sql(merge_sql(sink.identifier, view, columns, sink.keys, op))
+    spark.sql(merge_sql(sink.identifier, view, columns, sink.keys, op, [c for c in order_by if c in columns]))
     spark.catalog.dropTempView(view)

@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..operators.changes import DELETE
+from ..operators.changes import DELETE, collapse
 from ..operators.skew import bring_together
 from .config import SearchSink
 from .encode import wire_value
@@ -65,52 +66,69 @@ def route(docs: DataFrame) -> DataFrame:
 def number_batches(docs: DataFrame, unique_id: str, max_docs: int, rows_per_lane: int = 100_000) -> DataFrame:
     """Fixed request numbers by the count rule: ``lane, batch`` with at most ``max_docs`` documents each.
 
-    Lanes are residues of the unique integer id. Their number follows the row count, so a lane stays near
-    ``rows_per_lane`` rows whatever the table's size, and no other column can make one of them hot.
+    Lanes are residues of the unique id's hash, so ids in any stride spread over them. Their number follows the row count,
+    so a lane stays near ``rows_per_lane`` rows whatever the table's size, and no other column can make one of them hot.
     """
     lanes = max(1, math.ceil(docs.count() / rows_per_lane))
-    lane = F.pmod(F.col(unique_id), F.lit(lanes)).cast("int")
+    lane = F.pmod(F.xxhash64(unique_id), F.lit(lanes)).cast("int")
     order = Window.partitionBy("lane").orderBy(unique_id)
     number = F.floor((F.row_number().over(order) - 1) / max_docs).cast("int")
     return docs.withColumn("lane", lane).withColumn("batch", number)
 
 
+#: Size limit of a request body whose sink names none.
+DEFAULT_MAX_KB = 5 * 1024
+
+
+def cut_points(lengths: np.ndarray, most_docs: float, most_bytes: float) -> list[int]:
+    """Where requests of consecutive documents begin within both limits; a document above the size limit goes alone."""
+    ends = np.cumsum(lengths)
+    cuts, at = [], 0
+    while at < len(lengths):
+        cuts.append(at)
+        base = ends[at - 1] if at else 0
+        fits = int(np.searchsorted(ends, base + most_bytes, side="right")) if most_bytes < float("inf") else len(lengths)
+        at = max(at + 1, min(fits, at + most_docs if most_docs < float("inf") else fits))
+    return cuts
+
+
 def pack_requests(docs: DataFrame, max_docs: int | None = None, max_kb: int | None = None) -> DataFrame:
     """Request bodies within the count and size limits: ``docs, bytes, body``.
 
     Each task packs the documents it holds, in the order they come, so packing needs no shuffle; it keeps one open
-    request in memory. A document above the size limit goes alone.
+    request in memory. A document above the size limit goes alone. Without a size limit ``DEFAULT_MAX_KB`` holds.
     """
-    most_docs, most_bytes = max_docs or float("inf"), max_kb * 1024 if max_kb else float("inf")
+    most_docs, most_bytes = max_docs or float("inf"), (max_kb or DEFAULT_MAX_KB) * 1024
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines: list[str] = []
-        size = 0
-
-        def request() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict(
-                {
-                    "docs": pa.array([len(lines)], pa.int32()),
-                    "bytes": pa.array([size], pa.int64()),
-                    "body": pa.array(["".join(lines)], pa.string()),
-                }
-            )
-
+        held = pa.table({"line": pa.array([], pa.string()), "length": pa.array([], pa.int32())})
         for batch in batches:
-            for line, length in zip(batch.column("line").to_pylist(), batch.column("length").to_pylist()):
-                if lines and (len(lines) >= most_docs or size + length > most_bytes):
-                    yield request()
-                    lines, size = [], 0
-                lines.append(line)
-                size += length
-        if lines:
-            yield request()
+            rows = pa.concat_tables([held, pa.Table.from_batches([batch]).cast(held.schema)]).combine_chunks()
+            cuts = cut_points(rows["length"].to_numpy().astype(np.int64), most_docs, most_bytes)
+            if len(cuts) > 1:
+                yield _bodies(rows, cuts)
+            held = rows.slice(cuts[-1]) if cuts else rows
+        if held.num_rows:
+            yield _bodies(held, [0, held.num_rows])
 
     text = F.concat(F.col("value"), F.lit("\n"))
     lines = ndjson(docs).select(text.alias("line"), F.octet_length(text).alias("length"))
     return lines.mapInArrow(pack, "docs int, bytes long, body string")
 
 
+def _bodies(rows: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+    """Requests between neighbouring cuts."""
+    lines, sizes = rows["line"].to_pylist(), np.concatenate(([0], np.cumsum(rows["length"].to_numpy().astype(np.int64))))
+    spans = list(zip(cuts, cuts[1:]))
+    return pa.RecordBatch.from_pydict(
+        {
+            "docs": pa.array([b - a for a, b in spans], pa.int32()),
+            "bytes": pa.array([int(sizes[b] - sizes[a]) for a, b in spans], pa.int64()),
+            "body": pa.array(["".join(lines[a:b]) for a, b in spans], pa.string()),
+        }
+    )
+
+
 def send_requests(requests: DataFrame, send: Callable[[str], None], concurrency: int = 1) -> None:
     """Call ``send(body)`` for every request, ``concurrency`` at a time in each task.
 
@@ -130,9 +148,29 @@ def send_requests(requests: DataFrame, send: Callable[[str], None], concurrency:
     requests.select("body").foreachPartition(deliver)
 
 
-def deliver(df: DataFrame, sink: SearchSink, send: Callable[[str], None], op: str = "op") -> None:
-    """Rows or changes to the index: documents, routing, packing, sending."""
-    docs = bulk_docs(df, sink, op)
+def deliver(
+    df: DataFrame,
+    sink: SearchSink,
+    send: Callable[[str], None],
+    op: str = "op",
+    order_by: Sequence[str] = (),
+    reject_path: str | None = None,
+) -> None:
+    """Rows or changes to the index: documents, routing, packing, sending.
+
+    With ``order_by`` only the last change of every id is sent, so that no two requests race for one document. Rows with a
+    null in the id are appended to ``reject_path``; without one they fail the delivery, before anything is sent.
+    """
+    keyed, keyless = split_unkeyed_docs(df, sink.keys)
+    if not keyless.isEmpty():
+        if reject_path is None:
+            raise ValueError("rows without a document id and no reject_path to keep them")
+        keyless.select(F.to_json(F.struct("*")).alias("raw"), F.lit("null document id").alias("error")).write.mode(
+            "append"
+        ).parquet(reject_path)
+    if order_by and sink.keys:
+        keyed = collapse(keyed, list(sink.keys), list(order_by), op)
+    docs = bulk_docs(keyed, sink, op)
     if sink.routing_column:
         docs = route(docs)
     requests = pack_requests(docs, sink.batch_num_messages, sink.batch_size_kb)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import math
 from dataclasses import dataclass
 
@@ -25,8 +26,10 @@ class SplitPlan:
 
     def split_of(self) -> Column:
         """The split a row belongs to; a null key belongs to the first."""
-        raw = F.floor((F.col(self.column) - F.lit(self.lower)) / F.lit(self.width)).cast("int")
-        return F.coalesce(raw, F.lit(0))
+        # whole numbers all the way: a double has too few digits for large keys
+        offset = F.col(self.column).cast("bigint") - F.lit(self.lower)
+        whole = offset - F.pmod(offset, F.lit(self.width))
+        return F.coalesce(F.call_function("div", whole, F.lit(self.width)).cast("int"), F.lit(0))
 
     def predicates(self) -> list[str]:
         """One SQL condition per split; together they take every row once, null keys included."""
@@ -40,31 +43,54 @@ def split_count(rows: int, rows_per_split: int) -> int:
     return max(1, math.ceil(rows / rows_per_split))
 
 
+def sql_literal(value: object) -> str:
+    """A key value as SQL text: quotes doubled, dates and times typed."""
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
 def range_predicates(column: str, edges: list) -> list[str]:
     """Conditions for the ranges between ``edges``; the first also takes nulls."""
     if not edges:
         return ["1 = 1"]
-    text = [f"'{e}'" if isinstance(e, str) else str(e) for e in edges]
+    text = [sql_literal(e) for e in edges]
     first = f"({column} < {text[0]} OR {column} IS NULL)"
     middle = [f"({column} >= {a} AND {column} < {b})" for a, b in zip(text, text[1:])]
     return [first, *middle, f"{column} >= {text[-1]}"]
 
 
-def plan_even_splits(df: DataFrame, column: str, rows_per_split: int) -> SplitPlan:
-    """Equal key ranges from one aggregate over the table."""
+def key_bounds(df: DataFrame, column: str) -> tuple[object, object, int]:
+    """Least and greatest key, and the number of rows, from one aggregate."""
     lower, upper, rows = df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
+    return lower, upper, rows
+
+
+def plan_even_splits(df: DataFrame, column: str, rows_per_split: int) -> SplitPlan:
+    """Equal ranges of an integer key from one aggregate over the table."""
+    lower, upper, rows = key_bounds(df, column)
     if lower is None:
         return SplitPlan(column, 0, 0, 1)
+    if isinstance(lower, (datetime.date, str)):
+        raise TypeError(f"{column} is not a whole number; split it at uneven_edges")
     return SplitPlan(column, int(lower), int(upper), split_count(rows, rows_per_split))
 
 
-def uneven_edges(df: DataFrame, column: str, rows_per_split: int, accuracy: int = 10_000) -> list:
-    """Range edges holding about ``rows_per_split`` rows each, for keys that are not spread evenly."""
+def uneven_edges(df: DataFrame, column: str, rows_per_split: int, accuracy: int | None = None) -> list:
+    """Range edges holding about ``rows_per_split`` rows each, for keys that are not spread evenly; dates and times too.
+
+    The accuracy of the quantiles follows the number of splits, so that neighbouring edges stay apart. A key value with
+    more rows than a split makes one larger split, for equal keys cannot be told apart by ranges.
+    """
     n = split_count(df.count(), rows_per_split)
     if n == 1:
         return []
     shares = [i / n for i in range(1, n)]
-    edges = df.agg(F.percentile_approx(column, shares, accuracy)).first()[0] or []
+    edges = df.agg(F.percentile_approx(column, shares, accuracy or max(10_000, 10 * n))).first()[0] or []
     return sorted(set(edges))
 
 
@@ -77,27 +103,33 @@ def read_jdbc_snapshot(
     even: bool = True,
     fetch_size: int = 1000,
     parallelism: int | None = None,
+    edges: list | None = None,
     **options: str,
 ) -> DataFrame:
     """A database table in one task per split, or in ``parallelism`` tasks that read their splits one after another.
 
-    Bounds are computed inside the database by a pushed-down aggregate.
+    Even bounds are computed inside the database by a pushed-down aggregate, for whole numbers, dates and times. For
+    uneven ranges the caller may give ``edges``, from a query of the database's own; without them the key column is read in
+    one task to find quantiles.
     """
     properties = {"fetchsize": str(fetch_size), **options}
     whole = spark.read.format("jdbc").options(url=url, dbtable=table, pushDownAggregate="true", **properties).load()
     if even:
-        plan = plan_even_splits(whole, column, rows_per_split)
-        rows = spark.read.jdbc(
-            url,
-            table,
-            column=column,
-            lowerBound=plan.lower,
-            upperBound=plan.upper + 1,
-            numPartitions=plan.splits,
-            properties=properties,
-        )
+        lower, upper, n = key_bounds(whole, column)
+        if lower is None:
+            rows = spark.read.jdbc(url, table, properties=properties)
+        else:
+            rows = spark.read.jdbc(
+                url,
+                table,
+                column=column,
+                lowerBound=str(lower),
+                upperBound=str(upper + 1 if isinstance(upper, int) else upper),
+                numPartitions=split_count(n, rows_per_split),
+                properties=properties,
+            )
     else:
-        edges = uneven_edges(whole, column, rows_per_split)
+        edges = uneven_edges(whole, column, rows_per_split) if edges is None else edges
         rows = spark.read.jdbc(url, table, predicates=range_predicates(column, edges), properties=properties)
     return rows.coalesce(parallelism) if parallelism else rows
 

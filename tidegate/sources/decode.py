@@ -7,6 +7,7 @@ Every decoder keeps the rows it cannot decode: ``_error`` names the reason and i
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -28,45 +29,108 @@ def rejected(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col(ERROR).isNotNull())
 
 
-def _wire_schema(columns: Mapping[str, str], text: bool = False) -> T.StructType:
-    """Schema of a row inside a message: times travel as BIGINT micros, binary and JSON columns as text."""
+# Wire units of numeric times, in units per second.
+TIME_UNITS = {"millis": 1_000, "micros": 1_000_000, "nanos": 1_000_000_000}
+_TIMES = ("TIMESTAMP", "TIMESTAMPTZ", "DATE")
+_TEXTS = ("VARCHAR", "CHAR", "CHARACTER", "CHARACTER VARYING")
+
+
+def _checked(target: str) -> bool:
+    """Whether a column travels as text and is checked here; the JSON parser itself checks the others."""
+    base, numbers = split_target(target)
+    return base in (*_TIMES, "BYTEA", "BIT", "JSONB") or (base in _TEXTS and bool(numbers))
+
 
-    def wire(target: str) -> T.DataType:
-        base = split_target(target)[0]
-        if text or base in ("BYTEA", "BIT", "JSONB"):
-            return T.StringType()
-        return T.LongType() if base in ("TIMESTAMP", "TIMESTAMPTZ") else spark_type(target)
+def _wire_schema(columns: Mapping[str, str], text: bool = False) -> T.StructType:
+    """Schema of a row inside a message: times come as numbers or ISO text, binary and JSON columns as text."""
+    return T.StructType(
+        [T.StructField(c, T.StringType() if text or _checked(t) else spark_type(t)) for c, t in columns.items()]
+    )
 
-    return T.StructType([T.StructField(c, wire(t)) for c, t in columns.items()])
 
+def _value(field: Column, target: str, zone: str, unit: str = "micros") -> Column:
+    """A field of a message as its target type; null if it is text that does not fit.
 
-def _value(field: Column, target: str, zone: str) -> Column:
+    A numeric time counts ``unit`` since 1970, a numeric date days; the unit is declared, never guessed. Text is ISO.
+    """
     base = split_target(target)[0]
-    if base == "TIMESTAMP":
-        wall = from_micros(field)
+    if base in _TIMES:
+        number = F.when(field.rlike(r"^-?[0-9]+$"), field.try_cast("bigint"))
+        if base == "DATE":
+            return F.coalesce(F.date_add(F.lit("1970-01-01").cast("date"), number.cast("int")), field.try_cast("date"))
+        per = TIME_UNITS[unit]
+        micros = number * (1_000_000 // per) if per < 1_000_000 else F.floor(number / F.lit(per // 1_000_000)) if per > 1_000_000 else number
+        if base == "TIMESTAMPTZ":
+            return F.when(number.isNotNull(), F.timestamp_micros(micros)).otherwise(field.try_cast("timestamp"))
+        wall = F.when(number.isNotNull(), from_micros(micros)).otherwise(field.try_cast("timestamp_ntz"))
         return wall if zone == "UTC" else local_to_utc(wall, zone)
-    if base == "TIMESTAMPTZ":
-        return F.timestamp_micros(field)
-    if base in ("BYTEA", "BIT"):
-        return F.try_to_binary(field, F.lit("base64"))
+    if _checked(target):
+        return cast_to_target(field, target)
     return field
 
 
-def _row(image: Column, columns: Mapping[str, str], zone: str = "UTC") -> Column:
+def _from_text(field: Column, target: str, zone: str = "UTC", unit: str = "micros") -> Column:
+    """As ``_value``, of a field that is text whatever its type."""
+    return _value(field, target, zone, unit) if _checked(target) else cast_to_target(field, target)
+
+
+def _failed(image: Column, columns: Mapping[str, str], unit: str = "micros", text: bool = False) -> Column:
+    """Names of the columns of an image whose text does not fit their type."""
+    value = _from_text if text else _value
+    return F.array_compact(
+        F.array(
+            *[
+                F.when(image[c].isNotNull() & value(image[c], t, "UTC", unit).isNull(), F.lit(c))
+                for c, t in columns.items()
+                if text or _checked(t)
+            ]
+            or [F.lit(None).cast("string")]
+        )
+    )
+
+
+def _failed_old(old: Column, columns: Mapping[str, str]) -> Column:
+    """Names of the changed columns whose earlier text does not fit their type."""
+    return F.array_compact(
+        F.array(*[F.when(old[c].isNotNull() & _from_text(old[c], t).isNull(), F.lit(c)) for c, t in columns.items()])
+    )
+
+
+def _cast_error(*failed: Column) -> Column:
+    """The reason of a row with failed columns, else null."""
+    names = F.array_distinct(F.concat(*[F.coalesce(f, F.array().cast("array<string>")) for f in failed]))
+    return F.when(F.size(names) > 0, F.concat(F.lit("cast failed: "), F.array_join(names, ",")))
+
+
+def _row(image: Column, columns: Mapping[str, str], zone: str = "UTC", unit: str = "micros") -> Column:
     return F.when(
-        image.isNotNull(), F.struct(*[_value(image[c], t, zone).alias(c) for c, t in columns.items()])
+        image.isNotNull(), F.struct(*[_value(image[c], t, zone, unit).alias(c) for c, t in columns.items()])
     )
 
 
 def _text_row(image: Column, columns: Mapping[str, str]) -> Column:
-    return F.when(
-        image.isNotNull(), F.struct(*[cast_to_target(image[c], t).alias(c) for c, t in columns.items()])
+    return F.when(image.isNotNull(), F.struct(*[_from_text(image[c], t).alias(c) for c, t in columns.items()]))
+
+
+def _overlaid(old: Column, whole: Column, columns: Mapping[str, str], text: bool = False) -> Column:
+    """The row before an update: ``old``, a map of the changed columns, over the row after it.
+
+    A column counts as changed if ``old`` has its name, so one that was null before stays null.
+    """
+    value = _from_text if text else lambda f, t: _value(f, t, "UTC")
+    return F.struct(
+        *[
+            F.when(F.map_contains_key(old, F.lit(c)), _from_text(old[c], t)).otherwise(value(whole[c], t)).alias(c)
+            for c, t in columns.items()
+        ]
     )
 
 
 def _parse(value: Column, schema: T.StructType) -> Column:
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    return F.from_json(value, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    parsed = F.from_json(value, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    # The parser stops after the first document; text with more of them is malformed.
+    return F.when(F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1, parsed)
 
 
 def _parsed(feed: DataFrame, *kept: Column | str, message: Column) -> DataFrame:
@@ -82,17 +146,20 @@ def _malformed(message: Column) -> Column:
     return message.isNull() | message[_CORRUPT].isNotNull()
 
 
-def decode_json(feed: DataFrame, columns: Mapping[str, str], metadata: Sequence[Column] = ()) -> DataFrame:
-    """PLAIN JSON: the declared columns, then ``metadata``, ``_raw`` and ``_error``."""
+def decode_json(
+    feed: DataFrame, columns: Mapping[str, str], metadata: Sequence[Column] = (), unit: str = "micros"
+) -> DataFrame:
+    """PLAIN JSON: the declared columns, then ``metadata``, ``_raw`` and ``_error``; ``unit`` is that of numeric times."""
     text = F.col("value").cast("string")
     parsed = _parsed(feed, *metadata, text.alias(RAW), message=_parse(text, _wire_schema(columns)))
     kept = _kept(parsed)
     message = F.col("_m")
+    error = F.when(_malformed(message), F.lit("malformed JSON")).otherwise(_cast_error(_failed(message, columns, unit)))
     return parsed.select(
-        *[_value(message[c], t, "UTC").alias(c) for c, t in columns.items()],
+        *[_value(message[c], t, "UTC", unit).alias(c) for c, t in columns.items()],
         *kept,
-        F.when(_malformed(message), F.col(RAW)).alias(RAW),
-        F.when(_malformed(message), F.lit("malformed JSON")).alias(ERROR),
+        F.when(error.isNotNull(), F.col(RAW)).alias(RAW),
+        error.alias(ERROR),
     )
 
 
@@ -106,6 +173,8 @@ def decode_csv(
     """CSV lines. With a header every message carries one as its first line, which is dropped."""
     text = F.col("value").cast("string")
     if not without_header:
+        # a message that is only a header carries no row
+        feed = feed.filter((F.instr(text, "\n") > 0) & (F.trim(F.substr(text, F.instr(text, "\n") + 1)) != "") | F.col("value").isNull())
         text = F.substr(text, F.instr(text, "\n") + 1)
     ddl = ", ".join(f"`{c}` string" for c in [*columns, _CORRUPT])
     options = {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
@@ -173,34 +242,43 @@ def decode_debezium(
     order_ddl: str = "lsn bigint, txId bigint",
     time_zone: str = "UTC",
     metadata: Sequence[Column] = (),
+    unit: str = "micros",
 ) -> DataFrame:
-    """``{op, before, after, source, ts_us}`` -> change events.
+    """``{op, before, after, source, ts_us or ts_ms}``, alone or as the ``payload`` beside a ``schema`` -> change events.
 
-    ``order_ddl`` names the log position inside ``source``. Messages without a value are the tombstones that follow a
+    ``unit`` is that of numeric times in rows. ``order_ddl`` names the log position inside ``source``. Messages without a value are the tombstones that follow a
     delete for topic compaction and carry no change of their own.
     """
     row = _wire_schema(columns)
     order = T.StructType.fromDDL(order_ddl)
-    source = T.StructType.fromDDL("db string, schema string, table string, collection string, ts_us bigint, txId bigint")
+    source = T.StructType.fromDDL("db string, schema string, table string, collection string, ts_us bigint, ts_ms bigint, txId bigint")
     names = set(source.fieldNames())
     source = T.StructType(source.fields + [f for f in order.fields if f.name not in names])
     schema = (
         T.StructType().add("op", "string").add("before", row).add("after", row).add("source", source).add("ts_us", "long")
     )
     text = F.col("value").cast("string")
-    parsed = _parsed(feed.filter("value IS NOT NULL"), *metadata, text.alias(RAW), message=_parse(text, schema))
+    outer = T.StructType([*schema.fields, T.StructField("payload", schema)])
+    parsed = _parsed(feed.filter("value IS NOT NULL"), *metadata, text.alias(RAW), message=_parse(text, outer))
+    part = lambda f: F.coalesce(F.col("_m")["payload"][f], F.col("_m")[f])
+    names = schema.fieldNames()
+    parsed = parsed.withColumn(
+        "_m", F.when(F.col("_m").isNotNull(), F.struct(*[part(f).alias(f) for f in names], F.col("_m")[_CORRUPT].alias(_CORRUPT)))
+    )
     m = F.col("_m")
     src = m["source"]
     return _events(
         parsed,
         op=F.when(m["op"].isin("r", "c", "u", "d"), m["op"]),
-        error=F.when(_malformed(m), F.lit("malformed JSON")),
+        error=F.when(_malformed(m), F.lit("malformed JSON")).otherwise(
+            _cast_error(_failed(m["before"], columns, unit), _failed(m["after"], columns, unit))
+        ),
         has_before=m["before"].isNotNull(),
         has_after=m["after"].isNotNull(),
-        before=_row(m["before"], columns, time_zone),
-        after=_row(m["after"], columns, time_zone),
+        before=_row(m["before"], columns, time_zone, unit),
+        after=_row(m["after"], columns, time_zone, unit),
         order_key=F.struct(*[src[f.name].alias(f.name) for f in order]),
-        commit_ts=F.timestamp_micros(src["ts_us"]),
+        commit_ts=F.timestamp_micros(F.coalesce(src["ts_us"], src["ts_ms"] * 1000)),
         db=src["db"],
         schema=src["schema"],
         table=F.coalesce(src["table"], src["collection"]),
@@ -232,7 +310,7 @@ def decode_maxwell(feed: DataFrame, columns: Mapping[str, str], metadata: Sequen
         .add("ts", "long")
         .add("xid", "long")
         .add("data", row)
-        .add("old", row)
+        .add("old", T.MapType(T.StringType(), T.StringType()))
     )
     text = F.col("value").cast("string")
     offset = F.col("offset").alias("_offset")
@@ -242,14 +320,14 @@ def decode_maxwell(feed: DataFrame, columns: Mapping[str, str], metadata: Sequen
     m = F.col("_m")
     parsed = parsed.filter(F.coalesce(~m["type"].isin(*MAXWELL_MARKERS), F.lit(True)))
     op = _op(m["type"], MAXWELL_OPS)
-    overlaid = F.struct(
-        *[_value(F.coalesce(m["old"][c], m["data"][c]), t, "UTC").alias(c) for c, t in columns.items()]
-    )
+    overlaid = _overlaid(m["old"], m["data"], columns)
     has_row = m["data"].isNotNull()
     return _events(
         parsed,
         op=op,
-        error=F.when(_malformed(m), F.lit("malformed JSON")),
+        error=F.when(_malformed(m), F.lit("malformed JSON")).otherwise(
+            _cast_error(_failed(m["data"], columns), _failed_old(m["old"], columns))
+        ),
         has_before=has_row,
         has_after=has_row,
         before=F.when(has_row & op.isin("u", "d"), overlaid),
@@ -273,7 +351,7 @@ def decode_canal(feed: DataFrame, columns: Mapping[str, str], metadata: Sequence
     schema = (
         T.StructType()
         .add("data", T.ArrayType(row))
-        .add("old", T.ArrayType(row))
+        .add("old", T.ArrayType(T.MapType(T.StringType(), T.StringType())))
         .add("database", "string")
         .add("table", "string")
         .add("type", "string")
@@ -290,14 +368,9 @@ def decode_canal(feed: DataFrame, columns: Mapping[str, str], metadata: Sequence
     m, text = F.col("_m"), F.col("_row")
     op = _op(m["type"], CANAL_OPS)
     changed = F.get(m["old"], F.col("_pos"))
-    overlaid = F.struct(
-        *[cast_to_target(F.coalesce(changed[c], text[c]), t).alias(c) for c, t in columns.items()]
-    )
-    failed = F.array_compact(
-        F.array(*[F.when(text[c].isNotNull() & cast_to_target(text[c], t).isNull(), F.lit(c)) for c, t in columns.items()])
-    )
-    error = F.when(_malformed(m), F.lit("malformed JSON")).when(
-        F.size(failed) > 0, F.concat(F.lit("cast failed: "), F.array_join(failed, ","))
+    overlaid = _overlaid(changed, text, columns, text=True)
+    error = F.when(_malformed(m), F.lit("malformed JSON")).otherwise(
+        _cast_error(_failed(text, columns, text=True), _failed_old(changed, columns))
     )
     has_row = text.isNotNull()
     return _events(
@@ -344,9 +417,12 @@ def decode_upsert(
         decoded = _value(m[c], t, "UTC")
         return F.coalesce(decoded, F.col("_k")[c]) if c in keys else decoded
 
-    error = (
+    null_key = reduce(lambda a, b: a | b, [column(c, columns[c]).isNull() for c in keys if c in columns], F.lit(False))
+    error = F.coalesce(
         F.when(F.col(UPSERT_KEY).isNull(), F.lit("no key"))
         .when(~delete & _malformed(m), F.lit("malformed JSON"))
+        .when(null_key, F.lit("unreadable key")),
+        F.when(~delete, _cast_error(_failed(m, columns))),
     )
     return parsed.select(
         F.when(delete, F.lit("d")).otherwise(F.lit("u")).alias("_op"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import mark_transactions, transaction_sizes
@@ -29,23 +30,55 @@ def run_stream(
     )
 
 
+def unkeyed(changes: DataFrame, pk: Sequence[str], order_by: Sequence[str]) -> Column:
+    """Why a change row cannot be applied: ``null key`` or ``null order key``, else null.
+
+    An order key of several fields is null if all of them are.
+    """
+
+    def missing(c: str) -> Column:
+        kind = changes.schema[c].dataType
+        if not isinstance(kind, T.StructType):
+            return F.col(c).isNull()
+        return F.col(c).isNull() | reduce(lambda a, b: a & b, [F.col(c)[f.name].isNull() for f in kind])
+
+    any_of = lambda names: reduce(lambda a, b: a | b, [missing(c) for c in names], F.lit(False))
+    return F.when(any_of(pk), "null key").when(any_of(order_by), "null order key")
+
+
 def append_and_reject(
     decoded: DataFrame,
     append: Callable[[DataFrame, int], None],
     batch_id: int,
     to_changes: Callable[[DataFrame], DataFrame],
     reject_path: str | None,
+    pk: Sequence[str] = (),
+    order_by: Sequence[str] = (),
 ) -> None:
-    """Append the good rows of a decoded batch; write ``_raw, _error`` of the others to ``reject_path``.
+    """Append the good rows of a decoded batch; write ``raw, error`` of the others to ``reject_path``.
 
-    Rejects are counted while the good rows are written, so a clean batch is decoded once.
+    With ``pk`` and ``order_by`` change rows with a null in them are rejected too, as JSON. Rejects are counted while the
+    good rows are written, so a clean batch is decoded once.
     """
-    seen = Observation()
+    seen, keyless = Observation(), Observation()
     counted = decoded.observe(seen, F.count_if(F.col("_error").isNotNull()).alias("bad"))
-    append(to_changes(counted.filter("_error IS NULL")), batch_id)
-    if reject_path and seen.get["bad"]:
-        bad = decoded.filter("_error IS NOT NULL")
-        append_partition(bad.select(F.col("_raw").alias("raw"), F.col("_error").alias("error")), reject_path, batch_id)
+    changes = to_changes(counted.filter("_error IS NULL"))
+    if pk or order_by:
+        reason = unkeyed(changes, pk, order_by)
+        changes = changes.observe(keyless, F.count_if(reason.isNotNull()).alias("bad")).filter(reason.isNull())
+    append(changes, batch_id)
+    bad = []
+    if seen.get["bad"]:
+        of_messages = decoded.filter("_error IS NOT NULL")
+        bad.append(of_messages.select(F.col("_raw").alias("raw"), F.col("_error").alias("error")))
+    if (pk or order_by) and keyless.get["bad"]:
+        rows = to_changes(decoded.filter("_error IS NULL"))
+        reason = unkeyed(rows, pk, order_by)
+        bad.append(rows.filter(reason.isNotNull()).select(F.to_json(F.struct("*")).alias("raw"), reason.alias("error")))
+    if bad and reject_path is None:
+        raise ValueError("rows were rejected and there is no reject_path to keep them")
+    if bad:
+        append_partition(reduce(DataFrame.union, bad), reject_path, batch_id)
 
 
 def stream_to_lake(
@@ -58,17 +91,24 @@ def stream_to_lake(
 ) -> StreamingQuery:
     """Keep a lake table at the latest state of a change stream.
 
-    ``decode`` turns a micro-batch of messages into change rows with an ``_error`` column; rejected rows go to
-    ``reject_path``. Each batch is reduced to one change per key before it is written, and order keys and tombstones are
+    ``decode`` turns a micro-batch of messages into change rows with an ``_error`` column; rejected rows, and those with a
+    null key or order key, go to ``reject_path``, by default beside the table. Each batch is reduced to one change per key before it is written, and order keys and tombstones are
     stored with the rows, so changes may arrive in any order across batches. There is no streaming state to grow.
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         rows = decode(batch) if decode else batch
         if "_error" not in rows.columns:
-            table.append_batch(rows, batch_id)
-            return
-        append_and_reject(rows, table.append_batch, batch_id, lambda r: r.drop("_error", "_raw"), reject_path)
+            rows = rows.withColumns({"_error": F.lit(None).cast("string"), "_raw": F.lit(None).cast("string")})
+        append_and_reject(
+            rows,
+            table.append_batch,
+            batch_id,
+            lambda r: r.drop("_error", "_raw"),
+            reject_path or f"{table.path}_rejects",
+            table.pk,
+            table.order_by,
+        )
 
     return run_stream(stream, deliver, checkpoint, **trigger)
 
@@ -154,7 +194,7 @@ def stream_rollup(
 ) -> DataFrame:
     """Running aggregates per key and time bucket: ``keys…, bucket_start, aggregates…``; for update mode.
 
-    The watermark only bounds the state.
+    The watermark bounds the state: rows that come later than it are left out, so it has to exceed the feed's lateness.
     """
     timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, watermark)
     rolled = timed.groupBy(F.window(event_time, bucket).alias("_w"), *keys).agg(*aggregates)

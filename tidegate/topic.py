@@ -125,7 +125,8 @@ class Topic:
         decoded = self.decode(batch)
         rejects = f"{path}/_rejects/{self.table_name}"
         if self.keyed:
-            append_and_reject(decoded, self._table(batch, path).append_batch, batch_id, self.to_changes, rejects)
+            table = self._table(batch, path)
+            append_and_reject(decoded, table.append_batch, batch_id, self.to_changes, rejects, table.pk, table.order_by)
             return
 
         def append(rows: DataFrame, batch_id: int) -> None:
