@@ -235,3 +235,52 @@ def captured_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(envelopes(customers, "customer", "c_custkey", F.lit("r"), start))
         .unionByName(envelopes(later, "orders", "o_orderkey", done, F.col("o_orderkey") + 1))
     )
+
+
+def iso_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as plain JSON messages with ISO times and dates, written out field by field."""
+    events = load(spark, sf_dir, "events")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    text = F.concat(
+        F.lit('{"event_id":'), F.col("event_id").cast("string"),
+        F.lit(',"ts":'), quoted(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
+        F.lit(',"day":'), quoted(F.date_format("ts", "yyyy-MM-dd")),
+        F.lit(',"seen":'), quoted(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))),
+        F.lit(',"days":'), F.date_diff(F.to_date("ts"), F.lit("1970-01-01")).cast("string"),
+        F.lit("}"),
+    )
+    return events.select(text.cast("binary").alias("value"))
+
+
+def millis_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as wrapped MySQL envelopes: times in milliseconds, dates as days, ``ts_ms`` only."""
+    orders = load(spark, sf_dir, "orders")
+    day = F.date_diff(F.to_date("o_orderdate"), F.lit("1970-01-01"))
+    row = F.format_string(
+        '{"o_orderkey":%d,"placed":%d,"day":%d}', F.col("o_orderkey"), day.cast("long") * 86_400_000 + 1, day
+    )
+    text = F.format_string(
+        '{"schema":{"type":"struct"},"payload":{"op":"c","before":null,"after":%s,"ts_ms":5,"source":{"db":"app","table":"orders",'
+        '"file":"bin.000001","pos":%d,"ts_ms":%d}}}',
+        row,
+        F.col("o_orderkey"),
+        F.col("o_orderkey"),
+    )
+    return orders.select(text.cast("binary").alias("value"))
+
+
+def faulty_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as envelopes, some of which no table can take, by the order key's residue modulo 13."""
+    orders = load(spark, sf_dir, "orders")
+    kind = F.col("o_orderkey") % 13
+    envelope = F.format_string(
+        '{"op":"c","after":{"o_orderkey":%s,"o_orderstatus":"%s","placed":"%s"},"source":{"db":"app","schema":"sales","table":"%s","lsn":%s,"txId":%s}}',
+        F.when(kind == 1, "null").otherwise(F.col("o_orderkey").cast("string")),
+        F.col("o_orderstatus"),
+        F.when(kind == 5, "yesterday").otherwise("2024-05-06T07:08:09"),
+        F.when(kind == 4, "unknown").otherwise("orders"),
+        F.when(kind == 2, "null").otherwise(F.col("o_orderkey").cast("string")),
+        F.when(kind == 2, "null").otherwise("1"),
+    )
+    text = F.when(kind == 0, "not an envelope").when(kind == 3, F.concat(envelope, envelope)).otherwise(envelope)
+    return orders.select(text.cast("binary").alias("value"))

@@ -9,6 +9,7 @@ from ..operators.changes import apply_events, apply_latest, flatten_events, snap
 from ..operators.changes import split_key_changes, split_transactions
 from ..operators.evolve import evolve_union
 from ..sinks.fanout import fan_out, fan_out_table
+from ..sinks.lake import read_partitions
 from ..sources import (
     KafkaSource,
     MongoSource,
@@ -448,3 +449,45 @@ def stored_changes_equal_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic.store(feed.filter(clicks), 0, path)
     topic.store(feed.filter(~clicks), 1, path)
     return topic.stored(feed, path).intersect(topic.rows(feed))
+
+
+@query("""
+    SELECT event_id, ts, CAST(ts AS DATE) AS day, date_trunc('second', ts) - INTERVAL 2 HOUR AS seen, CAST(ts AS DATE) AS days
+    FROM events
+""")
+def decode_json_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain JSON messages whose times are ISO text and whose dates are text or days."""
+    columns = {"event_id": "BIGINT", "ts": "TIMESTAMP", "day": "DATE", "seen": "TIMESTAMPTZ", "days": "DATE"}
+    rows = accepted(decode.decode_json(fx.iso_log(spark, sf_dir), columns))
+    return rows.withColumn("seen", F.col("seen").cast("timestamp_ntz"))
+
+
+@query("""
+    SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 1 MILLISECOND AS placed,
+        CAST(o_orderdate AS DATE) AS "day", o_orderkey AS committed_ms FROM orders
+""")
+def cdc_mysql_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wrapped envelopes with times in milliseconds and a commit time in ``ts_ms``."""
+    columns = {"o_orderkey": "BIGINT", "placed": "TIMESTAMP", "day": "DATE"}
+    events = accepted(decode_changes(fx.millis_log(spark, sf_dir), MySqlSource("app", time_unit="millis"), columns))
+    return events.select("after.*", F.unix_millis("commit_ts").alias("committed_ms"))
+
+
+@query("""
+    SELECT CASE o_orderkey % 13 WHEN 0 THEN 'no table named' WHEN 1 THEN 'null key' WHEN 2 THEN 'null order key'
+        WHEN 3 THEN 'malformed JSON' WHEN 4 THEN 'table not declared' WHEN 5 THEN 'cast failed: placed' ELSE 'delivered' END AS outcome,
+        count(*) AS messages FROM orders GROUP BY 1
+""")
+def ingest_accounts_for_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message of a faulty feed is delivered or rejected with its reason; the batch is delivered twice."""
+    table = CapturedTable(
+        "sales", "orders", {"o_orderkey": "BIGINT", "o_orderstatus": "VARCHAR(1)", "placed": "TIMESTAMP"}, ("o_orderkey",)
+    )
+    home = work_path(spark, "accounts")
+    ingest = Ingest(spark, PostgresSource("app"), (table,), home)
+    feed = fx.faulty_log(spark, sf_dir)
+    ingest.deliver(feed, 0)
+    ingest.deliver(feed, 0)
+    rejects = [read_partitions(spark, f"{home}/_rejects/{name}").select("error") for name in ("orders", "_unplaced")]
+    outcomes = ingest.read(table).select(F.lit("delivered").alias("outcome")).union(rejects[0]).union(rejects[1])
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("messages"))

@@ -275,7 +275,10 @@ def select_patterns_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feed_summary(fx.multi_feed(spark, sf_dir).filter(wanted))
 
 
-_TABLES = ("customer", "documents", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+_TABLES = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders",
+    "pages", "part", "region", "supplier",
+)
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS \"rows\" FROM {t}" for t in _TABLES))

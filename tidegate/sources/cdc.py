@@ -25,7 +25,7 @@ DOCUMENT_COLUMNS = {"_id": "VARCHAR", "payload": "VARCHAR"}
 def decode_changes(feed: DataFrame, source: DatabaseSource, columns: Mapping[str, str]) -> DataFrame:
     """Change events of one table, rejects included."""
     zone = source.server_time_zone if isinstance(source, MySqlSource) else "UTC"
-    return decode_debezium(feed, columns, source.order_ddl, zone)
+    return decode_debezium(feed, columns, source.order_ddl, zone, unit=source.time_unit)
 
 
 def current_rows(feed: DataFrame, source: DatabaseSource, columns: Mapping[str, str], pk: list[str]) -> DataFrame:
