@@ -190,3 +190,21 @@ def test_splits_of_large_keys(spark):
     plan = SplitPlan("k", low, low + 99, 10)
     keys = spark.range(100).select((F.lit(low) + F.col("id")).alias("k"))
     assert [r["n"] for r in keys.groupBy(plan.split_of().alias("s")).agg(F.count("*").alias("n")).collect()] == [10] * 10
+
+
+def test_writers_keep_their_own_batches(spark, out):
+    table = LakeTable(spark, out, ["k"], ["o"])
+    make = lambda *items: spark.createDataFrame([(*i, "u") for i in items], "k int, o int, op string")
+    table.append_batch(make((1, 1), (2, 1)), 0, "snapshot")
+    table.append_batch(make((2, 2)), 0, "stream-a")
+    table.append_batch(make((3, 3)), 1, "stream-a")
+    assert rows(table.read()) == [(1, 1), (2, 2), (3, 3)]
+    assert table.compact() == 1
+    table.append_batch(make((4, 4)), 0, "stream-b")  # a new checkpoint counts from 0 again
+    table.append_batch(make((9, 9)), 1, "stream-a")  # a replay of a folded batch
+    want = [(1, 1), (2, 2), (3, 3), (4, 4)]
+    assert rows(table.read()) == want
+    assert table.expire() == [0, 0, 1] and rows(table.read()) == want
+    assert table.compact() == 2 and table.compact() == 2 and rows(table.read()) == want
+    with pytest.raises(ValueError):
+        table.append_batch(make((1, 1)), 0, "a/b")

@@ -30,7 +30,7 @@ def test_shuffled_stream_equals_batch(spark, out):
     stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/log")
     table = LakeTable(spark, f"{out}/table", ["user_id"], ["ts", "event_id"])
     stream_to_lake(stream, table, f"{out}/cp").awaitTermination()
-    assert len(table._batches("delta")) == 6
+    assert [len(b) for b in table._batches("delta").values()] == [6]
     expected = apply_latest(changes, ["user_id"], ["ts", "event_id"])
     assert rows(table.read()) == rows(expected)
     # a stream that starts over with a new checkpoint delivers everything again
@@ -51,7 +51,7 @@ def test_rejects_are_kept(spark, out):
     table = LakeTable(spark, f"{out}/table", ["user_id"], ["_order"], op="_op")
     stream = spark.readStream.schema(FEED_SCHEMA).parquet(f"{out}/log")
     stream_to_lake(stream, table, f"{out}/cp", decode, f"{out}/rejects").awaitTermination()
-    assert rows(spark.read.parquet(f"{out}/rejects")) == [("{bad", "malformed JSON", 0)]
+    assert rows(spark.read.parquet(f"{out}/rejects").drop("writer")) == [("{bad", "malformed JSON", 0)]
     expected = apply_latest(fx.change_log(spark, SF_DIR), ["user_id"], ["ts", "event_id"])
     assert rows(table.read().select("event_id")) == rows(expected.select("event_id"))
 

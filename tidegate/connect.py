@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .functions.typemap import struct_of
 from .operators.changes import SNAPSHOT, flatten_events, split_key_changes
 from .operators.selection import TableColumns, TableSelector
-from .sinks.lake import LakeTable, append_partition
+from .sinks.lake import MAIN, LakeTable, append_partition, writer_of
 from .sources.cdc import decode_changes
 from .sources.config import DatabaseSource
 from .streaming.pipeline import append_and_reject, run_stream
@@ -122,7 +122,7 @@ class Ingest:
             events = events.filter(F.col("op") != SNAPSHOT)
         return flatten_events(split_key_changes(events, list(table.primary_key)))
 
-    def deliver(self, batch: DataFrame, batch_id: int) -> None:
+    def deliver(self, batch: DataFrame, batch_id: int, writer: str = MAIN) -> None:
         """Apply one batch; the same batch again changes nothing.
 
         What no table takes is kept below ``_rejects``: per table what cannot be decoded or keyed, under ``_unplaced`` what
@@ -136,12 +136,13 @@ class Ingest:
             target = self.target(table)
             append_and_reject(
                 decode_changes(mine, self.source, table.types),
-                target.append_batch,
+                lambda changes, batch_id: target.append_batch(changes, batch_id, writer),
                 batch_id,
                 lambda good: self._to_changes(good, table),
                 f"{self.warehouse}/_rejects/{table.target}",
                 target.pk,
                 target.order_by,
+                writer,
             )
 
         try:
@@ -149,13 +150,14 @@ class Ingest:
                 list(pool.map(one, self.tables))
             unplaced = self._undelivered(named)
             if not unplaced.isEmpty():
-                append_partition(unplaced, f"{self.warehouse}/_rejects/_unplaced", batch_id)
+                append_partition(unplaced, f"{self.warehouse}/_rejects/_unplaced", batch_id, writer)
         finally:
             named.unpersist()
 
     def run(self, feed: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Continuously; by default until the end of what is there."""
-        return run_stream(feed, self.deliver, checkpoint, **trigger)
+        writer = writer_of(checkpoint)
+        return run_stream(feed, lambda batch, batch_id: self.deliver(batch, batch_id, writer), checkpoint, **trigger)
 
     def maintain(self, keep_batches: int = 0) -> None:
         """Compact every table and drop what the new bases hold."""

@@ -115,9 +115,12 @@ def snapshot_then_log(
     return rows.unionByName(log)
 
 
-def transaction_sizes(rows: DataFrame, txid: str, markers: DataFrame, declared: str) -> DataFrame:
-    """One row per transaction seen: ``txid, seen, declared, complete``."""
-    seen = rows.groupBy(txid).agg(F.count(F.lit(1)).alias("seen"))
+def transaction_sizes(rows: DataFrame, txid: str, markers: DataFrame, declared: str, position: list[str]) -> DataFrame:
+    """One row per transaction seen: ``txid, seen, declared, complete``.
+
+    ``position`` tells the rows of a transaction apart: one that is delivered twice counts once.
+    """
+    seen = rows.groupBy(txid).agg(F.count_distinct(F.struct(*position)).alias("seen"))
     return seen.join(markers.select(txid, F.col(declared).alias("declared")), txid, "left").withColumn(
         "complete", F.coalesce(F.col("seen") == F.col("declared"), F.lit(False))
     )
@@ -133,9 +136,10 @@ def mark_transactions(
 ) -> DataFrame:
     """The rows with ``complete``: whether as many rows of their transaction arrived as its marker declares.
 
-    A transaction holding a large share of the rows is spread over several tasks by a hash of ``spread_by``.
+    ``spread_by`` is a row's position in its transaction: repeated deliveries count once, and a transaction holding a large
+    share of the rows is spread over several tasks by its hash.
     """
-    sizes = transaction_sizes(rows, txid, markers, declared).drop("declared")
+    sizes = transaction_sizes(rows, txid, markers, declared, spread_by).drop("declared")
     marked = join_by_key(rows, sizes, [txid], "seen", spread_by, "left", rows_per_task)
     return marked.select(*rows.columns, F.coalesce("complete", F.lit(False)).alias("complete"))
 

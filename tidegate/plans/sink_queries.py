@@ -196,6 +196,21 @@ def expire_preserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+@query(LATEST_EVENTS)
+def lake_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot, a stream and the stream restarted all count their batches from 0; a compaction lies between."""
+    table = LakeTable(spark, work_path(spark, "lake"), ["user_id"], ["ts", "event_id"])
+    first, *others, last = _batches(fx.change_log(spark, sf_dir))
+    table.append_batch(first, 0, "snapshot")
+    for i, batch in enumerate(others):
+        table.append_batch(batch, i, "stream")
+    table.compact()
+    table.append_batch(last, 0, "restarted")
+    table.append_batch(others[0], 0, "stream")
+    table.expire()
+    return table.read()
+
+
 _LINE_ID = "l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey"
 _LINE_KEY = "l_orderkey,l_linenumber,l_partkey,l_suppkey"
 _LINE_FIELDS = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"]

@@ -4,22 +4,30 @@ A catalog with row-level operations takes ``MERGE INTO``. Without one the table
 changes is one Parquet partition, and reading reduces them to the last change per key. Folded changes keep their order
 keys and tombstones, so a change that arrives after a compaction still loses to a later one.
 
-    <path>/tier=delta/batch=<id>/    one partition per delivered batch
-    <path>/tier=base/batch=<id>/     everything up to that batch, folded
-    <path>/_folded/<id>              marks a base that is complete
+    <path>/tier=delta/writer=<name>/batch=<id>/    one partition per delivered batch
+    <path>/tier=base/writer=main/batch=<number>/   what the fold of that number holds
+    <path>/_folds/<number>/<name>@<id>             the last batch of each writer in it
+    <path>/_folded/<number>                        marks a base that is complete
+
+Batch ids belong to their writer: a snapshot, a stream and a stream restarted with a new checkpoint deliver under names of
+their own, so none replaces or hides what another wrote.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.changes import DELETE, collapse, to_append_only
 from . import paths
 from .config import LakeSink
 
+MAIN = "main"
+
 
 class LakeTable:
     """A merge-on-read table of changes keyed by ``pk`` and ordered by ``order_by``.
@@ -43,38 +51,38 @@ class LakeTable:
 
     # -- writing
 
-    def append_batch(self, changes: DataFrame, batch_id: int) -> None:
-        """Deliver one batch. Delivering the same id again replaces it, so a replay changes nothing."""
+    def append_batch(self, changes: DataFrame, batch_id: int, writer: str = MAIN) -> None:
+        """Deliver one batch. The same id from the same writer again replaces it, so a replay changes nothing."""
         last = collapse(changes, self.pk, self.order_by, self.op)
-        self._write(last, "delta", batch_id)
-
-    def _write(self, rows: DataFrame, tier: str, batch_id: int) -> None:
-        (
-            rows.withColumn("tier", F.lit(tier))
-            .withColumn("batch", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("tier", "batch")
-            .parquet(self.path)
-        )
+        self._write(last, "delta", batch_id, writer)
+
+    def _write(self, rows: DataFrame, tier: str, batch_id: int, writer: str = MAIN) -> None:
+        rows = rows.withColumns({"tier": F.lit(tier), **_placed(batch_id, writer)})
+        _overwrite(rows, self.path, "tier", "writer", "batch")
 
     # -- reading
 
     def _stored(self, evolving: bool = True) -> DataFrame:
         if self.schema is None:
             return self.spark.read.option("mergeSchema", str(evolving).lower()).parquet(self.path)
-        partitions = [T.StructField("tier", T.StringType()), T.StructField("batch", T.LongType())]
+        partitions = [T.StructField(n, T.StringType()) for n in ("tier", "writer")] + [T.StructField("batch", T.LongType())]
         return self.spark.read.schema(T.StructType([*self.schema.fields, *partitions])).parquet(self.path)
 
     def _live(self, evolving: bool) -> DataFrame:
-        """The newest complete base and the batches after it; partition pruning skips everything else."""
+        """The newest complete base and the batches it doesn't hold; partition pruning skips everything else."""
         base = self._newest_base()
-        live = "tier = 'delta'" if base is None else f"(tier = 'base' AND batch = {base}) OR (tier = 'delta' AND batch > {base})"
-        return self._stored(evolving).filter(live).drop("tier", "batch")
+        live = F.col("tier") == "delta"
+        if base is not None:
+            folded = self._folded(base)
+            new = ~F.col("writer").isin(*folded)
+            for name, last in folded.items():
+                new = new | ((F.col("writer") == name) & (F.col("batch") > last))
+            live = (live & new) | ((F.col("tier") == "base") & (F.col("batch") == base))
+        return self._stored(evolving).filter(live).drop("tier", "writer", "batch")
 
     def changes(self, evolving: bool = True) -> DataFrame:
         """Every stored change, deletes included."""
-        return self._stored(evolving).drop("tier", "batch")
+        return self._stored(evolving).drop("tier", "writer", "batch")
 
     def read(self, evolving: bool = True) -> DataFrame:
         """Current rows."""
@@ -83,59 +91,88 @@ class LakeTable:
 
     # -- upkeep
 
-    def _batches(self, tier: str) -> list[int]:
-        return paths.partition_values(self.spark, f"{self.path}/tier={tier}", "batch")
+    def _batches(self, tier: str) -> dict[str, list[int]]:
+        """Batches of every writer."""
+        root = f"{self.path}/tier={tier}"
+        writers = [n.removeprefix("writer=") for n in paths.names(self.spark, root) if n.startswith("writer=")]
+        return {w: paths.partition_values(self.spark, f"{root}/writer={w}", "batch") for w in writers}
 
-    def _delete(self, tier: str, batch_id: int) -> None:
-        paths.delete(self.spark, f"{self.path}/tier={tier}/batch={batch_id}")
+    def _delete(self, tier: str, writer: str, batch_id: int) -> None:
+        paths.delete(self.spark, f"{self.path}/tier={tier}/writer={writer}/batch={batch_id}")
 
     def _newest_base(self) -> int | None:
         marks = paths.names(self.spark, f"{self.path}/_folded")
         return max((int(n) for n in marks if n.isdigit()), default=None)
 
+    def _folded(self, base: int | None) -> dict[str, int]:
+        """The last batch of each writer that a base holds."""
+        out: dict[str, int] = {}
+        for mark in paths.names(self.spark, f"{self.path}/_folds/{base}") if base is not None else ():
+            name, at, last = mark.rpartition("@")
+            if at and last.isdigit():
+                out[name] = max(int(last), out.get(name, -1))
+        return out
+
     def compact(self) -> int | None:
-        """Fold all batches present now into a new base; returns the last folded batch id.
+        """Fold all batches present now into a new base; returns the base's number, the last folded batch id or above.
 
         The reduce tasks of the fold write the files, so their size is the adaptive planner's advisory partition size.
         """
         newest, deltas = self._newest_base(), self._batches("delta")
-        later = [b for b in deltas if newest is None or b > newest]
-        if not later:
+        folded = self._folded(newest)
+        last = {w: b[-1] for w, b in deltas.items() if b and b[-1] > folded.get(w, -1)}
+        if not last:
             return newest
-        last = later[-1]
-        self._write(collapse(self._live(evolving=True), self.pk, self.order_by, self.op), "base", last)
-        paths.touch(self.spark, f"{self.path}/_folded/{last}")
-        return last
+        number = max(0 if newest is None else newest + 1, *last.values())
+        self._write(collapse(self._live(evolving=True), self.pk, self.order_by, self.op), "base", number)
+        for name, batch_id in {**folded, **last}.items():
+            paths.touch(self.spark, f"{self.path}/_folds/{number}/{name}@{batch_id}")
+        paths.touch(self.spark, f"{self.path}/_folded/{number}")
+        return number
 
     def expire(self, keep_batches: int = 0) -> list[int]:
-        """Drop batches and bases a complete newer base holds, but keep the newest ``keep_batches`` batches."""
-        newest, deltas = self._newest_base(), self._batches("delta")
+        """Drop batches and bases a complete newer base holds, but keep the newest ``keep_batches`` batches of each writer."""
+        newest = self._newest_base()
         if newest is None:
             return []
-        kept = set(deltas[len(deltas) - keep_batches :]) if keep_batches else set()
-        dropped = [b for b in deltas if b <= newest and b not in kept]
-        for b in dropped:
-            self._delete("delta", b)
-        for b in self._batches("base"):
+        dropped = []
+        folded = self._folded(newest)
+        for writer, deltas in self._batches("delta").items():
+            kept = set(deltas[len(deltas) - keep_batches :]) if keep_batches else set()
+            for b in deltas:
+                if b <= folded.get(writer, -1) and b not in kept:
+                    self._delete("delta", writer, b)
+                    dropped.append(b)
+        for b in self._batches("base").get(MAIN, ()):
             if b < newest:
-                self._delete("base", b)
-        return dropped
-
-
-def append_partition(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Append one batch of plain rows; delivering the same id again replaces it."""
-    (
-        rows.withColumn("batch", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch")
-        .parquet(path)
-    )
+                self._delete("base", MAIN, b)
+        return sorted(dropped)
+
+
+def _placed(batch_id: int, writer: str) -> dict[str, Column]:
+    if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_-]*", writer):
+        raise ValueError(f"a writer's name begins with a letter, then has letters, digits, _ or -: {writer!r}")
+    return {"writer": F.lit(writer), "batch": F.lit(batch_id).cast("long")}
+
+
+def _overwrite(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Replace the partitions that ``rows`` have."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
+
+def writer_of(checkpoint: str) -> str:
+    """The writer's name of a stream: a new checkpoint, which counts its batches anew, is a new writer."""
+    return "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def append_partition(rows: DataFrame, path: str, batch_id: int, writer: str = MAIN) -> None:
+    """Append one batch of plain rows; the same id from the same writer again replaces it."""
+    _overwrite(rows.withColumns(_placed(batch_id, writer)), path, "writer", "batch")
 
 
 def read_partitions(spark: SparkSession, path: str) -> DataFrame:
     """Rows of all batches."""
-    return spark.read.parquet(path).drop("batch")
+    return spark.read.option("mergeSchema", "true").parquet(path).drop("writer", "batch")
 
 
 def merge_sql(

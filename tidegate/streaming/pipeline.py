@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import mark_transactions, transaction_sizes
 from ..sinks import paths
-from ..sinks.lake import LakeTable, append_partition
+from ..sinks.lake import MAIN, LakeTable, append_partition, writer_of
 
 
 def run_stream(
@@ -54,6 +54,7 @@ def append_and_reject(
     reject_path: str | None,
     pk: Sequence[str] = (),
     order_by: Sequence[str] = (),
+    writer: str = MAIN,
 ) -> None:
     """Append the good rows of a decoded batch; write ``raw, error`` of the others to ``reject_path``.
 
@@ -78,7 +79,7 @@ def append_and_reject(
     if bad and reject_path is None:
         raise ValueError("rows were rejected and there is no reject_path to keep them")
     if bad:
-        append_partition(reduce(DataFrame.union, bad), reject_path, batch_id)
+        append_partition(reduce(DataFrame.union, bad), reject_path, batch_id, writer)
 
 
 def stream_to_lake(
@@ -96,18 +97,21 @@ def stream_to_lake(
     stored with the rows, so changes may arrive in any order across batches. There is no streaming state to grow.
     """
 
+    writer = writer_of(checkpoint)
+
     def deliver(batch: DataFrame, batch_id: int) -> None:
         rows = decode(batch) if decode else batch
         if "_error" not in rows.columns:
             rows = rows.withColumns({"_error": F.lit(None).cast("string"), "_raw": F.lit(None).cast("string")})
         append_and_reject(
             rows,
-            table.append_batch,
+            lambda changes, batch_id: table.append_batch(changes, batch_id, writer),
             batch_id,
             lambda r: r.drop("_error", "_raw"),
             reject_path or f"{table.path}_rejects",
             table.pk,
             table.order_by,
+            writer,
         )
 
     return run_stream(stream, deliver, checkpoint, **trigger)
@@ -130,7 +134,7 @@ def complete_transactions(
     markers = batch.filter(F.col(declared).isNotNull())
     counts = markers.groupBy(txid).agg(F.max(declared).alias(declared))
     marked = mark_transactions(rows, txid, counts, declared, list(spread_by))
-    whole = transaction_sizes(rows, txid, counts, declared).filter("complete").select(txid)
+    whole = transaction_sizes(rows, txid, counts, declared, list(spread_by)).filter("complete").select(txid)
     waiting = marked.filter("NOT complete").drop("complete")
     left = waiting.unionByName(markers.join(whole, txid, "left_anti"), allowMissingColumns=True)
     left.select(*batch.columns).write.mode("overwrite").parquet(f"{carry_path}/batch={batch_id}")
@@ -155,7 +159,8 @@ def stream_transactions_to_lake(
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            table.append_batch(complete_transactions(batch, batch_id, carry_path, txid, declared, spread_by), batch_id)
+            whole = complete_transactions(batch, batch_id, carry_path, txid, declared, spread_by)
+            table.append_batch(whole, batch_id, writer_of(checkpoint))
         finally:
             batch.unpersist()
 
@@ -207,6 +212,6 @@ def rollup_to_lake(rolled: DataFrame, table: LakeTable, checkpoint: str, version
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn(version, F.lit(batch_id).cast("long")).withColumn(table.op, F.lit("u"))
-        table.append_batch(rows, batch_id)
+        table.append_batch(rows, batch_id, writer_of(checkpoint))
 
     return run_stream(rolled, deliver, checkpoint, output_mode="update", **trigger)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .operators.changes import apply_latest, flatten_events, split_key_changes
-from .sinks.lake import LakeTable, append_partition, read_partitions
+from .sinks.lake import MAIN, LakeTable, append_partition, read_partitions, writer_of
 from .sources.config import CDC_FORMATS, KafkaSource
 from .sources.decode import (
     ERROR,
@@ -120,20 +120,22 @@ class Topic:
     def _table(self, feed: DataFrame, path: str) -> LakeTable:
         return LakeTable(feed.sparkSession, f"{path}/{self.table_name}", self.keys, ["_order"], op="_op")
 
-    def store(self, batch: DataFrame, batch_id: int, path: str) -> None:
+    def store(self, batch: DataFrame, batch_id: int, path: str, writer: str = MAIN) -> None:
         """Store one batch of messages; the same batch again changes nothing."""
         decoded = self.decode(batch)
         rejects = f"{path}/_rejects/{self.table_name}"
         if self.keyed:
             table = self._table(batch, path)
-            append_and_reject(decoded, table.append_batch, batch_id, self.to_changes, rejects, table.pk, table.order_by)
+            keep = lambda rows, batch_id: table.append_batch(rows, batch_id, writer)
+            append_and_reject(decoded, keep, batch_id, self.to_changes, rejects, table.pk, table.order_by, writer)
             return
 
         def append(rows: DataFrame, batch_id: int) -> None:
-            append_partition(rows, f"{path}/{self.table_name}", batch_id)
+            append_partition(rows, f"{path}/{self.table_name}", batch_id, writer)
 
-        append_and_reject(decoded, append, batch_id, lambda good: good.drop(RAW, ERROR), rejects)
+        append_and_reject(decoded, append, batch_id, lambda good: good.drop(RAW, ERROR), rejects, writer=writer)
 
     def run(self, feed: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
         """Store a stream of messages; by default until the end of what is there."""
-        return run_stream(feed, lambda batch, batch_id: self.store(batch, batch_id, path), checkpoint, **trigger)
+        writer = writer_of(checkpoint)
+        return run_stream(feed, lambda batch, batch_id: self.store(batch, batch_id, path, writer), checkpoint, **trigger)
