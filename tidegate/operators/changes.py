@@ -115,12 +115,15 @@ def snapshot_then_log(
     return rows.unionByName(log)
 
 
-def transaction_sizes(rows: DataFrame, txid: str, markers: DataFrame, declared: str, position: list[str]) -> DataFrame:
+def transaction_sizes(
+    rows: DataFrame, txid: str, markers: DataFrame, declared: str, position: list[str] | None = None
+) -> DataFrame:
     """One row per transaction seen: ``txid, seen, declared, complete``.
 
-    ``position`` tells the rows of a transaction apart: one that is delivered twice counts once.
+    With ``position``, the columns that tell the rows of a transaction apart, a row that is delivered twice counts once.
     """
-    seen = rows.groupBy(txid).agg(F.count_distinct(F.struct(*position)).alias("seen"))
+    count = F.count_distinct(F.struct(*position)) if position else F.count(F.lit(1))
+    seen = rows.groupBy(txid).agg(count.alias("seen"))
     return seen.join(markers.select(txid, F.col(declared).alias("declared")), txid, "left").withColumn(
         "complete", F.coalesce(F.col("seen") == F.col("declared"), F.lit(False))
     )
@@ -133,13 +136,14 @@ def mark_transactions(
     declared: str,
     spread_by: list[str],
     rows_per_task: int = ROWS_PER_TASK,
+    position: list[str] | None = None,
 ) -> DataFrame:
     """The rows with ``complete``: whether as many rows of their transaction arrived as its marker declares.
 
-    ``spread_by`` is a row's position in its transaction: repeated deliveries count once, and a transaction holding a large
-    share of the rows is spread over several tasks by its hash.
+    A transaction holding a large share of the rows is spread over several tasks by a hash of ``spread_by``. ``position``
+    is as in ``transaction_sizes``.
     """
-    sizes = transaction_sizes(rows, txid, markers, declared, spread_by).drop("declared")
+    sizes = transaction_sizes(rows, txid, markers, declared, position).drop("declared")
     marked = join_by_key(rows, sizes, [txid], "seen", spread_by, "left", rows_per_task)
     return marked.select(*rows.columns, F.coalesce("complete", F.lit(False)).alias("complete"))
 
@@ -151,7 +155,8 @@ def split_transactions(
     declared: str,
     spread_by: list[str],
     rows_per_task: int = ROWS_PER_TASK,
+    position: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of complete transactions, rows to carry to the next batch)."""
-    marked = mark_transactions(rows, txid, markers, declared, spread_by, rows_per_task)
+    marked = mark_transactions(rows, txid, markers, declared, spread_by, rows_per_task, position)
     return marked.filter("complete").drop("complete"), marked.filter("NOT complete").drop("complete")

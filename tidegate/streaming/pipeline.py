@@ -118,7 +118,13 @@ def stream_to_lake(
 
 
 def complete_transactions(
-    batch: DataFrame, batch_id: int, carry_path: str, txid: str, declared: str, spread_by: Sequence[str]
+    batch: DataFrame,
+    batch_id: int,
+    carry_path: str,
+    txid: str,
+    declared: str,
+    spread_by: Sequence[str],
+    position: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of the transactions that are whole by this batch; the rest waits below ``carry_path``.
 
@@ -133,8 +139,8 @@ def complete_transactions(
     rows = batch.filter(F.col(declared).isNull()).drop(declared)
     markers = batch.filter(F.col(declared).isNotNull())
     counts = markers.groupBy(txid).agg(F.max(declared).alias(declared))
-    marked = mark_transactions(rows, txid, counts, declared, list(spread_by))
-    whole = transaction_sizes(rows, txid, counts, declared, list(spread_by)).filter("complete").select(txid)
+    marked = mark_transactions(rows, txid, counts, declared, list(spread_by), position=list(position))
+    whole = transaction_sizes(rows, txid, counts, declared, list(position)).filter("complete").select(txid)
     waiting = marked.filter("NOT complete").drop("complete")
     left = waiting.unionByName(markers.join(whole, txid, "left_anti"), allowMissingColumns=True)
     left.select(*batch.columns).write.mode("overwrite").parquet(f"{carry_path}/batch={batch_id}")
@@ -152,14 +158,18 @@ def stream_transactions_to_lake(
     txid: str,
     declared: str,
     spread_by: Sequence[str],
+    position: Sequence[str] = (),
     **trigger,
 ) -> StreamingQuery:
-    """Upsert a change stream by whole transactions: none is visible before all of its rows have come."""
+    """Upsert a change stream by whole transactions: none is visible before all of its rows have come.
+
+    ``position`` names the columns that tell a transaction's rows apart, so that a repeated delivery counts once.
+    """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            whole = complete_transactions(batch, batch_id, carry_path, txid, declared, spread_by)
+            whole = complete_transactions(batch, batch_id, carry_path, txid, declared, spread_by, position)
             table.append_batch(whole, batch_id, writer_of(checkpoint))
         finally:
             batch.unpersist()
