@@ -29,19 +29,20 @@ WINDOW, STRIDE = 32, 16
 #: Labelled rows that training reads at most.
 SAMPLE_ROWS = 4000
 EPOCHS, BATCH, RATE = 6, 64, 0.01
-#: Rate of the learned vectors beside that of the network, low so that a small sample isn't learned by heart.
-VECTOR_RATE = 0.05
+#: Rows at which the learned vectors would move as fast as the network: fewer move them less, so that a small sample isn't
+#: learned by heart.
+VECTOR_ROWS = 12_000
 #: Training steps at least: a small sample is read more often.
 LEAST_STEPS = 150
 #: Weight of a toxic text in training; a missed one costs more than a wrong alarm.
-POSITIVE = 2.0
+POSITIVE = 1.5
 HIDDEN, WORD_SIZE, CHAR_SIZE = 8, 4, 4
 #: Hash buckets of log odds, and of learned vectors.
 ODDS_BITS, WORD_BITS, CHAR_BITS = 18, 14, 13
 #: Counted kinds of a word's hash: itself, its first 4, 6 and 8 characters, its last 4.
 PREFIXES = (4, 6, 8)
 KINDS = 5
-SMOOTH = 1.0
+SMOOTH = 2.0
 FOLDS = 5
 INPUT = KINDS + WORD_SIZE + CHAR_SIZE
 #: Windows that are read at once.
@@ -214,7 +215,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     del counts
     odds = [np.stack([others[i % FOLDS][k][_bucket(h[k], ODDS_BITS)] for k in range(KINDS)]) for i, h in enumerate(made)]
     del others
-    adam = Adam(params, RATE, {"word": VECTOR_RATE, "char": VECTOR_RATE})
+    share = min(1.0, len(texts) / VECTOR_ROWS)
+    adam = Adam(params, RATE, {"word": share, "char": share})
     epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))
     for epoch in range(epochs):
         adam.rate = RATE * (1 - epoch / epochs) ** 0.5
