@@ -178,6 +178,27 @@ def test_matches_edited_passages(spark):
     assert decontam.matches(df.limit(0), bench).count() == 0 and decontam.matches(df, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("beside", [False, True])
+def test_matches_copies_with_every_few_words_changed(spark, beside):
+    random.seed(21)
+    words = [f"w{k}" for k in range(3000)]
+    items = {k: random.choices(words, k=random.randint(15, 59)) for k in range(30)}
+    texts = {}
+    for k, item in items.items():
+        every = 5 + k % 3  # one edited copy of each item: other copies would hold the n-grams that it lost
+        edited = [random.choice(words) if (n + 1) % every == 0 else w for n, w in enumerate(item)]
+        texts[k * 10 + every] = [*random.choices(words, k=40), *edited, *random.choices(words, k=40)]
+        if beside:
+            texts[k * 10] = item
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    got = decontam.matches(df, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted((i, i // 10) for i in texts)
+    for r in got:
+        text, item = texts[r["doc_id"]], items[r["item_id"]]
+        assert r["score"] == round(plain_alignment(item, text) / len(item), 6)
+
+
 def plain_alignment(a, b):
     h = np.zeros((len(a) + 1, len(b) + 1))
     for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):

@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of the passages around them.
+"""Benchmark decontamination: shared n-grams as seeds, then Smith-Waterman alignment of the passages around them.
 
 One pass over the documents finds every n-gram of the benchmark in them and keeps the stretches of words around the finds.
-How many documents hold each n-gram then orders an item's n-grams from rare to frequent, and in every run of ``RUN``
-neighbouring n-grams the rarest is a seed (the first of equals). So seeds are rare, yet every stretch of an item holds one, however
-frequent the item itself is. Seeds join stretches to items; each item is aligned with the words around its seeds by local
+Every n-gram of an item that a stretch holds is a seed, so one intact n-gram is enough, wherever the changed words lie and
+whatever other documents hold. Seeds join stretches to items; each item is aligned with the words around its seeds by local
 alignment (a match scores 1, a changed or skipped word costs half), and the score over the item's length is reported.
-A score from ``THRESHOLD`` on marks a copy, edited or paraphrased in part.
+A score from ``THRESHOLD`` on marks a copy, edited or paraphrased in part; items with fewer of their words around the seeds
+than that score takes are not aligned. A copy that holds no n-gram of its item whole is not found.
 
 Words are runs of letters and digits, lower-cased. The benchmark is a query set: it meets all documents in blocks of
 ``BLOCK_WORDS`` words, each small enough to send to every task, and the number of blocks grows with it.
@@ -30,7 +30,6 @@ from .frames import saved, steps
 from .words import mixed, words_of
 
 GRAM = 4
-RUN = 4
 THRESHOLD = 0.5
 MATCH, EDIT = 1.0, 0.5
 BLOCK_WORDS = 1_000_000
@@ -75,6 +74,9 @@ class Block:
         at = self.rows[:-1][self.gram_item] + self.gram_place
         h = gram_hashes(found.whole(), at, self.gram[self.gram_item])
         self.grams, self.gram_of = np.unique(h, return_inverse=True)
+        # Items of each distinct n-gram, those of n-gram g from gram_rows[g] on.
+        pairs = np.unique(np.stack((self.gram_of.ravel(), self.gram_item)), axis=1)
+        self.gram_items, self.gram_rows = pairs[1], np.searchsorted(pairs[0], np.arange(len(self.grams) + 1))
         self.sizes = np.unique(self.gram[self.size > 0])
         self.bits = np.zeros(1 << 22, bool)
         self.bits[(self.grams >> np.uint64(42)).astype(np.int64)] = True
@@ -83,21 +85,6 @@ class Block:
         """Words around an n-gram within which its item's alignment lies: gaps cost, so no more than twice the item."""
         return 2 * int(self.size.max(initial=1))
 
-    def seeds(self, documents: np.ndarray) -> np.ndarray:
-        """Which item n-grams are seeds, by how many documents hold each distinct n-gram."""
-        often = documents[self.gram_of]
-        out = np.zeros(len(often), bool)
-        for a, b in zip(*_runs(self.gram_item)):
-            for k in range(a, max(a + 1, b - RUN + 1)):
-                out[k + int(np.argmin(often[k : min(b, k + RUN)]))] = True
-        return out
-
-
-def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the runs of equal values."""
-    cut = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
-    return cut, np.append(cut[1:], len(x))
-
 
 def gram_hashes(words: np.ndarray, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
     """Hash of the words from each place on, as many as its size."""
@@ -183,28 +170,36 @@ def align(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray,
     return best, first, past
 
 
-def _aligned(batch: pa.RecordBatch, block: Block, seed_items: dict[int, list[int]]) -> list[tuple]:
+def _jobs(block: Block, text: np.ndarray, grams: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Item and part of the stretch to align it with: one part around all its seeds that lie close together."""
+    n = block.gram_rows[grams + 1] - block.gram_rows[grams]
+    seed = np.repeat(np.arange(len(grams)), n)
+    item = block.gram_items[block.gram_rows[grams][seed] + np.arange(len(seed)) - np.repeat(np.cumsum(n) - n, n)]
+    order = np.lexsort((places[seed], item))
+    item, place = item[order], places[seed][order].astype(np.int64)
+    margin = 2 * block.size[item]
+    first = np.append(True, (item[1:] != item[:-1]) | (place[1:] - place[:-1] > GRAM + 2 * margin[1:]))
+    last = np.append(first[1:], True)
+    lows = np.maximum(0, place - margin)[first].tolist()
+    highs = np.minimum(len(text), place + GRAM + margin)[last].tolist()
+    around = np.zeros(len(block.vocabulary) + 1, bool)  # the last entry is for words of no item
+    for i, lo, hi in zip(item[first].tolist(), lows, highs):
+        around[text[lo:hi]] = True
+        around[-1] = False
+        # No score exceeds the number of the item's words that stand there.
+        if around[block.words[block.rows[i] : block.rows[i + 1]]].sum() * MATCH >= THRESHOLD * MATCH * block.size[i]:
+            yield i, lo, hi
+        around[text[lo:hi]] = False
+
+
+def _aligned(batch: pa.RecordBatch, block: Block) -> list[tuple]:
     """Scores of the items that a seed joins to each stretch; parts of a stretch around far seeds are aligned apart."""
     jobs = []
     columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-    for row, (doc_id, key, begin, words, grams, places) in enumerate(zip(*columns)):
-        joined: dict[int, list[int]] = {}
-        for g, p in zip(np.frombuffer(grams, "<i4").tolist(), np.frombuffer(places, "<i4").tolist()):
-            for item in seed_items.get(g, ()):
-                joined.setdefault(item, []).append(p)
-        if not joined:
-            continue
+    for row, (words, grams, places) in enumerate(zip(*columns[3:])):
         text = np.frombuffer(words, "<i4")
-        for item, at in joined.items():
-            margin = 2 * int(block.size[item])
-            lo = hi = -1
-            for p in [*at, None]:
-                if p is None or (hi >= 0 and p - margin > hi):
-                    jobs.append((row, item, lo, text[lo:hi]))
-                    lo = -1
-                if p is not None:
-                    lo = max(0, p - margin) if lo < 0 else lo
-                    hi = min(len(text), p + GRAM + margin)
+        for item, lo, hi in _jobs(block, text, np.frombuffer(grams, "<i4"), np.frombuffer(places, "<i4")):
+            jobs.append((row, item, lo, text[lo:hi]))
     out: dict[tuple, tuple] = {}
     jobs.sort(key=lambda j: len(j[3]))
     at = 0
@@ -275,30 +270,10 @@ def _block_matches(read: DataFrame, block: Block) -> DataFrame:
 
     stretches = saved(read.mapInArrow(find, STRETCHES), "stretches")
 
-    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How many stretches hold each n-gram, one count per task: no more rows than the block has n-grams."""
-        n = np.zeros(len(shared.value.grams), np.int64)
-        for b in batches:
-            for g in b.column("grams").to_pylist():
-                n[np.unique(np.frombuffer(g, "<i4"))] += 1
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), pa.array(n[some])], names=["gram", "n"])
-
-    counted = stretches.select("grams").mapInArrow(held, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    documents = np.zeros(len(block.grams), np.int64)
-    for r in counted.collect():  # bounded by the block
-        documents[r["gram"]] = r["n"]
-    seed = block.seeds(documents)
-    seed_items: dict[int, list[int]] = {}
-    for g, i in zip(block.gram_of[seed].tolist(), block.gram_item[seed].tolist()):
-        if i not in seed_items.setdefault(g, []):
-            seed_items[g].append(i)
-    known = spark.sparkContext.broadcast(seed_items)
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
-                made = _aligned(whole.slice(at, 2000), shared.value, known.value)
+                made = _aligned(whole.slice(at, 2000), shared.value)
                 if made:
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), kinds)], names=MATCHES.names)
