@@ -163,6 +163,33 @@ def test_pii_spans():
     assert not pii.find("part 123-45-6789 DE89 3704 0044 0532 0130 01 300.1.1.1")
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("DE89370400440532013000 BIC COBADEFFXXX", ["DE89370400440532013000"]),
+        ("DE89 3704 0044 0532 0130 00 A friend", ["DE89 3704 0044 0532 0130 00"]),
+        ("GB82 WEST 1234 5698 7654 32 2024-01-02", ["GB82 WEST 1234 5698 7654 32"]),
+        ("AB12 CODE DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE89370400440532013000 GB82WEST12345698765432", ["DE89370400440532013000", "GB82WEST12345698765432"]),
+        ("MT84MALT011000012345MTLCAST001S 1", ["MT84MALT011000012345MTLCAST001S"]),
+        ("NO9386011117947.", ["NO9386011117947"]),
+        ("DE89370400440532013001 BIC COBADEFFXXX", []),
+        ("DE89370400440532013000x", []),
+    ],
+)
+def test_ibans_before_other_words(text, want):
+    assert [text[a:b] for kind, a, b, _ in pii.find(text) if kind == "iban"] == want
+
+
+def test_iban_ends_of_every_country_length():
+    for country, size in pii.IBAN_SIZES.items():
+        body = "0" * (size - 4)
+        check = next(f"{n:02d}" for n in range(2, 99) if pii.mod97(f"{country}{n:02d}{body}"))
+        for after in ("", " 1 A B2 C34 D567", " BIC"):
+            found = [s[1:3] for s in pii.find(f"{country}{check}{body}{after}") if s[0] == "iban"]
+            assert found == [(0, size)]
+
+
 def test_pii_edge_cases(spark):
     out = pii.detect(docs(spark, [*EDGES, "x@y.zz " * 2000]).withColumn("pii_spans", F.lit(1)))
     sizes = {r["doc_id"]: r["n"] for r in out.select("doc_id", F.size("pii_spans").alias("n")).collect()}

@@ -2,7 +2,7 @@
 
 Base kinds (email, ip, card, phone) are leftmost non-overlapping matches per kind that pass their check; a match that
 fails is dropped, without another try inside it. They are always reported; their score tells how sure they are. The other
-kinds (iban with its mod-97 check, ssn) are reported from a score of ``THRESHOLD`` on, which for ssn takes a context word.
+kinds (iban with its mod-97 check, tried at the end of every word it may reach to; ssn) are reported from a score of ``THRESHOLD`` on, which for ssn takes a context word.
 
 Defined results: null and empty texts have no spans; a text of any length is searched whole; repeated rows give repeated
 results; an empty table gives an empty table. Spans are in order of kind, then start; spans of different kinds may overlap,
@@ -30,9 +30,23 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+IBAN_BODY = re.compile(r"(?:\x20?[A-Z0-9]){11,30}")
+WORD_END = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
+#: Characters of an IBAN by country.
+IBAN_SIZES = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
+
 #: Score of a match by kind before its context is read.
 START = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.7, "ssn": 0.35}
 #: Words that raise or lower the score of a kind when they stand near it.
@@ -79,6 +93,23 @@ def _emails(t: str) -> Iterator[tuple[int, int]]:
         at = t.find("@", end if m else at + 1)
 
 
+def _ibans(t: str) -> Iterator[tuple[int, int]]:
+    """Words may follow an IBAN that could belong to it: of its ends at words that pass, its country's, else the last."""
+    end = 0
+    for head in IBAN_HEAD.finditer(t):
+        body = IBAN_BODY.match(t, head.end()) if head.start() >= end else None
+        if not body:
+            continue
+        passed = {}
+        for e in WORD_END.finditer(t, head.end() + 11, min(len(t), body.end() + 1)):
+            x = t[head.start() : e.start()].replace(" ", "")
+            if e.start() <= body.end() and len(x) >= 15 and mod97(x):
+                passed[len(x)] = e.start()
+        if passed:
+            end = passed.get(IBAN_SIZES.get(head[0][:2]), max(passed.values()))
+            yield head.start(), end
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -97,9 +128,8 @@ def _proposals(t: str) -> Iterator[tuple[str, int, int]]:
         for m in PHONE.finditer(t):
             if 8 <= len(_digits(m[0])) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in IBAN.finditer(t):
-        if 15 <= len(x := m[0].replace(" ", "")) <= 34 and mod97(x):
-            yield "iban", m.start(), m.end()
+    for a, b in _ibans(t):
+        yield "iban", a, b
     for m in SSN.finditer(t):
         yield "ssn", m.start(), m.end()
 
