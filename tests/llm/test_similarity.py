@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +148,57 @@ def test_near_duplicates(spark, leaf):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("budget", [2, simhash.WIDE_BUDGET])
+def test_equal_words_are_split(spark, budget):
+    """No task gets a group of more than a leaf's rows, give or take what a hash deals unevenly."""
+    rows_ = spark.createDataFrame([("g", n, 77, 0) for n in range(400)], "group string, node long, word long, depth int")
+
+    def check(t):
+        if "group" in t.column_names:
+            assert max(Counter(t["group"].to_pylist()).values()) <= 80, "a group was left whole"
+        lo = np.array(t["key"].to_pylist())
+        return lambda a, b: np.abs(lo[a] - lo[b]) <= 1  # a chain: 0 to 199 and 201 to 400
+
+    payload = spark.createDataFrame([(n, n + (n > 199)) for n in range(400)], "node long, key long")
+    links = trie.self_join(rows_, budget, 40, payload, check)
+    got = {r["node"]: r["component"] for r in components(links).collect()}
+    assert got == {n: 0 if n < 200 else 200 for n in range(400)}
+
+
+@pytest.mark.parametrize("leaf", [8, 4096])
+def test_near_copies_of_a_long_text(spark, leaf):
+    """One word changed in thousands, so that most fingerprints are equal; a text with a fifth of the words changed is none."""
+    random.seed(4)
+    base = [f"w{k}" for k in range(3000)]
+    texts = {0: base}
+    for i in range(1, 60):
+        texts[i] = list(base)
+        texts[i][random.randrange(3000)] = "other"
+    far = list(base)
+    far[:600] = [f"v{k}" for k in range(600)]
+    texts[60], texts[61] = [*far], [f"u{k}" for k in range(3000)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = dict(map(tuple, simhash.near_duplicates(df, leaf=leaf).collect()))
+    assert all(got[i] == 0 for i in range(60)) and got[61] == 61 and got[60] == 60
+
+
+def test_joined_rows_are_not_met_again(spark):
+    """Of a large group of copies only pairs with others are left."""
+    rows_ = spark.createDataFrame([("g", n, 5, 0, 26, 0) for n in range(500)], "group string, node long, word long, side int, left int, depth int")
+    payload = spark.createDataFrame([(n, n % 100 == 99) for n in range(500)], "node long, odd boolean")
+
+    def check(t):
+        odd = np.array(t["odd"].to_pylist())
+        return lambda a, b: ~odd[a] & ~odd[b]
+
+    left, found = trie._represented(rows_, 26, 50, payload, check)
+    pairs = Counter()
+    for group in {r["group"] for r in left.select("group").distinct().collect()}:
+        n = Counter(r["side"] for r in left.filter(F.col("group") == group).collect())
+        pairs[group] = n[0] * (n[0] - 1) // 2 + n[1] * n[2]
+    assert sum(pairs.values()) == 5 * 4 // 2 + 5 * 495 and sum(f.count() for f in found) == 494
+
+
 def test_matches_edited_passages(spark):
     random.seed(8)
     words = [f"w{k}" for k in range(3000)] + ["the", "of", "and", "to"] * 300

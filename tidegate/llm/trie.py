@@ -4,7 +4,10 @@ Words that differ in at most ``budget`` bits agree on one of ``budget + 1`` bloc
 many tries, each with another block first; a node whose path is a whole block is the root of a group. Within a group pairs
 of nodes are traversed together: both children of one node meet both children of the other, differing bits add up, and a
 pair ends where they exceed the budget. Groups too large for one task are traversed on tables first, ``STEP`` levels at a
-time, so that every task gets node pairs of bounded size. The same traversal serves groups that a caller has formed.
+time, so that every task gets node pairs of bounded size. Where levels can't tell words apart, as the budget allows all
+their bits to differ or the words are equal, a group is dealt to blocks by a hash, and every pair of blocks is a task's. The
+same traversal serves groups that a caller has formed. If a check decides the links, the rows of a large group are first
+checked against one of them; rows that it joins need not be met with each other any more, only with all others.
 
 Links become components, so a task reduces the links it finds to a forest: the same components from fewer rows.
 """
@@ -31,6 +34,9 @@ GATHER, GATHER_PAYLOAD = 100_000, 12_000
 #: Pairs of words that are compared one by one instead of descending further, for a pair of nodes.
 FEW = 24
 
+#: Rounds in which the rows of a large group are checked against one of them.
+ROUNDS = 3
+
 Check = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -153,12 +159,100 @@ def _node_pairs(rows: DataFrame, budget: int) -> DataFrame:
 
 
 def _sized(rows: DataFrame) -> DataFrame:
-    """Rows of groups in which something can pair, with the group's size."""
-    sizes = rows.groupBy("group").agg(F.count("*").alias("size"), F.min("side").alias("s0"), F.max("side").alias("s1"))
-    some = sizes.filter("size > 1 AND (s0 = 0 OR s0 <> s1)").select(F.col("group").alias("g"), "size")
+    """Rows of groups in which something can pair, with the group's size and how many rows of it are of side 1."""
+    sizes = rows.groupBy("group").agg(
+        F.count("*").alias("size"),
+        F.count_if(F.col("side") == 1).alias("ones"),
+        F.min("side").alias("s0"),
+        F.max("side").alias("s1"),
+    )
+    some = sizes.filter("size > 1 AND (s0 = 0 OR s0 <> s1)").select(F.col("group").alias("g"), "size", "ones")
     return rows.join(some, F.col("group") == F.col("g")).drop("g")
 
 
+def _block_pairs(sized: DataFrame, leaf: int) -> DataFrame:
+    """Every row in all pairs of blocks of its group that it belongs to, blocks of some ``leaf`` / 2 rows."""
+    half = max(1, leaf // 2)
+    alone = F.col("side") == 0
+    first = F.col("side") == 1
+    twos = F.col("size") - F.col("ones")
+    mine = F.ceil(F.when(alone, F.col("size")).when(first, F.col("ones")).otherwise(twos) / half)
+    theirs = F.ceil(F.when(alone, F.col("size")).when(first, twos).otherwise(F.col("ones")) / half)
+    met = sized.withColumn("block", F.pmod(F.xxhash64("node"), mine).cast("long"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), theirs - 1)))
+    low = F.when(alone, F.least("block", "other")).when(first, F.col("block")).otherwise(F.col("other"))
+    high = F.when(alone, F.greatest("block", "other")).when(first, F.col("other")).otherwise(F.col("block"))
+    side = F.when(~alone, F.col("side")).when(F.col("block") == F.col("other"), 0)
+    side = side.when(F.col("block") < F.col("other"), 1).otherwise(2)
+    group = F.concat_ws("/", "group", low.cast("string"), high.cast("string"))
+    kept = [F.col(c) for c in sized.columns if c not in ("group", "side", "size", "ones")]
+    return met.select(*kept, group.alias("group"), side.cast("int").alias("side"))
+
+
+def _checked(pairs: DataFrame, payload: DataFrame, check) -> DataFrame:
+    """Those of the pairs ``node, rep`` that the check links."""
+    extra = [c for c in payload.columns if c != "node"]
+    of_rep = payload.select(F.col("node").alias("rep"), *[F.col(c).alias(f"rep_{c}") for c in extra])
+    met = pairs.join(payload, "node").join(of_rep, "rep").select("node", "rep", *extra, *[f"rep_{c}" for c in extra])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                b = whole.slice(at, 4096)
+                own = pa.table([b.column(c) for c in extra], names=extra)
+                reps = pa.table([b.column(f"rep_{c}") for c in extra], names=extra)
+                place = np.arange(b.num_rows)
+                yes = check(pa.concat_tables([own, reps]))(place, place + b.num_rows)
+                yield b.select(["node", "rep"]).filter(pa.array(yes))
+
+    return met.mapInArrow(run, "node long, rep long")
+
+
+def _represented(
+    rows: DataFrame, budget: int, leaf: int, payload: DataFrame, check
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows by groups in which pairs are left to check, and links found before.
+
+    In each round one row of a group with more than ``leaf`` unjoined rows is checked against them. The rows it joins are of
+    one component, so pairs of them are left out; all other pairs stay.
+    """
+    sizes = rows.groupBy("group").agg(F.count("*").alias("size"))
+    large = saved(sizes.filter(F.col("size") > leaf).select(F.col("group").alias("g")), "large")
+    if large.isEmpty():
+        return rows, []
+    small = rows.join(large, F.col("group") == F.col("g"), "left_anti")
+    rest = saved(rows.join(large, F.col("group") == F.col("g"), "left_semi"), "unjoined")
+    done: list[DataFrame] = []
+    found: list[DataFrame] = []
+    for nth in range(1, ROUNDS + 1):
+        reps = rest.groupBy("group").agg(F.count("*").alias("size"), F.min(F.struct("node", "word")).alias("least"))
+        reps = reps.filter(F.col("size") > leaf)
+        reps = saved(reps.select(F.col("group").alias("g"), F.col("least.node").alias("rep"), F.col("least.word").alias("rep_word")), "reps")
+        if reps.isEmpty():
+            break
+        met = rest.join(reps, F.col("group") == F.col("g"))
+        near = F.bit_count(F.col("word").bitwiseXOR(F.col("rep_word"))) <= budget
+        yes = saved(_checked(met.filter((F.col("node") != F.col("rep")) & near).select("node", "rep").distinct(), payload, check), "joined")
+        found.append(yes.select(F.col("node").alias("a"), F.col("rep").alias("b")))
+        known = yes.select(F.col("node").alias("n"), F.col("rep").alias("r"))
+        marked = rest.join(reps.drop("rep_word"), F.col("group") == F.col("g"), "left")
+        marked = marked.join(known, (F.col("node") == F.col("n")) & (F.col("rep") == F.col("r")), "left")
+        label = F.when((F.col("node") == F.col("rep")) | F.col("n").isNotNull(), nth).otherwise(0)
+        marked = saved(marked.select(*rest.columns, label.alias("label")), "marked")
+        done.append(marked.filter("label > 0"))
+        rest = marked.filter("label = 0").drop("label")
+    labelled = rest.withColumn("label", F.lit(0))
+    for d in done:
+        labelled = labelled.unionByName(d)
+    met = labelled.withColumn("other", F.explode(F.array(*[F.lit(k) for k in range(len(done) + 1)])))
+    met = met.filter("other <> label OR label = 0")
+    low, high = F.least("label", "other"), F.greatest("label", "other")
+    side = F.when(F.col("label") == F.col("other"), 0).when(F.col("label") < F.col("other"), 1).otherwise(2)
+    left = met.withColumn("side", side.cast("int"))
+    left = left.withColumn("group", F.concat_ws("/", "group", low.cast("string"), high.cast("string")))
+    return small.unionByName(left.select(*rows.columns)), found
+
+
 def self_join(
     rows: DataFrame,
     budget: int,
@@ -175,12 +269,19 @@ def self_join(
     open_ = rows.select(
         "group", "node", "word", F.lit(0).alias("side"), F.lit(budget).alias("left"), F.col("depth").cast("int").alias("depth")
     )
+    found: list[DataFrame] = []
+    if check is not None:
+        open_, found = _represented(open_, budget, leaf, payload, check)
     ready: list[DataFrame] = []
     while True:
         sized = saved(_sized(open_), "nodes")
-        whole = F.col("depth") + STEP > 64
-        ready.append(sized.filter((F.col("size") <= leaf) | whole).drop("size"))
-        large = sized.filter((F.col("size") > leaf) & ~whole).drop("size")
+        ready.append(sized.filter(F.col("size") <= leaf).drop("size", "ones"))
+        over = sized.filter(F.col("size") > leaf)
+        if over.isEmpty():
+            break
+        alike = (F.col("depth") + STEP > 64) | (F.col("left") >= STEP)
+        ready.append(_block_pairs(over.filter(alike), leaf))
+        large = over.filter(~alike).drop("size", "ones")
         if large.isEmpty():
             break
         open_ = _node_pairs(large, budget)
@@ -200,7 +301,10 @@ def self_join(
         for t in whole_groups(batches, GATHER_PAYLOAD if payload_columns else GATHER):
             yield pa.RecordBatch.from_arrays(list(map(pa.array, _links(t, budget, check))), names=["a", "b"])
 
-    return dealt.mapInArrow(run, schema)
+    out = dealt.mapInArrow(run, schema)
+    for links in found:
+        out = out.unionByName(links)
+    return out
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], gather: int = GATHER) -> Iterator[pa.Table]:
