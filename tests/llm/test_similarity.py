@@ -182,6 +182,24 @@ def test_near_copies_of_a_long_text(spark, leaf):
     assert all(got[i] == 0 for i in range(60)) and got[61] == 61 and got[60] == 60
 
 
+def test_long_texts_near_the_similarity(spark):
+    """Pairs of 2,000 words whose true similarity lies within two standard errors of the sketch."""
+    random.seed(12)
+    texts = {}
+    for k in range(40):
+        base = [f"w{random.randrange(10**9)}" for _ in range(2000)]
+        edited = list(base)
+        for n in range(205 + k):  # each changed end word costs one shingle
+            edited[-1 - n] = f"v{random.randrange(10**9)}"
+        texts[2 * k], texts[2 * k + 1] = " ".join(base), " ".join(edited)
+    sets = sets_of(texts)
+    share = {i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 80, 2)}
+    assert all(0.76 < x < 0.84 for x in share.values()) and {x >= 0.8 for x in share.values()} == {True, False}
+    df = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = dict(map(tuple, simhash.near_duplicates(df).collect()))
+    assert got == {i: i if i % 2 == 0 or share[i - 1] < 0.8 else i - 1 for i in texts}
+
+
 def test_joined_rows_are_not_met_again(spark):
     """Of a large group of copies only pairs with others are left."""
     rows_ = spark.createDataFrame([("g", n, 5, 0, 26, 0) for n in range(500)], "group string, node long, word long, side int, left int, depth int")

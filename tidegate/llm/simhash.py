@@ -5,7 +5,8 @@ bits. ``near_duplicates`` finds documents whose shingle sets are similar: at a s
 unrelated texts and of copies lie too close for a budget that a trie could prune well (some 10 of 64 bits differ), so it runs
 the trie join within groups of documents that share the smallest shingles under a pair of random orders (one of
 ``BANDS`` pairs), with a wide budget, and compares the pairs that pass by the smallest ``SKETCH`` hashes of their sets. That
-is exact for sets up to that size and has a standard error of 0.018 beyond.
+is exact for sets below that size. Of larger ones it decides pairs further than ``MARGIN`` from the similarity, five
+standard errors; the whole sets of closer ones are compared, unless clear pairs have joined them already.
 
 Texts are lower-cased in A-Z; words are runs of anything but the six ASCII white-space characters. A text with fewer words
 than a shingle is one shingle; a wordless text has fingerprint zero.
@@ -36,6 +37,8 @@ WORDS, SIMILARITY = 5, 0.8
 #: Pairs of smallest hashes: copies of similarity 0.8 miss all with a chance of 0.36 ** BANDS.
 BANDS = 10
 SKETCH = 512
+#: How far from the similarity a sketch decides.
+MARGIN = 5 * (SIMILARITY * (1 - SIMILARITY) / SKETCH) ** 0.5
 #: Budget of the trie within a band's groups, twice what copies of similarity 0.8 differ in.
 WIDE_BUDGET = 26
 
@@ -108,9 +111,6 @@ def _orders() -> tuple[np.ndarray, np.ndarray]:
 
 def _describe(text: str, words: int) -> tuple[int, int, int, list[int], bytes]:
     """Two hashes of all words, the fingerprint of the distinct shingles, band keys, and the smallest hashes of the set."""
-    joined = b" ".join(text.encode().lower().split())
-    whole = xxhash.xxh3_128_intdigest(joined)
-    sign = lambda x: x - (1 << 64) if x >> 63 else x
     h = np.unique(shingle_hashes(text, words))
     shift, factor = _orders()
     least = np.full(2 * BANDS, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -120,7 +120,7 @@ def _describe(text: str, words: int) -> tuple[int, int, int, list[int], bytes]:
         least = np.minimum(least, (mixed * factor).min(0))
     pairs = least.reshape(BANDS, 2)
     bands = ((pairs[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ pairs[:, 1]).view(np.int64).tolist() if len(h) else []
-    return sign(whole >> 64), sign(whole & ((1 << 64) - 1)), simhash(h), bands, smallest(h).tobytes()
+    return *_whole_key(text), simhash(h), bands, smallest(h).tobytes()
 
 
 def smallest(h: np.ndarray) -> np.ndarray:
@@ -129,12 +129,13 @@ def smallest(h: np.ndarray) -> np.ndarray:
 
 
 def similar_pairs(t: pa.Table) -> trie.Check:
-    """Tells of pairs of rows whether the sets behind their ``sketch`` have the similarity."""
+    """Tells of pairs of rows whether the sets behind their ``sketch`` have the similarity: 1, 0, or 2 if it can't tell."""
     packed = t["sketch"].to_pylist()
     none = np.uint32(0xFFFFFFFF)
     sets = np.full((len(packed), max(len(p) for p in packed) // 4), none, np.uint32)
     for row, p in enumerate(packed):
         sets[row, : len(p) // 4] = np.frombuffer(p, "<u4")
+    whole = np.array([len(p) < 4 * SKETCH for p in packed])
 
     def tell(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         both = np.sort(np.concatenate((sets[a], sets[b]), 1), axis=1)
@@ -143,14 +144,47 @@ def similar_pairs(t: pa.Table) -> trie.Check:
         real = both != none
         nth = np.cumsum(~again & real, axis=1)
         # The smallest hashes of the union: all of it where both sets are whole.
-        counted = real & (nth <= SKETCH)
+        exact = whole[a] & whole[b]
+        counted = real & ((nth <= SKETCH) | exact[:, None])
         shared = (again & counted).sum(1)
         union = (~again & counted).sum(1)
-        return shared >= SIMILARITY * np.maximum(union, 1)
+        union = np.maximum(union, 1)
+        close = ~exact & (np.abs(shared / union - SIMILARITY) <= MARGIN)
+        return np.where(close, 2, shared >= SIMILARITY * union).astype(np.int8)
 
     return tell
 
 
+def _whole_key(text: str) -> tuple[int, int]:
+    """Two hashes of all words."""
+    whole = xxhash.xxh3_128_intdigest(b" ".join(text.encode().lower().split()))
+    sign = lambda x: x - (1 << 64) if x >> 63 else x
+    return sign(whole >> 64), sign(whole & ((1 << 64) - 1))
+
+
+def _similar(pairs: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the pairs ``a, b`` whose whole shingle sets have the similarity; docs are ``doc_id, text``."""
+    nodes = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct()
+    fields = [
+        T.StructField("k1", T.LongType()),
+        T.StructField("k2", T.LongType()),
+        T.StructField("shingles", T.ArrayType(T.LongType())),
+    ]
+
+    def compute(texts: pa.Array) -> list:
+        texts = texts.to_pylist()
+        keys = [_whole_key(t) for t in texts]
+        return [[k for k, _ in keys], [k for _, k in keys], [np.unique(shingle_hashes(t, WORDS)).view(np.int64) for t in texts]]
+
+    sets = add_columns(docs.join(nodes, F.col("doc_id") == F.col("n"), "left_semi"), "text", fields, compute).drop("text")
+    sets = sets.withColumnRenamed("doc_id", "node").join(firsts.select("node", "k1", "k2"), ["node", "k1", "k2"], "left_semi")
+    sets = saved(sets.dropDuplicates(["node"]).select("node", "shingles"), "sets")
+    of = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"set_{end}"))
+    met = pairs.join(of("a"), "a").join(of("b"), "b")
+    met = met.select("a", "b", F.size("set_a").alias("na"), F.size("set_b").alias("nb"), F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
+    return met.filter(F.col("shared") >= SIMILARITY * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", leaf: int = trie.LEAF) -> DataFrame:
     """``doc_id, component_id`` of every row: the smallest id among near duplicates of near duplicates, itself included."""
     fields = [
@@ -160,8 +194,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         T.StructField("bands", T.ArrayType(T.LongType())),
         T.StructField("sketch", T.BinaryType()),
     ]
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     described = add_columns(
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
+        docs,
         "text",
         fields,
         lambda texts: [list(c) for c in zip(*(_describe(t, WORDS) for t in texts.to_pylist()))],
@@ -169,7 +204,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     described = saved(described, "described")
     copies = saved(described.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_id")), "copies")
     firsts = described.join(copies.filter("first_id IS NOT NULL"), ["k1", "k2"]).filter("doc_id = first_id")
-    firsts = saved(firsts.select(F.col("doc_id").alias("node"), "fingerprint", "bands", "sketch"), "firsts")
+    firsts = saved(firsts.select(F.col("doc_id").alias("node"), "k1", "k2", "fingerprint", "bands", "sketch"), "firsts")
     rows = firsts.select("node", "fingerprint", F.posexplode("bands").alias("band", "key")).select(
         F.concat_ws("/", F.col("band").cast("string"), F.col("key").cast("string")).alias("group"),
         "node",
@@ -179,7 +214,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     links = trie.self_join(
         rows.distinct(), WIDE_BUDGET, leaf, firsts.select("node", "sketch").dropDuplicates(["node"]), similar_pairs
     )
-    member = saved(components(saved(links, "links")), "member")
+    links = saved(links, "links")
+    sure = links.filter("sure").select("a", "b")
+    member = saved(components(sure), "member")
+    unsure = links.filter("NOT sure").select("a", "b").distinct()
+    for end in ("a", "b"):
+        of_end = member.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        unsure = unsure.join(of_end, end, "left")
+    unsure = unsure.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+    unsure = saved(unsure, "unsure")
+    if not unsure.isEmpty():
+        member = saved(components(sure.union(_similar(unsure, firsts, docs))), "member")
     of_copy = copies.join(member, F.col("first_id") == F.col("node"), "left").select(
         "k1", "k2", F.coalesce("component", "first_id").alias("component_id")
     )

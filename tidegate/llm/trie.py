@@ -202,7 +202,7 @@ def _checked(pairs: DataFrame, payload: DataFrame, check) -> DataFrame:
                 own = pa.table([b.column(c) for c in extra], names=extra)
                 reps = pa.table([b.column(f"rep_{c}") for c in extra], names=extra)
                 place = np.arange(b.num_rows)
-                yes = check(pa.concat_tables([own, reps]))(place, place + b.num_rows)
+                yes = check(pa.concat_tables([own, reps]))(place, place + b.num_rows) == 1
                 yield b.select(["node", "rep"]).filter(pa.array(yes))
 
     return met.mapInArrow(run, "node long, rep long")
@@ -264,7 +264,8 @@ def self_join(
 
     ``rows`` has ``group`` (text), ``node`` (long), ``word`` (long) and ``depth``, the leading bits all words of the group
     share. ``payload`` has more columns by ``node``; ``check`` makes of them a function that tells which of the pairs of
-    rows within the budget are linked.
+    rows within the budget are linked: 1 (or true), 0 (or false), or 2 where the payload doesn't decide. With a check there
+    is a column ``sure``, false for pairs of the last kind that other links of their task don't join.
     """
     open_ = rows.select(
         "group", "node", "word", F.lit(0).alias("side"), F.lit(budget).alias("left"), F.col("depth").cast("int").alias("depth")
@@ -295,15 +296,16 @@ def self_join(
     payload_columns = bool(extra)
     parts = parts.select("group", "side", "node", "word", *extra)
     dealt = parts.repartition("group").sortWithinPartitions("group")
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    names = ["a", "b"] if check is None else ["a", "b", "sure"]
+    schema = "a long, b long" if check is None else "a long, b long, sure boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, GATHER_PAYLOAD if payload_columns else GATHER):
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, _links(t, budget, check))), names=["a", "b"])
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, _links(t, budget, check)))[: len(names)], names=names)
 
     out = dealt.mapInArrow(run, schema)
     for links in found:
-        out = out.unionByName(links)
+        out = out.unionByName(links.withColumn("sure", F.lit(True)))
     return out
 
 
@@ -335,13 +337,14 @@ def group_numbers(t: pa.Table) -> np.ndarray:
     return codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _links(t: pa.Table, budget: int, check) -> tuple[np.ndarray, np.ndarray]:
+def _links(t: pa.Table, budget: int, check) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     group = group_numbers(t)
     words = t["word"].to_numpy().view(np.uint64)
     i, j = traverse(words, t["side"].to_numpy().astype(np.int64), group, budget)
     nodes = t["node"].to_numpy()
     _, place = np.unique(nodes, return_inverse=True)
     root = np.arange(int(place.max()) + 1)
+    unsure = [np.zeros((2, 0), np.int64)]
     if check is None:
         root = forest(place[i], place[j], len(root), root)
     else:
@@ -355,9 +358,15 @@ def _links(t: pa.Table, budget: int, check) -> tuple[np.ndarray, np.ndarray]:
             while len(a):
                 apart = root[place[a]] != root[place[b]]
                 a, b = a[apart], b[apart]
-                yes = tell(a[:4096], b[:4096])
+                told = tell(a[:4096], b[:4096])
+                yes, may = told == 1, told == 2
+                unsure.append(np.stack((place[a[:4096][may]], place[b[:4096][may]])))
                 root = forest(place[a[:4096][yes]], place[b[:4096][yes]], len(root), root)
                 a, b = a[4096:], b[4096:]
     values = np.unique(nodes)
     child = np.flatnonzero(root != np.arange(len(root)))
-    return values[child], values[root[child]]
+    low, high = np.sort(np.concatenate(unsure, 1), axis=0)
+    apart = root[low] != root[high]
+    low, high = low[apart], high[apart]
+    sure = np.repeat([True, False], [len(child), len(low)])
+    return np.append(values[child], values[low]), np.append(values[root[child]], values[high]), sure
