@@ -27,6 +27,20 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, name: str, spent: str | None = None) -> tuple[DataFrame, str]:
+    """``saved``, and the path. ``spent`` is the path of a table that nothing reads any more once this one is written."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    if spent:
+        emptied(df.sparkSession, spent)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def emptied(spark: SparkSession, path: str) -> None:
+    """Free the room of a table of ours, by Spark's own writer, which reaches whatever store the folder lies in."""
+    spark.range(0).write.mode("overwrite").parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

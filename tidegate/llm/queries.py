@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, embed_dedup, html_text, labels, pii, quality, simhash, toxicity, url_filter
+from . import bpe, chat, decontam, embed_dedup, html_text, labels, pii, quality, simhash, toxicity, url_filter, vector_codes
 from .frames import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,3 +207,51 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.links(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = vector_codes.compress(table(spark, sf_dir, "embeddings"), keep=("label",))
+    added = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(2**63 - 1)).cast("long")
+    by_label = made.vectors.groupBy(F.col("label").alias("same")).agg(added.alias("label_error"))
+    return made.vectors.join(by_label, F.col("label").eqNullSafe(F.col("same"))).select(
+        "vec_id",
+        vector_codes.hex_code(F.col("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(hashlib.sha256(vector_codes.book_text(made.books).encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Every round compares every part with every entry; only rows whose vectors are all finite take part."""
+    ctes = [
+        """kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rn, vec_id, label, embedding, len(embedding) // 8 AS w
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """placed AS (SELECT rn, w, unnest(embedding) AS x, unnest(range(len(embedding))) AS place FROM kept)""",
+        """c AS MATERIALIZED (
+    SELECT rn, place // w AS part, place % w AS k, CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS v FROM placed)""",
+        "b0 AS MATERIALIZED (SELECT part, rn - 1 AS entry, k, v FROM c WHERE rn <= 16)",
+    ]
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (
+    SELECT rn, part, entry, d FROM (
+        SELECT c.rn, c.part, b.entry, sum((c.v - b.v) * (c.v - b.v)) AS d
+        FROM c JOIN b{r} b USING (part, k) GROUP BY ALL)
+    QUALIFY row_number() OVER (PARTITION BY rn, part ORDER BY d, entry) = 1)""")
+        if r < rounds:
+            ctes.append(f"""b{r + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, b.k, CAST(coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, b.v) AS BIGINT) AS v
+    FROM b{r} b LEFT JOIN (SELECT part, entry, k, sum(v) AS s, count(*) AS n FROM a{r} JOIN c USING (rn, part) GROUP BY ALL) m
+        USING (part, entry, k))""")
+    return f"""WITH {", ".join(ctes)},
+books AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, k)) AS h FROM b{rounds}),
+coded AS (
+    SELECT rn, string_agg(lpad(printf('%x', entry), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+    FROM a{rounds} GROUP BY rn)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (rn), books"""
+
+
+SQL["op11_vector_codes"] = _lloyd_sql(6)
