@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, embed_dedup, html_text, labels, pii, quality, simhash, toxicity, url_filter, vector_codes
+from . import bpe, chat, collocations, decontam, embed_dedup, html_text, labels, pii, quality, simhash, toxicity, url_filter, vector_codes
 from .frames import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -255,3 +255,47 @@ FROM coded JOIN kept USING (rn), books"""
 
 
 SQL["op11_vector_codes"] = _lloyd_sql(6)
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+SQL["op13_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+worded AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+found AS MATERIALIZED (
+    SELECT lang, m, phrase, count(*) AS f FROM (
+        SELECT lang, 1 AS m, unnest(w) AS phrase FROM worded
+        UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM worded
+        UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+        FROM worded)
+    GROUP BY ALL
+),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM found WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM found WHERE m > 1 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM candidates),
+scored AS (
+    SELECT c.lang, c.m, c.phrase, c.a, c.k, l.f AS l, r.f AS r,
+        CAST((1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+    FROM cuts c JOIN found l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ') AND l.m = c.k
+    JOIN found r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:c.m], ' ') AND r.m = c.m - c.k
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, max(a) AS longer, phrase FROM (
+        SELECT lang, a, w[1] || ' ' || w[2] AS phrase FROM candidates WHERE m = 3
+        UNION ALL SELECT lang, a, w[2] || ' ' || w[3] FROM candidates WHERE m = 3)
+    GROUP BY lang, phrase
+),
+kept AS (
+    SELECT s.* FROM lowest s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase AND s.m = 2
+    WHERE i.longer IS NULL OR 100 * i.longer < 50 * s.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN sizes USING (lang) QUALIFY rank <= 2000
+"""
