@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, collocations, decontam, embed_dedup, html_text, labels, pii, quality, simhash, toxicity, url_filter, vector_codes
+from . import bpe, chat, collocations, decontam, embed_dedup, html_text, labels, lm_score, pii, quality, simhash, toxicity, url_filter, vector_codes
 from .frames import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -257,6 +257,15 @@ FROM coded JOIN kept USING (rn), books"""
 SQL["op11_vector_codes"] = _lloyd_sql(6)
 
 
+@query
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_score.score(docs, labels.fold_of(F.col("doc_id"), 10) != 0)
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
