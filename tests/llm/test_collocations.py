@@ -61,7 +61,7 @@ def texts(seed, n):
     out = []
     for _ in range(n):
         t = "".join(random.choice(words) + random.choice(seps) for _ in range(random.randint(0, 60)))
-        out.append((random.choice(["en", "de", None, "und"]), t + (passage if random.random() < 0.3 else "")))
+        out.append((random.choice(["en", "d\ne", None, "und"]), t + (passage if random.random() < 0.3 else "")))
     return out
 
 
@@ -120,6 +120,13 @@ def test_odd_rows(spark):
     assert collocations.mine(df.limit(0)).count() == 0
 
 
+def test_a_full_filter_drops_nothing(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "FILTER_BITS", 1024)
+    given = texts(3, 200)
+    got = collocations.mine(spark.createDataFrame(given, "lang string, text string"), least=2, size=4).collect()
+    assert [tuple(r) for r in sorted(got, key=lambda r: (r["lang"], r["rank"]))] == plain(given, 2, 2000, 50, 4)
+
+
 def test_scores_are_exact(spark):
     big = [(999_999_999_999_999, 999_999_999_999_999, 999_999_999_999_999), (10**14, 10**15 - 1, 10**14 + 1), (3, 7, 9)]
     df = spark.createDataFrame(big, "a long, l long, r long")

@@ -9,9 +9,11 @@ frequency. A phrase belongs to the chunk in which it starts before the closing w
 A candidate is a phrase of 2 to ``SIZE`` words found often enough. Of its cuts into two parts the one of the lowest score
 floor(1e6 * a * a / (l * r)) counts, in decimals of 38 digits, exact for counts below 1e15.
 
-The text meets only in per-task counts and partial aggregates, phrases below the least frequency are dropped as soon as they
-are counted (parts of a candidate are at least as frequent as it is), and the first phrases of a language are found in
-buckets of phrases before they meet.
+A phrase can be frequent only if those of one word less at its ends are. Words and pairs are counted first; of longer
+phrases only those go on whose ends a Bloom filter of the frequent shorter ones admits. The filter has a bound of its own
+(``FILTER_BITS``): fuller, it admits more, and what it admits is counted all the same, so it never changes a result. Tasks
+add up phrases of many chunks before they hand them on, and the first phrases of a language are found in buckets of phrases
+before they meet.
 
 Defined results: null and empty texts have no words; a null language is ``und`` and counts with rows so named; texts of any
 length are read whole; repeated rows count each time; equal scores go by frequency, then by the phrase's bytes; an empty
@@ -21,8 +23,10 @@ table gives an empty table. Only the columns named in the result are returned, s
 from __future__ import annotations
 
 import math
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -40,6 +44,10 @@ from .words import mixed
 SIZE, MODULUS = 3, 16
 LEAST, TOP, SHARE = 10, 2000, 50
 SPACE, BREAK = 0x20, 0x0A
+#: Between language and phrase; no phrase has it, so the last one in a key counts.
+BETWEEN = b"\n"
+#: Bits of the filter of frequent phrases at most, for each phrase, and set by each phrase.
+FILTER_BITS, BITS_EACH, PROBES = 1 << 27, 16, 4
 #: Bytes of distinct chunks that a task gathers before it hands them on, and of chunks whose phrases it counts together.
 GATHER = 16_000_000
 
@@ -50,6 +58,19 @@ _FOLD[[ord(c) for c in ".,;:!?\n\v\f\r"]] = BREAK
 _FOLD[ord("\t")] = SPACE
 
 
+def _hashes(raw: np.ndarray, starts: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """A hash of each word from its bytes and their places; ``part`` is where there are words."""
+    place = np.arange(len(raw)) - np.repeat(np.concatenate(([0], starts)), np.diff(np.concatenate(([0], starts, [len(raw)]))))
+    each = mixed((raw.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64))
+    each[~part] = 0
+    return mixed(np.add.reduceat(each, starts))
+
+
+def _next(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of phrases made one word longer."""
+    return mixed(h * np.uint64(0xC2B2AE3D27D4EB4F) + word)
+
+
 def parse(texts: pa.Array, window: int, modulus: int) -> Iterator[tuple[int, list[bytes], list[bool]]]:
     """For every text with words: its place, its chunks, and which of them is its last.
 
@@ -67,14 +88,10 @@ def parse(texts: pa.Array, window: int, modulus: int) -> Iterator[tuple[int, lis
     end[:-1] &= ~part[1:] | begin[1:]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
     n = len(starts)
-    # A hash of each word from its bytes and their places.
-    place = np.arange(len(raw)) - np.repeat(np.concatenate(([0], starts)), np.diff(np.concatenate(([0], starts, [len(raw)]))))
-    each = mixed((folded.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64))
-    each[~part] = 0
-    one = mixed(np.add.reduceat(each, starts))
+    one = _hashes(folded, starts, part)
     h = one.copy()
     for k in range(1, min(window, n)):
-        h[: n - k] = mixed(h[: n - k] * np.uint64(0xC2B2AE3D27D4EB4F) + one[k:])
+        h[: n - k] = _next(h[: n - k], one[k:])
     trigger = h % np.uint64(modulus) == 0
     # One separator after each word.
     broken = np.concatenate(([0], np.cumsum(folded == BREAK)))
@@ -133,11 +150,73 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", size: in
     """``lang, chunk, last, n``: distinct chunks, whether they close a text, and how often the parse has them."""
     read = docs.select(F.coalesce(docs[lang].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text], F.lit("")).alias("text"))
     chunks = read.mapInArrow(_chunk_rows(max(1, size - 1), modulus), "lang string, chunk binary, last boolean, n long")
-    return chunks.groupBy("lang", "chunk", "last").agg(F.sum("n").alias("n"))
-
-
-def phrases(chunks: list[bytes], last: np.ndarray, n: np.ndarray, size: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """For 1 to ``size`` words: that number, distinct phrases of all chunks, and their weighted counts; first, as 0, all words."""
+    # Tasks have added up what they could; equal keys are few rows by now.
+    return chunks.repartition("lang", "chunk", "last").groupBy("lang", "chunk", "last").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class Frequent:
+    """Bloom filter of phrases, over hashes of their words and language."""
+
+    bits: np.ndarray
+
+    def places(self, h: np.ndarray) -> Iterator[np.ndarray]:
+        step = mixed(h) | np.uint64(1)
+        for i in range(PROBES):
+            yield (h + np.uint64(i) * step) & np.uint64(len(self.bits) * 64 - 1)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), bool)
+        for at in self.places(h):
+            out &= (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return out
+
+    @staticmethod
+    def of(found: DataFrame) -> Frequent:
+        """Filter of the phrases in ``key``, some ``BITS_EACH`` bits for each of them but ``FILTER_BITS`` at most."""
+        wanted = max(1024, min(FILTER_BITS, BITS_EACH * found.count()))
+        empty = Frequent(np.zeros((1 << (wanted - 1).bit_length()) // 64, np.uint64))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keys = [k.rsplit(BETWEEN, 1) for k in b.column("key").to_pylist()]
+                seeds = np.array([_seed(lang) for lang, _ in keys], np.uint64)
+                words = [p.split(b" ") for _, p in keys]
+                n = np.array([len(w) for w in words])
+                one = _bytes_hashes([w for p in words for w in p])
+                h, first = seeds.copy(), np.cumsum(n) - n
+                for k in range(int(n.max(initial=0))):
+                    more = np.flatnonzero(n > k)
+                    h[more] = _next(h[more], one[first[more] + k])
+                at = np.concatenate(list(empty.places(h)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))],
+                    names=["place", "bits"],
+                )
+
+        rows = found.select("key").mapInArrow(run, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits"))
+        # A row for each 64 bits of the filter at most.
+        got = rows.toArrow()
+        empty.bits[got.column("place").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+        return empty
+
+
+def _seed(lang: bytes) -> int:
+    return zlib.crc32(lang)
+
+
+def _bytes_hashes(words: list[bytes] | pa.Array) -> np.ndarray:
+    raw, at = buffers(pa.array(words, pa.binary()) if isinstance(words, list) else words)
+    return _hashes(raw, at[:-1], np.ones(len(raw), bool)) if len(at) > 1 else np.zeros(0, np.uint64)
+
+
+def phrases(
+    chunks: list[bytes], last: np.ndarray, n: np.ndarray, sizes: range, size: int, seed: int, known: Frequent | None = None
+) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """For each number of words in ``sizes``: that number, distinct phrases of all chunks, and their weighted counts.
+
+    Of phrases longer than the first number only those whose two ends are ``known``. First comes, as 0, the count of all words.
+    """
     raw = np.frombuffer(b" ".join(chunks), np.uint8)
     bounds = np.cumsum([0] + [len(c) + 1 for c in chunks])
     part = (raw != SPACE) & (raw != BREAK)
@@ -155,30 +234,35 @@ def phrases(chunks: list[bytes], last: np.ndarray, n: np.ndarray, size: int) ->
     broken = np.concatenate(([0], np.cumsum(raw == BREAK)))[starts]
     weight = n[chunk]
     yield 0, pa.array([b""]), weight[whole].sum(keepdims=True)
-    key, room = ids, len(names)
-    for k in range(1, min(size, len(ids)) + 1):
-        if k > 1:
+    one = _bytes_hashes(names)[ids] if known else None
+    for k in sizes:
+        m = len(ids) - k + 1
+        if m <= 0:
+            return
+        some = np.flatnonzero(whole[:m] & (chunk[:m] == chunk[k - 1 :]) & (broken[:m] == broken[k - 1 :]))
+        if known:
+            for shift in (0, 1):
+                h = np.full(len(some), seed, np.uint64)
+                for i in range(k - 1):
+                    h = _next(h, one[some + shift + i])
+                some = some[known.has(h)]
+        if not len(some):
+            continue
+        key, room = ids[some], len(names)
+        for i in range(1, k):
             if room >= 2**62 // len(names):  # number the shorter phrases anew, so that a key stays within 64 bits
                 key, room = np.unique(key, return_inverse=True)[1], len(key)
-            key, room = key[:-1] * len(names) + ids[k - 1 :], room * len(names)
-        m = len(key)
-        ok = whole[:m].copy()
-        if k > 1:
-            ok &= (chunk[:m] == chunk[k - 1 :]) & (broken[:m] == broken[k - 1 :])
-        some = np.flatnonzero(ok)
-        order = np.argsort(key[some])
-        sorted_keys = key[some][order]
-        first = np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1])) if len(some) else some
-        if not len(first):
-            continue
+            key, room = key * len(names) + ids[some + i], room * len(names)
+        order = np.argsort(key)
+        sorted_keys = key[order]
+        first = np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1]))
         count = np.add.reduceat(weight[some][order], first)
         at = some[order][first]
         made = [names.take(pa.array(ids[at + i])) for i in range(k)]
-        joined = made[0] if k == 1 else pc.binary_join_element_wise(*made, pa.scalar(b" ", pa.binary()))
-        yield k, joined, count
+        yield k, made[0] if k == 1 else pc.binary_join_element_wise(*made, pa.scalar(b" ", pa.binary())), count
 
 
-def _phrase_rows(size: int):
+def _phrase_rows(sizes: range, size: int, known: Frequent | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         room = 0
@@ -190,16 +274,12 @@ def _phrase_rows(size: int):
                     by_lang[lang].append(rest)
             for lang, given in by_lang.items():
                 chunks, last, n = zip(*given)
-                for k, phrase, count in phrases(list(chunks), np.array(last), np.array(n, np.int64), size):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.repeat(pa.scalar(lang, pa.string()), len(count)),
-                            pa.array(np.full(len(count), k, np.int32)),
-                            phrase.cast(pa.string()),
-                            pa.array(count),
-                        ],
-                        names=["lang", "words", "phrase", "n"],
-                    )
+                name = lang.encode()
+                made = phrases(list(chunks), np.array(last), np.array(n, np.int64), sizes, size, _seed(name), known)
+                for k, phrase, count in made:
+                    if k or not known:
+                        key = pc.binary_join_element_wise(pa.scalar(name, pa.binary()), phrase, pa.scalar(BETWEEN, pa.binary()))
+                        yield pa.RecordBatch.from_arrays([key, pa.array(count)], names=["key", "n"])
 
         for whole in batches:
             for b in steps(whole, "chunk"):
@@ -215,10 +295,25 @@ def _phrase_rows(size: int):
 
 def counts(chunks: DataFrame, least: int = LEAST, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
     """``lang, words, phrase, f`` of phrases found at least ``least`` times, and ``lang, n``: all words of a language."""
-    found = chunks.select("lang", "chunk", "last", "n").mapInArrow(_phrase_rows(size), "lang string, words int, phrase string, n long")
-    summed = found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
-    kept = saved(summed.filter((F.col("f") >= least) | (F.col("words") == 0)), "phrases")
-    return kept.filter("words > 0"), kept.filter("words = 0").select("lang", F.col("f").alias("n"))
+    chunks = chunks.select("lang", "chunk", "last", "n")
+    levels, known, sizes = [], None, range(1, min(size, 2) + 1)
+    while True:
+        found = chunks.mapInArrow(_phrase_rows(sizes, size, known), "key binary, n long")
+        summed = found.repartition("key").groupBy("key").agg(F.sum("n").alias("f"))
+        key = F.col("key").cast("string")
+        phrase = F.substring_index(key, BETWEEN.decode(), -1)
+        lang = key.substr(F.lit(1), F.length(key) - F.length(phrase) - 1)
+        kept = summed.filter((F.col("f") >= least) | (phrase == ""))
+        named = kept.select("key", lang.alias("lang"), phrase.alias("phrase"), "f")
+        words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("words")
+        levels.append(saved(named.select("key", "lang", words, "phrase", "f"), "phrases"))
+        longest = sizes[-1]
+        if longest >= size:
+            break
+        known = Frequent.of(levels[-1].filter(F.col("words") == longest))
+        sizes = range(longest + 1, longest + 2)
+    all_ = reduce(DataFrame.union, levels).drop("key")
+    return all_.filter("words > 0"), levels[0].filter("words = 0").select("lang", F.col("f").alias("n"))
 
 
 def first_of_groups(df: DataFrame, group: str, order: list[Column], k: int, key: str, rows: int) -> DataFrame:
@@ -254,7 +349,7 @@ def mine(
     modulus: int = MODULUS,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's first ``top`` phrases."""
-    found, sizes = counts(dictionary(docs, text, lang, size, modulus), least, size)
+    found, sizes = counts(saved(dictionary(docs, text, lang, size, modulus), "chunks"), least, size)
     named = found.withColumn("w", F.split("phrase", " "))
     candidates = named.filter("words > 1").select("lang", "phrase", F.col("words").alias("m"), F.col("f").alias("a"), "w")
     part = lambda a, n: F.array_join(F.slice("w", a, n), " ")
