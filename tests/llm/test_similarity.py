@@ -200,6 +200,48 @@ def test_long_texts_near_the_similarity(spark):
     assert got == {i: i if i % 2 == 0 or share[i - 1] < 0.8 else i - 1 for i in texts}
 
 
+@pytest.mark.parametrize("leaf", [40, 4096])
+def test_undecided_rows_are_returned_not_their_pairs(spark, leaf):
+    """600 rows of which no pair can be told at first: a row each, and the second check joins the right ones."""
+    n = 600
+    rows_ = spark.createDataFrame([("g", k, 77, 0) for k in range(n)], "group string, node long, word long, depth int")
+    payload = spark.createDataFrame([(k, k % 7) for k in range(n)], "node long, key long")
+    first = trie.self_join(rows_, 26, leaf, payload, lambda t: lambda a, b: np.full(len(a), 2, np.int8))
+    left = first.select("group", "side", F.col("a").alias("node"), "word", "b")
+    per_group = left.groupBy("group").agg(F.count("*").alias("k"), F.count_distinct("node").alias("nodes"), F.count("b").alias("links")).collect()
+    assert all(r["k"] == r["nodes"] <= n and r["links"] == 0 for r in per_group)
+    assert leaf < n or first.count() == n
+
+    def exact(t):
+        key = np.array(t["key"].to_pylist())
+        return lambda a, b: (key[a] == key[b]).astype(np.int8)
+
+    known = left.drop("b").withColumn("of", F.when(F.col("node") < 70, F.col("node") % 7).otherwise(F.col("node")))
+    links = trie.decide(known, 26, payload, exact, leaf=100)
+    seen = [(k, k % 7) for k in range(70)]  # what the components of the first rows stand for
+    got = joined(range(n), [tuple(r) for r in links.collect()] + seen)
+    assert got == {k: k % 7 for k in range(n)}
+
+
+def test_texts_without_ids_and_several_texts_of_one_id(spark):
+    random.seed(10)
+    base = [f"w{k}" for k in range(200)]
+    near = lambda k: " ".join(base[:k] + ["x"] + base[k + 1 :])
+    far = " ".join(f"v{k}" for k in range(200))
+    only = [f"u{k}" for k in range(100)]
+    given = [
+        (5, " ".join(base)), (None, near(100)), (7, near(50)), (7, far), (9, far + " more"), (None, " ".join(only)), (None, " ".join([*only, "z"])),
+    ]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    got = rows(simhash.near_duplicates(df))
+    want = [(5, 5), (None, 5), (7, 5), (7, 7), (9, 7), (None, None), (None, None)]
+    assert got == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+    keys = {(r["doc_id"], r["text_key"]) for r in simhash.representatives(df).collect()}
+    of = {(r["doc_id"], r["k"]): r["text"] for r in df.select("doc_id", "text", F.xxhash64("text").alias("k")).collect()}
+    kept = sorted((str(i), of[i, k]) for i, k in keys)
+    assert len(kept) == 3 and kept[:2] == [("5", " ".join(base)), ("7", far)] and kept[2][0] == "None"
+
+
 def test_joined_rows_are_not_met_again(spark):
     """Of a large group of copies only pairs with others are left."""
     rows_ = spark.createDataFrame([("g", n, 5, 0, 26, 0) for n in range(500)], "group string, node long, word long, side int, left int, depth int")

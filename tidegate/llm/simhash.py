@@ -6,13 +6,16 @@ unrelated texts and of copies lie too close for a budget that a trie could prune
 the trie join within groups of documents that share the smallest shingles under a pair of random orders (one of
 ``BANDS`` pairs), with a wide budget, and compares the pairs that pass by the smallest ``SKETCH`` hashes of their sets. That
 is exact for sets below that size. Of larger ones it decides pairs further than ``MARGIN`` from the similarity, five
-standard errors; the whole sets of closer ones are compared, unless clear pairs have joined them already.
+standard errors; texts between which closer pairs are left meet once more with their whole sets, group by group, so that
+pairs are compared where they meet and never listed. The first ``FIRST_BANDS`` pairs of orders join most copies; groups of
+the other ones whose members they have all joined are left out, before any sketch is sent.
 
 Texts are lower-cased in A-Z; words are runs of anything but the six ASCII white-space characters. A text with fewer words
 than a shingle is one shingle; a wordless text has fingerprint zero.
 
 Defined results: null and empty texts are wordless; texts of any length are read whole; repeated rows give repeated results;
-an empty table gives an empty table. A null id never names a class, its row still gets one. Only the columns named in
+an empty table gives an empty table. A null id never names a class of rows with ids, its row still gets one; texts are told
+apart by two hashes of their words, so rows without an id and several texts of one id take part like any other. Only the columns named in
 the results are returned, so other columns cannot clash.
 """
 
@@ -35,7 +38,7 @@ BUDGET = 2
 #: Shingle words and similarity of near duplicates.
 WORDS, SIMILARITY = 5, 0.8
 #: Pairs of smallest hashes: copies of similarity 0.8 miss all with a chance of 0.36 ** BANDS.
-BANDS = 10
+BANDS, FIRST_BANDS = 10, 2
 SKETCH = 512
 #: How far from the similarity a sketch decides.
 MARGIN = 5 * (SIMILARITY * (1 - SIMILARITY) / SKETCH) ** 0.5
@@ -162,31 +165,45 @@ def _whole_key(text: str) -> tuple[int, int]:
     return sign(whole >> 64), sign(whole & ((1 << 64) - 1))
 
 
-def _similar(pairs: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs ``a, b`` whose whole shingle sets have the similarity; docs are ``doc_id, text``."""
-    nodes = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct()
-    fields = [
-        T.StructField("k1", T.LongType()),
-        T.StructField("k2", T.LongType()),
-        T.StructField("shingles", T.ArrayType(T.LongType())),
-    ]
+def same_sets(t: pa.Table) -> trie.Check:
+    """As ``similar_pairs``, of rows with their whole sets; pairs that sketches leave open are compared whole."""
+    sets = [np.frombuffer(p, np.uint64) for p in t["shingles"].to_pylist()]
+    quick = similar_pairs(pa.table({"sketch": pa.array([smallest(h).tobytes() for h in sets], pa.binary())}))
 
-    def compute(texts: pa.Array) -> list:
-        texts = texts.to_pylist()
-        keys = [_whole_key(t) for t in texts]
-        return [[k for k, _ in keys], [k for _, k in keys], [np.unique(shingle_hashes(t, WORDS)).view(np.int64) for t in texts]]
+    def tell(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        told = quick(a, b)
+        for at in np.flatnonzero(told == 2).tolist():
+            x, y = sets[a[at]], sets[b[at]]
+            place = np.minimum(np.searchsorted(y, x), len(y) - 1)
+            shared = int((y[place] == x).sum())
+            told[at] = shared >= SIMILARITY * (len(x) + len(y) - shared)
+        return told
 
-    sets = add_columns(docs.join(nodes, F.col("doc_id") == F.col("n"), "left_semi"), "text", fields, compute).drop("text")
-    sets = sets.withColumnRenamed("doc_id", "node").join(firsts.select("node", "k1", "k2"), ["node", "k1", "k2"], "left_semi")
-    sets = saved(sets.dropDuplicates(["node"]).select("node", "shingles"), "sets")
-    of = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"set_{end}"))
-    met = pairs.join(of("a"), "a").join(of("b"), "b")
-    met = met.select("a", "b", F.size("set_a").alias("na"), F.size("set_b").alias("nb"), F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
-    return met.filter(F.col("shared") >= SIMILARITY * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
+    return tell
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", leaf: int = trie.LEAF) -> DataFrame:
-    """``doc_id, component_id`` of every row: the smallest id among near duplicates of near duplicates, itself included."""
+def _whole_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """``node, shingles`` (sorted hashes as bytes) of ``nodes`` (node, k1, k2); docs are ``text``."""
+    keys = [T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())]
+    keyed = add_columns(docs, "text", keys, lambda texts: [list(c) for c in zip(*map(_whole_key, texts.to_pylist()))] or [[], []])
+    one = keyed.join(nodes, ["k1", "k2"]).groupBy("node").agg(F.min("text").alias("text"))
+    field = T.StructField("shingles", T.BinaryType())
+    sets = add_columns(one, "text", [field], lambda texts: [[np.unique(shingle_hashes(t, words)).tobytes() for t in texts.to_pylist()]])
+    return sets.select("node", "shingles")
+
+
+def _members(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``of``, the component that the links make of each."""
+    member = saved(components(links.filter("b IS NOT NULL").select("a", "b")), "member")
+    named = nodes.join(member.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
+    return saved(named.select(*nodes.columns, F.coalesce("component", "node").alias("of")), "nodes")
+
+
+def _grouped(docs: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, k1, k2`` of every row of docs (doc_id, text), and ``k1, k2, first, of`` of every text.
+
+    ``first`` is the smallest of its rows' (no id, id, hash of the text), ``of`` the near duplicates it belongs to.
+    """
     fields = [
         T.StructField("k1", T.LongType()),
         T.StructField("k2", T.LongType()),
@@ -194,38 +211,69 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         T.StructField("bands", T.ArrayType(T.LongType())),
         T.StructField("sketch", T.BinaryType()),
     ]
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
+        "text",
+    )
     described = add_columns(
-        docs,
+        rows,
         "text",
         fields,
         lambda texts: [list(c) for c in zip(*(_describe(t, WORDS) for t in texts.to_pylist()))],
     ).drop("text")
     described = saved(described, "described")
-    copies = saved(described.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_id")), "copies")
-    firsts = described.join(copies.filter("first_id IS NOT NULL"), ["k1", "k2"]).filter("doc_id = first_id")
-    firsts = saved(firsts.select(F.col("doc_id").alias("node"), "k1", "k2", "fingerprint", "bands", "sketch"), "firsts")
-    rows = firsts.select("node", "fingerprint", F.posexplode("bands").alias("band", "key")).select(
-        F.concat_ws("/", F.col("band").cast("string"), F.col("key").cast("string")).alias("group"),
-        "node",
-        F.col("fingerprint").alias("word"),
-        F.lit(0).alias("depth"),
-    )
-    links = trie.self_join(
-        rows.distinct(), WIDE_BUDGET, leaf, firsts.select("node", "sketch").dropDuplicates(["node"]), similar_pairs
+    # Fingerprint and bands follow from the words, so any row's will do.
+    nodes = described.groupBy("k1", "k2").agg(
+        F.min("row").alias("node"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"),
+        F.min("fingerprint").alias("fingerprint"),
+        F.min("bands").alias("bands"),
     )
-    links = saved(links, "links")
-    sure = links.filter("sure").select("a", "b")
-    member = saved(components(sure), "member")
-    unsure = links.filter("NOT sure").select("a", "b").distinct()
-    for end in ("a", "b"):
-        of_end = member.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-        unsure = unsure.join(of_end, end, "left")
-    unsure = unsure.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-    unsure = saved(unsure, "unsure")
-    if not unsure.isEmpty():
-        member = saved(components(sure.union(_similar(unsure, firsts, docs))), "member")
-    of_copy = copies.join(member, F.col("first_id") == F.col("node"), "left").select(
-        "k1", "k2", F.coalesce("component", "first_id").alias("component_id")
-    )
-    return described.select("doc_id", "k1", "k2").join(of_copy, ["k1", "k2"]).select("doc_id", "component_id")
+    nodes = saved(nodes, "texts")
+    sketches = described.select(F.col("row").alias("node"), "sketch")
+
+    def rows_of(nodes: DataFrame, from_: int, to: int, *kept: str) -> DataFrame:
+        banded = nodes.select("*", F.posexplode(F.slice("bands", from_ + 1, to - from_)).alias("band", "key"))
+        group = F.concat_ws("/", (F.col("band") + from_).cast("string"), F.col("key").cast("string"))
+        return banded.select(group.alias("group"), "node", F.col("fingerprint").alias("word"), F.lit(0).alias("depth"), *kept)
+
+    links = saved(trie.self_join(rows_of(nodes, 0, FIRST_BANDS), WIDE_BUDGET, leaf, sketches, similar_pairs), "links")
+    of = _members(links, nodes)
+    more = rows_of(of, FIRST_BANDS, BANDS, "of")
+    apart = more.groupBy("group").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low < high")
+    more = saved(more.join(apart.select("group"), "group").select("group", "node", "word", "depth"), "apart")
+    if not more.isEmpty():
+        links = links.unionByName(saved(trie.self_join(more, WIDE_BUDGET, leaf, sketches, similar_pairs), "links"))
+        of = _members(links, nodes)
+    open_ = links.filter("b IS NULL").select("group", "side", F.col("a").alias("node"), "word")
+    open_ = open_.join(of.select("node", "of"), "node")
+    apart = open_.groupBy("group").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low < high")
+    open_ = saved(open_.join(apart.select("group"), "group").select("group", "side", "node", "word", "of"), "undecided")
+    if not open_.isEmpty():
+        met = nodes.join(open_.select("node").distinct(), "node").select("node", "k1", "k2")
+        sets = saved(_whole_sets(docs.select("text"), met, WORDS), "sets")
+        decided = saved(trie.decide(open_, WIDE_BUDGET, sets, same_sets), "links")
+        of = _members(links.select("a", "b").unionByName(decided), nodes)
+    return described.select("doc_id", "text_key", "k1", "k2"), of.select("k1", "k2", "first", "of")
+
+
+def _firsts(grouped: DataFrame) -> DataFrame:
+    return grouped.groupBy("of").agg(F.min("first").alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", leaf: int = trie.LEAF) -> DataFrame:
+    """``doc_id, component_id`` of every row: the smallest id among near duplicates of near duplicates, itself included."""
+    rows, grouped = _grouped(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), leaf)
+    named = grouped.join(_firsts(grouped), "of").select("k1", "k2", F.col("kept.doc_id").alias("component_id"))
+    return rows.join(named, ["k1", "k2"]).select("doc_id", "component_id")
+
+
+def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", leaf: int = trie.LEAF) -> DataFrame:
+    """``doc_id, text_key`` of one row for each group of near duplicates: of rows with ids the one of the smallest.
+
+    ``text_key`` is the XXH64 of the text as Spark makes it, null as empty; rows that repeat both are one.
+    """
+    _, grouped = _grouped(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), leaf)
+    return _firsts(grouped).select("kept.doc_id", "kept.text_key")

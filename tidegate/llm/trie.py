@@ -9,7 +9,8 @@ their bits to differ or the words are equal, a group is dealt to blocks by a has
 same traversal serves groups that a caller has formed. If a check decides the links, the rows of a large group are first
 checked against one of them; rows that it joins need not be met with each other any more, only with all others.
 
-Links become components, so a task reduces the links it finds to a forest: the same components from fewer rows.
+Links become components, so a task reduces the links it finds to a forest: the same components from fewer rows. Where a check
+can't decide pairs, the rows they stand between are returned, not the pairs; ``decide`` meets them again with all it takes.
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ LEAF = 4096
 STEP = 6
 #: Rows that a task gathers before it traverses their groups together, without and with a payload.
 GATHER, GATHER_PAYLOAD = 100_000, 12_000
+#: The same where rows bring all that decides, and pairs checked in one step then.
+LEAF_WHOLE, GATHER_WHOLE, STEP_WHOLE = 512, 512, 64
+#: Parts among which the rows that meet one representative are dealt.
+SALTS = 64
 #: Pairs of words that are compared one by one instead of descending further, for a pair of nodes.
 FEW = 24
 
@@ -192,8 +197,10 @@ def _block_pairs(sized: DataFrame, leaf: int) -> DataFrame:
 def _checked(pairs: DataFrame, payload: DataFrame, check) -> DataFrame:
     """Those of the pairs ``node, rep`` that the check links."""
     extra = [c for c in payload.columns if c != "node"]
-    of_rep = payload.select(F.col("node").alias("rep"), *[F.col(c).alias(f"rep_{c}") for c in extra])
-    met = pairs.join(payload, "node").join(of_rep, "rep").select("node", "rep", *extra, *[f"rep_{c}" for c in extra])
+    reps = pairs.select("rep").distinct().join(payload.withColumnRenamed("node", "rep"), "rep")
+    of_rep = reps.select("rep", *[F.col(c).alias(f"rep_{c}") for c in extra], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    met = pairs.join(payload, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    met = met.join(of_rep, ["rep", "salt"]).select("node", "rep", *extra, *[f"rep_{c}" for c in extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -265,7 +272,8 @@ def self_join(
     ``rows`` has ``group`` (text), ``node`` (long), ``word`` (long) and ``depth``, the leading bits all words of the group
     share. ``payload`` has more columns by ``node``; ``check`` makes of them a function that tells which of the pairs of
     rows within the budget are linked: 1 (or true), 0 (or false), or 2 where the payload doesn't decide. With a check there
-    is a column ``sure``, false for pairs of the last kind that other links of their task don't join.
+    are also the columns ``group, side, word``: links have none, and rows without ``b`` are the members ``a`` of groups in
+    which pairs of the last kind are left that other links of their task don't join. There is one for each row at most.
     """
     open_ = rows.select(
         "group", "node", "word", F.lit(0).alias("side"), F.lit(budget).alias("left"), F.col("depth").cast("int").alias("depth")
@@ -293,20 +301,50 @@ def self_join(
     if payload is not None:
         extra = [c for c in payload.columns if c != "node"]
         parts = parts.join(payload, "node")
-    payload_columns = bool(extra)
-    parts = parts.select("group", "side", "node", "word", *extra)
+    gather = GATHER_PAYLOAD if extra else GATHER
+    out = _deal(parts.select("group", "side", "node", "word", *extra), budget, gather, check)
+    for links in found:
+        more = [F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema.fields[2:]]
+        out = out.unionByName(links.select("a", "b", *more))
+    return out
+
+
+def _deal(parts: DataFrame, budget: int, gather: int, check, step: int = 4096) -> DataFrame:
+    """Links, and members of undecided pairs, of all groups."""
     dealt = parts.repartition("group").sortWithinPartitions("group")
-    names = ["a", "b"] if check is None else ["a", "b", "sure"]
-    schema = "a long, b long" if check is None else "a long, b long, sure boolean"
+    schema = "a long, b long" if check is None else "a long, b long, group string, side int, word long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, GATHER_PAYLOAD if payload_columns else GATHER):
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, _links(t, budget, check)))[: len(names)], names=names)
-
-    out = dealt.mapInArrow(run, schema)
-    for links in found:
-        out = out.unionByName(links.withColumn("sure", F.lit(True)))
-    return out
+        for t in whole_groups(batches, gather):
+            a, b, left = _links(t, budget, check, step)
+            made = [pa.array(a), pa.array(b)]
+            if check is None:
+                yield pa.RecordBatch.from_arrays(made, names=["a", "b"])
+                continue
+            made += [pa.nulls(len(a), kind) for kind in (pa.string(), pa.int32(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(made, names=["a", "b", "group", "side", "word"])
+            rest = t.take(pa.array(left)).combine_chunks()
+            if len(left):
+                (r,) = rest.select(["node", "group", "side", "word"]).to_batches()
+                made = [r.column(0), pa.nulls(len(left), pa.int64()), r.column(1), r.column(2).cast(pa.int32()), r.column(3)]
+                yield pa.RecordBatch.from_arrays(made, names=["a", "b", "group", "side", "word"])
+
+    return dealt.mapInArrow(run, schema)
+
+
+def decide(left: DataFrame, budget: int, payload: DataFrame, check, leaf: int = LEAF_WHOLE) -> DataFrame:
+    """``a, b``: links between the members ``left`` over by ``self_join``.
+
+    ``left`` has ``group, side, node, word`` and ``of``, a component that other links make; pairs of one component are left
+    out. ``payload`` and ``check`` decide every pair.
+    """
+    sized = saved(_sized(left), "nodes")
+    # A group keeps its name only if it stays whole.
+    blocks_ = _block_pairs(sized.filter(F.col("size") > leaf), leaf)
+    parts = sized.filter(F.col("size") <= leaf).drop("size", "ones").unionByName(blocks_)
+    extra = [c for c in payload.columns if c != "node"]
+    parts = parts.join(payload, "node").select("group", "side", "node", "word", "of", *extra)
+    return _deal(parts, budget, GATHER_WHOLE, check, STEP_WHOLE).select("a", "b")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], gather: int = GATHER) -> Iterator[pa.Table]:
@@ -337,14 +375,20 @@ def group_numbers(t: pa.Table) -> np.ndarray:
     return codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _links(t: pa.Table, budget: int, check) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _links(t: pa.Table, budget: int, check, step: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Linked nodes as a forest, and the rows between which undecided pairs are left."""
     group = group_numbers(t)
     words = t["word"].to_numpy().view(np.uint64)
     i, j = traverse(words, t["side"].to_numpy().astype(np.int64), group, budget)
     nodes = t["node"].to_numpy()
-    _, place = np.unique(nodes, return_inverse=True)
-    root = np.arange(int(place.max()) + 1)
-    unsure = [np.zeros((2, 0), np.int64)]
+    values, place = np.unique(nodes, return_inverse=True)
+    root = np.arange(len(values))
+    if "of" in t.column_names:
+        # Members of a component hang on the first of them that is here; their links are known.
+        _, first, nth = np.unique(t["of"].to_numpy(), return_index=True, return_inverse=True)
+        root = forest(place, place[first[nth]], len(root), root)
+    known = root.copy()
+    unsure: list[np.ndarray] = []
     if check is None:
         root = forest(place[i], place[j], len(root), root)
     else:
@@ -358,15 +402,15 @@ def _links(t: pa.Table, budget: int, check) -> tuple[np.ndarray, np.ndarray, np.
             while len(a):
                 apart = root[place[a]] != root[place[b]]
                 a, b = a[apart], b[apart]
-                told = tell(a[:4096], b[:4096])
+                told = tell(a[:step], b[:step])
                 yes, may = told == 1, told == 2
-                unsure.append(np.stack((place[a[:4096][may]], place[b[:4096][may]])))
-                root = forest(place[a[:4096][yes]], place[b[:4096][yes]], len(root), root)
-                a, b = a[4096:], b[4096:]
-    values = np.unique(nodes)
-    child = np.flatnonzero(root != np.arange(len(root)))
-    low, high = np.sort(np.concatenate(unsure, 1), axis=0)
-    apart = root[low] != root[high]
-    low, high = low[apart], high[apart]
-    sure = np.repeat([True, False], [len(child), len(low)])
-    return np.append(values[child], values[low]), np.append(values[root[child]], values[high]), sure
+                unsure.append(np.stack((a[:step][may], b[:step][may])))
+                root = forest(place[a[:step][yes]], place[b[:step][yes]], len(root), root)
+                a, b = a[step:], b[step:]
+    left = np.zeros(0, np.int64)
+    if unsure:
+        low, high = np.concatenate(unsure, 1)
+        apart = root[place[low]] != root[place[high]]
+        left = np.unique(np.concatenate((low[apart], high[apart])))
+    new = np.flatnonzero(root != known)
+    return values[new], values[root[new]], left
