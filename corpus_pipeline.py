@@ -1,8 +1,8 @@
 """Cleans the documents table in stages; each stage's result is written as Parquet and read again by the next.
 
 Every stage returns the columns of documents, in their order and with their names, whatever other columns there are; the
-last returns ids and digests. Rows are told apart by doc_id. A row without one is judged by its own text: it never names a
-group of near duplicates, and of several such rows with one text one stays. Of rows that repeat an id and its text one
+last returns ids and digests. Rows are told apart by their id and text. Of each group of near duplicates one row stays, the
+one of the smallest id; a row without an id only if no row of its group has one. Of rows that repeat an id and its text one
 stays. Null texts count as empty and stay null; empty tables pass through.
 """
 
@@ -26,12 +26,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest id, of each group of near duplicates."""
-    groups = simhash.near_duplicates(docs)
-    dropped = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct()
-    kept = docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
-    nth, key = fresh("nth"), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    repeats = W.partitionBy("doc_id", key).orderBy("doc_id")
-    return kept.withColumn(nth, F.row_number().over(repeats)).filter(F.col(nth) == 1).select(*docs.columns)
+    kept = simhash.representatives(docs).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+    nth, key = fresh("nth"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]) & (key == kept["kept_key"]), "left_semi")
+    repeats = W.partitionBy("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy("doc_id")
+    return found.withColumn(nth, F.row_number().over(repeats)).filter(F.col(nth) == 1).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
