@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -112,6 +113,64 @@ def test_html_cases(page, want):
     assert html_text.extract_text(page, {}) == want
 
 
+WORDS_50 = " ".join(f"w{i}" for i in range(50))
+ADVERT = "<div class='advert'>" + "<p>buy <b>now</b></p>" * 200 + "</div>"
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # what is left out of a marked article parts nothing, however long
+        (f"<nav>x y</nav><article><p>{WORDS_50}</p>{ADVERT}<p>the last words</p></article>", WORDS_50 + "\nthe last words"),
+        # marked content wins whatever its length
+        (f"<article>one two three</article><div>{WORDS_50}</div>", "one two three"),
+        (f"<div>{WORDS_50}</div><main><a href='/'>one link</a></main><p>{WORDS_50}</p>", "one link"),
+        # markers inside markers part nothing
+        ("<main><h1>Title</h1><p>Lead</p><article><p>Body text</p></article><article>More</article></main>", "Title\nLead\nBody text\nMore"),
+        # no markers: boilerplate is left out and costs the region little
+        (f"<ul class=nav><li>a</li></ul><div><p>{WORDS_50}</p>{ADVERT}<p>{WORDS_50}</p></div>", f"{WORDS_50}\n{WORDS_50}"),
+        # one marked cell after the other in a table of many tags
+        ("<article><table>" + "<tr><td>1</td><td><b></b></td></tr>" * 40 + "</table></article>", "\n".join("1" * 40)),
+    ],
+)
+def test_html_regions(page, want):
+    fitted = html_text.weigh(html_text.count([page, f"<body><nav>a b</nav><article><p>{WORDS_50}</p></article><div>c</div></body>"]))
+    assert html_text.extract_text(page, fitted) == want and html_text.extract_text(page, {}) == want
+
+
+def test_best_region_equals_a_search_of_all():
+    random.seed(5)
+    for _ in range(300):
+        scores = [random.choice([-3.0, -1.0, 0.0, 1.0, 2.0]) for _ in range(random.randint(0, 14))]
+        sums = {(a, b): sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)}
+        best = max(sums.values(), default=0.0)
+        a, b = html_text.best_region(scores)
+        assert (a, b) == (0, 0) if best <= 0 else sums[a, b] == best
+    pages = ["<p>a b</p><div class=nav>x y z</div><p>c</p>", f"<article>a{ADVERT}b</article><p>c d</p><main>e</main>", "<b>a</b>" * 9]
+    for page in pages:
+        scores = html_text.score(list(html_text.tokens(page)), {})
+        sums = [sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+        a, b = html_text.best_region(scores)
+        assert abs(sum(scores[a:b]) - max(sums)) < 1e-9
+
+
+def test_html_deep_nesting_is_linear():
+    n = 60_000
+    started = time.process_time()
+    assert html_text.extract_text("<div>" * n + "</b>" * n + "words", {}) == "words"
+    assert time.process_time() - started < 20  # a search of the whole stack takes minutes
+
+
+def test_html_copies_of_a_page_are_one_of_the_sample(spark):
+    """Ten thousand copies count once, and the weights don't depend on the partitioning."""
+    copies = [("<article>" + "<p>x</p>" * 30 + "</article>",)] * 10_000
+    others = [(f"<article><h1>t{k}</h1><i>w w w</i></article><div>o</div>",) for k in range(9)]
+    df = spark.createDataFrame(copies + others, "html string")
+    got = html_text.fit(df, sample=10)
+    assert got == html_text.fit(df.repartition(7), sample=10)
+    assert got == html_text.weigh(html_text.count([copies[0][0], *(o[0] for o in others)]))
+
+
 def test_html_edge_cases(spark):
     df = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, "<p>x " * 20_000, "t"), (3, "<p>x", "t")], "page_id int, html string, TEXT string")
     got = rows(html_text.extract(df).select("page_id", "n_chars"))
@@ -190,6 +249,15 @@ def test_iban_ends_of_every_country_length():
             assert found == [(0, size)]
 
 
+def test_pii_long_runs_take_linear_time():
+    started = time.process_time()
+    for text in ("1" * 1_000_000, "1." * 300_000, "+1(" * 200_000, "a@" * 300_000, "1 " * 300_000, "DE89 " * 100_000):
+        pii.find(text)
+    assert time.process_time() - started < 60
+    kinds = [(k, a, b) for k, a, b, _ in pii.find("9" * 1000 + ".1.2.3 1.2.3.4.5.6.7.8 01.002.0003.4")]
+    assert kinds == [("ip", 1007, 1014), ("ip", 1015, 1022), ("ip", 1023, 1036)]
+
+
 def test_pii_edge_cases(spark):
     out = pii.detect(docs(spark, [*EDGES, "x@y.zz " * 2000]).withColumn("pii_spans", F.lit(1)))
     sizes = {r["doc_id"]: r["n"] for r in out.select("doc_id", F.size("pii_spans").alias("n")).collect()}

@@ -2,9 +2,12 @@
 
 A page becomes a sequence of tags and of text between tags. Words score positive and tags negative; one linear scan finds
 the contiguous region with the largest sum. The weights are log odds of lying inside or outside the main content, counted on
-labelled pages: those that mark it themselves with ``<article>`` or ``<main>``. The tags that mark it count as outside, so
-they part regions, while tags that main text is made of cost next to nothing. Words count by their surroundings: plain, in
-a link, or in an element that is boilerplate by its name, role, class or id.
+labelled pages: those that mark it themselves with ``<article>`` or ``<main>``. Tags that main text is made of cost next to
+nothing. Words count by their surroundings: plain, in a link, or in an element that is boilerplate by its name, role, class
+or id. What is in such an element is left out in any case, so it scores nothing but for the element's own two tags.
+
+On a page that marks its content words inside count for it and words outside against it, whatever their number; tags
+inside score nothing, the outermost marking tags part regions.
 
 From the region, text of boilerplate elements is left out, character references are decoded, white space inside a block
 becomes one space, blocks are trimmed, and blocks that aren't empty are joined by a newline. A ``<br>`` ends a block.
@@ -69,10 +72,14 @@ SPACES = re.compile(r"\s+")
 SILENT = ("script", "style", "noscript", "template")
 UNSEEN = "unseen"
 
-#: Pages read to fit the weights: those with the smallest hash of their markup. Weights hold a few dozen entries.
-SAMPLE_PAGES = 1000
+SKIPPED = "skipped"
+
+#: Pages read to fit the weights: different ones, those with the smallest hash of their markup, and the longest of them.
+SAMPLE_PAGES, SAMPLE_CHARS = 1000, 1_000_000
 #: What words score that no labelled page has shown.
-PRIOR = {"word": 1.0, "link word": 0.3, "boilerplate word": -1.0, "skipped word": -0.1, UNSEEN: -0.02}
+PRIOR = {"word": 1.0, "link word": 0.3, "boilerplate word": 0.0, SKIPPED: 0.0, UNSEEN: -0.02}
+#: What words inside and outside score on pages that mark their content, and the marking tags.
+MARKED, OUTSIDE, MARKER = 1.0, -1.0, -8.0
 
 
 def _boilerplate(name: str, attrs: str, in_content: bool) -> bool:
@@ -92,19 +99,17 @@ def _boilerplate(name: str, attrs: str, in_content: bool) -> bool:
 def tokens(page: str) -> Iterator[tuple[str, str, bool, int]]:
     """``key, text, block, depth in content markers`` of every tag and text; key names what its weight goes by.
 
-    Text has one of the word keys, a tag its name with a slash if it closes, and a note if it stands in boilerplate that no
-    content marker surrounds; block tells whether a tag ends a block.
+    Text has one of the word keys, a tag its name with a slash if it closes, with a note if it begins or ends an element that
+    is left out; tags inside such an element are skipped. Block tells whether a tag ends a block.
     """
     stack: list[tuple[str, bool]] = []  # open elements that matter: name, whether text in them is left out
+    open_: Counter = Counter()  # how many of each name
     out_depth = link_depth = marked = 0
     at = 0
     lower: str | None = None
 
     def text(a: int, b: int) -> tuple[str, str, bool, int]:
-        if out_depth:
-            key = "skipped word" if marked else "boilerplate word"
-        else:
-            key = "link word" if link_depth else "word"
+        key = "boilerplate word" if out_depth else "link word" if link_depth else "word"
         return key, page[a:b], False, marked
 
     while True:
@@ -120,20 +125,22 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, int]]:
         attrs = m["attrs"] or m["attrs2"] or ""
         block = name in BLOCKS
         if m["close"] or m["close2"]:
-            key = UNSEEN if name in SILENT else "/" + name + (" boilerplate" if out_depth and not marked else "")
-            if any(n == name for n, _ in stack):
+            was_out, was_marked = out_depth, marked
+            if open_[name]:
                 while stack:
                     n, left_out = stack.pop()
+                    open_[n] -= 1
                     out_depth -= left_out
                     link_depth -= n == "a"
                     marked -= n in MARKERS
                     if n == name:
                         break
-            yield key, "", block, marked
+            key = "/" + name + (" boilerplate" if was_out and not out_depth else "")
+            yield UNSEEN if name in SILENT else SKIPPED if was_out and out_depth else key, "", block, was_marked
             continue
         left_out = _boilerplate(name, attrs, marked > 0)
-        far = (left_out or out_depth) and not marked
-        yield UNSEEN if name in SILENT else name + (" boilerplate" if far else ""), "", block, marked
+        key = SKIPPED if out_depth else name + (" boilerplate" if left_out else "")
+        yield UNSEEN if name in SILENT else key, "", block, marked
         if name in RAW:
             # Its text ends at its own closing tag only.
             if lower is None:
@@ -146,7 +153,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, int]]:
         if left_out or name == "a" or name in MARKERS or name in ("div", "section", "span", "ul", "ol", "p", "li", "table"):
             if name == "p" and stack and stack[-1][0] == "p":
                 out_depth -= stack.pop()[1]  # a paragraph ends the one before
+                open_["p"] -= 1
             stack.append((name, left_out))
+            open_[name] += 1
             out_depth += left_out
             link_depth += name == "a"
             marked += name in MARKERS
@@ -178,7 +187,7 @@ def weigh(found: Counter) -> dict[str, float]:
         elif key == "link word":
             out[key] = min(1.0, max(-1.0, odds / 4))
         elif key not in PRIOR:
-            out[key] = -min(8.0, max(0.02, -odds))
+            out[key] = -min(2.0 if key.endswith("boilerplate") else 8.0, max(0.02, -odds))
     return out
 
 
@@ -186,9 +195,22 @@ def default_weight(key: str) -> float:
     """Of words without weights, or a tag that no labelled page has shown: small for the blocks text is made of, large for boilerplate."""
     if key in PRIOR:
         return PRIOR[key]
-    if key.lstrip("/").split(" ")[0] in MARKERS:
-        return -8.0
-    return -4.0 if key.endswith("boilerplate") else -0.05
+    return -2.0 if key.endswith("boilerplate") else -0.05
+
+
+def score(items: list[tuple[str, str, bool, int]], weights: dict[str, float]) -> list[float]:
+    """What every tag and text of a page adds to a region."""
+    marks = any(marked for *_, marked in items)
+    out = []
+    for key, text, _, marked in items:
+        if text:
+            w = 0.0 if key == "boilerplate word" else MARKED if marked else OUTSIDE if marks else weights.get(key, PRIOR[key])
+            out.append(w * len(text.split()))
+        elif key.lstrip("/") in MARKERS and marked <= (key[0] == "/"):
+            out.append(MARKER)
+        else:
+            out.append(0.0 if marked else weights[key] if key in weights else default_weight(key))
+    return out
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -205,11 +227,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 def extract_text(page: str, weights: dict[str, float]) -> str:
     items = list(tokens(page))
-    scores = []
-    for key, text, _, _ in items:
-        w = weights[key] if key in weights else default_weight(key)
-        scores.append(w * len(text.split()) if key.endswith("word") else w)
-    a, b = best_region(scores)
+    a, b = best_region(score(items, weights))
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -231,15 +249,27 @@ def extract_text(page: str, weights: dict[str, float]) -> str:
 
 
 def fit(pages: DataFrame, column: str = "html", sample: int = SAMPLE_PAGES) -> dict[str, float]:
-    """Weights from at most ``sample`` labelled pages, chosen by the hash of their markup."""
-    labelled = pages.select(F.col(column).alias("html")).filter(F.col("html").rlike(r"(?i)<(article|main)\b"))
+    """Weights from at most ``sample`` different labelled pages, chosen by the hash of their markup."""
+    labelled = pages.select(F.col(column).alias("html"))
+    labelled = labelled.filter(F.col("html").rlike(r"(?i)<(article|main)\b") & (F.length("html") <= SAMPLE_CHARS))
     hashed = F.xxhash64("html")
-    # Hashes alone are sorted, so that tasks send no pages but the chosen ones.
-    cut = labelled.select(hashed.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    # Hashes alone are sorted, so that tasks send no pages but the chosen ones, each once; those are counted where they are.
+    cut = labelled.select(hashed.alias("h")).distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     if cut is None:
         return weigh(Counter())
-    rows = labelled.filter(hashed <= cut).limit(sample).collect()
-    return weigh(count(r[0] for r in rows))
+    chosen = labelled.filter(hashed <= cut).groupBy(hashed.alias("h")).agg(F.min("html").alias("html"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = count(b.column("html").to_pylist())
+            keys = [k for k, _ in found]
+            inside = [i for _, i in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array(inside, pa.bool_()), pa.array(found.values(), pa.int64())], names=["key", "inside", "n"]
+            )
+
+    rows = chosen.select("html").mapInArrow(run, "key string, inside boolean, n long").groupBy("key", "inside").agg(F.sum("n").alias("n"))
+    return weigh(Counter({(r["key"], r["inside"]): r["n"] for r in rows.collect()}))
 
 
 def extract(df: DataFrame, weights: dict[str, float] | None = None, column: str = "html") -> DataFrame:
