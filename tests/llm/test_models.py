@@ -94,6 +94,27 @@ def test_sample_leaves_the_held_out_fold_out(spark):
     assert labels.sample(table.limit(0), marks, "toxic", 7, F.lit(True))[0] == []
 
 
+def test_copies_push_no_labelled_row_out(spark):
+    """Ten thousand rows of one labelled id, two labels and two texts for others: each document counts once."""
+    table = [(1, "copied")] * 10_000 + [(i, f"text {i}") for i in range(2, 8)] + [(3, "another"), (3, None)]
+    docs_ = spark.createDataFrame(table, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 0) for i in range(1, 8)] + [(2, 1), (1, 0)] * 3, "doc_id long, toxic int")
+    want = [("copied", 0), ("text 2", 1), ("", 0), ("text 4", 0), ("text 5", 0), ("text 6", 0), ("text 7", 0)]
+    for given in (docs_, docs_.repartition(5), docs_.orderBy(F.rand(3))):
+        texts, y = labels.sample(given, marks.repartition(3), "toxic", 7, F.lit(True))
+        assert list(zip(texts, y.tolist())) == want
+
+
+def test_sample_has_a_bound_in_characters(spark, monkeypatch):
+    table = spark.createDataFrame([(i, "x" * (10 + i)) for i in range(50)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    whole = labels.sample(table, marks, "toxic", 100, F.lit(True))[0]
+    monkeypatch.setattr(labels, "TRAIN_TOTAL", 500)
+    some = labels.sample(table, marks, "toxic", 100, F.lit(True))[0]
+    assert len(whole) == 50 and 5 < len(some) < 50 and sum(map(len, some)) <= 500
+    assert some == labels.sample(table.repartition(9), marks, "toxic", 100, F.lit(True))[0]
+
+
 def test_queries_mark_the_folds(spark):
     for query, folds, fold in ((queries.op3_toxicity, 5, 0), (queries.op9_quality, 3, 1)):
         got = query(spark, "/root/testdata/sf0.001").collect()

@@ -6,8 +6,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Longest text in a training sample, in code points; scoring has no such bound.
-TRAIN_CHARS = 200_000
+from .frames import saved
+
+#: Longest text in a training sample and the most of all its texts, in code points; scoring has no such bounds.
+TRAIN_CHARS, TRAIN_TOTAL = 200_000, 50_000_000
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:
@@ -19,22 +21,26 @@ def sample(
 ) -> tuple[list[str], np.ndarray]:
     """Texts and labels of at most ``rows`` labelled documents for which ``learnable`` (over doc_id) holds.
 
-    The rows with the smallest hash of their id are taken, so the sample is the same in every run. Rows without a label and
-    labels without a document are left out.
+    The rows with the smallest hash of their id are taken, as many as ``TRAIN_TOTAL`` has room for, so the sample is the same
+    in every run. A document counts once: of several texts of one id the smallest by its bytes is taken, of several labels
+    the largest. Rows without a label and labels without a document are left out.
     """
     chosen = (
         labels.filter(learnable & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-        .select("doc_id", F.col(label).cast("int").alias("label"))
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.max(F.col(label).cast("int")).alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
     texts = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).filter(F.length("text") <= TRAIN_CHARS)
-    # At most ``rows`` rows of two numbers are sent to every task.
-    found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").limit(2 * rows).collect()
-    once = {r["doc_id"]: (r["text"], r["label"]) for r in found}
-    pairs = [once[k] for k in sorted(once)]
-    return [t for t, _ in pairs], np.array([y for _, y in pairs], np.int64)
+    # At most ``rows`` rows of two numbers are sent to every task, and as many documents come together.
+    once = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    once = saved(once, "sample")
+    sizes = once.select("doc_id", F.length("text").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    taken = int(np.searchsorted(np.cumsum([r["n"] for r in sizes]), TRAIN_TOTAL, side="right"))
+    found = once.filter(F.col("doc_id").isin([r["doc_id"] for r in sizes[:taken]])) if taken < len(sizes) else once
+    pairs = sorted((r["doc_id"], r["text"], r["label"]) for r in found.select("doc_id", "text", "label").collect())
+    return [t for _, t, _ in pairs], np.array([y for _, _, y in pairs], np.int64)
 
 
 class Adam:
