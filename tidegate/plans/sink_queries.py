@@ -272,7 +272,7 @@ def es_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def es_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed request numbers of at most 300 documents, in lanes of about 1,000 rows."""
     events = load(spark, sf_dir, "events").select("event_id")
-    return number_batches(events, "event_id", max_docs=300, rows_per_lane=1000)
+    return number_batches(events, "event_id", max_docs=300, rows_per_lane=1000, lane=F.col("event_id"))
 
 
 @query(f"""

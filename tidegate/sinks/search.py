@@ -63,17 +63,20 @@ def route(docs: DataFrame) -> DataFrame:
     return bring_together(docs, ["routing"])
 
 
-def number_batches(docs: DataFrame, unique_id: str, max_docs: int, rows_per_lane: int = 100_000) -> DataFrame:
+def number_batches(
+    docs: DataFrame, unique_id: str, max_docs: int, rows_per_lane: int = 100_000, lane: Column | None = None
+) -> DataFrame:
     """Fixed request numbers by the count rule: ``lane, batch`` with at most ``max_docs`` documents each.
 
     Lanes are residues of the unique id's hash, so ids in any stride spread over them. Their number follows the row count,
     so a lane stays near ``rows_per_lane`` rows whatever the table's size, and no other column can make one of them hot.
+    ``lane`` is a number to take the residue of instead, for ids that are known to be dense.
     """
     lanes = max(1, math.ceil(docs.count() / rows_per_lane))
-    lane = F.pmod(F.xxhash64(unique_id), F.lit(lanes)).cast("int")
+    dealt = F.pmod(F.xxhash64(unique_id) if lane is None else lane, F.lit(lanes)).cast("int")
     order = Window.partitionBy("lane").orderBy(unique_id)
     number = F.floor((F.row_number().over(order) - 1) / max_docs).cast("int")
-    return docs.withColumn("lane", lane).withColumn("batch", number)
+    return docs.withColumn("lane", dealt).withColumn("batch", number)
 
 
 #: Size limit of a request body whose sink names none.
