@@ -123,7 +123,10 @@ def test_transactions(spark, rows_per_task):
     "a, b, c",
     [
         (T.IntegerType(), T.LongType(), T.LongType()),
-        (T.FloatType(), T.LongType(), T.DoubleType()),
+        (T.FloatType(), T.IntegerType(), T.DoubleType()),
+        (T.FloatType(), T.LongType(), T.StringType()),
+        (T.DoubleType(), T.DecimalType(10, 2), T.StringType()),
+        (T.LongType(), T.DecimalType(38, 30), T.StringType()),
         (T.DecimalType(10, 2), T.IntegerType(), T.DecimalType(12, 2)),
         (T.DecimalType(10, 2), T.DecimalType(12, 6), T.DecimalType(14, 6)),
         (T.DateType(), T.TimestampNTZType(), T.TimestampNTZType()),

@@ -5,22 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 _WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
-_WHOLE_DIGITS = {"ByteType": 3, "ShortType": 5, "IntegerType": 10, "LongType": 20}
+_WHOLE_DIGITS = {"ByteType": 3, "ShortType": 5, "IntegerType": 10, "LongType": 19}
 _FLOATING = (T.FloatType, T.DoubleType)
 
 
 def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
-    """Smallest type that holds the values of both; text when nothing narrower does."""
+    """Smallest type that holds every value of both unchanged; text when none does.
+
+    A double holds whole numbers of 32 bits and less, and no decimals, whose fractions it would round.
+    """
     if a == b:
         return a
     if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
         if a in _WHOLE and b in _WHOLE:
             return _WHOLE[max(_WHOLE.index(a), _WHOLE.index(b))]
-        if isinstance(a, _FLOATING) or isinstance(b, _FLOATING):
-            return T.DoubleType()
+        floating = [isinstance(t, _FLOATING) for t in (a, b)]
+        if any(floating):
+            other = b if floating[0] else a
+            exact = all(floating) or isinstance(other, (T.ByteType, T.ShortType, T.IntegerType))
+            return T.DoubleType() if exact else T.StringType()
         whole, scale = zip(*[_digits(t) for t in (a, b)])
         total = max(whole) + max(scale)
-        return T.DecimalType(total, max(scale)) if total <= 38 else T.DoubleType()
+        return T.DecimalType(total, max(scale)) if total <= 38 else T.StringType()
     pair = {type(a), type(b)}
     if pair == {T.DateType, T.TimestampNTZType}:
         return T.TimestampNTZType()

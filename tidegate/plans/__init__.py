@@ -1,4 +1,4 @@
-from . import report_queries, sink_queries, source_queries, stream_queries, table_queries
+from . import lake_queries, report_queries, sink_queries, source_queries, stream_queries, table_queries
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "report_queries", "sink_queries", "source_queries", "stream_queries", "table_queries"]
+__all__ = ["QUERIES", "SQL", "lake_queries", "report_queries", "sink_queries", "source_queries", "stream_queries", "table_queries"]

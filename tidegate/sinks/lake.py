@@ -1,40 +1,182 @@
-"""Lake tables: append, upsert, exactly-once batches, compaction, expiration.
+"""Lake tables: append, upsert, exactly-once batches, versions, compaction, expiration.
 
 A catalog with row-level operations takes ``MERGE INTO``. Without one the table is merge-on-read: every batch of
-changes is one Parquet partition, and reading reduces them to the last change per key. Folded changes keep their order
-keys and tombstones, so a change that arrives after a compaction still loses to a later one.
-
-    <path>/tier=delta/writer=<name>/batch=<id>/    one partition per delivered batch
-    <path>/tier=base/writer=main/batch=<number>/   what the fold of that number holds
-    <path>/_folds/<number>/<name>@<id>             the last batch of each writer in it
-    <path>/_folded/<number>                        marks a base that is complete
+changes is one Parquet partition, a base holds the folded rows in buckets of the key, and reading merges what batches came
+after. Folded changes keep their order keys and tombstones, so a change that arrives after a compaction still loses to a
+later one.
+
+    <path>/tier=delta/writer=<name>/batch=<id>/                   one partition per delivered batch
+    <path>/tier=base/writer=main/batch=<number>/key_bucket=<b>/   the buckets that the fold of that number rewrote
+    <path>/_parts/<tier>@<writer>@<batch>@<schema>@<buckets>@<version>   marks a complete batch or base
+    <path>/_folds/<number>/<name>@<id>                        the last batch of each writer in a base
+    <path>/_schemas/<number>                                  every schema that rows were written under
+    <path>/_layout/<buckets>, _expired/<version>, _pins/...   bucket count, oldest readable version, readers
+
+A batch names the buckets it touches. A fold rewrites those only, the files of all others stay where they are, and a read
+merges those only: base rows of other buckets are passed on as they are stored. Merging is a join with the changes, one
+for each key at most, so it moves no base row where the planner can send the changes to the tasks, and reads no column but
+the keys, the order and what is asked for.
 
 Batch ids belong to their writer: a snapshot, a stream and a stream restarted with a new checkpoint deliver under names of
-their own, so none replaces or hides what another wrote.
+their own, so none replaces or hides what another wrote. Every completed batch or fold is a version; ``read(as_of=...)``
+returns the state at one, until ``expire`` gives it up.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, Window, functions as F, types as T
 
-from ..operators.changes import DELETE, collapse, to_append_only
+from ..operators.changes import DELETE, collapse, to_append_only, unkeyed
+from ..operators.evolve import conform, evolved_schema, wider_type
 from . import paths
 from .config import LakeSink
 
 MAIN = "main"
+BUCKETS = 16
+
+
+@dataclass(frozen=True)
+class Part:
+    """A complete batch (``delta``, or ``rows`` without keys) or fold (``base``), as its mark names it."""
+
+    tier: str
+    writer: str
+    batch: int
+    schema: int
+    buckets: frozenset[int]
+    version: int
+
+    @property
+    def mark(self) -> str:
+        bits = sum(1 << b for b in self.buckets)
+        return f"{self.tier}@{self.writer}@{self.batch}@{self.schema}@{bits:x}@{self.version}"
+
+    @property
+    def folder(self) -> str:
+        below = f"writer={self.writer}/batch={self.batch}"
+        return below if self.tier == "rows" else f"tier={self.tier}/{below}"
+
+    @classmethod
+    def of(cls, mark: str) -> Part | None:
+        m = re.fullmatch(r"(delta|base|rows)@([^@]+)@(-?\d+)@(\d+)@([0-9a-f]+)@(\d+)", mark)
+        if not m:
+            return None
+        bits = int(m[5], 16)
+        buckets = frozenset(b for b in range(bits.bit_length()) if bits >> b & 1)
+        return cls(m[1], m[2], int(m[3]), int(m[4]), buckets, int(m[6]))
+
 
+@dataclass(frozen=True)
+class State:
+    """What a version consists of: the base number that holds each bucket, and the batches to merge."""
 
-class LakeTable:
+    base: dict[int, Part]
+    deltas: list[Part]
+
+
+class BatchTable:
+    """Rows in batches: one Parquet partition for each, marked when it is complete, with the schema it was written under.
+
+    Rows are read under the schema they were written under, then cast to the table's: the declared ``schema``, or all columns
+    ever written, each of a type that holds all its values. ``auto_schema_change=False`` refuses batches with other columns
+    or types than the table has.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType | None = None, auto_schema_change: bool = True
+    ) -> None:
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.auto_schema_change = auto_schema_change
+        self._logged: dict[int, T.StructType] = {}
+
+    def append(self, rows: DataFrame, batch_id: int, writer: str = MAIN) -> None:
+        """Append one batch; the same id from the same writer again replaces it."""
+        schema = self._schema_number(rows.schema)
+        _overwrite(rows.withColumns(_placed(batch_id, writer)).write, self.path, "writer", "batch")
+        self._mark("rows", batch_id, writer, schema, frozenset([0]))
+
+    def rows(self) -> DataFrame:
+        """Rows of all batches."""
+        schemas = self._schemas()
+        # A batch without rows has no folder.
+        there = [p for p in self._parts() if paths.exists(self.spark, f"{self.path}/{p.folder}")]
+        return self._files({p.folder: p.schema for p in there}, self.columns(schemas), schemas)
+
+    def _mark(self, tier: str, batch_id: int, writer: str, schema: int, touched: frozenset[int]) -> None:
+        """Mark a batch complete. A replay keeps the version of the first time and replaces its mark."""
+        parts = self._parts()
+        same = [p for p in parts if (p.tier, p.writer, p.batch) == (tier, writer, batch_id)]
+        version = same[0].version if same else max([int(time.time() * 1000), *(p.version + 1 for p in parts)])
+        part = Part(tier, writer, batch_id, schema, touched, version)
+        paths.touch(self.spark, f"{self.path}/_parts/{part.mark}")
+        for old in same:
+            if old != part:
+                paths.delete(self.spark, f"{self.path}/_parts/{old.mark}")
+
+    def _schemas(self) -> dict[int, T.StructType]:
+        """All logged schemas; each is read once, as it never changes."""
+        root = f"{self.path}/_schemas"
+        for n in sorted(int(n) for n in paths.names(self.spark, root) if n.isdigit()):
+            if n not in self._logged:
+                self._logged[n] = T.StructType.fromJson(paths.read_json(self.spark, f"{root}/{n}"))
+        return dict(sorted(self._logged.items()))
+
+    def _schema_number(self, schema: T.StructType) -> int:
+        """The number under which a schema is logged; a new one is logged if the table may change."""
+        plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        while True:
+            known = self._schemas()
+            for n, s in known.items():
+                if s == plain:
+                    return n
+            if known and not self.auto_schema_change:
+                old = self.columns(known)
+                if evolved_schema(old, plain) != old:
+                    raise ValueError(f"columns differ from the table's and it may not change: {plain.simpleString()}")
+            number = max(known, default=-1) + 1
+            if paths.write_new_json(self.spark, f"{self.path}/_schemas/{number}", plain.jsonValue()):
+                return number
+
+    def columns(self, known: dict[int, T.StructType] | None = None) -> T.StructType:
+        """The table's columns: all that were ever written, in a type that holds every value."""
+        schemas = list((self._schemas() if known is None else known).values())
+        stored = reduce(evolved_schema, schemas) if schemas else T.StructType()
+        if self.schema is None:
+            return stored
+        have = {f.name: f.dataType for f in stored}
+        return T.StructType([T.StructField(f.name, wider_type(f.dataType, have.get(f.name, f.dataType))) for f in self.schema])
+
+    def _parts(self, as_of: int | None = None) -> list[Part]:
+        parts = [p for n in paths.names(self.spark, f"{self.path}/_parts") if (p := Part.of(n))]
+        newest: dict[tuple, Part] = {}
+        for p in sorted(parts, key=lambda p: p.version):
+            if as_of is None or p.version <= as_of:
+                newest[p.tier, p.writer, p.batch] = p
+        return sorted(newest.values(), key=lambda p: (p.version, p.mark))
+
+    def _files(self, folders: dict[str, int], schema: T.StructType, schemas: dict[int, T.StructType]) -> DataFrame:
+        """Rows of folders, each read under its own schema and cast to the table's."""
+        by_schema: dict[int, list[str]] = {}
+        for folder, number in folders.items():
+            by_schema.setdefault(number, []).append(f"{self.path}/{folder}")
+        read = [conform(self.spark.read.schema(schemas[n]).parquet(*where), schema) for n, where in sorted(by_schema.items())]
+        return reduce(DataFrame.unionByName, read) if read else self.spark.createDataFrame([], schema)
+
+
+class LakeTable(BatchTable):
     """A merge-on-read table of changes keyed by ``pk`` and ordered by ``order_by``.
 
-    With a ``schema`` of the stored columns files of older batches are read under it: a column they lack is null and a
-    narrower type is widened. Without one the schemas of all files are merged; a read that is not ``evolving`` takes that of
-    one file, for tables whose columns never change.
+    ``buckets`` is fixed by the first batch. Changes with a null in the key or the order key can't be applied;
+    ``append_batch`` keeps them in ``<path>_rejects``.
     """
 
     def __init__(
@@ -45,64 +187,150 @@ class LakeTable:
         order_by: Sequence[str],
         op: str = "op",
         schema: T.StructType | None = None,
+        buckets: int = BUCKETS,
+        auto_schema_change: bool = True,
     ) -> None:
-        self.spark, self.path, self.op, self.schema = spark, path.rstrip("/"), op, schema
-        self.pk, self.order_by = list(pk), list(order_by)
+        if not pk or not order_by:
+            raise ValueError("a primary key and an order are required to apply changes")
+        super().__init__(spark, path, schema, auto_schema_change)
+        self.pk, self.order_by, self.op, self._buckets = list(pk), list(order_by), op, buckets
 
     # -- writing
 
     def append_batch(self, changes: DataFrame, batch_id: int, writer: str = MAIN) -> None:
         """Deliver one batch. The same id from the same writer again replaces it, so a replay changes nothing."""
-        last = collapse(changes, self.pk, self.order_by, self.op)
-        self._write(last, "delta", batch_id, writer)
-
-    def _write(self, rows: DataFrame, tier: str, batch_id: int, writer: str = MAIN) -> None:
-        rows = rows.withColumns({"tier": F.lit(tier), **_placed(batch_id, writer)})
-        _overwrite(rows, self.path, "tier", "writer", "batch")
+        keyless = Observation()
+        reason = unkeyed(changes, self.pk, self.order_by)
+        seen = changes.observe(keyless, F.count_if(reason.isNotNull()).alias("bad")).filter(reason.isNull())
+        self._commit(collapse(seen, self.pk, self.order_by, self.op), "delta", batch_id, writer)
+        if keyless.get["bad"]:
+            bad = changes.withColumn("error", reason).filter("error IS NOT NULL")
+            bad = bad.select(F.to_json(F.struct(*changes.columns)).alias("raw"), "error")
+            append_partition(bad, f"{self.path}_rejects", batch_id, writer)
+
+    def _commit(self, rows: DataFrame, tier: str, batch_id: int, writer: str = MAIN, also: Sequence[str] = ()) -> None:
+        """Write rows, then mark them complete; ``also`` are paths of marks that have to be there before."""
+        schema = self._schema_number(rows.schema)
+        touched = self._write(rows, tier, batch_id, writer)
+        for mark in also:
+            paths.touch(self.spark, mark)
+        self._mark(tier, batch_id, writer, schema, touched)
+
+    def _write(self, rows: DataFrame, tier: str, batch_id: int, writer: str = MAIN) -> frozenset[int]:
+        """The buckets that the written rows lie in."""
+        n = self.buckets
+        found = Observation()
+        bit = lambda w: F.when(F.floor(F.col("key_bucket") / 64) == w, F.expr("shiftleft(1L, key_bucket % 64)"))
+        words = [F.bit_or(bit(w)).alias(f"w{w}") for w in range((n + 63) // 64)]
+        placed = rows.withColumn("key_bucket", self._bucket()).observe(found, *words)
+        placed = placed.withColumns({"tier": F.lit(tier), **_placed(batch_id, writer)})
+        if tier == "base":
+            # Neighbouring keys lie together, so that a file's range of keys tells whether it is worth reading.
+            placed = placed.sortWithinPartitions("key_bucket", *self.pk)
+            filtered = [c for c in self.pk if isinstance(rows.schema[c].dataType, (T.IntegerType, T.LongType, T.StringType))]
+            out = placed.write.options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in filtered})
+            _overwrite(out, self.path, "tier", "writer", "batch", "key_bucket")
+        else:
+            _overwrite(placed.drop("key_bucket").write, self.path, "tier", "writer", "batch")
+        values = found.get
+        bits = [(values.get(f"w{w}") or 0) & (2**64 - 1) for w in range(len(words))]
+        return frozenset(w * 64 + b for w, x in enumerate(bits) for b in range(64) if x >> b & 1)
+
+    @property
+    def buckets(self) -> int:
+        """The table's bucket count: that of the first one to write."""
+        root = f"{self.path}/_layout"
+        there = [int(n) for n in paths.names(self.spark, root) if n.isdigit()]
+        if not there:
+            paths.touch(self.spark, f"{root}/{self._buckets}")
+            there = [int(n) for n in paths.names(self.spark, root) if n.isdigit()]
+        return min(there)
+
+    def _bucket(self) -> Column:
+        """By the key as text, so that a key keeps its bucket when its type is widened."""
+        return F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in self.pk]), F.lit(self.buckets)).cast("int")
 
     # -- reading
 
-    def _stored(self, evolving: bool = True) -> DataFrame:
-        if self.schema is None:
-            return self.spark.read.option("mergeSchema", str(evolving).lower()).parquet(self.path)
-        partitions = [T.StructField(n, T.StringType()) for n in ("tier", "writer")] + [T.StructField("batch", T.LongType())]
-        return self.spark.read.schema(T.StructType([*self.schema.fields, *partitions])).parquet(self.path)
-
-    def _live(self, evolving: bool) -> DataFrame:
-        """The newest complete base and the batches it doesn't hold; partition pruning skips everything else."""
-        base = self._newest_base()
-        live = F.col("tier") == "delta"
-        if base is not None:
-            folded = self._folded(base)
-            new = ~F.col("writer").isin(*folded)
-            for name, last in folded.items():
-                new = new | ((F.col("writer") == name) & (F.col("batch") > last))
-            live = (live & new) | ((F.col("tier") == "base") & (F.col("batch") == base))
-        return self._stored(evolving).filter(live).drop("tier", "writer", "batch")
-
-    def changes(self, evolving: bool = True) -> DataFrame:
-        """Every stored change, deletes included."""
-        return self._stored(evolving).drop("tier", "writer", "batch")
-
-    def read(self, evolving: bool = True) -> DataFrame:
-        """Current rows."""
-        last = collapse(self._live(evolving), self.pk, self.order_by, self.op)
-        return last.filter(F.col(self.op) != DELETE).drop(self.op)
+    def _state(self, parts: list[Part]) -> State:
+        bases = sorted((p for p in parts if p.tier == "base"), key=lambda p: p.batch)
+        base = {b: p for p in bases for b in p.buckets}
+        folded = self._folded(bases[-1].batch if bases else None)
+        deltas = [p for p in parts if p.tier == "delta" and p.buckets and p.batch > folded.get(p.writer, p.batch - 1)]
+        return State(base, deltas)
 
-    # -- upkeep
+    def versions(self) -> list[int]:
+        """Versions that can be read, oldest first."""
+        oldest = self._oldest()
+        return [p.version for p in self._parts() if p.version >= oldest]
 
-    def _batches(self, tier: str) -> dict[str, list[int]]:
-        """Batches of every writer."""
-        root = f"{self.path}/tier={tier}"
-        writers = [n.removeprefix("writer=") for n in paths.names(self.spark, root) if n.startswith("writer=")]
-        return {w: paths.partition_values(self.spark, f"{root}/writer={w}", "batch") for w in writers}
+    def _oldest(self) -> int:
+        return max((int(n) for n in paths.names(self.spark, f"{self.path}/_expired") if n.isdigit()), default=0)
 
-    def _delete(self, tier: str, writer: str, batch_id: int) -> None:
-        paths.delete(self.spark, f"{self.path}/tier={tier}/writer={writer}/batch={batch_id}")
+    def changes(self) -> DataFrame:
+        """Every stored change, deletes included: of all batches that are still there, and of the base."""
+        schemas, parts = self._schemas(), self._parts()
+        folders = {f"{p.folder}/key_bucket={b}": p.schema for b, p in self._state(parts).base.items()}
+        folders |= {p.folder: p.schema for p in parts if p.tier == "delta" and p.buckets}
+        return self._files(folders, self.columns(schemas), schemas)
+
+    def read(self, columns: Sequence[str] | None = None, as_of: int | None = None, evolving: bool = True) -> DataFrame:
+        """Current rows, or those of a version; with ``columns`` only these are read, beside key and order.
+
+        A read that is not ``evolving`` takes the columns of the newest schema alone.
+        """
+        if as_of is not None and as_of < self._oldest():
+            raise ValueError(f"version {as_of} was expired")
+        rows = self._merged(self._state(self._parts(as_of)), evolving=evolving).filter(F.col(self.op) != DELETE).drop(self.op)
+        return rows.select(*columns) if columns is not None else rows
+
+    def _merged(self, state: State, touched_only: bool = False, evolving: bool = True) -> DataFrame:
+        """The last change of every key, deletes included; of the buckets that batches touch or of all."""
+        schemas = self._schemas()
+        schema = self.columns(schemas if evolving else dict(list(schemas.items())[-1:]))
+        touched = frozenset().union(*(p.buckets for p in state.deltas))
+        of = lambda some: {f"{p.folder}/key_bucket={b}": p.schema for b, p in state.base.items() if some(b)}
+        met = of(lambda b: b in touched)
+        out = []
+        if not touched_only and (rest := of(lambda b: b not in touched)):
+            out.append(self._files(rest, schema, schemas))
+        if state.deltas:
+            found = self._files({p.folder: p.schema for p in state.deltas}, schema, schemas)
+            last = self._last(found) if len(state.deltas) > 1 else found
+            out += self._settle(self._files(met, schema, schemas), last) if met else [last]
+        return reduce(DataFrame.unionByName, out) if out else self.spark.createDataFrame([], schema)
+
+    def _order(self, rows: DataFrame | None = None) -> Column:
+        of = (lambda c: rows[c]) if rows is not None else F.col
+        return F.struct(*[of(c) for c in self.order_by], (of(self.op) == DELETE).alias("_is_delete"))
+
+    def _last(self, changes: DataFrame) -> DataFrame:
+        """The last change of each key. Tasks first keep one row per key of their own, so no key gathers in one task."""
+        nth = Window.partitionBy(*self.pk).orderBy(self._order().desc())
+        return changes.withColumn("__nth", F.row_number().over(nth)).filter("__nth = 1").drop("__nth")
+
+    def _settle(self, base: DataFrame, last: DataFrame) -> list[DataFrame]:
+        """The rows of a base that no change replaces, and the changes that no row of it outlives; a row per key on either side."""
+        names = [f"__key_{c}" for c in self.pk]
+        key = reduce(lambda a, b: a & b, [F.col(c) == F.col(n) for c, n in zip(self.pk, names)])
+        of = lambda rows, order: rows.select(*[F.col(c).alias(n) for c, n in zip(self.pk, names)], self._order().alias(order))
+        kept = base.join(of(last, "__theirs"), key & (F.col("__theirs") > self._order()), "left_anti")
+        # Keys whose base row stays: few, found among the changes' keys without moving the base.
+        outlived = of(last, "__theirs").join(
+            base.select(*self.pk, self._order().alias("__mine")), key & (F.col("__mine") >= F.col("__theirs"))
+        )
+        return [kept, last.join(outlived.select(*names), key, "left_anti")]
+
+    # -- upkeep
+
+    def files(self) -> dict[int, frozenset[str]]:
+        """Names of the base's files, by bucket."""
+        base = self._state(self._parts()).base
+        names = lambda b, p: paths.names(self.spark, f"{self.path}/{p.folder}/key_bucket={b}")
+        return {b: frozenset(n for n in names(b, p) if n[0] not in "._") for b, p in base.items()}
 
     def _newest_base(self) -> int | None:
-        marks = paths.names(self.spark, f"{self.path}/_folded")
-        return max((int(n) for n in marks if n.isdigit()), default=None)
+        return max((p.batch for p in self._parts() if p.tier == "base"), default=None)
 
     def _folded(self, base: int | None) -> dict[str, int]:
         """The last batch of each writer that a base holds."""
@@ -114,40 +342,78 @@ class LakeTable:
         return out
 
     def compact(self) -> int | None:
-        """Fold all batches present now into a new base; returns the base's number, the last folded batch id or above.
-
-        The reduce tasks of the fold write the files, so their size is the adaptive planner's advisory partition size.
-        """
-        newest, deltas = self._newest_base(), self._batches("delta")
-        folded = self._folded(newest)
-        last = {w: b[-1] for w, b in deltas.items() if b and b[-1] > folded.get(w, -1)}
-        if not last:
+        """Fold all batches present now into a new base, which rewrites the buckets they touch; returns the newest base's number."""
+        parts = self._parts()
+        newest = max((p.batch for p in parts if p.tier == "base"), default=None)
+        state, folded = self._state(parts), self._folded(newest)
+        last = dict(folded)
+        for p in parts:
+            if p.tier == "delta":
+                last[p.writer] = max(p.batch, last.get(p.writer, -1))
+        if not state.deltas:
             return newest
-        number = max(0 if newest is None else newest + 1, *last.values())
-        self._write(collapse(self._live(evolving=True), self.pk, self.order_by, self.op), "base", number)
-        for name, batch_id in {**folded, **last}.items():
-            paths.touch(self.spark, f"{self.path}/_folds/{number}/{name}@{batch_id}")
-        paths.touch(self.spark, f"{self.path}/_folded/{number}")
+        number = max(0 if newest is None else newest + 1, *(p.batch for p in state.deltas))
+        marks = [f"{self.path}/_folds/{number}/{name}@{batch_id}" for name, batch_id in last.items()]
+        paths.delete(self.spark, f"{self.path}/_folds/{number}")  # of a fold that died
+        self._commit(self._merged(state, touched_only=True), "base", number, also=marks)
         return number
 
-    def expire(self, keep_batches: int = 0) -> list[int]:
-        """Drop batches and bases a complete newer base holds, but keep the newest ``keep_batches`` batches of each writer."""
-        newest = self._newest_base()
-        if newest is None:
+    def expire(self, keep_batches: int = 0, before: int | None = None) -> list[int]:
+        """Drop batches and bases that no version from ``before`` on needs, by default none but the newest version.
+
+        Versions that readers have pinned stay as well, and the newest ``keep_batches`` batches of each writer. Returns the
+        ids of the dropped batches. ``version_before`` turns an age into a version.
+        """
+        parts = self._parts()
+        if not parts:
             return []
+        horizon = min([parts[-1].version if before is None else before, *self._pinned()])
+        # The state at the horizon, and all that came later.
+        then = self._state([p for p in parts if p.version <= horizon])
+        needed = {p for p in then.deltas} | {p for p in parts if p.version > horizon}
+        for writer in {p.writer for p in parts if p.tier == "delta"} if keep_batches else ():
+            needed |= set(sorted((p for p in parts if p.tier == "delta" and p.writer == writer), key=lambda p: p.batch)[-keep_batches:])
+        live = self._state(parts)
+        needed |= set(live.deltas)
+        held = {(b, p.batch) for s in (then, live) for b, p in s.base.items()}
+        paths.touch(self.spark, f"{self.path}/_expired/{horizon}")
         dropped = []
-        folded = self._folded(newest)
-        for writer, deltas in self._batches("delta").items():
-            kept = set(deltas[len(deltas) - keep_batches :]) if keep_batches else set()
-            for b in deltas:
-                if b <= folded.get(writer, -1) and b not in kept:
-                    self._delete("delta", writer, b)
-                    dropped.append(b)
-        for b in self._batches("base").get(MAIN, ()):
-            if b < newest:
-                self._delete("base", MAIN, b)
+        for p in parts:
+            if p.tier == "delta" and p not in needed:
+                paths.delete(self.spark, f"{self.path}/_parts/{p.mark}")
+                paths.delete(self.spark, f"{self.path}/{p.folder}")
+                dropped.append(p.batch)
+            elif p.tier == "base" and p not in needed:
+                left = {b for b in p.buckets if (b, p.batch) in held}
+                for gone in [f"key_bucket={b}" for b in p.buckets - left] if left else [""]:
+                    paths.delete(self.spark, f"{self.path}/{p.folder}/{gone}".rstrip("/"))
+                if not left:
+                    paths.delete(self.spark, f"{self.path}/_parts/{p.mark}")
+                    paths.delete(self.spark, f"{self.path}/_folds/{p.batch}")
         return sorted(dropped)
 
+    def version_before(self, seconds: float) -> int:
+        """The version that was current so many seconds ago, the oldest one there is if none was."""
+        at = int((time.time() - seconds) * 1000)
+        versions = self.versions()
+        return max((v for v in versions if v <= at), default=versions[0] if versions else 0)
+
+    @contextmanager
+    def pinned(self, as_of: int | None = None, seconds: float = 86_400) -> Iterator[DataFrame]:
+        """Rows of a version, by default the newest, that no expiration takes while the block runs, for ``seconds`` at most."""
+        parts = self._parts()
+        version = as_of if as_of is not None else parts[-1].version if parts else 0
+        pin = f"{self.path}/_pins/{uuid.uuid4().hex}@{version}@{int((time.time() + seconds) * 1000)}"
+        paths.touch(self.spark, pin)
+        try:
+            yield self.read(as_of=version)
+        finally:
+            paths.delete(self.spark, pin)
+
+    def _pinned(self) -> list[int]:
+        pins = [n.split("@") for n in paths.names(self.spark, f"{self.path}/_pins")]
+        return [int(p[1]) for p in pins if len(p) == 3 and int(p[2]) > time.time() * 1000]
+
 
 def _placed(batch_id: int, writer: str) -> dict[str, Column]:
     if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_-]*", writer):
@@ -155,9 +421,9 @@ def _placed(batch_id: int, writer: str) -> dict[str, Column]:
     return {"writer": F.lit(writer), "batch": F.lit(batch_id).cast("long")}
 
 
-def _overwrite(rows: DataFrame, path: str, *partitions: str) -> None:
-    """Replace the partitions that ``rows`` have."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+def _overwrite(out: DataFrameWriter, path: str, *partitions: str) -> None:
+    """Replace the partitions that the rows have."""
+    out.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def writer_of(checkpoint: str) -> str:
@@ -167,12 +433,12 @@ def writer_of(checkpoint: str) -> str:
 
 def append_partition(rows: DataFrame, path: str, batch_id: int, writer: str = MAIN) -> None:
     """Append one batch of plain rows; the same id from the same writer again replaces it."""
-    _overwrite(rows.withColumns(_placed(batch_id, writer)), path, "writer", "batch")
+    BatchTable(rows.sparkSession, path).append(rows, batch_id, writer)
 
 
 def read_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of all batches."""
-    return spark.read.option("mergeSchema", "true").parquet(path).drop("writer", "batch")
+    """Rows of all batches, whatever columns and types each has."""
+    return BatchTable(spark, path).rows()
 
 
 def merge_sql(

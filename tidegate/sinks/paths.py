@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -35,3 +38,28 @@ def touch(spark: SparkSession, path: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     target, fs = _resolve(spark, path)
     fs.delete(target, True)
+
+
+def write_new_json(spark: SparkSession, path: str, value: object) -> bool:
+    """Write a small file that wasn't there; false if it was."""
+    target, fs = _resolve(spark, path)
+    if fs.exists(target):
+        return False
+    temporary, _ = _resolve(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(temporary, False)
+    out.write(bytearray(json.dumps(value).encode()))
+    out.close()
+    # A rename doesn't replace a file, so of several writers one succeeds and none sees half a file.
+    if fs.exists(target) or not fs.rename(temporary, target):
+        fs.delete(temporary, False)
+        return False
+    return True
+
+
+def read_json(spark: SparkSession, path: str) -> object:
+    target, fs = _resolve(spark, path)
+    stream = fs.open(target)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()

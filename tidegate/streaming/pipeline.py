@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.changes import mark_transactions, transaction_sizes
+from ..operators.changes import mark_transactions, transaction_sizes, unkeyed
 from ..sinks import paths
 from ..sinks.lake import MAIN, LakeTable, append_partition, writer_of
 
@@ -30,22 +30,6 @@ def run_stream(
     )
 
 
-def unkeyed(changes: DataFrame, pk: Sequence[str], order_by: Sequence[str]) -> Column:
-    """Why a change row cannot be applied: ``null key`` or ``null order key``, else null.
-
-    An order key of several fields is null if all of them are.
-    """
-
-    def missing(c: str) -> Column:
-        kind = changes.schema[c].dataType
-        if not isinstance(kind, T.StructType):
-            return F.col(c).isNull()
-        return F.col(c).isNull() | reduce(lambda a, b: a & b, [F.col(c)[f.name].isNull() for f in kind])
-
-    any_of = lambda names: reduce(lambda a, b: a | b, [missing(c) for c in names], F.lit(False))
-    return F.when(any_of(pk), "null key").when(any_of(order_by), "null order key")
-
-
 def append_and_reject(
     decoded: DataFrame,
     append: Callable[[DataFrame, int], None],
