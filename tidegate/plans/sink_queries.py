@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.typemap import struct_of
@@ -20,6 +22,7 @@ from ..sinks import (
     jdbc,
     number_batches,
     pack_requests,
+    prepare,
     read_files,
     route,
     split_unknown_fields,
@@ -275,6 +278,47 @@ def es_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_batches(events, "event_id", max_docs=300, rows_per_lane=1000, lane=F.col("event_id"))
 
 
+@query("""
+    SELECT CASE WHEN event_id % 7 = 0 THEN 'null document id' WHEN props IS NOT NULL THEN 'unknown fields: props' ELSE 'sent' END AS outcome,
+        count(*) AS docs FROM events GROUP BY 1
+    UNION ALL SELECT CASE WHEN event_id % 7 = 0 THEN 'null document id, changing' ELSE 'sent, changing' END, count(*) FROM events GROUP BY 1
+""")
+def es_strict_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a value in a field that the index doesn't have are rejected, unless the sink changes its schema."""
+    events = load(spark, sf_dir, "events")
+    events = events.withColumn("doc", F.when(F.col("event_id") % 7 != 0, F.col("event_id")))
+    fields = ["doc", "event_id", "ts", "user_id", "event_type", "value"]
+
+    def outcomes(change: bool, label: str) -> DataFrame:
+        sink = SearchSink("https://search:9200", "events", primary_key="doc", auto_schema_change=change)
+        docs, rejects = prepare(events, sink, fields=fields)
+        whole = F.get_json_object("source", "$.user_id").isNotNull()
+        sent = docs.filter(whole & (F.get_json_object("source", "$.props").isNull() | F.lit(change)))
+        named = sent.select(F.lit("sent").alias("outcome")).union(rejects.select("error"))
+        return named.groupBy(F.concat("outcome", F.lit(label)).alias("outcome")).agg(F.count("*").alias("docs"))
+
+    return outcomes(False, "").unionByName(outcomes(True, ", changing"))
+
+
+@query("""
+    SELECT CAST(user_id AS VARCHAR) AS _id, event_id AS version, event_type FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+    WHERE rn = 1 AND event_type <> 'error'
+""")
+def es_changes_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches out of order, with replays: the actions' versions leave the last change of every id in the index."""
+    sink = SearchSink("https://search:9200", "users", primary_key="user_id")
+    batches = _batches(fx.change_log(spark, sf_dir))
+    sent = [prepare(b, sink, order_by=["event_id"], version="event_id")[0] for b in [*batches, batches[0]]]
+    everything = reduce(DataFrame.unionByName, sent)
+    # What an index does that refuses versions below the last one it has seen for an id.
+    kept = everything.groupBy("_id").agg(
+        F.max("version").alias("version"), F.max_by("action", "version").alias("action"), F.max_by("source", "version").alias("source")
+    )
+    kept = kept.filter("action = 'index'")
+    return kept.select("_id", "version", F.get_json_object("source", "$.event_type").alias("event_type"))
+
+
 @query(f"""
     WITH d AS (
         SELECT l_returnflag = 'R' AS gone, json_object('_index', 'lines', '_id', {_LINE_ID}) AS target,

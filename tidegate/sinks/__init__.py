@@ -11,6 +11,7 @@ from .search import (
     ndjson,
     number_batches,
     pack_requests,
+    prepare,
     route,
     send_requests,
     split_unkeyed_docs,

@@ -47,6 +47,7 @@ class JdbcSink:
     schema: str = "public"
     data_type: str = "append-only"
     primary_key: str | None = None
+    tombstone: str | None = None  # column of the table that marks deleted keys
     options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -79,6 +80,7 @@ class LakeSink:
     primary_key: str | None = None
     force_append_only: bool = False
     create_table: bool = True
+    tombstone: str | None = None  # column of a catalog table that marks deleted keys
     options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:

@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators.skew import bring_together
+from .lake import MAIN, overwrite, placed
 
 RESULT = "sink string, table string, rows long, ok boolean, error string, seconds double"
 
@@ -51,18 +52,18 @@ def deliver_tables(
     return spark.createDataFrame(results, RESULT)
 
 
-def fan_out(feed: DataFrame, path: str, schema: str = "schema", table: str = "table") -> None:
-    """One pass over a multi-table feed: its rows land in one partition per table.
+def fan_out(
+    feed: DataFrame, path: str, schema: str = "schema", table: str = "table", batch_id: int | None = None, writer: str = MAIN
+) -> None:
+    """One pass over a multi-table feed: its rows land in one partition per table, writer and batch.
 
-    The rows are brought together by table first. Otherwise every task would leave a file in every table's partition.
+    The rows are brought together by table first. Otherwise every task would leave a file in every table's partition. The
+    same batch of a writer again replaces its rows; without a ``batch_id`` every call is a batch of its own.
     """
+    batch = batch_id if batch_id is not None else time.time_ns() // 1000
     named = feed.withColumnsRenamed({schema: "source_schema", table: "source_table"})
-    (
-        bring_together(named, ["source_schema", "source_table"])
-        .write.mode("append")
-        .partitionBy("source_schema", "source_table")
-        .parquet(path)
-    )
+    dealt = bring_together(named, ["source_schema", "source_table"]).withColumns(placed(batch, writer))
+    overwrite(dealt.write, path, "source_schema", "source_table", "writer", "batch")
 
 
 def fan_out_table(
@@ -70,7 +71,7 @@ def fan_out_table(
 ) -> DataFrame:
     """One table's rows of a fanned-out feed, the JSON payload parsed into its columns."""
     rows = spark.read.parquet(path).filter((F.col("source_schema") == schema) & (F.col("source_table") == table))
-    rows = rows.drop("source_schema", "source_table")
+    rows = rows.drop("source_schema", "source_table", "writer", "batch")
     if columns is None:
         return rows
     others = [c for c in rows.columns if c != payload]

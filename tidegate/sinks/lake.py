@@ -101,7 +101,7 @@ class BatchTable:
     def append(self, rows: DataFrame, batch_id: int, writer: str = MAIN) -> None:
         """Append one batch; the same id from the same writer again replaces it."""
         schema = self._schema_number(rows.schema)
-        _overwrite(rows.withColumns(_placed(batch_id, writer)).write, self.path, "writer", "batch")
+        overwrite(rows.withColumns(placed(batch_id, writer)).write, self.path, "writer", "batch")
         self._mark("rows", batch_id, writer, schema, frozenset([0]))
 
     def rows(self) -> DataFrame:
@@ -222,16 +222,16 @@ class LakeTable(BatchTable):
         found = Observation()
         bit = lambda w: F.when(F.floor(F.col("key_bucket") / 64) == w, F.expr("shiftleft(1L, key_bucket % 64)"))
         words = [F.bit_or(bit(w)).alias(f"w{w}") for w in range((n + 63) // 64)]
-        placed = rows.withColumn("key_bucket", self._bucket()).observe(found, *words)
-        placed = placed.withColumns({"tier": F.lit(tier), **_placed(batch_id, writer)})
+        located = rows.withColumn("key_bucket", self._bucket()).observe(found, *words)
+        located = located.withColumns({"tier": F.lit(tier), **placed(batch_id, writer)})
         if tier == "base":
             # Neighbouring keys lie together, so that a file's range of keys tells whether it is worth reading.
-            placed = placed.sortWithinPartitions("key_bucket", *self.pk)
+            located = located.sortWithinPartitions("key_bucket", *self.pk)
             filtered = [c for c in self.pk if isinstance(rows.schema[c].dataType, (T.IntegerType, T.LongType, T.StringType))]
-            out = placed.write.options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in filtered})
-            _overwrite(out, self.path, "tier", "writer", "batch", "key_bucket")
+            out = located.write.options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in filtered})
+            overwrite(out, self.path, "tier", "writer", "batch", "key_bucket")
         else:
-            _overwrite(placed.drop("key_bucket").write, self.path, "tier", "writer", "batch")
+            overwrite(located.drop("key_bucket").write, self.path, "tier", "writer", "batch")
         values = found.get
         bits = [(values.get(f"w{w}") or 0) & (2**64 - 1) for w in range(len(words))]
         return frozenset(w * 64 + b for w, x in enumerate(bits) for b in range(64) if x >> b & 1)
@@ -415,13 +415,13 @@ class LakeTable(BatchTable):
         return [int(p[1]) for p in pins if len(p) == 3 and int(p[2]) > time.time() * 1000]
 
 
-def _placed(batch_id: int, writer: str) -> dict[str, Column]:
+def placed(batch_id: int, writer: str) -> dict[str, Column]:
     if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_-]*", writer):
         raise ValueError(f"a writer's name begins with a letter, then has letters, digits, _ or -: {writer!r}")
     return {"writer": F.lit(writer), "batch": F.lit(batch_id).cast("long")}
 
 
-def _overwrite(out: DataFrameWriter, path: str, *partitions: str) -> None:
+def overwrite(out: DataFrameWriter, path: str, *partitions: str) -> None:
     """Replace the partitions that the rows have."""
     out.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
@@ -442,17 +442,32 @@ def read_partitions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merge_sql(
-    target: str, view: str, columns: Sequence[str], pk: Sequence[str], op: str = "op", order_by: Sequence[str] = ()
+    target: str,
+    view: str,
+    columns: Sequence[str],
+    pk: Sequence[str],
+    op: str = "op",
+    order_by: Sequence[str] = (),
+    tombstone: str | None = None,
 ) -> str:
     """``MERGE INTO`` for catalogs with row-level operations.
 
-    With ``order_by`` columns, kept in the target, only a later change touches a row, whatever order batches come in.
+    With ``order_by`` columns, kept in the target, only a later change touches a row, whatever order batches come in. With
+    ``tombstone``, a boolean column of the target, a deleted key stays as a row for which it is true, so that this holds for
+    changes older than a delete as well.
     """
     on = " AND ".join(f"t.`{c}` = s.`{c}`" for c in pk)
     sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns if c not in pk)
     names = ", ".join(f"`{c}`" for c in columns)
     values = ", ".join(f"s.`{c}`" for c in columns)
     later = f" AND ({_later('s', 't', order_by)})" if order_by else ""
+    if tombstone:
+        gone = f"s.`{op}` = '{DELETE}'"
+        return (
+            f"MERGE INTO {target} t USING {view} s ON {on} "
+            f"WHEN MATCHED{later} THEN UPDATE SET {', '.join(filter(None, [sets, f't.`{tombstone}` = {gone}']))} "
+            f"WHEN NOT MATCHED THEN INSERT ({names}, `{tombstone}`) VALUES ({values}, {gone})"
+        )
     update = f"WHEN MATCHED{later} THEN UPDATE SET {sets} " if sets else ""
     return (
         f"MERGE INTO {target} t USING {view} s ON {on} "
@@ -488,9 +503,12 @@ def upsert_table(changes: DataFrame, sink: LakeSink, order_by: Sequence[str], ba
     if sink.catalog_type == "storage":
         LakeTable(spark, sink.path, sink.keys, order_by, op).append_batch(changes, batch_id)
         return
+    if not order_by:
+        raise ValueError("order_by is required to upsert changes")
     last = collapse(changes, sink.keys, list(order_by), op)
     view = f"upsert_{sink.table}_{uuid.uuid4().hex}"
     last.createOrReplaceTempView(view)
     columns = [c for c in last.columns if c != op]
-    spark.sql(merge_sql(sink.identifier, view, columns, sink.keys, op, [c for c in order_by if c in columns]))
+    kept_order = [c for c in order_by if c in columns]
+    spark.sql(merge_sql(sink.identifier, view, columns, sink.keys, op, kept_order, sink.tombstone))
     spark.catalog.dropTempView(view)

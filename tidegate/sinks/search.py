@@ -11,28 +11,31 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..operators.changes import DELETE, collapse
+from ..operators.changes import DELETE, collapse, unkeyed
 from ..operators.skew import bring_together
 from .config import SearchSink
 from .encode import wire_value
+from .lake import MAIN, append_partition
 
 
 def split_unkeyed_docs(df: DataFrame, pk: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with a full key, rows with a null in it): a null part would vanish from the joined id."""
     if not pk:
         return df, df.limit(0)
-    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
-    return df.filter(~bad), df.filter(bad)
+    return df.filter(~_any_null(pk)), df.filter(_any_null(pk))
 
 
 def document_id(pk: Sequence[str], delimiter: str = ",") -> Column:
     return F.concat_ws(delimiter, *[F.col(c).cast("string") for c in pk])
 
 
-def bulk_docs(df: DataFrame, sink: SearchSink, op: str = "op", fields: Sequence[str] | None = None) -> DataFrame:
+def bulk_docs(
+    df: DataFrame, sink: SearchSink, op: str = "op", fields: Sequence[str] | None = None, version: str | None = None
+) -> DataFrame:
     """``_index, _id, routing, action, source``: one document per row with a full key.
 
-    Deletes have no source. Without a key the index assigns ids.
+    Deletes have no source. Without a key the index assigns ids. With ``version``, a column of whole numbers, documents have
+    it as their external version, so that the index itself refuses an action older than the last one for the id.
     """
     keyed, _ = split_unkeyed_docs(df, sink.keys)
     names = [c for c in fields or df.columns if c != op]
@@ -44,12 +47,14 @@ def bulk_docs(df: DataFrame, sink: SearchSink, op: str = "op", fields: Sequence[
         (F.col(sink.routing_column).cast("string") if sink.routing_column else F.lit(None).cast("string")).alias("routing"),
         F.when(delete, F.lit("delete")).otherwise(F.lit("index")).alias("action"),
         F.when(~delete, source).alias("source"),
+        *([F.col(version).cast("long").alias("version")] if version else []),
     )
 
 
 def ndjson(docs: DataFrame) -> DataFrame:
     """Bulk text per document: the action line and, unless it deletes, the source line."""
-    target = F.to_json(F.struct("_index", "_id", "routing"))
+    versioned = ["version", F.lit("external_gte").alias("version_type")] if "version" in docs.columns else []
+    target = F.to_json(F.struct("_index", "_id", "routing", *versioned))
     action = F.concat(F.lit('{"'), F.col("action"), F.lit('":'), target, F.lit("}"))
     return docs.select("_index", "_id", "routing", F.concat_ws("\n", action, F.col("source")).alias("value"))
 
@@ -151,6 +156,45 @@ def send_requests(requests: DataFrame, send: Callable[[str], None], concurrency:
     requests.select("body").foreachPartition(deliver)
 
 
+def prepare(
+    df: DataFrame,
+    sink: SearchSink,
+    op: str = "op",
+    order_by: Sequence[str] = (),
+    fields: Sequence[str] | None = None,
+    version: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(bulk documents, ``raw, error`` of the rows that can't be delivered).
+
+    Changes of keyed documents need ``order_by``: only the last change of every id is kept. Rejected are rows with a null in
+    the id or in the order, and, unless the sink changes its schema, rows with a value in a column that isn't in
+    ``fields``; those columns are left out of the documents.
+    """
+    changes = op in df.columns
+    if sink.keys and changes and not order_by:
+        raise ValueError("order_by is required to deliver changes: without it any of them could be the last")
+    strict = fields is not None and not sink.auto_schema_change
+    beside = [op, *order_by, *([version] if version else [])]
+    unknown = [c for c in df.columns if strict and c not in fields and c not in beside]
+    named = F.array_join(F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in unknown])), ",") if unknown else None
+    reason = F.when(_any_null(sink.keys), "null document id") if sink.keys else F.lit(None).cast("string")
+    if changes and order_by:
+        reason = F.coalesce(reason, unkeyed(df, (), order_by))
+    if named is not None:
+        reason = F.coalesce(reason, F.when(named != "", F.concat(F.lit("unknown fields: "), named)))
+    rejects = df.withColumn("_error", reason).filter("_error IS NOT NULL")
+    rejects = rejects.select(F.to_json(F.struct(*df.columns)).alias("raw"), F.col("_error").alias("error"))
+    good = df.filter(reason.isNull()).drop(*unknown)
+    if changes and sink.keys:
+        good = collapse(good, list(sink.keys), list(order_by), op)
+    taken = [c for c in good.columns if c in fields] if fields is not None and strict else None
+    return bulk_docs(good, sink, op, taken, version), rejects
+
+
+def _any_null(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
 def deliver(
     df: DataFrame,
     sink: SearchSink,
@@ -158,22 +202,22 @@ def deliver(
     op: str = "op",
     order_by: Sequence[str] = (),
     reject_path: str | None = None,
+    fields: Sequence[str] | None = None,
+    version: str | None = None,
+    batch_id: int = 0,
+    writer: str = MAIN,
 ) -> None:
-    """Rows or changes to the index: documents, routing, packing, sending.
+    """Rows or changes to the index: documents, routing, packing, sending; see ``prepare``.
 
-    With ``order_by`` only the last change of every id is sent, so that no two requests race for one document. Rows with a
-    null in the id are appended to ``reject_path``; without one they fail the delivery, before anything is sent.
+    Within a batch no two requests race for one document; with ``version`` none do across batches either, whatever order they
+    are sent in. Rejected rows are kept below ``reject_path``, once for each batch however often it is replayed; without a
+    path they fail the delivery, before anything is sent.
     """
-    keyed, keyless = split_unkeyed_docs(df, sink.keys)
-    if not keyless.isEmpty():
+    docs, rejects = prepare(df, sink, op, order_by, fields, version)
+    if not rejects.isEmpty():
         if reject_path is None:
-            raise ValueError("rows without a document id and no reject_path to keep them")
-        keyless.select(F.to_json(F.struct("*")).alias("raw"), F.lit("null document id").alias("error")).write.mode(
-            "append"
-        ).parquet(reject_path)
-    if order_by and sink.keys:
-        keyed = collapse(keyed, list(sink.keys), list(order_by), op)
-    docs = bulk_docs(keyed, sink, op)
+            raise ValueError("rows were rejected, such as without a document id, and there is no reject_path to keep them")
+        append_partition(rejects, reject_path, batch_id, writer)
     if sink.routing_column:
         docs = route(docs)
     requests = pack_requests(docs, sink.batch_num_messages, sink.batch_size_kb)
