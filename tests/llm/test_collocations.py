@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.oracle import compare, duck
-from tidegate.llm import collocations, queries
+from tidegate.llm import bloom, collocations, queries
 
 
 def pieces(text):
@@ -121,7 +121,7 @@ def test_odd_rows(spark):
 
 
 def test_a_full_filter_drops_nothing(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "FILTER_BITS", 1024)
+    monkeypatch.setattr(bloom, "MOST", 1024)
     given = texts(3, 200)
     got = collocations.mine(spark.createDataFrame(given, "lang string, text string"), least=2, size=4).collect()
     assert [tuple(r) for r in sorted(got, key=lambda r: (r["lang"], r["rank"]))] == plain(given, 2, 2000, 50, 4)

@@ -94,7 +94,7 @@ def test_odd_rows_and_columns(spark):
         (None, "kept alone"), (None, passage), (6, long), (7, "write to x@y.zz"), (8, "é"),
     ]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in given], "doc_id long, text string, lang string, source string, n_chars int")
-    clash = [c for c in ("score", "k1", "k2", "component_id", "dropped_id", "found_id", "nth", "_masked", "fingerprint", "node")]
+    clash = [c for c in ("score", "k1", "k2", "component_id", "dropped_id", "found_id", "marked_id", "keep", "text_key", "nth", "_masked", "fingerprint", "node")]
     for c in clash:
         docs = docs.withColumn(c, F.lit("mine"))
     got = docs

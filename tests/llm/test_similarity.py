@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidegate.llm import decontam, embed_dedup, queries, simhash, trie
+from tidegate.llm import bloom, decontam, embed_dedup, queries, simhash, trie
 from tidegate.llm.components import components
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -242,6 +242,19 @@ def test_texts_without_ids_and_several_texts_of_one_id(spark):
     assert len(kept) == 3 and kept[:2] == [("5", " ".join(base)), ("7", far)] and kept[2][0] == "None"
 
 
+def test_bloom_filters_miss_nothing(spark, monkeypatch):
+    keys = spark.range(500).select(F.xxhash64("id").alias("h"))
+    df = spark.range(3000).withColumn("text", F.lit("t"))
+    for most in (1 << 27, 1024):  # a full one admits more
+        monkeypatch.setattr(bloom, "MOST", most)
+        some, others = bloom.split(df, keys, F.xxhash64("id"))
+        admitted = {r["id"] for r in some.collect()}
+        assert set(range(500)) <= admitted and admitted | {r["id"] for r in others.collect()} == set(range(3000))
+        assert others.count() == 3000 - len(admitted) and (most == 1024 or len(admitted) < 520)
+    some, others = bloom.split(df, keys.limit(0), F.xxhash64("id"))
+    assert some.count() == 0 and others.count() == 3000
+
+
 def test_joined_rows_are_not_met_again(spark):
     """Of a large group of copies only pairs with others are left."""
     rows_ = spark.createDataFrame([("g", n, 5, 0, 26, 0) for n in range(500)], "group string, node long, word long, side int, left int, depth int")

@@ -10,9 +10,8 @@ A candidate is a phrase of 2 to ``SIZE`` words found often enough. Of its cuts i
 floor(1e6 * a * a / (l * r)) counts, in decimals of 38 digits, exact for counts below 1e15.
 
 A phrase can be frequent only if those of one word less at its ends are. Words and pairs are counted first; of longer
-phrases only those go on whose ends a Bloom filter of the frequent shorter ones admits. The filter has a bound of its own
-(``FILTER_BITS``): fuller, it admits more, and what it admits is counted all the same, so it never changes a result. Tasks
-add up phrases of many chunks before they hand them on, and the first phrases of a language are found in buckets of phrases
+phrases only those go on whose ends a Bloom filter of the frequent shorter ones admits; what it admits is counted all the
+same, so it never changes a result. Tasks add up phrases of many chunks before they hand them on, and the first phrases of a language are found in buckets of phrases
 before they meet.
 
 Defined results: null and empty texts have no words; a null language is ``und`` and counts with rows so named; texts of any
@@ -26,7 +25,6 @@ import math
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -37,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from .bloom import Bloom
 from .frames import buffers, fresh, saved, steps
 from .words import mixed
 
@@ -46,8 +45,6 @@ LEAST, TOP, SHARE = 10, 2000, 50
 SPACE, BREAK = 0x20, 0x0A
 #: Between language and phrase; no phrase has it, so the last one in a key counts.
 BETWEEN = b"\n"
-#: Bits of the filter of frequent phrases at most, for each phrase, and set by each phrase.
-FILTER_BITS, BITS_EACH, PROBES = 1 << 27, 16, 4
 #: Bytes of distinct chunks that a task gathers before it hands them on, and of chunks whose phrases it counts together.
 GATHER = 16_000_000
 
@@ -154,51 +151,23 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", size: in
     return chunks.repartition("lang", "chunk", "last").groupBy("lang", "chunk", "last").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class Frequent:
-    """Bloom filter of phrases, over hashes of their words and language."""
-
-    bits: np.ndarray
-
-    def places(self, h: np.ndarray) -> Iterator[np.ndarray]:
-        step = mixed(h) | np.uint64(1)
-        for i in range(PROBES):
-            yield (h + np.uint64(i) * step) & np.uint64(len(self.bits) * 64 - 1)
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        out = np.ones(len(h), bool)
-        for at in self.places(h):
-            out &= (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-        return out
-
-    @staticmethod
-    def of(found: DataFrame) -> Frequent:
-        """Filter of the phrases in ``key``, some ``BITS_EACH`` bits for each of them but ``FILTER_BITS`` at most."""
-        wanted = max(1024, min(FILTER_BITS, BITS_EACH * found.count()))
-        empty = Frequent(np.zeros((1 << (wanted - 1).bit_length()) // 64, np.uint64))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                keys = [k.rsplit(BETWEEN, 1) for k in b.column("key").to_pylist()]
-                seeds = np.array([_seed(lang) for lang, _ in keys], np.uint64)
-                words = [p.split(b" ") for _, p in keys]
-                n = np.array([len(w) for w in words])
-                one = _bytes_hashes([w for p in words for w in p])
-                h, first = seeds.copy(), np.cumsum(n) - n
-                for k in range(int(n.max(initial=0))):
-                    more = np.flatnonzero(n > k)
-                    h[more] = _next(h[more], one[first[more] + k])
-                at = np.concatenate(list(empty.places(h)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))],
-                    names=["place", "bits"],
-                )
-
-        rows = found.select("key").mapInArrow(run, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits"))
-        # A row for each 64 bits of the filter at most.
-        got = rows.toArrow()
-        empty.bits[got.column("place").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-        return empty
+def frequent(found: DataFrame) -> Bloom:
+    """Filter of the phrases in ``key``, over hashes of their words and language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [k.rsplit(BETWEEN, 1) for k in b.column("key").to_pylist()]
+            h = np.array([_seed(lang) for lang, _ in keys], np.uint64)
+            words = [p.split(b" ") for _, p in keys]
+            n = np.array([len(w) for w in words])
+            one = _bytes_hashes([w for p in words for w in p])
+            first = np.cumsum(n) - n
+            for k in range(int(n.max(initial=0))):
+                more = np.flatnonzero(n > k)
+                h[more] = _next(h[more], one[first[more] + k])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+
+    return Bloom.of(found.select("key").mapInArrow(run, "h long"))
 
 
 def _seed(lang: bytes) -> int:
@@ -211,7 +180,7 @@ def _bytes_hashes(words: list[bytes] | pa.Array) -> np.ndarray:
 
 
 def phrases(
-    chunks: list[bytes], last: np.ndarray, n: np.ndarray, sizes: range, size: int, seed: int, known: Frequent | None = None
+    chunks: list[bytes], last: np.ndarray, n: np.ndarray, sizes: range, size: int, seed: int, known: Bloom | None = None
 ) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """For each number of words in ``sizes``: that number, distinct phrases of all chunks, and their weighted counts.
 
@@ -262,7 +231,7 @@ def phrases(
         yield k, made[0] if k == 1 else pc.binary_join_element_wise(*made, pa.scalar(b" ", pa.binary())), count
 
 
-def _phrase_rows(sizes: range, size: int, known: Frequent | None):
+def _phrase_rows(sizes: range, size: int, known: Bloom | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         room = 0
@@ -310,7 +279,7 @@ def counts(chunks: DataFrame, least: int = LEAST, size: int = SIZE) -> tuple[Dat
         longest = sizes[-1]
         if longest >= size:
             break
-        known = Frequent.of(levels[-1].filter(F.col("words") == longest))
+        known = frequent(levels[-1].filter(F.col("words") == longest))
         sizes = range(longest + 1, longest + 2)
     all_ = reduce(DataFrame.union, levels).drop("key")
     return all_.filter("words > 0"), levels[0].filter("words = 0").select("lang", F.col("f").alias("n"))

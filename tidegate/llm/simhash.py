@@ -21,6 +21,8 @@ the results are returned, so other columns cannot clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -29,8 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import trie
+from .bloom import Bloom, split
 from .components import components
-from .frames import add_columns, saved
+from .frames import add_columns, saved, steps
 
 SEED = 42
 #: Bits in which linked fingerprints of one text class may differ.
@@ -184,14 +187,32 @@ def same_sets(t: pa.Table) -> trie.Check:
 
 def _whole_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """``node, shingles`` (sorted hashes as bytes) of ``nodes`` (node, k1, k2); docs are ``text``."""
-    keys = [T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())]
-    keyed = add_columns(docs, "text", keys, lambda texts: [list(c) for c in zip(*map(_whole_key, texts.to_pylist()))] or [[], []])
+    # Texts of other nodes go no further.
+    known = Bloom.of(nodes.select("k1"))
+    keyed = docs.select("text").mapInArrow(_kept_texts(known), "k1 long, k2 long, text string")
     one = keyed.join(nodes, ["k1", "k2"]).groupBy("node").agg(F.min("text").alias("text"))
     field = T.StructField("shingles", T.BinaryType())
     sets = add_columns(one, "text", [field], lambda texts: [[np.unique(shingle_hashes(t, words)).tobytes() for t in texts.to_pylist()]])
     return sets.select("node", "shingles")
 
 
+def _kept_texts(known: Bloom):
+    """Texts, null as empty, whose key the filter admits, with their keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in steps(whole, "text"):
+                texts = [t or "" for t in b.column("text").to_pylist()]
+                keys = np.array([_whole_key(t) for t in texts], np.int64).reshape(-1, 2)
+                some = np.flatnonzero(known.has(keys[:, 0].copy().view(np.uint64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[some, 0]), pa.array(keys[some, 1]), pa.array([texts[i] for i in some.tolist()], pa.string())],
+                    names=["k1", "k2", "text"],
+                )
+
+    return run
+
+
 def _members(links: DataFrame, nodes: DataFrame) -> DataFrame:
     """``nodes`` with ``of``, the component that the links make of each."""
     member = saved(components(links.filter("b IS NOT NULL").select("a", "b")), "member")
@@ -232,7 +253,7 @@ def _grouped(docs: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
         F.min("bands").alias("bands"),
     )
     nodes = saved(nodes, "texts")
-    sketches = described.select(F.col("row").alias("node"), "sketch")
+    sketches = _met_sketches(described, nodes)
 
     def rows_of(nodes: DataFrame, from_: int, to: int, *kept: str) -> DataFrame:
         banded = nodes.select("*", F.posexplode(F.slice("bands", from_ + 1, to - from_)).alias("band", "key"))
@@ -259,6 +280,16 @@ def _grouped(docs: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
     return described.select("doc_id", "text_key", "k1", "k2"), of.select("k1", "k2", "first", "of")
 
 
+def _met_sketches(described: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, sketch`` of the texts that share a group with another, in any band; most texts share none."""
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    shared = banded.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
+    met = saved(banded.join(shared, ["band", "key"]).select("node").distinct(), "met")
+    sketches = described.select(F.col("row").alias("node"), "sketch")
+    few, _ = split(sketches, met, F.col("node"))
+    return saved(few.join(met, "node"), "sketches")
+
+
 def _firsts(grouped: DataFrame) -> DataFrame:
     return grouped.groupBy("of").agg(F.min("first").alias("kept"))
 
@@ -270,6 +301,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return rows.join(named, ["k1", "k2"]).select("doc_id", "component_id")
 
 
+def judged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", leaf: int = trie.LEAF) -> DataFrame:
+    """``doc_id, text_key, keep`` of the rows of which not every one stays: near duplicates of others, and repeated rows.
+
+    Rows with another id or text all stay; of rows with these those for which ``keep`` is true stay, once.
+    """
+    rows, grouped = _grouped(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), leaf)
+    kept = _firsts(grouped).select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_key").alias("kept_key"))
+    each = rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))
+    marked = each.join(kept, same, "left").withColumn("keep", F.col("kept_key").isNotNull())
+    return marked.filter("NOT keep OR n > 1").select("doc_id", "text_key", "keep")
+
+
 def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", leaf: int = trie.LEAF) -> DataFrame:
     """``doc_id, text_key`` of one row for each group of near duplicates: of rows with ids the one of the smallest.
 
