@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontam, pii, queries, simhash
+from tidegate.llm import bloom, decontam, pii, queries, simhash
 from tidegate.llm import toxicity as toxic
 from tidegate.llm.frames import fresh, saved, table
 
@@ -26,19 +26,27 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest id, of each group of near duplicates."""
-    kept = simhash.representatives(docs).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
-    nth, key = fresh("nth"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]) & (key == kept["kept_key"]), "left_semi")
-    repeats = W.partitionBy("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy("doc_id")
-    return found.withColumn(nth, F.row_number().over(repeats)).filter(F.col(nth) == 1).select(*docs.columns)
+    nth, marked_id, marked_key, keep = (fresh(n) for n in ("nth", "marked_id", "marked_key", "keep"))
+    marks = saved(simhash.judged(docs).toDF(marked_id, marked_key, keep), "marks")
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    # Only rows that a mark may be about are moved.
+    some, others = bloom.split(docs, marks.select(F.xxhash64(marked_id, marked_key)), F.xxhash64("doc_id", key))
+    same = F.col("doc_id").eqNullSafe(F.col(marked_id)) & (key == F.col(marked_key))
+    found = some.join(marks, same, "left")
+    repeats = W.partitionBy("doc_id", key).orderBy("doc_id")
+    found = found.withColumn(nth, F.row_number().over(repeats)).filter(F.coalesce(keep, F.lit(True)) & (F.col(nth) == 1))
+    return others.unionByName(found.select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     found = decontam.matches(docs, table(spark, sf_dir, "benchmark"))
-    found = found.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct()
-    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["found_id"]) & (key == found["found_key"]), "left_anti")
+    found = saved(found.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct(), "found")
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    # Only rows that a match may be about are moved.
+    some, others = bloom.split(docs, found.select(F.xxhash64("found_id", "found_key")), F.xxhash64("doc_id", key))
+    same = some["doc_id"].eqNullSafe(found["found_id"]) & (key == found["found_key"])
+    return others.unionByName(some.join(found, same, "left_anti"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
