@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -12,11 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .functions.typemap import struct_of
 from .operators.changes import SNAPSHOT, flatten_events, split_key_changes
+from .operators.documents import assembled, path_changes
 from .operators.selection import TableColumns, TableSelector
-from .sinks.lake import MAIN, LakeTable, append_partition, writer_of
-from .sources.cdc import decode_changes
-from .sources.config import DatabaseSource
-from .streaming.pipeline import append_and_reject, run_stream
+from .sinks.lake import MAIN, LakeTable, append_partition, append_tables, writer_of
+from .sources.cdc import CHANGE_METADATA, decode_changes
+from .sources.config import DatabaseSource, MongoSource
+from .sources.decode import decode_documents
+from .streaming.pipeline import append_and_reject, complete_transactions, fold_transactions, open_transactions, run_stream
 
 
 @dataclass(frozen=True)
@@ -57,17 +59,32 @@ class CapturedTable:
 class Ingest:
     """Keeps one merge-on-read table per captured table below ``warehouse``.
 
-    The feed holds the envelopes of many tables. Each batch is selected and read once, then decoded per table, with
-    ``writers`` tables at a time.
+    The feed holds the envelopes of many tables. Each batch is selected and read once; tables of equal columns and key are
+    decoded together and written by one write, ``writers`` such groups at a time.
+
+    The source's settings hold here: its table patterns, unless a ``selector`` is given; ``transactional`` lets changes through
+    by whole transactions, which the feed's BEGIN and END messages delimit; with ``auto_schema_change`` columns that messages
+    have beside the declared ones become text columns of tables of which all columns are taken. ``metadata`` are columns about
+    each change to keep: timestamp, database, schema, table.
     """
 
     spark: SparkSession
     source: DatabaseSource
     tables: tuple[CapturedTable, ...]
     warehouse: str
-    selector: TableSelector = field(default_factory=lambda: TableSelector(include_all=True))
+    selector: TableSelector | None = None
     snapshot: bool | None = None
     writers: int = 4
+    metadata: tuple[str, ...] = ()
+
+    def __post_init__(self) -> None:
+        if self.selector is None:
+            patterns = [p if "." in p else f"{self.source.schema}.{p}" for p in self.source.patterns]
+            everything = self.source.tables.strip() == "*"
+            self.selector = TableSelector(include_all=True) if everything else TableSelector(include=tuple(patterns))
+        unknown = set(self.metadata) - set(CHANGE_METADATA)
+        if unknown:
+            raise ValueError(f"unknown metadata: {sorted(unknown)}")
 
     def target(self, table: CapturedTable) -> LakeTable:
         """The stored table, read under the declared columns, so that added and widened columns need no merging."""
@@ -76,13 +93,30 @@ class Ingest:
             .add("_op", "string")
             .add("_order", T.StructType.fromDDL(self.source.order_ddl))
         )
-        stored = T.StructType([*stored.fields, *struct_of(table.types).fields])
-        return LakeTable(
-            self.spark, f"{self.warehouse}/{table.target}", table.primary_key, ["_order"], op="_op", schema=stored
-        )
+        about = [T.StructField(CHANGE_METADATA[m][0], T.TimestampType() if m == "timestamp" else T.StringType()) for m in self.metadata]
+        stored = T.StructType([*stored.fields, *struct_of(table.types).fields, *about])
+        path = f"{self.warehouse}/table={table.target}"
+        if isinstance(self.source, MongoSource):
+            return LakeTable(self.spark, path, ["_id", "path"], ["_order"], op="_op")
+        # Columns that the messages bring are read as well.
+        declared = None if self._grows(table) else stored
+        return LakeTable(self.spark, path, table.primary_key, ["_order"], op="_op", schema=declared)
+
+    def _grows(self, table: CapturedTable) -> bool:
+        return self.source.auto_schema_change and (table.take is None or table.take.columns is None)
+
+    def _grown(self, table: CapturedTable, messages: DataFrame) -> CapturedTable:
+        """The table with the columns that its messages have beside the declared ones, as text."""
+        text = F.col("value").cast("string")
+        row = F.coalesce(*[F.get_json_object(text, f"$.{p}{i}") for p in ("", "payload.") for i in ("after", "before")])
+        names = messages.select(F.explode(F.json_object_keys(row)).alias("c")).filter(~F.col("c").isin(*table.columns)).distinct()
+        more = sorted(r["c"] for r in names.collect())  # names of columns
+        return replace(table, columns={**table.columns, **dict.fromkeys(more, "VARCHAR")}) if more else table
 
     def read(self, table: CapturedTable) -> DataFrame:
-        return self.target(table).read().drop("_order")
+        """Current rows; of a document collection ``_id, payload``, put together from the changed paths."""
+        rows = self.target(table).read()
+        return assembled(rows) if isinstance(self.source, MongoSource) else rows.drop("_order")
 
     def named(self, feed: DataFrame) -> DataFrame:
         """Messages with the schema and table their envelope names; null where it cannot be read."""
@@ -120,7 +154,72 @@ class Ingest:
         with_snapshot = self.source.snapshot if self.snapshot is None else self.snapshot
         if not with_snapshot:
             events = events.filter(F.col("op") != SNAPSHOT)
-        return flatten_events(split_key_changes(events, list(table.primary_key)))
+        if isinstance(self.source, MongoSource):
+            return path_changes(events, "message_target")
+        names = {CHANGE_METADATA[m][0]: CHANGE_METADATA[m][1] for m in self.metadata}
+        events = events.withColumns({f"about_{n}": F.col(c) for n, c in names.items()})
+        flat = flatten_events(split_key_changes(events, list(table.primary_key)))
+        return flat.withColumnsRenamed({f"about_{n}": n for n in names})
+
+    def _whole(self, named: DataFrame, batch_id: int, writer: str) -> DataFrame:
+        """Messages of transactions that are whole by now, and all that belong to none: snapshots, unplaced ones."""
+        ddl = (
+            "op string, transaction struct<id: string, total_order: bigint>, status string, id string, event_count bigint,"
+            " data_collections array<struct<data_collection: string, event_count: bigint>>"
+        )
+        both = T.StructType.fromDDL(ddl)
+        message = F.from_json(F.col("value").cast("string"), T.StructType([*both.fields, T.StructField("payload", both)]))
+        parsed = named.select("*", F.explode(F.array(message)).alias("_t"))
+        part = lambda f: F.coalesce(F.col("_t")["payload"][f], F.col("_t")[f])
+        declared = [f"{t.schema}.{t.table}" for t in self.tables]
+        mine = F.filter(part("data_collections"), lambda c: c["data_collection"].isin(*declared))
+        counted = F.aggregate(mine, F.lit(0).cast("long"), lambda n, c: n + c["event_count"])
+        end, known = part("status") == "END", F.coalesce(F.concat_ws(".", "_schema", "_table").isin(*declared), F.lit(False))
+        change = known & F.coalesce(part("op") != SNAPSHOT, F.lit(False))
+        cols = named.columns
+        rows = parsed.filter(change).select(*cols, part("transaction")["id"].alias("_tx"), part("transaction")["total_order"].alias("_place"), F.lit(None).cast("long").alias("_events"))
+        marks = parsed.filter(end).select(
+            *cols, part("id").alias("_tx"), F.lit(None).cast("long").alias("_place"), F.coalesce(counted, part("event_count")).alias("_events")
+        )
+        whole = complete_transactions(
+            rows.unionByName(marks), batch_id, f"{self.warehouse}/_transactions", "_tx", "_events", ["_place"], ["_place"], writer
+        )
+        others = parsed.filter(~change & part("status").isNull()).select(*cols)
+        return others.unionByName(whole.select(*cols))
+
+    def open_transactions(self, seconds: float = 0, writer: str = MAIN) -> DataFrame:
+        """Transactions whose rows have waited for so many seconds."""
+        return open_transactions(self.spark, f"{self.warehouse}/_transactions", "_tx", "_events", seconds, writer)
+
+    def _deliver_group(self, messages: DataFrame, tables: list[CapturedTable], batch_id: int, writer: str) -> None:
+        """Decode tables of equal columns and key together and write them at once; keep what can't be applied."""
+        place = lambda t: (F.col("_schema") == t.schema) & (F.col("_table") == t.table)
+        name = reduce(lambda out, t: F.when(place(t), t.target).otherwise(out), tables, F.lit(None).cast("string"))
+        targets = {t.target: self.target(t) for t in tables}
+        mine = messages.withColumn("_target", name).filter(F.col("_target").isNotNull())
+        kept = [F.col("_target").alias("message_target")]
+        if isinstance(self.source, MongoSource):
+            decoded = decode_documents(mine, self.source.order_ddl, kept)
+        else:
+            decoded = decode_changes(mine, self.source, tables[0].types, kept)
+        target = next(iter(targets.values()))
+        # Names of the group's tables, beside columns that may be called table themselves.
+        to_changes = lambda good: self._to_changes(good, tables[0]).withColumnRenamed("message_target", "table")
+        rejects = append_and_reject(
+            decoded,
+            lambda changes, batch_id: append_tables(changes, targets, batch_id, writer),
+            batch_id,
+            to_changes,
+            None,
+            target.pk,
+            target.order_by,
+            writer,
+            by={"message_target": "table"},
+        )
+        if rejects is not None:
+            for t in tables:
+                bad = rejects.filter(F.col("by") == t.target).drop("by")
+                append_partition(bad, f"{self.warehouse}/_rejects/{t.target}", batch_id, writer)
 
     def deliver(self, batch: DataFrame, batch_id: int, writer: str = MAIN) -> None:
         """Apply one batch; the same batch again changes nothing.
@@ -128,26 +227,19 @@ class Ingest:
         What no table takes is kept below ``_rejects``: per table what cannot be decoded or keyed, under ``_unplaced`` what
         names no table or one that isn't declared.
         """
-        named = self.named(batch).persist()
-        messages = self._select(named)
-
-        def one(table: CapturedTable) -> None:
-            mine = messages.filter((F.col("_schema") == table.schema) & (F.col("_table") == table.table))
-            target = self.target(table)
-            append_and_reject(
-                decode_changes(mine, self.source, table.types),
-                lambda changes, batch_id: target.append_batch(changes, batch_id, writer),
-                batch_id,
-                lambda good: self._to_changes(good, table),
-                f"{self.warehouse}/_rejects/{table.target}",
-                target.pk,
-                target.order_by,
-                writer,
-            )
-
+        named = self.named(batch)
+        if self.source.transactional:
+            named = self._whole(named, batch_id, writer)
+        named = named.persist()
         try:
+            messages = self._select(named)
+            groups: dict[tuple, list[CapturedTable]] = {}
+            for table in self.tables:
+                if self._grows(table):
+                    table = self._grown(table, messages.filter((F.col("_schema") == table.schema) & (F.col("_table") == table.table)))
+                groups.setdefault((tuple(table.types.items()), table.primary_key), []).append(table)
             with ThreadPoolExecutor(self.writers) as pool:
-                list(pool.map(one, self.tables))
+                list(pool.map(lambda tables: self._deliver_group(messages, tables, batch_id, writer), groups.values()))
             unplaced = self._undelivered(named)
             if not unplaced.isEmpty():
                 append_partition(unplaced, f"{self.warehouse}/_rejects/_unplaced", batch_id, writer)
@@ -161,6 +253,8 @@ class Ingest:
 
     def maintain(self, keep_batches: int = 0) -> None:
         """Compact every table and drop what the new bases hold."""
+        if self.source.transactional:
+            fold_transactions(self.spark, f"{self.warehouse}/_transactions", "_tx")
         for table in self.tables:
             target = self.target(table)
             target.compact()

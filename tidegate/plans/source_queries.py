@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import to_micros
-from ..operators.changes import apply_events, apply_latest, flatten_events, snapshot_then_log as with_snapshot
+from ..operators.changes import apply_events, apply_latest, collapse, flatten_events, snapshot_then_log as with_snapshot
 from ..operators.changes import split_key_changes, split_transactions
+from ..operators.documents import assembled, path_changes
 from ..operators.evolve import evolve_union
 from ..sinks.fanout import fan_out, fan_out_table
 from ..sinks.lake import read_partitions
@@ -29,6 +30,7 @@ from ..sources import (
     with_metadata,
 )
 from ..sources import decode
+from ..sources.cdc import DOCUMENT_COLUMNS
 from ..connect import CapturedTable, Ingest
 from ..operators.selection import ColumnSelection, TableColumns, TableSelector
 from ..session import work_path
@@ -451,6 +453,78 @@ def stored_changes_equal_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic.stored(feed, path).intersect(topic.rows(feed))
 
 
+def _order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of orders as documents: whole ones as JSON text, then patches of some, deletes of others, out of order."""
+    orders = load(spark, sf_dir, "orders")
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    doc = F.to_json(
+        F.struct(
+            F.col("o_orderkey").alias("_id"),
+            F.struct(F.col("o_orderstatus").alias("code"), F.lit(True).alias("old")).alias("status"),
+            F.array(F.lit(1), F.lit(2), F.lit(3)).alias("lines"),
+            F.col("o_custkey").alias("customer"),
+        )
+    )
+    key = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"))).cast("binary").alias("key")
+
+    def envelope(rows: DataFrame, op: str, order: int, after: Column | None = None, **patch: Column) -> DataFrame:
+        source = F.struct(F.lit("app").alias("db"), F.lit("orders").alias("collection"), F.lit(order).alias("ts_us"), F.lit(0).alias("ord"))
+        body = [F.lit(op).alias("op"), source.alias("source")]
+        body += [after.alias("after")] if after is not None else []
+        body += [F.struct(*[c.alias(n) for n, c in patch.items()]).alias("updateDescription")] if patch else []
+        return rows.select(key, F.to_json(F.struct(*body)).cast("binary").alias("value"))
+
+    whole = envelope(orders, "c", 1, doc)
+    even = orders.filter("o_orderkey % 2 = 0")
+    first = envelope(even, "u", 2, updatedFields=F.lit('{"status.code":"X","lines.3":4,"added":{"a":[1]}}'))
+    second = envelope(
+        orders.filter("o_orderkey % 4 = 0"), "u", 3,
+        updatedFields=F.concat(F.lit('{"status.code":'), q(F.concat(F.lit("Z"), F.col("o_orderkey").cast("string"))), F.lit("}")),
+        removedFields=F.array(F.lit("status.old"), F.lit("customer")),
+        truncatedArrays=F.array(F.struct(F.lit("lines").alias("field"), F.lit(1).alias("size"))),
+    )
+    gone = envelope(orders.filter("o_orderkey % 9 = 0"), "d", 4)
+    return second.unionByName(gone).unionByName(first).unionByName(whole)
+
+
+_PATCHED = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS _id,
+        CASE WHEN o_orderkey % 4 = 0 THEN 'Z' || o_orderkey WHEN o_orderkey % 2 = 0 THEN 'X' ELSE o_orderstatus END AS code,
+        CASE WHEN o_orderkey % 4 <> 0 THEN 'true' END AS old,
+        CASE WHEN o_orderkey % 4 = 0 THEN '[1]' WHEN o_orderkey % 2 = 0 THEN '[1,2,3,4]' ELSE '[1,2,3]' END AS lines,
+        CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer,
+        CASE WHEN o_orderkey % 2 = 0 THEN '{"a":[1]}' END AS added
+    FROM orders WHERE o_orderkey % 9 <> 0
+"""
+_FIELDS = {"code": "$.status.code", "old": "$.status.old", "lines": "$.lines", "customer": "$.customer", "added": "$.added"}
+
+
+def _fields(documents: DataFrame) -> DataFrame:
+    return documents.select("_id", *[F.get_json_object("payload", p).alias(n) for n, p in _FIELDS.items()])
+
+
+@query(_PATCHED)
+def cdc_mongo_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents put together from whole ones, patches and deletes that come in the wrong order."""
+    events = accepted(decode.decode_documents(_order_documents(spark, sf_dir)))
+    changes = collapse(path_changes(events), ["_id", "path"], ["_order"], op="_op")
+    return _fields(assembled(changes))
+
+
+@query(_PATCHED)
+def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same collection ingested in batches that cut through each document's changes, with a fold between."""
+    collection = CapturedTable("app", "orders", DOCUMENT_COLUMNS, ("_id",))
+    ingest = Ingest(spark, MongoSource("app"), (collection,), work_path(spark, "documents"))
+    feed = _order_documents(spark, sf_dir)
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    for i in range(3):
+        ingest.deliver(feed.filter(third == i), i)
+        if i == 1:
+            ingest.maintain()
+    return _fields(ingest.read(collection))
+
+
 @query("""
     SELECT event_id, ts, CAST(ts AS DATE) AS day, date_trunc('second', ts) - INTERVAL 2 HOUR AS seen, CAST(ts AS DATE) AS days
     FROM events

@@ -10,8 +10,12 @@ from ..session import work_path
 from ..sinks import FileSink, LakeTable, read_files, stream_files
 from ..sources import PostgresSource, decode_changes, read_recorded
 from ..streaming import (
+    Measure,
     dedupe_stream,
     fan_out_stream,
+    fold_rollup,
+    read_rollup,
+    rollup_parts,
     rollup_to_lake,
     stream_rollup,
     stream_to_lake,
@@ -87,6 +91,27 @@ def stream_rollup_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().drop("version")
 
 
+@query("""
+    SELECT user_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS bucket_start, count(*) AS event_count, max(value) AS max_value,
+        min(event_id) AS first_id FROM events GROUP BY ALL
+""")
+def stream_rollup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts of a feed whose batches go back in time, days behind any watermark; a fold lies between."""
+    measures = [
+        Measure("event_count", F.count(F.lit(1)), F.sum),
+        Measure("max_value", F.max("value"), F.max),
+        Measure("first_id", F.min("event_id"), F.min),
+    ]
+    log = work_path(spark, "late")
+    events = load(spark, sf_dir, "events")
+    events.repartitionByRange(6, F.col("ts").desc()).write.parquet(log)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(log)
+    path, checkpoint = work_path(spark, "rollup"), work_path(spark, "cp")
+    _finish(rollup_parts(stream, path, ["user_id"], "ts", "1 hour", measures, checkpoint))
+    fold_rollup(spark, path, ["user_id"], measures)
+    return read_rollup(spark, path, ["user_id"], measures)
+
+
 @query("SELECT event_id, user_id, ts FROM events")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice, kept once."""

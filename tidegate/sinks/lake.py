@@ -28,7 +28,7 @@ import hashlib
 import re
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
@@ -36,6 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, Window, functions as F, types as T
 
 from ..operators.changes import DELETE, collapse, to_append_only, unkeyed
+from ..operators.skew import bring_together
 from ..operators.evolve import conform, evolved_schema, wider_type
 from . import paths
 from .config import LakeSink
@@ -104,13 +105,65 @@ class BatchTable:
         overwrite(rows.withColumns(placed(batch_id, writer)).write, self.path, "writer", "batch")
         self._mark("rows", batch_id, writer, schema, frozenset([0]))
 
-    def rows(self) -> DataFrame:
-        """Rows of all batches."""
+    def rows(self, before: tuple[str, int] | None = None) -> DataFrame:
+        """Rows of all batches; with ``before`` those of that writer below that batch id only."""
+        return self._live([p for p in self._parts() if p.tier == "rows" and (before is None or (p.writer, p.batch) < before and p.writer == before[0])])
+
+    def _live(self, batches: list[Part]) -> DataFrame:
+        """Rows of the newest fold and of those batches that it doesn't hold."""
         schemas = self._schemas()
+        base = max((p for p in self._parts() if p.tier == "base"), key=lambda p: p.batch, default=None)
+        folded = self._folded(base.batch if base else None)
+        live = ([base] if base else []) + [p for p in batches if p.batch > folded.get(p.writer, p.batch - 1)]
         # A batch without rows has no folder.
-        there = [p for p in self._parts() if paths.exists(self.spark, f"{self.path}/{p.folder}")]
+        there = [p for p in live if paths.exists(self.spark, f"{self.path}/{p.folder}")]
         return self._files({p.folder: p.schema for p in there}, self.columns(schemas), schemas)
 
+    def fold(self, combine: Callable[[DataFrame], DataFrame]) -> None:
+        """Replace all batches but the newest of each writer, which may be replayed, by ``combine`` of their rows."""
+        parts = self._parts()
+        batches = [p for p in parts if p.tier == "rows"]
+        newest = {w: max(p.batch for p in batches if p.writer == w) for w in {p.writer for p in batches}}
+        old = [p for p in batches if p.batch < newest[p.writer]]
+        number = max((p.batch for p in parts if p.tier == "base"), default=-1)
+        folded = self._folded(number)
+        if not [p for p in old if p.batch > folded.get(p.writer, p.batch - 1)]:
+            return
+        rows = combine(self._live(old))
+        schema = self._schema_number(rows.schema)
+        overwrite(rows.withColumns({"tier": F.lit("base"), **placed(number + 1, MAIN)}).write, self.path, "tier", "writer", "batch")
+        for p in old:
+            folded[p.writer] = max(p.batch, folded.get(p.writer, -1))
+        for name, last in folded.items():
+            paths.touch(self.spark, f"{self.path}/_folds/{number + 1}/{name}@{last}")
+        self._mark("base", number + 1, MAIN, schema, frozenset([0]))
+        for p in parts:
+            if p in old or p.tier == "base":
+                paths.delete(self.spark, f"{self.path}/_parts/{p.mark}")
+                paths.delete(self.spark, f"{self.path}/{p.folder}")
+
+    def _folded(self, base: int | None) -> dict[str, int]:
+        """The last batch of each writer that a base holds."""
+        out: dict[str, int] = {}
+        for mark in paths.names(self.spark, f"{self.path}/_folds/{base}") if base is not None else ():
+            name, at, last = mark.rpartition("@")
+            if at and last.isdigit():
+                out[name] = max(int(last), out.get(name, -1))
+        return out
+
+    def forget(self, keep: int) -> None:
+        """Drop all but the newest ``keep`` batches of each writer."""
+        batches = [p for p in self._parts() if p.tier == "rows"]
+        for writer in {p.writer for p in batches}:
+            for p in sorted((p for p in batches if p.writer == writer), key=lambda p: p.batch)[: -keep or None]:
+                paths.delete(self.spark, f"{self.path}/_parts/{p.mark}")
+                paths.delete(self.spark, f"{self.path}/{p.folder}")
+
+    def batch_before(self, seconds: float, writer: str = MAIN) -> int:
+        """The newest batch id of a writer that is older than so many seconds; -1 if none is."""
+        at = (time.time() - seconds) * 1000
+        return max((p.batch for p in self._parts() if p.tier == "rows" and p.writer == writer and p.version <= at), default=-1)
+
     def _mark(self, tier: str, batch_id: int, writer: str, schema: int, touched: frozenset[int]) -> None:
         """Mark a batch complete. A replay keeps the version of the first time and replaces its mark."""
         parts = self._parts()
@@ -218,11 +271,8 @@ class LakeTable(BatchTable):
 
     def _write(self, rows: DataFrame, tier: str, batch_id: int, writer: str = MAIN) -> frozenset[int]:
         """The buckets that the written rows lie in."""
-        n = self.buckets
         found = Observation()
-        bit = lambda w: F.when(F.floor(F.col("key_bucket") / 64) == w, F.expr("shiftleft(1L, key_bucket % 64)"))
-        words = [F.bit_or(bit(w)).alias(f"w{w}") for w in range((n + 63) // 64)]
-        located = rows.withColumn("key_bucket", self._bucket()).observe(found, *words)
+        located = rows.withColumn("key_bucket", self._bucket()).observe(found, *self._touched())
         located = located.withColumns({"tier": F.lit(tier), **placed(batch_id, writer)})
         if tier == "base":
             # Neighbouring keys lie together, so that a file's range of keys tells whether it is worth reading.
@@ -232,8 +282,16 @@ class LakeTable(BatchTable):
             overwrite(out, self.path, "tier", "writer", "batch", "key_bucket")
         else:
             overwrite(located.drop("key_bucket").write, self.path, "tier", "writer", "batch")
-        values = found.get
-        bits = [(values.get(f"w{w}") or 0) & (2**64 - 1) for w in range(len(words))]
+        return self._buckets_of(found.get)
+
+    def _touched(self, name: str = "", condition: Column | None = None) -> list[Column]:
+        """Aggregates over ``key_bucket`` that hold a bit for each bucket with rows."""
+        mine = F.lit(True) if condition is None else condition
+        bit = lambda w: F.when(mine & (F.floor(F.col("key_bucket") / 64) == w), F.expr("shiftleft(1L, key_bucket % 64)"))
+        return [F.bit_or(bit(w)).alias(f"{name}w{w}") for w in range((self.buckets + 63) // 64)]
+
+    def _buckets_of(self, values: dict, name: str = "") -> frozenset[int]:
+        bits = [(values.get(f"{name}w{w}") or 0) & (2**64 - 1) for w in range((self.buckets + 63) // 64)]
         return frozenset(w * 64 + b for w, x in enumerate(bits) for b in range(64) if x >> b & 1)
 
     @property
@@ -329,18 +387,16 @@ class LakeTable(BatchTable):
         names = lambda b, p: paths.names(self.spark, f"{self.path}/{p.folder}/key_bucket={b}")
         return {b: frozenset(n for n in names(b, p) if n[0] not in "._") for b, p in base.items()}
 
+    def _batches(self, tier: str) -> dict[str, list[int]]:
+        """Batches of every writer."""
+        out: dict[str, list[int]] = {}
+        for p in sorted((p for p in self._parts() if p.tier == tier), key=lambda p: p.batch):
+            out.setdefault(p.writer, []).append(p.batch)
+        return out
+
     def _newest_base(self) -> int | None:
         return max((p.batch for p in self._parts() if p.tier == "base"), default=None)
 
-    def _folded(self, base: int | None) -> dict[str, int]:
-        """The last batch of each writer that a base holds."""
-        out: dict[str, int] = {}
-        for mark in paths.names(self.spark, f"{self.path}/_folds/{base}") if base is not None else ():
-            name, at, last = mark.rpartition("@")
-            if at and last.isdigit():
-                out[name] = max(int(last), out.get(name, -1))
-        return out
-
     def compact(self) -> int | None:
         """Fold all batches present now into a new base, which rewrites the buckets they touch; returns the newest base's number."""
         parts = self._parts()
@@ -415,6 +471,28 @@ class LakeTable(BatchTable):
         return [int(p[1]) for p in pins if len(p) == 3 and int(p[2]) > time.time() * 1000]
 
 
+def append_tables(changes: DataFrame, tables: dict[str, LakeTable], batch_id: int, writer: str = MAIN) -> None:
+    """Deliver one batch to tables of equal key, order and columns, by one write.
+
+    ``table`` names each row's table; that of a name has its path at ``table=<name>`` below one folder. Rows of a table are
+    brought together, so tasks leave few files in each. Every table's part of the batch is then marked on its own, and the
+    same batch again replaces it.
+    """
+    one = next(iter(tables.values()))
+    (root,) = {t.path.removesuffix(f"/table={name}") for name, t in tables.items()}
+    last = collapse(changes.filter(F.col("table").isin(*tables)), ["table", *one.pk], one.order_by, one.op)
+    schema = T.StructType([f for f in last.schema if f.name != "table"])
+    numbers = {name: t._schema_number(schema) for name, t in tables.items()}
+    found = Observation()
+    bits = [c for i, (name, t) in enumerate(tables.items()) for c in t._touched(f"t{i}", F.col("table") == name)]
+    buckets = reduce(lambda out, nt: F.when(F.col("table") == nt[0], nt[1]._bucket()).otherwise(out), tables.items(), F.lit(0))
+    located = bring_together(last.withColumn("key_bucket", buckets).observe(found, *bits).drop("key_bucket"), ["table"])
+    located = located.withColumns({"tier": F.lit("delta"), **placed(batch_id, writer)})
+    overwrite(located.write, root, "table", "tier", "writer", "batch")
+    for i, (name, t) in enumerate(tables.items()):
+        t._mark("delta", batch_id, writer, numbers[name], t._buckets_of(found.get, f"t{i}"))
+
+
 def placed(batch_id: int, writer: str) -> dict[str, Column]:
     if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_-]*", writer):
         raise ValueError(f"a writer's name begins with a letter, then has letters, digits, _ or -: {writer!r}")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.changes import apply_events, apply_latest
 from .config import DatabaseSource, MongoSource, MySqlSource
@@ -22,10 +22,12 @@ CHANGE_METADATA = {
 DOCUMENT_COLUMNS = {"_id": "VARCHAR", "payload": "VARCHAR"}
 
 
-def decode_changes(feed: DataFrame, source: DatabaseSource, columns: Mapping[str, str]) -> DataFrame:
-    """Change events of one table, rejects included."""
+def decode_changes(
+    feed: DataFrame, source: DatabaseSource, columns: Mapping[str, str], metadata: Sequence[Column] = ()
+) -> DataFrame:
+    """Change events of one table, rejects included, with ``metadata`` columns of their messages."""
     zone = source.server_time_zone if isinstance(source, MySqlSource) else "UTC"
-    return decode_debezium(feed, columns, source.order_ddl, zone, unit=source.time_unit)
+    return decode_debezium(feed, columns, source.order_ddl, zone, metadata, {**dict.fromkeys(columns, source.time_unit), **source.time_units})
 
 
 def current_rows(feed: DataFrame, source: DatabaseSource, columns: Mapping[str, str], pk: list[str]) -> DataFrame:

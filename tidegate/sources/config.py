@@ -87,6 +87,7 @@ class DatabaseSource:
     auto_schema_change: bool = False
     options: dict[str, str] = field(default_factory=dict)
     time_unit: str = "micros"  # of numeric times in rows: millis, micros or nanos
+    time_units: dict[str, str] = field(default_factory=dict)  # of columns with a unit of their own
 
     dialect = "postgres"
     order = ("lsn", "txId")
@@ -95,8 +96,9 @@ class DatabaseSource:
     def __post_init__(self) -> None:
         _present("database", self.database)
         _present("tables", self.tables)
-        if self.time_unit not in ("millis", "micros", "nanos"):
-            raise ValueError("time_unit must be millis, micros or nanos")
+        for unit in (self.time_unit, *self.time_units.values()):
+            if unit not in ("millis", "micros", "nanos"):
+                raise ValueError("time_unit must be millis, micros or nanos")
         for name in ("snapshot_interval", "snapshot_batch_size", "rows_per_split", "parallelism"):
             value = getattr(self, name)
             if value is not None and value <= 0:

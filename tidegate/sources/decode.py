@@ -59,7 +59,12 @@ def _value(field: Column, target: str, zone: str, unit: str = "micros") -> Colum
         if base == "DATE":
             return F.coalesce(F.date_add(F.lit("1970-01-01").cast("date"), number.cast("int")), field.try_cast("date"))
         per = TIME_UNITS[unit]
-        micros = number * (1_000_000 // per) if per < 1_000_000 else F.floor(number / F.lit(per // 1_000_000)) if per > 1_000_000 else number
+        micros = number
+        if per < 1_000_000:
+            micros = number * (1_000_000 // per)
+        elif per > 1_000_000:  # whole numbers all the way: a double has too few digits for nanoseconds
+            over = F.lit(per // 1_000_000)
+            micros = F.call_function("div", number - F.pmod(number, over), over)
         if base == "TIMESTAMPTZ":
             return F.when(number.isNotNull(), F.timestamp_micros(micros)).otherwise(field.try_cast("timestamp"))
         wall = F.when(number.isNotNull(), from_micros(micros)).otherwise(field.try_cast("timestamp_ntz"))
@@ -74,13 +79,21 @@ def _from_text(field: Column, target: str, zone: str = "UTC", unit: str = "micro
     return _value(field, target, zone, unit) if _checked(target) else cast_to_target(field, target)
 
 
-def _failed(image: Column, columns: Mapping[str, str], unit: str = "micros", text: bool = False) -> Column:
+#: A unit for all columns, or one for each.
+Unit = str | Mapping[str, str]
+
+
+def _unit(unit: Unit, column: str) -> str:
+    return unit if isinstance(unit, str) else unit.get(column, "micros")
+
+
+def _failed(image: Column, columns: Mapping[str, str], unit: Unit = "micros", text: bool = False) -> Column:
     """Names of the columns of an image whose text does not fit their type."""
     value = _from_text if text else _value
     return F.array_compact(
         F.array(
             *[
-                F.when(image[c].isNotNull() & value(image[c], t, "UTC", unit).isNull(), F.lit(c))
+                F.when(image[c].isNotNull() & value(image[c], t, "UTC", _unit(unit, c)).isNull(), F.lit(c))
                 for c, t in columns.items()
                 if text or _checked(t)
             ]
@@ -102,9 +115,9 @@ def _cast_error(*failed: Column) -> Column:
     return F.when(F.size(names) > 0, F.concat(F.lit("cast failed: "), F.array_join(names, ",")))
 
 
-def _row(image: Column, columns: Mapping[str, str], zone: str = "UTC", unit: str = "micros") -> Column:
+def _row(image: Column, columns: Mapping[str, str], zone: str = "UTC", unit: Unit = "micros") -> Column:
     return F.when(
-        image.isNotNull(), F.struct(*[_value(image[c], t, zone, unit).alias(c) for c, t in columns.items()])
+        image.isNotNull(), F.struct(*[_value(image[c], t, zone, _unit(unit, c)).alias(c) for c, t in columns.items()])
     )
 
 
@@ -147,7 +160,7 @@ def _malformed(message: Column) -> Column:
 
 
 def decode_json(
-    feed: DataFrame, columns: Mapping[str, str], metadata: Sequence[Column] = (), unit: str = "micros"
+    feed: DataFrame, columns: Mapping[str, str], metadata: Sequence[Column] = (), unit: Unit = "micros"
 ) -> DataFrame:
     """PLAIN JSON: the declared columns, then ``metadata``, ``_raw`` and ``_error``; ``unit`` is that of numeric times."""
     text = F.col("value").cast("string")
@@ -156,7 +169,7 @@ def decode_json(
     message = F.col("_m")
     error = F.when(_malformed(message), F.lit("malformed JSON")).otherwise(_cast_error(_failed(message, columns, unit)))
     return parsed.select(
-        *[_value(message[c], t, "UTC", unit).alias(c) for c, t in columns.items()],
+        *[_value(message[c], t, "UTC", _unit(unit, c)).alias(c) for c, t in columns.items()],
         *kept,
         F.when(error.isNotNull(), F.col(RAW)).alias(RAW),
         error.alias(ERROR),
@@ -242,7 +255,7 @@ def decode_debezium(
     order_ddl: str = "lsn bigint, txId bigint",
     time_zone: str = "UTC",
     metadata: Sequence[Column] = (),
-    unit: str = "micros",
+    unit: Unit = "micros",
 ) -> DataFrame:
     """``{op, before, after, source, ts_us or ts_ms}``, alone or as the ``payload`` beside a ``schema`` -> change events.
 
@@ -395,6 +408,7 @@ def decode_upsert(
     columns: Mapping[str, str],
     key_columns: Mapping[str, str] | None = None,
     metadata: Sequence[Column] = (),
+    unit: Unit = "micros",
 ) -> DataFrame:
     """Keyed JSON messages -> flat change rows: ``_op, rw_key, _offset`` and the columns; a null value is a delete.
 
@@ -414,7 +428,7 @@ def decode_upsert(
     keys = key_columns or {}
 
     def column(c: str, t: str) -> Column:
-        decoded = _value(m[c], t, "UTC")
+        decoded = _value(m[c], t, "UTC", _unit(unit, c))
         return F.coalesce(decoded, F.col("_k")[c]) if c in keys else decoded
 
     null_key = reduce(lambda a, b: a | b, [column(c, columns[c]).isNull() for c in keys if c in columns], F.lit(False))
@@ -422,7 +436,7 @@ def decode_upsert(
         F.when(F.col(UPSERT_KEY).isNull(), F.lit("no key"))
         .when(~delete & _malformed(m), F.lit("malformed JSON"))
         .when(null_key, F.lit("unreadable key")),
-        F.when(~delete, _cast_error(_failed(m, columns))),
+        F.when(~delete, _cast_error(_failed(m, columns, unit))),
     )
     return parsed.select(
         F.when(delete, F.lit("d")).otherwise(F.lit("u")).alias("_op"),
@@ -444,3 +458,57 @@ def documents(events: DataFrame) -> DataFrame:
         F.when(delete, F.col("before")["_id"]).otherwise(F.col("after")["_id"]).alias("_id"),
         F.when(~delete, F.col("after")["payload"]).alias("payload"),
     )
+
+
+def decode_documents(feed: DataFrame, order_ddl: str = "ts_us bigint, ord bigint", metadata: Sequence[Column] = ()) -> DataFrame:
+    """Envelopes of a document collection -> ``op, _id, payload, changed, removed, cut`` and the columns about each event.
+
+    ``after`` is a document, as JSON or as JSON text, or missing where ``updateDescription`` says what changed: ``changed`` maps
+    dotted paths to JSON, ``removed`` lists paths, ``cut`` arrays and their new sizes. The id is that of the message key, else
+    the document's own.
+    """
+    order = T.StructType.fromDDL(order_ddl)
+    source = T.StructType.fromDDL("db string, collection string, ts_us bigint, ts_ms bigint")
+    source = T.StructType(source.fields + [f for f in order.fields if f.name not in source.fieldNames()])
+    patch = T.StructType.fromDDL("updatedFields string, removedFields array<string>, truncatedArrays array<struct<field: string, size: int>>")
+    schema = T.StructType().add("op", "string").add("before", "string").add("after", "string").add("updateDescription", patch).add("source", source)
+    text, key = F.col("value").cast("string"), F.col("key").cast("string")
+    outer = T.StructType([*schema.fields, T.StructField("payload", schema)])
+    parsed = _parsed(feed.filter("value IS NOT NULL"), *metadata, key.alias("_k"), text.alias(RAW), message=_parse(text, outer))
+    kept = _kept(parsed)
+    m = F.col("_m")
+    part = lambda f: F.coalesce(m["payload"][f], m[f])
+    # The key's id is JSON text: a text id is quoted once more.
+    plain = lambda j: F.get_json_object(F.concat(F.lit('{"v":'), j, F.lit("}")), "$.v")
+    in_key = F.coalesce(F.get_json_object("_k", "$.id"), F.get_json_object("_k", "$.payload.id"))
+    own = F.coalesce(F.get_json_object(part("after"), "$._id"), F.get_json_object(part("before"), "$._id"))
+    changed = F.call_function("try_parse_json", part("updateDescription")["updatedFields"]).try_cast("map<string,variant>")
+    read = parsed.select(
+        *kept,
+        RAW,
+        _malformed(m).alias("_bad"),
+        F.when(part("op").isin("r", "c", "u", "d"), part("op")).alias("op"),
+        F.coalesce(plain(in_key), in_key, own).alias("_id"),
+        F.when(part("op") != "d", part("after")).alias("payload"),
+        F.transform_values(changed, lambda _, v: F.to_json(v)).alias("changed"),
+        part("updateDescription")["removedFields"].alias("removed"),
+        part("updateDescription")["truncatedArrays"].alias("cut"),
+        (part("updateDescription")["updatedFields"].isNotNull() & changed.isNull()).alias("_bad_patch"),
+        F.struct(*[part("source")[f.name].alias(f.name) for f in order]).alias("order_key"),
+        F.timestamp_micros(F.coalesce(part("source")["ts_us"], part("source")["ts_ms"] * 1000)).alias("commit_ts"),
+        part("source")["db"].alias("db"),
+        part("source")["collection"].alias("table"),
+    )
+    nothing = F.col("payload").isNull() & F.col("changed").isNull() & F.col("removed").isNull() & F.col("cut").isNull()
+    error = (
+        F.when(F.col("_bad"), "malformed JSON")
+        .when(F.col("op").isNull(), "unknown operation")
+        .when(F.col("_id").isNull(), "no document id")
+        .when(F.col("_bad_patch") | (F.col("payload").isNotNull() & F.json_object_keys("payload").isNull()), "malformed document")
+        .when((F.col("op") != "d") & nothing, "no after image")
+    )
+    return read.select(
+        "op", "_id", "payload", "changed", "removed", "cut", "order_key", "commit_ts", "db", "table", *kept,
+        F.when(error.isNotNull(), F.col(RAW)).alias(RAW),
+        error.alias(ERROR),
+    )

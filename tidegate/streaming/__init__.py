@@ -1,8 +1,15 @@
 from .pipeline import (
+    Measure,
     append_and_reject,
     complete_transactions,
     dedupe_stream,
     fan_out_stream,
+    fold_rollup,
+    fold_transactions,
+    late_rows,
+    open_transactions,
+    read_rollup,
+    rollup_parts,
     rollup_to_lake,
     run_stream,
     stream_rollup,

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import mark_transactions, transaction_sizes, unkeyed
-from ..sinks import paths
-from ..sinks.lake import MAIN, LakeTable, append_partition, writer_of
+from ..sinks.lake import MAIN, BatchTable, LakeTable, append_partition, writer_of
 
 
 def run_stream(
@@ -39,12 +39,16 @@ def append_and_reject(
     pk: Sequence[str] = (),
     order_by: Sequence[str] = (),
     writer: str = MAIN,
-) -> None:
+    by: Mapping[str, str] | None = None,
+) -> DataFrame | None:
     """Append the good rows of a decoded batch; write ``raw, error`` of the others to ``reject_path``.
 
     With ``pk`` and ``order_by`` change rows with a null in them are rejected too, as JSON. Rejects are counted while the
-    good rows are written, so a clean batch is decoded once.
+    good rows are written, so a clean batch is decoded once. With ``by``, the name of a column before and after
+    ``to_changes``, rejects are returned with that column as ``by`` instead, or None if there are none.
     """
+    ((before, after),) = by.items() if by else ((None, None),)
+    named = lambda c: [F.col(c).alias("by")] if by else []
     seen, keyless = Observation(), Observation()
     counted = decoded.observe(seen, F.count_if(F.col("_error").isNotNull()).alias("bad"))
     changes = to_changes(counted.filter("_error IS NULL"))
@@ -55,15 +59,18 @@ def append_and_reject(
     bad = []
     if seen.get["bad"]:
         of_messages = decoded.filter("_error IS NOT NULL")
-        bad.append(of_messages.select(F.col("_raw").alias("raw"), F.col("_error").alias("error")))
+        bad.append(of_messages.select(F.col("_raw").alias("raw"), F.col("_error").alias("error"), *named(before)))
     if (pk or order_by) and keyless.get["bad"]:
         rows = to_changes(decoded.filter("_error IS NULL"))
         reason = unkeyed(rows, pk, order_by)
-        bad.append(rows.filter(reason.isNotNull()).select(F.to_json(F.struct("*")).alias("raw"), reason.alias("error")))
+        bad.append(rows.filter(reason.isNotNull()).select(F.to_json(F.struct("*")).alias("raw"), reason.alias("error"), *named(after)))
+    if by:
+        return reduce(DataFrame.union, bad) if bad else None
     if bad and reject_path is None:
         raise ValueError("rows were rejected and there is no reject_path to keep them")
     if bad:
         append_partition(reduce(DataFrame.union, bad), reject_path, batch_id, writer)
+    return None
 
 
 def stream_to_lake(
@@ -109,29 +116,60 @@ def complete_transactions(
     declared: str,
     spread_by: Sequence[str],
     position: Sequence[str] = (),
+    writer: str = MAIN,
 ) -> DataFrame:
-    """Rows of the transactions that are whole by this batch; the rest waits below ``carry_path``.
+    """Rows of the transactions that are whole by this batch; the others wait below ``carry_path``.
 
     The batch holds change rows and markers: a marker has the number of its transaction's rows in ``declared``, which is
-    null on rows. What a batch leaves open is stored under its id and joined by the next one, so a batch that is
-    replayed finds what it found the first time.
+    null on rows. Only transactions that the batch names can become whole, so it is joined with their waiting rows alone, and
+    what it leaves open is appended once and never rewritten (``fold_transactions`` drops delivered rows now and then). A
+    batch that is replayed finds what it found the first time. Rows of a transaction that has been delivered are repeats
+    and left out; rows without a transaction are kept in ``<carry_path>/rejects``.
     """
     spark = batch.sparkSession
-    before = f"{carry_path}/batch={batch_id - 1}"
-    if paths.exists(spark, before):
-        batch = batch.unionByName(spark.read.schema(batch.schema).parquet(before))
-    rows = batch.filter(F.col(declared).isNull()).drop(declared)
-    markers = batch.filter(F.col(declared).isNotNull())
+    pending, done = BatchTable(spark, f"{carry_path}/pending"), BatchTable(spark, f"{carry_path}/done")
+    keyless = batch.filter(F.col(txid).isNull())
+    if not keyless.isEmpty():
+        raw = F.to_json(F.struct(*batch.columns)).alias("raw")
+        append_partition(keyless.select(raw, F.lit("null transaction id").alias("error")), f"{carry_path}/rejects", batch_id, writer)
+    delivered = done.rows(before=(writer, batch_id))
+    new = batch.filter(F.col(txid).isNotNull()).withColumn("_batch", F.lit(batch_id).cast("long"))
+    if delivered.columns:
+        new = new.join(delivered.select(txid).distinct(), txid, "left_anti")
+    waiting = pending.rows(before=(writer, batch_id))
+    both = new
+    if waiting.columns:
+        both = new.unionByName(waiting.join(new.select(txid).distinct(), txid, "left_semi").select(*new.columns))
+    rows, markers = both.filter(F.col(declared).isNull()).drop(declared), both.filter(F.col(declared).isNotNull())
     counts = markers.groupBy(txid).agg(F.max(declared).alias(declared))
     marked = mark_transactions(rows, txid, counts, declared, list(spread_by), position=list(position))
     whole = transaction_sizes(rows, txid, counts, declared, list(position)).filter("complete").select(txid)
-    waiting = marked.filter("NOT complete").drop("complete")
-    left = waiting.unionByName(markers.join(whole, txid, "left_anti"), allowMissingColumns=True)
-    left.select(*batch.columns).write.mode("overwrite").parquet(f"{carry_path}/batch={batch_id}")
-    for old in paths.partition_values(spark, carry_path, "batch"):
-        if old < batch_id - 1:
-            paths.delete(spark, f"{carry_path}/batch={old}")
-    return marked.filter("complete").drop("complete")
+    mine = F.col("_batch") == batch_id
+    left = marked.filter(~F.col("complete") & mine).drop("complete")
+    left = left.unionByName(markers.filter(mine).join(whole, txid, "left_anti"), allowMissingColumns=True)
+    pending.append(left.select(*new.columns), batch_id, writer)
+    done.append(whole, batch_id, writer)
+    return marked.filter("complete").drop("complete", "_batch")
+
+
+def fold_transactions(spark: SparkSession, carry_path: str, txid: str, remember: int = 1000) -> None:
+    """Drop waiting rows whose transactions have been delivered, and forget ids delivered over ``remember`` batches ago."""
+    pending, done = BatchTable(spark, f"{carry_path}/pending"), BatchTable(spark, f"{carry_path}/done")
+    delivered = done.rows()
+    if not delivered.columns:
+        return
+    pending.fold(lambda rows: rows.join(delivered.select(txid).distinct(), txid, "left_anti").select(*rows.columns))
+    done.forget(remember)
+
+
+def open_transactions(spark: SparkSession, carry_path: str, txid: str, declared: str, seconds: float = 0, writer: str = MAIN) -> DataFrame:
+    """``txid, rows, declared, first_batch`` of transactions that have waited for so many seconds or longer."""
+    pending, done = BatchTable(spark, f"{carry_path}/pending"), BatchTable(spark, f"{carry_path}/done")
+    waiting = pending.rows().join(done.rows().select(txid).distinct(), txid, "left_anti")
+    seen = waiting.groupBy(txid).agg(
+        F.count_if(F.col(declared).isNull()).alias("rows"), F.max(declared).alias(declared), F.min("_batch").alias("first_batch")
+    )
+    return seen.filter(F.col("first_batch") <= pending.batch_before(seconds, writer))
 
 
 def stream_transactions_to_lake(
@@ -153,8 +191,9 @@ def stream_transactions_to_lake(
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            whole = complete_transactions(batch, batch_id, carry_path, txid, declared, spread_by, position)
-            table.append_batch(whole, batch_id, writer_of(checkpoint))
+            writer = writer_of(checkpoint)
+            whole = complete_transactions(batch, batch_id, carry_path, txid, declared, spread_by, position, writer)
+            table.append_batch(whole, batch_id, writer)
         finally:
             batch.unpersist()
 
@@ -209,3 +248,51 @@ def rollup_to_lake(rolled: DataFrame, table: LakeTable, checkpoint: str, version
         table.append_batch(rows, batch_id, writer_of(checkpoint))
 
     return run_stream(rolled, deliver, checkpoint, output_mode="update", **trigger)
+
+
+@dataclass(frozen=True)
+class Measure:
+    """An aggregate that can be taken in parts: ``part`` over rows, ``whole`` over the parts."""
+
+    name: str
+    part: Column
+    whole: Callable[[str], Column]
+
+
+def rollup_parts(
+    stream: DataFrame, path: str, keys: Sequence[str], event_time: str, bucket: str, measures: Sequence[Measure], checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Aggregates of every micro-batch per key and time bucket, appended below ``path`` and combined when read.
+
+    There is no streaming state and no watermark: a row counts however late it comes. A batch that is replayed replaces its
+    aggregates.
+    """
+    writer, table = writer_of(checkpoint), BatchTable(stream.sparkSession, path)
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.withColumn(event_time, F.col(event_time).cast("timestamp"))
+        parts = timed.groupBy(F.window(event_time, bucket).alias("_w"), *keys).agg(*[m.part.alias(m.name) for m in measures])
+        start = F.col("_w.start").cast("timestamp_ntz").alias("bucket_start")
+        table.append(parts.select(*keys, start, *[m.name for m in measures]), batch_id, writer)
+
+    return run_stream(stream, deliver, checkpoint, **trigger)
+
+
+def combined(parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    return parts.groupBy(*keys, "bucket_start").agg(*[m.whole(m.name).alias(m.name) for m in measures])
+
+
+def read_rollup(spark: SparkSession, path: str, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """``keys…, bucket_start, measures…``."""
+    return combined(BatchTable(spark, path).rows(), keys, measures)
+
+
+def fold_rollup(spark: SparkSession, path: str, keys: Sequence[str], measures: Sequence[Measure]) -> None:
+    """One row per key and bucket in place of those of all batches but the newest."""
+    table = BatchTable(spark, path)
+    table.fold(lambda parts: combined(parts, keys, measures).select(*parts.columns))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a stream's watermark has left out, in the progress reports that the query keeps."""
+    return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
