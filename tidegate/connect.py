@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .functions.typemap import struct_of
-from .operators.changes import SNAPSHOT, flatten_events, split_key_changes
+from .operators.changes import SNAPSHOT, flatten_events, snapshot_chunk, split_key_changes
 from .operators.documents import assembled, path_changes
 from .operators.selection import TableColumns, TableSelector
 from .sinks.lake import MAIN, LakeTable, append_partition, append_tables, writer_of
 from .sources.cdc import CHANGE_METADATA, decode_changes
 from .sources.config import DatabaseSource, MongoSource
-from .sources.decode import decode_documents
+from .sources.decode import accepted, decode_documents
 from .streaming.pipeline import append_and_reject, complete_transactions, fold_transactions, open_transactions, run_stream
 
 
@@ -189,7 +189,7 @@ class Ingest:
 
     def open_transactions(self, seconds: float = 0, writer: str = MAIN) -> DataFrame:
         """Transactions whose rows have waited for so many seconds."""
-        return open_transactions(self.spark, f"{self.warehouse}/_transactions", "_tx", "_events", seconds, writer)
+        return open_transactions(self.spark, f"{self.warehouse}/_transactions", "_tx", "_events", seconds, writer, ["_place"])
 
     def _deliver_group(self, messages: DataFrame, tables: list[CapturedTable], batch_id: int, writer: str) -> None:
         """Decode tables of equal columns and key together and write them at once; keep what can't be applied."""
@@ -227,11 +227,10 @@ class Ingest:
         What no table takes is kept below ``_rejects``: per table what cannot be decoded or keyed, under ``_unplaced`` what
         names no table or one that isn't declared.
         """
-        named = self.named(batch)
-        if self.source.transactional:
-            named = self._whole(named, batch_id, writer)
-        named = named.persist()
+        held = named = self.named(batch).persist()
         try:
+            if self.source.transactional:
+                named = self._whole(held, batch_id, writer)
             messages = self._select(named)
             groups: dict[tuple, list[CapturedTable]] = {}
             for table in self.tables:
@@ -244,7 +243,37 @@ class Ingest:
             if not unplaced.isEmpty():
                 append_partition(unplaced, f"{self.warehouse}/_rejects/_unplaced", batch_id, writer)
         finally:
-            named.unpersist()
+            held.unpersist()
+
+    def load(
+        self,
+        table: CapturedTable,
+        chunks: Iterable[str],
+        read: Callable[[str], DataFrame],
+        position: Callable[[], Mapping[str, object]],
+        log: Callable[[Mapping[str, object], Mapping[str, object]], DataFrame],
+        writer: str = "snapshot",
+    ) -> None:
+        """Load the rows a table has already, chunk by chunk, while its log goes on.
+
+        ``chunks`` are conditions that take every row once, such as ``plan_even_splits(...).predicates()``; ``read`` reads one
+        chunk (``read_snapshot`` with a condition), ``position`` tells where the log stands, ``log`` gives the messages between
+        two positions. Each chunk is a batch of its own, so a load that is broken off is repeated from the start without
+        harm, and the stream of changes may run before, beside or after it.
+        """
+        target = self.target(table)
+        columns = struct_of(table.types)
+        for batch_id, condition in enumerate(chunks):
+            low = position()
+            rows = read(condition).select(*[F.col(f.name).cast(f.dataType) for f in columns]).persist()
+            try:
+                rows.count()  # read whole before the position after it is taken
+                high = position()
+                between = self.named(log(low, high)).filter((F.col("_schema") == table.schema) & (F.col("_table") == table.table))
+                changes = self._to_changes(accepted(decode_changes(between, self.source, table.types)), table)
+                target.append_batch(snapshot_chunk(rows, changes, table.primary_key, high), batch_id, writer)
+            finally:
+                rows.unpersist()
 
     def run(self, feed: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Continuously; by default until the end of what is there."""

@@ -131,6 +131,22 @@ def snapshot_then_log(
     return rows.unionByName(log)
 
 
+def snapshot_chunk(
+    rows: DataFrame, log: DataFrame, pk: Sequence[str], position: Mapping[str, object], order: str = "_order", op: str = "_op"
+) -> DataFrame:
+    """Changes of a chunk of a table that was read while the log went on.
+
+    ``log`` has the changes, deletes included, between the log positions before and after the read. Where it changes a key the
+    chunk's row may be older or newer than that, and the log has the truth, so the row is dropped; any other row is
+    the table's at ``position``, the one after the read, and becomes op ``r`` there.
+    """
+    changed = log.select(*pk).distinct()
+    kind = log.schema[order].dataType
+    at = F.struct(*[F.lit(position.get(f.name)).cast(f.dataType).alias(f.name) for f in kind])
+    kept = rows.join(changed, list(pk), "left_anti")
+    return kept.select(F.lit(SNAPSHOT).alias(op), at.alias(order), *rows.columns)
+
+
 def transaction_sizes(
     rows: DataFrame, txid: str, markers: DataFrame, declared: str, position: list[str] | None = None
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import to_micros
@@ -453,6 +455,145 @@ def stored_changes_equal_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic.stored(feed, path).intersect(topic.rows(feed))
 
 
+def _transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as changes with their transaction, one for each order, and the END message of each.
+
+    Every tenth transaction stays open, every 13th has all its messages twice, every 17th order's lines name none.
+    """
+    lines = load(spark, sf_dir, "lineitem").dropDuplicates(["l_orderkey", "l_linenumber"])
+    tx = F.when(F.col("l_orderkey") % 17 != 0, F.concat(F.lit("tx"), F.col("l_orderkey").cast("string")))
+    row = F.struct("l_orderkey", "l_linenumber", F.lit("x").alias("label"))
+    source = F.struct(F.lit("sales").alias("schema"), F.lit("lineitem").alias("table"), F.col("l_orderkey").alias("lsn"))
+    about = F.struct(tx.alias("id"), F.col("l_linenumber").alias("total_order"))
+    change = F.struct(F.lit("c").alias("op"), row.alias("after"), source.alias("source"), about.alias("transaction"))
+    changes = lines.select("l_orderkey", F.to_json(change).alias("value"))
+    counts = lines.filter("l_orderkey % 10 <> 0").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    counted = F.array(
+        F.struct(F.lit("sales.lineitem").alias("data_collection"), F.col("n").alias("event_count")),
+        F.struct(F.lit("sales.others").alias("data_collection"), F.lit(5).cast("long").alias("event_count")),
+    )
+    ended = F.concat(F.lit("tx"), F.col("l_orderkey").cast("string"))
+    end = F.struct(F.lit("END").alias("status"), ended.alias("id"), (F.col("n") + 5).alias("event_count"), counted.alias("data_collections"))
+    feed = changes.unionByName(counts.select("l_orderkey", F.to_json(end).alias("value")))
+    twice = F.when(F.col("l_orderkey") % 13 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    copies = feed.select("l_orderkey", F.col("value").cast("binary").alias("value"), F.explode(twice).alias("copy"))
+    return copies.withColumn("key", F.lit(None).cast("binary"))
+
+
+@query("""
+    WITH lines AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
+    SELECT CASE WHEN l_orderkey % 17 = 0 THEN 'rejected' WHEN l_orderkey % 10 = 0 THEN 'waiting' ELSE 'delivered' END AS outcome,
+        count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum
+    FROM lines WHERE NOT (l_orderkey % 17 = 0 AND l_orderkey % 13 = 0) GROUP BY 1
+""")
+def ingest_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A transactional source in batches that cut through transactions; one batch is replayed, a fold lies between."""
+    table = CapturedTable("sales", "lineitem", {"l_orderkey": "BIGINT", "l_linenumber": "INT", "label": "VARCHAR"}, ("l_orderkey", "l_linenumber"))
+    home = work_path(spark, "tx")
+    ingest = Ingest(spark, PostgresSource("app", transactional=True), (table,), home)
+    feed = _transaction_feed(spark, sf_dir).filter("NOT (l_orderkey % 17 = 0 AND copy = 2)")
+    feed = feed.filter("NOT (l_orderkey % 17 = 0 AND l_orderkey % 13 = 0)")
+    log = work_path(spark, "log")
+    feed.withColumn("part", F.pmod(F.xxhash64("value", "copy"), F.lit(3))).drop("l_orderkey", "copy").write.partitionBy("part").parquet(log)
+    for i in (0, 1, 1, 2):
+        ingest.deliver(spark.read.parquet(f"{log}/part={i}"), i)
+        if i == 1:
+            ingest.maintain()
+    rows = ingest.read(table).agg(F.lit("delivered").alias("outcome"), F.count("*").alias("n"), F.sum("l_orderkey").alias("key_sum"))
+    opened = ingest.open_transactions().filter("_events IS NULL")
+    number = F.substring("_tx", 3, 20).cast("long")
+    waiting = opened.agg(F.lit("waiting").alias("outcome"), F.sum("rows").alias("n"), F.sum(number * F.col("rows")).alias("key_sum"))
+    kept = read_partitions(spark, f"{home}/_transactions/rejects")
+    lost = F.get_json_object(F.unbase64(F.get_json_object("raw", "$.value")).cast("string"), "$.after.l_orderkey").cast("long")
+    rejects = kept.agg(F.lit("rejected").alias("outcome"), F.count("*").alias("n"), F.sum(lost).alias("key_sum"))
+    return rows.unionByName(waiting).unionByName(rejects)
+
+
+@query("""
+    SELECT 'p' || (p_partkey % 20) AS target, count(*) AS n, CAST(sum(p_partkey) AS BIGINT) AS key_sum, 'app' AS database_name FROM part GROUP BY 1
+""")
+def ingest_many_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty tables of equal columns, decoded together and written by one write; the batch comes twice."""
+    names = [f"p{i}" for i in range(20)]
+    tables = tuple(CapturedTable("stock", n, {"p_partkey": "BIGINT", "p_name": "VARCHAR"}, ("p_partkey",)) for n in names)
+    ingest = Ingest(spark, PostgresSource("app", tables="stock.*"), tables, work_path(spark, "many"), metadata=("database", "timestamp"))
+    part = load(spark, sf_dir, "part")
+    which = F.concat(F.lit("p"), (F.col("p_partkey") % 20).cast("string"))
+    source = F.struct(F.lit("app").alias("db"), F.lit("stock").alias("schema"), which.alias("table"), F.lit(1).alias("lsn"), F.lit(1).alias("ts_us"))
+    message = F.to_json(F.struct(F.lit("c").alias("op"), F.struct("p_partkey", "p_name").alias("after"), source.alias("source")))
+    feed = part.select(message.cast("binary").alias("value"))
+    ingest.deliver(feed, 0)
+    ingest.deliver(feed, 0)
+    parts = [
+        ingest.read(t).groupBy("database_name").agg(F.lit(t.target).alias("target"), F.count("*").alias("n"), F.sum("p_partkey").alias("key_sum"))
+        for t in tables
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("""
+    SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 1 THEN CAST(o_custkey AS VARCHAR) END AS customer FROM orders
+""")
+def ingest_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that only later messages have is added; a source that may not change its schema leaves it out."""
+    table = CapturedTable("sales", "orders", {"o_orderkey": "BIGINT", "o_orderstatus": "VARCHAR"}, ("o_orderkey",))
+    orders = load(spark, sf_dir, "orders")
+
+    def feed(rows: DataFrame, *more: Column) -> DataFrame:
+        source = F.struct(F.lit("sales").alias("schema"), F.lit("orders").alias("table"), F.lit(1).alias("lsn"))
+        after = F.struct("o_orderkey", "o_orderstatus", *more)
+        return rows.select(F.to_json(F.struct(F.lit("c").alias("op"), after.alias("after"), source.alias("source"))).cast("binary").alias("value"))
+
+    old, new = feed(orders.filter("o_orderkey % 2 = 0")), feed(orders.filter("o_orderkey % 2 = 1"), F.col("o_custkey").alias("customer"))
+    read = {}
+    for grows in (True, False):
+        ingest = Ingest(spark, PostgresSource("app", auto_schema_change=grows), (table,), work_path(spark, "schema"))
+        ingest.deliver(old, 0)
+        ingest.deliver(new, 1)
+        read[grows] = ingest.read(table)
+    fixed = read[False].select("o_orderkey", F.lit(read[False].columns == ["o_orderkey", "o_orderstatus"]).alias("as_declared"))
+    return read[True].join(fixed.filter("as_declared"), "o_orderkey").drop("as_declared")
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 2")
+def snapshot_chunks_meet_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read in chunks while it changes: each chunk has rows that the log changes or deletes before it ends.
+
+    The snapshot is of old rows; the log, which goes on during every chunk, gives a third their status and deletes another.
+    """
+    orders = load(spark, sf_dir, "orders")
+    table = CapturedTable("sales", "orders", {"o_orderkey": "BIGINT", "o_orderstatus": "VARCHAR"}, ("o_orderkey",))
+    source = lambda lsn: F.struct(F.lit("sales").alias("schema"), F.lit("orders").alias("table"), lsn.alias("lsn"))
+    row = F.struct("o_orderkey", "o_orderstatus")
+    # Log positions: the change of an order of chunk c lies between c * 1000 and (c + 1) * 1000.
+    chunk = F.pmod(F.xxhash64("o_orderkey"), F.lit(4))
+    lsn = chunk * 1000 + 1 + F.col("o_orderkey") % 998
+    gone = F.col("o_orderkey") % 3 == 2
+    changed = orders.filter("o_orderkey % 3 > 0")
+    log = changed.select(
+        lsn.alias("lsn"),
+        F.to_json(
+            F.struct(F.when(gone, "d").otherwise("u").alias("op"), F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"), source(lsn).alias("source"))
+        ).cast("binary").alias("value"),
+    )
+    status = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).otherwise(F.lit("?"))
+    stale = orders.withColumn("chunk", chunk).select("chunk", "o_orderkey", status.alias("o_orderstatus"))
+    ingest = Ingest(spark, PostgresSource("app"), (table,), work_path(spark, "chunks"))
+    now = [0]
+
+    def position() -> dict[str, int]:  # the log goes on while a chunk is read
+        at = {"lsn": (now[0] // 2 + now[0] % 2) * 1000, "txId": 0}
+        now[0] += 1
+        return at
+
+    def between(low: dict, high: dict) -> DataFrame:
+        return log.filter((F.col("lsn") > low["lsn"]) & (F.col("lsn") <= high["lsn"])).select("value")
+
+    ingest.load(table, [f"chunk = {c}" for c in range(4)], lambda c: stale.filter(c).drop("chunk"), position, between)
+    ingest.deliver(log.select("value"), 0, "stream")
+    return ingest.read(table)
+
+
 def _order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes of orders as documents: whole ones as JSON text, then patches of some, deletes of others, out of order."""
     orders = load(spark, sf_dir, "orders")

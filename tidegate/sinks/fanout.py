@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from ..operators.observe import observed
 from ..operators.skew import bring_together
 from .lake import MAIN, overwrite, placed
 
@@ -45,7 +46,7 @@ def deliver_tables(
             else:
                 rows = sink_input(spark, table=name)
             write(rows.observe(seen, F.count(F.lit(1)).alias("n")), name)
-            results.append((sink, name, seen.get["n"], True, None, time.monotonic() - started))
+            results.append((sink, name, observed(seen, lambda: {"n": rows.count()})["n"], True, None, time.monotonic() - started))
         except Exception as e:  # reported per table
             text = str(e).strip().splitlines() or [type(e).__name__]
             results.append((sink, name, 0, False, text[0], time.monotonic() - started))

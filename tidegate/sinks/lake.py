@@ -36,8 +36,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, Window, functions as F, types as T
 
 from ..operators.changes import DELETE, collapse, to_append_only, unkeyed
-from ..operators.skew import bring_together
 from ..operators.evolve import conform, evolved_schema, wider_type
+from ..operators.observe import observed
+from ..operators.skew import bring_together
 from . import paths
 from .config import LakeSink
 
@@ -109,6 +110,15 @@ class BatchTable:
         """Rows of all batches; with ``before`` those of that writer below that batch id only."""
         return self._live([p for p in self._parts() if p.tier == "rows" and (before is None or (p.writer, p.batch) < before and p.writer == before[0])])
 
+    def batch(self, batch_id: int, writer: str = MAIN) -> DataFrame:
+        """Rows of one batch."""
+        return self._live([p for p in self._parts() if (p.tier, p.batch, p.writer) == ("rows", batch_id, writer)])
+
+    def settled(self) -> DataFrame:
+        """Rows of all batches but the newest of each writer, which may be replayed."""
+        batches = [p for p in self._parts() if p.tier == "rows"]
+        return self._live([p for p in batches if p.batch < max(o.batch for o in batches if o.writer == p.writer)])
+
     def _live(self, batches: list[Part]) -> DataFrame:
         """Rows of the newest fold and of those batches that it doesn't hold."""
         schemas = self._schemas()
@@ -256,7 +266,7 @@ class LakeTable(BatchTable):
         reason = unkeyed(changes, self.pk, self.order_by)
         seen = changes.observe(keyless, F.count_if(reason.isNotNull()).alias("bad")).filter(reason.isNull())
         self._commit(collapse(seen, self.pk, self.order_by, self.op), "delta", batch_id, writer)
-        if keyless.get["bad"]:
+        if observed(keyless, lambda: {"bad": changes.filter(reason.isNotNull()).count()})["bad"]:
             bad = changes.withColumn("error", reason).filter("error IS NOT NULL")
             bad = bad.select(F.to_json(F.struct(*changes.columns)).alias("raw"), "error")
             append_partition(bad, f"{self.path}_rejects", batch_id, writer)
@@ -282,7 +292,7 @@ class LakeTable(BatchTable):
             overwrite(out, self.path, "tier", "writer", "batch", "key_bucket")
         else:
             overwrite(located.drop("key_bucket").write, self.path, "tier", "writer", "batch")
-        return self._buckets_of(found.get)
+        return self._buckets_of(observed(found, dict))  # none where no row is left
 
     def _touched(self, name: str = "", condition: Column | None = None) -> list[Column]:
         """Aggregates over ``key_bucket`` that hold a bit for each bucket with rows."""
@@ -489,8 +499,9 @@ def append_tables(changes: DataFrame, tables: dict[str, LakeTable], batch_id: in
     located = bring_together(last.withColumn("key_bucket", buckets).observe(found, *bits).drop("key_bucket"), ["table"])
     located = located.withColumns({"tier": F.lit("delta"), **placed(batch_id, writer)})
     overwrite(located.write, root, "table", "tier", "writer", "batch")
+    values = observed(found, dict)  # none where no row is left
     for i, (name, t) in enumerate(tables.items()):
-        t._mark("delta", batch_id, writer, numbers[name], t._buckets_of(found.get, f"t{i}"))
+        t._mark("delta", batch_id, writer, numbers[name], t._buckets_of(values, f"t{i}"))
 
 
 def placed(batch_id: int, writer: str) -> dict[str, Column]:

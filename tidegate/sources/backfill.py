@@ -134,8 +134,15 @@ def read_jdbc_snapshot(
     return rows.coalesce(parallelism) if parallelism else rows
 
 
-def read_snapshot(spark: SparkSession, source: DatabaseSource, url: str, table: str, column: str) -> DataFrame:
-    """The snapshot of one captured table with the source's own split, parallelism and fetch settings."""
+def read_snapshot(
+    spark: SparkSession, source: DatabaseSource, url: str, table: str, column: str, condition: str | None = None
+) -> DataFrame:
+    """The snapshot of one captured table with the source's own split, parallelism and fetch settings.
+
+    With ``condition`` only the rows it holds for: a chunk of ``Ingest.load``.
+    """
+    if condition:
+        table = f"(SELECT * FROM {table} WHERE {condition}) AS chunk"
     if not source.rows_per_split:
         options = {"fetchsize": str(source.snapshot_batch_size), **source.options}
         return spark.read.jdbc(url, table, properties=options)

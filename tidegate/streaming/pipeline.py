@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.changes import mark_transactions, transaction_sizes, unkeyed
+from ..operators.changes import mark_transactions, unkeyed
+from ..operators.observe import observed
 from ..sinks.lake import MAIN, BatchTable, LakeTable, append_partition, writer_of
 
 
@@ -57,11 +58,11 @@ def append_and_reject(
         changes = changes.observe(keyless, F.count_if(reason.isNotNull()).alias("bad")).filter(reason.isNull())
     append(changes, batch_id)
     bad = []
-    if seen.get["bad"]:
+    if observed(seen, lambda: {"bad": decoded.filter("_error IS NOT NULL").count()})["bad"]:
         of_messages = decoded.filter("_error IS NOT NULL")
         bad.append(of_messages.select(F.col("_raw").alias("raw"), F.col("_error").alias("error"), *named(before)))
-    if (pk or order_by) and keyless.get["bad"]:
-        rows = to_changes(decoded.filter("_error IS NULL"))
+    rows = to_changes(decoded.filter("_error IS NULL"))
+    if (pk or order_by) and observed(keyless, lambda: {"bad": rows.filter(unkeyed(rows, pk, order_by).isNotNull()).count()})["bad"]:
         reason = unkeyed(rows, pk, order_by)
         bad.append(rows.filter(reason.isNotNull()).select(F.to_json(F.struct("*")).alias("raw"), reason.alias("error"), *named(after)))
     if by:
@@ -142,32 +143,43 @@ def complete_transactions(
         both = new.unionByName(waiting.join(new.select(txid).distinct(), txid, "left_semi").select(*new.columns))
     rows, markers = both.filter(F.col(declared).isNull()).drop(declared), both.filter(F.col(declared).isNotNull())
     counts = markers.groupBy(txid).agg(F.max(declared).alias(declared))
-    marked = mark_transactions(rows, txid, counts, declared, list(spread_by), position=list(position))
-    whole = transaction_sizes(rows, txid, counts, declared, list(position)).filter("complete").select(txid)
+    step = BatchTable(spark, f"{carry_path}/step")
+    step.append(mark_transactions(rows, txid, counts, declared, list(spread_by), position=list(position)), batch_id, writer)
+    marked = step.batch(batch_id, writer)
+    if not marked.columns:  # a batch without rows
+        marked = rows.withColumn("complete", F.lit(False)).limit(0)
+    whole = marked.filter("complete").select(txid).distinct()
     mine = F.col("_batch") == batch_id
     left = marked.filter(~F.col("complete") & mine).drop("complete")
     left = left.unionByName(markers.filter(mine).join(whole, txid, "left_anti"), allowMissingColumns=True)
     pending.append(left.select(*new.columns), batch_id, writer)
     done.append(whole, batch_id, writer)
+    step.forget(2)
     return marked.filter("complete").drop("complete", "_batch")
 
 
 def fold_transactions(spark: SparkSession, carry_path: str, txid: str, remember: int = 1000) -> None:
-    """Drop waiting rows whose transactions have been delivered, and forget ids delivered over ``remember`` batches ago."""
+    """Drop waiting rows whose transactions have been delivered, and forget ids delivered over ``remember`` batches ago.
+
+    What the newest batch delivered stays: if it is replayed, it needs the rows again.
+    """
     pending, done = BatchTable(spark, f"{carry_path}/pending"), BatchTable(spark, f"{carry_path}/done")
-    delivered = done.rows()
+    delivered = done.settled()
     if not delivered.columns:
         return
     pending.fold(lambda rows: rows.join(delivered.select(txid).distinct(), txid, "left_anti").select(*rows.columns))
     done.forget(remember)
 
 
-def open_transactions(spark: SparkSession, carry_path: str, txid: str, declared: str, seconds: float = 0, writer: str = MAIN) -> DataFrame:
+def open_transactions(
+    spark: SparkSession, carry_path: str, txid: str, declared: str, seconds: float = 0, writer: str = MAIN, position: Sequence[str] = ()
+) -> DataFrame:
     """``txid, rows, declared, first_batch`` of transactions that have waited for so many seconds or longer."""
     pending, done = BatchTable(spark, f"{carry_path}/pending"), BatchTable(spark, f"{carry_path}/done")
     waiting = pending.rows().join(done.rows().select(txid).distinct(), txid, "left_anti")
+    of_row = F.col(declared).isNull()
     seen = waiting.groupBy(txid).agg(
-        F.count_if(F.col(declared).isNull()).alias("rows"), F.max(declared).alias(declared), F.min("_batch").alias("first_batch")
+        (F.count_distinct(F.when(of_row, F.struct(*position))) if position else F.count_if(of_row)).alias("rows"), F.max(declared).alias(declared), F.min("_batch").alias("first_batch")
     )
     return seen.filter(F.col("first_batch") <= pending.batch_before(seconds, writer))
 
