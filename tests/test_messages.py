@@ -12,8 +12,10 @@ from tidegate.sinks.config import SearchSink
 from tidegate.sinks.jdbc import merge_statements
 from tidegate.sinks.lake import LakeTable, merge_sql, read_partitions
 from tidegate.sinks.search import bulk_docs, cut_points, deliver, number_batches, pack_requests
-from tidegate.sources import PostgresSource, decode
+from tidegate.functions.typemap import map_type
+from tidegate.sources import KafkaSource, PostgresSource, decode
 from tidegate.sources.backfill import SplitPlan, range_predicates, sql_literal, uneven_edges
+from tidegate.topic import Topic
 
 
 def feed(spark, *values, keys=None):
@@ -208,3 +210,45 @@ def test_writers_keep_their_own_batches(spark, out):
     assert table.compact() == 2 and table.compact() == 2 and rows(table.read()) == want
     with pytest.raises(ValueError):
         table.append_batch(make((1, 1)), 0, "a/b")
+
+
+def test_csv_messages_of_several_lines(spark):
+    got = decode.decode_csv(feed(spark, 'a,1\r\n"b\nc",2\n\n', "d,3", "e,x\nf,4"), {"v": "VARCHAR", "n": "INT"})
+    assert rows(got.filter("_error IS NULL").select("v", "n")) == [("a", 1), ("b\nc", 2), ("d", 3), ("f", 4)]
+    assert rows(got.filter("_error IS NOT NULL").select("_raw", "_error")) == [("e,x", "cast failed: n")]
+
+
+@pytest.mark.parametrize(
+    "dialect, upstream, target",
+    [
+        ("mysql", "decimal(10,2)", "DECIMAL(10,2)"),
+        ("mysql", "int(10) unsigned", map_type("mysql", "INT UNSIGNED")),
+        ("mysql", "bigint(20)", "BIGINT"),
+        ("mysql", "varchar(20)", "VARCHAR(20)"),
+        ("mysql", "decimal(65,30)", "DECIMAL"),
+        ("mysql", "something(3)", "VARCHAR"),
+        ("sqlserver", "decimal(18, 2)", "DECIMAL(18,2)"),
+        ("sqlserver", "nvarchar(50)", "VARCHAR(50)"),
+        ("sqlserver", "nvarchar(max)", "VARCHAR"),
+        ("sqlserver", "datetime2(7)", "TIMESTAMP"),
+        ("sqlserver", "money", "DECIMAL(19,4)"),
+    ],
+)
+def test_types_with_parameters(dialect, upstream, target):
+    assert map_type(dialect, upstream) == target
+
+
+def test_topics_know_their_units_and_check_headers(spark):
+    source = KafkaSource("b:1", "t", time_unit="millis", time_units={"n": "nanos"})
+    topic = Topic(source, {"at": "TIMESTAMP", "n": "TIMESTAMP"}, metadata={"header_fields": {"size": "INT", "name": "VARCHAR"}})
+    values = ['{"at":1700000000123,"n":1700000000123456999}', '{"at":1}', "bad"]
+    heads = [[("size", b"5"), ("name", b"x")], [("size", b"five")], [("size", b"six")]]
+    made = [(bytearray(v.encode()), [(k, bytearray(b)) for k, b in h]) for v, h in zip(values, heads)]
+    messages = spark.createDataFrame(made, "value binary, headers array<struct<key: string, value: binary>>")
+    got = topic.decode(messages).orderBy("_error").collect()
+    assert [(r["_error"], r["_raw"]) for r in got] == [(None, None), ("cast failed: size", values[1]), ("malformed JSON", "bad")]
+    assert (str(got[0]["at"]), str(got[0]["n"]), got[0]["size"]) == ("2023-11-14 22:13:20.123000", "2023-11-14 22:13:20.123456", 5)
+    debezium = Topic(KafkaSource("b:1", "t", format="DEBEZIUM", time_unit="millis"), {"id": "INT", "at": "TIMESTAMP"}, ("id",))
+    text = '{"op":"c","after":{"id":1,"at":1700000000123},"source":{"lsn":1}}'
+    events = debezium.decode(feed(spark, text)).collect()
+    assert str(events[0]["after"]["at"]) == "2023-11-14 22:13:20.123000"

@@ -151,15 +151,35 @@ def postgres_type(upstream: str) -> str:
     return POSTGRES_TYPES.get(bare, POSTGRES_FALLBACK)
 
 
+def _with_parameters(target: str, numbers: str | None) -> str:
+    """A target type with the length or precision that the upstream type names, where it takes one."""
+    given = [n.strip() for n in (numbers or "").split(",")]
+    if not all(n.isdigit() for n in given) or "(" in target:
+        return target
+    if target == "DECIMAL" and 0 < int(given[0]) <= 38:
+        return f"DECIMAL({','.join(given)})"
+    return f"{target}({given[0]})" if target in ("VARCHAR", "CHAR") and int(given[0]) else target
+
+
+def _bare(upstream: str) -> tuple[str, str | None]:
+    """``int(10) unsigned`` as its name in lower case and what stands in the parentheses."""
+    found = _PARAMETERS.search(upstream)
+    return " ".join(_PARAMETERS.sub(" ", upstream).lower().split()), found.group(1) if found else None
+
+
 def mysql_type(upstream: str, length: int | None = None) -> str:
-    name = upstream.strip().upper()
-    if length and name in MYSQL_LENGTH_TYPES:
+    name, numbers = _bare(upstream)
+    if length and name.upper() in MYSQL_LENGTH_TYPES:
         return f"VARCHAR({length})"
-    return MYSQL_TYPES.get(name, MYSQL_FALLBACK)
+    for known in (name, name.removesuffix(" zerofill"), name.removesuffix(" zerofill").removesuffix(" unsigned")):
+        if known.upper() in MYSQL_TYPES:
+            return _with_parameters(MYSQL_TYPES[known.upper()], numbers)
+    return MYSQL_FALLBACK
 
 
 def sqlserver_type(upstream: str) -> str:
-    return SQLSERVER_TYPES.get(upstream.strip().lower(), SQLSERVER_FALLBACK)
+    name, numbers = _bare(upstream)
+    return _with_parameters(SQLSERVER_TYPES.get(name, SQLSERVER_FALLBACK), numbers)
 
 
 _DIALECTS = {"postgres": postgres_type, "mysql": mysql_type, "sqlserver": sqlserver_type}

@@ -40,8 +40,13 @@ class KafkaSource:
     csv_delimiter: str = ","
     csv_without_header: bool = True
     options: dict[str, str] = field(default_factory=dict)
+    time_unit: str = "micros"  # of numeric times in messages: millis, micros or nanos
+    time_units: dict[str, str] = field(default_factory=dict)  # of columns with a unit of their own
+    time_zone: str = "UTC"  # of wall-clock times in DEBEZIUM messages
 
     def __post_init__(self) -> None:
+        for unit in (self.time_unit, *self.time_units.values()):
+            _one_of("time_unit", unit, ("millis", "micros", "nanos"))
         object.__setattr__(self, "format", self.format.upper())
         object.__setattr__(self, "encode", self.encode.upper())
         _present("bootstrap_servers", self.bootstrap_servers)

@@ -183,7 +183,10 @@ def decode_csv(
     without_header: bool = True,
     metadata: Sequence[Column] = (),
 ) -> DataFrame:
-    """CSV lines. With a header every message carries one as its first line, which is dropped."""
+    """CSV lines: a row for each line of a message, where line breaks in quotes part none.
+
+    With a header every message carries one as its first line, which is dropped.
+    """
     text = F.col("value").cast("string")
     if not without_header:
         # a message that is only a header carries no row
@@ -191,7 +194,11 @@ def decode_csv(
         text = F.substr(text, F.instr(text, "\n") + 1)
     ddl = ", ".join(f"`{c}` string" for c in [*columns, _CORRUPT])
     options = {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = _parsed(feed, *metadata, text.alias(RAW), message=F.from_csv(text, ddl, options))
+    lines = F.filter(F.split(text, r'\r?\n(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda line: line != "")
+    several = F.when((F.instr(text, "\n") > 0) & (F.size(lines) > 0), lines).otherwise(F.array(text))
+    split = feed.select(*metadata, F.explode(several).alias(RAW))
+    names = [c for c in split.columns if c != RAW]
+    parsed = _parsed(split, *names, RAW, message=F.from_csv(F.col(RAW), ddl, options))
     kept = _kept(parsed)
     message = F.col("_m")
     cast = parsed.select(

@@ -23,7 +23,7 @@ from .sources.decode import (
     decode_maxwell,
     decode_upsert,
 )
-from .sources.feed import UPSERT_KEY, metadata_columns
+from .sources.feed import UPSERT_KEY, header_value, metadata_columns
 from .streaming.pipeline import append_and_reject, run_stream
 
 
@@ -74,22 +74,40 @@ class Topic:
         return metadata_columns(message_format=self.source.format, encode=self.source.encode, **wanted)
 
     def decode(self, feed: DataFrame) -> DataFrame:
-        """Decoded messages, rejects included; change formats give change events."""
+        """Decoded messages, rejects included; change formats give change events.
+
+        A header that doesn't fit its declared type rejects the message like a field that doesn't.
+        """
+        typed = {h: t for h, t in (self.metadata.get("header_fields") or {}).items()}
+        bad = [F.when(header_value(h).isNotNull() & header_value(h, t).isNull(), F.lit(h)) for h, t in typed.items()]
+        if not bad:
+            return self._decode(feed, self._metadata())
+        failed = F.array_join(F.array_compact(F.array(*bad)), ",")
+        checks = [F.when(failed != "", F.concat(F.lit("cast failed: "), failed)).alias("header_error"), F.col("value").cast("string").alias("header_raw")]
+        decoded = self._decode(feed, [*self._metadata(), *checks])
+        wrong = F.col(ERROR).isNull() & F.col("header_error").isNotNull()
+        marked = decoded.withColumns(
+            {RAW: F.when(wrong, F.col("header_raw")).otherwise(F.col(RAW)), ERROR: F.coalesce(ERROR, "header_error")}
+        )
+        return marked.drop("header_error", "header_raw")
+
+    def _decode(self, feed: DataFrame, metadata: list[Column]) -> DataFrame:
         source = self.source
+        units = {**dict.fromkeys(self.columns, source.time_unit), **source.time_units}
         if source.format == "UPSERT":
-            return decode_upsert(feed, self.columns, self.key_columns, self._metadata())
+            return decode_upsert(feed, self.columns, self.key_columns, metadata, units)
         if source.format == "DEBEZIUM":
-            return decode_debezium(feed, self.columns, self.order_ddl, metadata=self._metadata())
+            return decode_debezium(feed, self.columns, self.order_ddl, source.time_zone, metadata, units)
         if source.format == "MAXWELL":
-            return decode_maxwell(feed, self.columns, self._metadata())
+            return decode_maxwell(feed, self.columns, metadata)
         if source.format == "CANAL":
-            return decode_canal(feed, self.columns, self._metadata())
+            return decode_canal(feed, self.columns, metadata)
         if source.encode == "CSV":
-            return decode_csv(feed, self.columns, source.csv_delimiter, source.csv_without_header, self._metadata())
+            return decode_csv(feed, self.columns, source.csv_delimiter, source.csv_without_header, metadata)
         if source.encode == "BYTES":
-            rows = decode_bytes(feed, next(iter(self.columns), "id"), self._metadata())
+            rows = decode_bytes(feed, next(iter(self.columns), "id"), metadata)
             return rows.withColumns({RAW: F.lit(None).cast("string"), ERROR: F.lit(None).cast("string")})
-        return decode_json(feed, self.columns, self._metadata())
+        return decode_json(feed, self.columns, metadata, units)
 
     def to_changes(self, good: DataFrame) -> DataFrame:
         """Accepted decoded messages as flat change rows ``_op, _order`` and the columns."""
