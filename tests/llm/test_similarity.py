@@ -388,6 +388,16 @@ def test_hadamard_keeps_lengths():
     assert np.allclose(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)) and np.allclose(embed_dedup.hadamard(y), x)
 
 
+def test_vectors_of_any_size_are_compared_as_doubles(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=16)
+    near = base + rng.normal(size=16) * 0.01
+    given = [(i, (v * s).tolist()) for i, (v, s) in enumerate((v, s) for s in (1.0, 1e-60, 1e60, 1e-200, 1e200) for v in (base, near))]
+    given += [(20, rng.normal(size=16).tolist()), (21, [0.0] * 16), (22, [float("inf")] * 16)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.links(spark.createDataFrame(given, "vec_id long, embedding array<double>")).collect()}
+    assert got == {i: (9, 0) for i in range(10)} | {20: (0, 20), 21: (0, 21), 22: (0, 22)}
+
+
 def test_vector_query(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").orderBy("vec_id").collect()
     found = plain_links([r["embedding"] for r in table])

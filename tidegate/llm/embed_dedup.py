@@ -90,12 +90,16 @@ def buckets(vectors: np.ndarray) -> np.ndarray:
 
 
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Lists of numbers as rows of one matrix, zeros behind short ones, and their lengths."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+    """Lists of numbers as rows of one matrix, zeros behind short ones, and their lengths.
+
+    Rows are scaled by their largest component: that changes no cosine, and squares of very large or small ones stay finite.
+    """
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     size = np.diff(column.offsets.to_numpy()).astype(np.int64)
-    out = np.zeros((len(size), int(size.max(initial=1))), np.float32)
+    out = np.zeros((len(size), int(size.max(initial=1))))
     out[np.repeat(np.arange(len(size)), size), np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
-    return out, size
+    most = np.abs(out).max(1, initial=0.0, keepdims=True)
+    return out / np.where(most > 0, most, 1.0), size
 
 
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +156,7 @@ def _compare(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
     column = t["embedding"].combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
     raw, length = _matrix(column)
-    unit = raw.astype(np.float64)
-    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    unit = raw / np.linalg.norm(raw, axis=1)[:, None]
     mine = np.array([int(g.split("/")[0]) for g in t["group"].to_pylist()], np.int64)
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
     for i, j, block in _candidates(group, side):
@@ -201,7 +204,11 @@ LINKS = T.StructType([T.StructField(n, T.LongType()) for n in ("node", "other",
 
 def links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", leaf: int = LEAF) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row."""
-    read = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>").alias("embedding"))
+    single = vectors.schema[embedding].dataType == T.ArrayType(T.FloatType(), vectors.schema[embedding].dataType.containsNull)
+    # Floats stay floats on the way; every other type is compared as doubles.
+    read = vectors.select(
+        F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>" if single else "array<double>").alias("embedding")
+    )
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
     good = read.filter(usable)

@@ -266,8 +266,9 @@ def _grouped(docs: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
     apart = more.groupBy("group").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low < high")
     more = saved(more.join(apart.select("group"), "group").select("group", "node", "word", "depth"), "apart")
     if not more.isEmpty():
-        links = links.unionByName(saved(trie.self_join(more, WIDE_BUDGET, leaf, sketches, similar_pairs), "links"))
-        of = _members(links, nodes)
+        found = saved(trie.self_join(more, WIDE_BUDGET, leaf, sketches, similar_pairs), "links")
+        of = _joined(of, found.filter("b IS NOT NULL").select("a", "b"))
+        links = links.unionByName(found)
     open_ = links.filter("b IS NULL").select("group", "side", F.col("a").alias("node"), "word")
     open_ = open_.join(of.select("node", "of"), "node")
     apart = open_.groupBy("group").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low < high")
@@ -275,11 +276,23 @@ def _grouped(docs: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
     if not open_.isEmpty():
         met = nodes.join(open_.select("node").distinct(), "node").select("node", "k1", "k2")
         sets = saved(_whole_sets(docs.select("text"), met, WORDS), "sets")
-        decided = saved(trie.decide(open_, WIDE_BUDGET, sets, same_sets), "links")
-        of = _members(links.select("a", "b").unionByName(decided), nodes)
+        of = _joined(of, saved(trie.decide(open_, WIDE_BUDGET, sets, same_sets), "links"))
     return described.select("doc_id", "text_key", "k1", "k2"), of.select("k1", "k2", "first", "of")
 
 
+def _joined(of: DataFrame, links: DataFrame) -> DataFrame:
+    """``of`` with the components that more links join; only links between different ones are looked at."""
+    known = of.select("node", "of")
+    for end in ("a", "b"):
+        links = links.join(known.select(F.col("node").alias(end), F.col("of").alias(f"of_{end}")), end)
+    new = saved(links.filter("of_a <> of_b").select("of_a", "of_b").distinct(), "joins")
+    if new.isEmpty():
+        return of
+    member = saved(components(new, "of_a", "of_b"), "member")
+    named = of.join(member.withColumnRenamed("node", "n"), F.col("of") == F.col("n"), "left")
+    return saved(named.select(*[c for c in of.columns if c != "of"], F.coalesce("component", "of").alias("of")), "nodes")
+
+
 def _met_sketches(described: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, sketch`` of the texts that share a group with another, in any band; most texts share none."""
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
