@@ -40,7 +40,7 @@ from .frames import buffers, fresh, saved, steps
 from .words import mixed
 
 #: Longest phrase, two words at least, and the share of windows that end a chunk.
-SIZE, MODULUS = 3, 16
+SIZE, MODULUS = 3, 32
 LEAST, TOP, SHARE = 10, 2000, 50
 SPACE, BREAK = 0x20, 0x0A
 #: Between language and phrase; no phrase has it, so the last one in a key counts.
@@ -318,7 +318,7 @@ def mine(
     modulus: int = MODULUS,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's first ``top`` phrases."""
-    found, sizes = counts(saved(dictionary(docs, text, lang, size, modulus), "chunks"), least, size)
+    found, sizes = counts(saved(dictionary(docs, text, lang, size, modulus), "chunks", "zstd"), least, size)
     named = found.withColumn("w", F.split("phrase", " "))
     candidates = named.filter("words > 1").select("lang", "phrase", F.col("words").alias("m"), F.col("f").alias("a"), "w")
     part = lambda a, n: F.array_join(F.slice("w", a, n), " ")

@@ -20,10 +20,10 @@ STEP_BYTES = 500_000
 ADDED = "__added"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back, which cuts its lineage and survives lost executors."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
