@@ -14,7 +14,7 @@ from tidegate.sinks.lake import LakeTable, merge_sql, read_partitions
 from tidegate.sinks.search import bulk_docs, cut_points, deliver, number_batches, pack_requests
 from tidegate.functions.typemap import map_type
 from tidegate.sources import KafkaSource, PostgresSource, decode
-from tidegate.sources.backfill import SplitPlan, range_predicates, sql_literal, uneven_edges
+from tidegate.sources.backfill import SplitPlan, range_predicates, sql_literal, uneven_edges, uneven_predicates
 from tidegate.topic import Topic
 
 
@@ -252,3 +252,16 @@ def test_topics_know_their_units_and_check_headers(spark):
     text = '{"op":"c","after":{"id":1,"at":1700000000123},"source":{"lsn":1}}'
     events = debezium.decode(feed(spark, text)).collect()
     assert str(events[0]["after"]["at"]) == "2023-11-14 22:13:20.123000"
+
+
+@pytest.mark.parametrize("second", [None, "s"])
+def test_uneven_predicates_take_every_row_once(spark, second):
+    keys = [None] * 300 + [5] * 400 + list(range(200))
+    df = spark.createDataFrame([(k, i if i % 50 else None) for i, k in enumerate(keys)], "k int, s int")
+    df = df.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), "k"))
+    for column in ("k", "day"):
+        found = uneven_predicates(df, column, 50, second)
+        sizes = [df.filter(p).count() for p in found]
+        assert sum(sizes) == len(keys) and df.filter(" OR ".join(found)).count() == len(keys)
+        assert not second or max(sizes) <= 110
+    assert uneven_predicates(df.limit(0), "k", 50, second) == ["(k IS NOT NULL)", "(k IS NULL)"]

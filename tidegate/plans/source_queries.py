@@ -32,6 +32,7 @@ from ..sources import (
     with_metadata,
 )
 from ..sources import decode
+from ..sources.backfill import uneven_predicates
 from ..sources.cdc import DOCUMENT_COLUMNS
 from ..connect import CapturedTable, Ingest
 from ..operators.selection import ColumnSelection, TableColumns, TableSelector
@@ -594,6 +595,21 @@ def snapshot_chunks_meet_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read(table)
 
 
+@query("SELECT 1::BIGINT AS times, count(*) AS n, true AS small FROM events")
+def backfill_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splits of a key of which one value has a third of the rows and null a tenth: every row is in one, none is large."""
+    events = load(spark, sf_dir, "events")
+    skewed = F.when(F.col("event_id") % 10 == 9, None).when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id"))
+    rows = events.select(skewed.alias("k"), F.col("event_id").alias("s"))
+    per_split = max(50, rows.count() // 20)
+    predicates = uneven_predicates(rows, "k", per_split, "s")
+    taken = rows.select("s", F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)]).alias("in"))
+    taken = taken.select("s", F.array_compact("in").alias("in"))
+    sizes = taken.select(F.explode("in").alias("split")).groupBy("split").agg(F.count("*").alias("n"))
+    small = sizes.agg((F.max("n") <= 2 * per_split).alias("small"))
+    return taken.groupBy(F.size("in").cast("long").alias("times")).agg(F.count("*").alias("n")).join(F.broadcast(small))
+
+
 def _order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes of orders as documents: whole ones as JSON text, then patches of some, deletes of others, out of order."""
     orders = load(spark, sf_dir, "orders")

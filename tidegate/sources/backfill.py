@@ -94,6 +94,41 @@ def uneven_edges(df: DataFrame, column: str, rows_per_split: int, accuracy: int
     return sorted(set(edges))
 
 
+def _between(column: str, low: object, past: object) -> str:
+    """Condition of the keys from ``low`` on and below ``past``; None stands for no bound."""
+    parts = [f"{column} >= {sql_literal(low)}"] * (low is not None) + [f"{column} < {sql_literal(past)}"] * (past is not None)
+    return " AND ".join(parts) or f"{column} IS NOT NULL"
+
+
+def uneven_predicates(df: DataFrame, column: str, rows_per_split: int, second: str | None = None) -> list[str]:
+    """Conditions that take every row once, nulls included, of about ``rows_per_split`` rows each; for keys as in ``uneven_edges``.
+
+    Edges are quantiles of the key, which tasks sketch for the rows they read and merge. A key value, or null, with more rows
+    than a split gets conditions of its own, by ranges of the ``second`` column. There are some two conditions for each
+    split, and one aggregate for each value that a split's worth of rows share.
+    """
+    edges = uneven_edges(df, column, rows_per_split)
+    crowded = df.filter(F.col(column).isNull() | F.col(column).isin(*edges)).groupBy(column).count()
+    hot = [r[0] for r in crowded.filter(F.col("count") > rows_per_split).collect()] if second else []
+    values = sorted(v for v in hot if v is not None)
+    cuts = sorted({*edges, *values})
+    out = []
+    for low, past in zip([None, *cuts], [*cuts, None]):
+        condition = _between(column, low, past)
+        out.append(f"({condition} AND {column} <> {sql_literal(low)})" if low in values else f"({condition})")
+    taken = {v: f"{column} = {sql_literal(v)}" for v in values} | {None: f"{column} IS NULL"}
+    for v, condition in taken.items():
+        inner: list = []
+        if v in hot:
+            inner = uneven_edges(df.filter(F.col(column).isNull() if v is None else F.col(column) == F.lit(v)), second, rows_per_split)
+        if not inner:
+            out.append(f"({condition})")
+            continue
+        ranges = [_between(second, low, past) for low, past in zip([None, *inner], [*inner, None])]
+        out += [f"({condition} AND {r})" for r in ranges[1:]] + [f"({condition} AND ({ranges[0]} OR {second} IS NULL))"]
+    return out
+
+
 def read_jdbc_snapshot(
     spark: SparkSession,
     url: str,
@@ -104,33 +139,40 @@ def read_jdbc_snapshot(
     fetch_size: int = 1000,
     parallelism: int | None = None,
     edges: list | None = None,
+    second: str | None = None,
     **options: str,
 ) -> DataFrame:
     """A database table in one task per split, or in ``parallelism`` tasks that read their splits one after another.
 
     Even bounds are computed inside the database by a pushed-down aggregate, for whole numbers, dates and times. For
-    uneven ranges the caller may give ``edges``, from a query of the database's own; without them the key column is read in
-    one task to find quantiles.
+    uneven ranges the caller may give ``edges``, from a query of the database's own; without them the key column is read
+    in even ranges, each task sketching its own, to find quantiles, and values with more rows than a split are split by the
+    ``second`` column.
     """
     properties = {"fetchsize": str(fetch_size), **options}
     whole = spark.read.format("jdbc").options(url=url, dbtable=table, pushDownAggregate="true", **properties).load()
-    if even:
+
+    def ranged() -> DataFrame:
+        """The table in even ranges of the key; text has none and is read in one task."""
         lower, upper, n = key_bounds(whole, column)
-        if lower is None:
-            rows = spark.read.jdbc(url, table, properties=properties)
-        else:
-            rows = spark.read.jdbc(
-                url,
-                table,
-                column=column,
-                lowerBound=str(lower),
-                upperBound=str(upper + 1 if isinstance(upper, int) else upper),
-                numPartitions=split_count(n, rows_per_split),
-                properties=properties,
-            )
+        if lower is None or isinstance(lower, str):
+            return spark.read.jdbc(url, table, properties=properties)
+        return spark.read.jdbc(
+            url,
+            table,
+            column=column,
+            lowerBound=str(lower),
+            upperBound=str(upper + 1 if isinstance(upper, int) else upper),
+            numPartitions=split_count(n, rows_per_split),
+            properties=properties,
+        )
+
+    if even:
+        rows = ranged()
     else:
-        edges = uneven_edges(whole, column, rows_per_split) if edges is None else edges
-        rows = spark.read.jdbc(url, table, predicates=range_predicates(column, edges), properties=properties)
+        columns = [column, *([second] if second else [])]
+        found = uneven_predicates(ranged().select(*columns), column, rows_per_split, second) if edges is None else range_predicates(column, edges)
+        rows = spark.read.jdbc(url, table, predicates=found, properties=properties)
     return rows.coalesce(parallelism) if parallelism else rows
 
 
