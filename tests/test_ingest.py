@@ -75,6 +75,22 @@ def test_random_transactions_equal_a_plain_replay(spark, out):
     assert still == {t for t in sizes if t % 5 == 0}
 
 
+def test_a_batch_of_transactions_is_read_few_times(spark, out):
+    taken = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        taken.add(1)
+        return row
+
+    for b in range(2):
+        items = [(t, f"{t}.{b}", None) for t in range(10)] + [(t, None, 2) for t in range(10) if b and t % 2]
+        batch = spark.createDataFrame(spark.sparkContext.parallelize(items, 2).map(count), "tx long, v string, n long")
+        before = taken.value
+        whole = complete_transactions(batch, b, out, "tx", "n", ["v"], ["v"])
+        assert whole.count() == (10 if b else 0)
+        assert taken.value - before <= 3 * len(items)  # for null ids, for sizes, for the rows
+
+
 def plain_step(doc, kind, path, value):
     """One change applied to a document; False if it names no place in it, as a database would report none."""
     *steps, last = path.split(".")

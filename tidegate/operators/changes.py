@@ -169,14 +169,18 @@ def mark_transactions(
     spread_by: list[str],
     rows_per_task: int = ROWS_PER_TASK,
     position: list[str] | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """The rows with ``complete``: whether as many rows of their transaction arrived as its marker declares.
 
     A transaction holding a large share of the rows is spread over several tasks by a hash of ``spread_by``. ``position``
-    is as in ``transaction_sizes``.
+    is as in ``transaction_sizes``. ``sizes``, if they are known, are ``txid, seen, complete``, which are read twice; rows of
+    transactions that they don't have are left out.
     """
-    sizes = transaction_sizes(rows, txid, markers, declared, position).drop("declared")
-    marked = join_by_key(rows, sizes, [txid], "seen", spread_by, "left", rows_per_task)
+    how = "left" if sizes is None else "inner"
+    if sizes is None:
+        sizes = transaction_sizes(rows, txid, markers, declared, position).drop("declared")
+    marked = join_by_key(rows, sizes, [txid], "seen", spread_by, how, rows_per_task)
     return marked.select(*rows.columns, F.coalesce("complete", F.lit(False)).alias("complete"))
 
 

@@ -133,29 +133,40 @@ def complete_transactions(
     if not keyless.isEmpty():
         raw = F.to_json(F.struct(*batch.columns)).alias("raw")
         append_partition(keyless.select(raw, F.lit("null transaction id").alias("error")), f"{carry_path}/rejects", batch_id, writer)
-    delivered = done.rows(before=(writer, batch_id))
     new = batch.filter(F.col(txid).isNotNull()).withColumn("_batch", F.lit(batch_id).cast("long"))
-    if delivered.columns:
-        new = new.join(delivered.select(txid).distinct(), txid, "left_anti")
-    waiting = pending.rows(before=(writer, batch_id))
-    both = new
-    if waiting.columns:
-        both = new.unionByName(waiting.join(new.select(txid).distinct(), txid, "left_semi").select(*new.columns))
-    rows, markers = both.filter(F.col(declared).isNull()).drop(declared), both.filter(F.col(declared).isNotNull())
-    counts = markers.groupBy(txid).agg(F.max(declared).alias(declared))
-    step = BatchTable(spark, f"{carry_path}/step")
-    step.append(mark_transactions(rows, txid, counts, declared, list(spread_by), position=list(position)), batch_id, writer)
-    marked = step.batch(batch_id, writer)
-    if not marked.columns:  # a batch without rows
-        marked = rows.withColumn("complete", F.lit(False)).limit(0)
-    whole = marked.filter("complete").select(txid).distinct()
+    waiting, delivered = pending.rows(before=(writer, batch_id)), done.rows(before=(writer, batch_id))
+    both = new.unionByName(waiting.select(*new.columns)) if waiting.columns else new
     mine = F.col("_batch") == batch_id
-    left = marked.filter(~F.col("complete") & mine).drop("complete")
-    left = left.unionByName(markers.filter(mine).join(whole, txid, "left_anti"), allowMissingColumns=True)
-    pending.append(left.select(*new.columns), batch_id, writer)
-    done.append(whole, batch_id, writer)
+    sizes, step = BatchTable(spark, f"{carry_path}/sizes"), BatchTable(spark, f"{carry_path}/step")
+    sizes.append(_sizes(new, waiting, delivered, txid, declared, position), batch_id, writer)
+    named = sizes.batch(batch_id, writer)
+    markers = both.filter(F.col(declared).isNotNull())
+    step.append(mark_transactions(both, txid, markers, declared, list(spread_by), sizes=named), batch_id, writer)
+    marked = step.batch(batch_id, writer)
+    pending.append(marked.filter(~F.col("complete") & mine).select(*new.columns), batch_id, writer)
+    done.append(named.filter("complete").select(txid), batch_id, writer)
+    sizes.forget(2)
     step.forget(2)
-    return marked.filter("complete").drop("complete", "_batch")
+    return marked.filter(F.col("complete") & F.col(declared).isNull()).drop("complete", "_batch", declared)
+
+
+def _sizes(new: DataFrame, waiting: DataFrame, delivered: DataFrame, txid: str, declared: str, position: Sequence[str]) -> DataFrame:
+    """``txid, seen, complete`` of the transactions that a batch names and that have not been delivered.
+
+    One aggregate over what is new, what waits and what is done, without the rows themselves, in place of joins of each
+    with the others.
+    """
+    at = F.when(F.col(declared).isNull(), F.struct(*position) if position else F.lit(1)).alias("_at")
+    of = lambda rows, named: rows.select(txid, at, F.col(declared).alias("_declared"), F.lit(named).alias("_named"), F.lit(False).alias("_done"))
+    seen = of(new, True)
+    if waiting.columns:
+        seen = seen.unionByName(of(waiting, False))
+    if delivered.columns:
+        seen = seen.unionByName(delivered.select(txid, F.lit(False).alias("_named"), F.lit(True).alias("_done")), allowMissingColumns=True)
+    count = F.count_distinct("_at") if position else F.count("_at")
+    sizes = seen.groupBy(txid).agg(count.alias("seen"), F.max("_declared").alias("_declared"), F.max("_named").alias("_named"), F.max("_done").alias("_done"))
+    whole = (F.col("seen") > 0) & (F.col("seen") == F.col("_declared"))
+    return sizes.filter("_named AND NOT _done").select(txid, "seen", F.coalesce(whole, F.lit(False)).alias("complete"))
 
 
 def fold_transactions(spark: SparkSession, carry_path: str, txid: str, remember: int = 1000) -> None:
