@@ -91,6 +91,15 @@ def test_a_batch_of_transactions_is_read_few_times(spark, out):
         assert taken.value - before <= 3 * len(items)  # for null ids, for sizes, for the rows
 
 
+def test_envelopes_of_transactions_are_parsed_once(spark, out):
+    table = CapturedTable("s", "t", {"id": "INT"}, ("id",))
+    ingest = Ingest(spark, PostgresSource("app", transactional=True), (table,), out)
+    held = ingest._transactional(feed(spark, change("t", 1, tx="a", place=3, id=1), {"payload": {"status": "END", "id": "a", "event_count": 2}}))
+    assert held._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    kept = held.select("_schema", "_table", "_kind", "_tx", "_place", "_events")
+    assert rows(kept) == [("s", "t", "change", "a", 3, None), (None, None, "end", "a", None, 2)]
+
+
 def plain_step(doc, kind, path, value):
     """One change applied to a document; False if it names no place in it, as a database would report none."""
     *steps, last = path.split(".")

@@ -120,14 +120,20 @@ class Ingest:
 
     def named(self, feed: DataFrame) -> DataFrame:
         """Messages with the schema and table their envelope names; null where it cannot be read."""
-        place = "source struct<db: string, schema: string, table: string, collection: string>"
-        where = F.from_json(F.col("value").cast("string"), f"{place}, payload struct<{place.replace(' ', ': ', 1)}>")
+        return self._named(feed)
+
+    def _named(self, feed: DataFrame, more: str = "") -> DataFrame:
+        """As ``named``; with the fields of the DDL ``more`` of each message, alone and in its payload, as ``_t``, from the same parse."""
+        fields = T.StructType.fromDDL(f"source struct<db: string, schema: string, table: string, collection: string>{more and ', '}{more}")
+        message = F.from_json(F.col("value").cast("string"), T.StructType([*fields, T.StructField("payload", fields)]))
         # exploded so that the conditions of the selection share one parse
-        exploded = feed.select("*", F.explode(F.array(F.coalesce(where["source"], where["payload"]["source"]))).alias("_where"))
+        exploded = feed.select("*", F.explode(F.array(message)).alias("_t"))
+        exploded = exploded.withColumn("_where", F.coalesce(F.col("_t")["source"], F.col("_t")["payload"]["source"]))
         return exploded.select(
             *feed.columns,
             F.coalesce("_where.schema", "_where.db").alias("_schema"),
             F.coalesce("_where.table", "_where.collection").alias("_table"),
+            *(["_t"] if more else []),
         )
 
     def selected(self, feed: DataFrame) -> DataFrame:
@@ -161,31 +167,39 @@ class Ingest:
         flat = flatten_events(split_key_changes(events, list(table.primary_key)))
         return flat.withColumnsRenamed({f"about_{n}": n for n in names})
 
-    def _whole(self, named: DataFrame, batch_id: int, writer: str) -> DataFrame:
-        """Messages of transactions that are whole by now, and all that belong to none: snapshots, unplaced ones."""
-        ddl = (
+    def _transactional(self, feed: DataFrame) -> DataFrame:
+        """As ``named``, with the messages' part in transactions: ``_kind``, change, end or other, ``_tx``, ``_place`` and ``_events``."""
+        parsed = self._named(
+            feed,
             "op string, transaction struct<id: string, total_order: bigint>, status string, id string, event_count bigint,"
-            " data_collections array<struct<data_collection: string, event_count: bigint>>"
+            " data_collections array<struct<data_collection: string, event_count: bigint>>",
         )
-        both = T.StructType.fromDDL(ddl)
-        message = F.from_json(F.col("value").cast("string"), T.StructType([*both.fields, T.StructField("payload", both)]))
-        parsed = named.select("*", F.explode(F.array(message)).alias("_t"))
+        cols = [c for c in parsed.columns if c != "_t"]
         part = lambda f: F.coalesce(F.col("_t")["payload"][f], F.col("_t")[f])
         declared = [f"{t.schema}.{t.table}" for t in self.tables]
         mine = F.filter(part("data_collections"), lambda c: c["data_collection"].isin(*declared))
         counted = F.aggregate(mine, F.lit(0).cast("long"), lambda n, c: n + c["event_count"])
         end, known = part("status") == "END", F.coalesce(F.concat_ws(".", "_schema", "_table").isin(*declared), F.lit(False))
         change = known & F.coalesce(part("op") != SNAPSHOT, F.lit(False))
-        cols = named.columns
-        rows = parsed.filter(change).select(*cols, part("transaction")["id"].alias("_tx"), part("transaction")["total_order"].alias("_place"), F.lit(None).cast("long").alias("_events"))
-        marks = parsed.filter(end).select(
-            *cols, part("id").alias("_tx"), F.lit(None).cast("long").alias("_place"), F.coalesce(counted, part("event_count")).alias("_events")
+        kinds = F.array_compact(
+            F.array(F.when(change, "change"), F.when(end, "end"), F.when(~change & part("status").isNull(), "other"))
+        )
+        kind = F.explode(kinds).alias("_kind")
+        return parsed.select("*", kind).select(
+            *cols,
+            "_kind",
+            F.when(F.col("_kind") == "change", part("transaction")["id"]).when(F.col("_kind") == "end", part("id")).alias("_tx"),
+            F.when(F.col("_kind") == "change", part("transaction")["total_order"]).alias("_place"),
+            F.when(F.col("_kind") == "end", F.coalesce(counted, part("event_count"))).alias("_events"),
         )
+
+    def _whole(self, held: DataFrame, batch_id: int, writer: str) -> DataFrame:
+        """Messages of transactions that are whole by now, and all that belong to none: snapshots, unplaced ones."""
+        cols = [c for c in held.columns if c not in ("_kind", "_tx", "_place", "_events")]
         whole = complete_transactions(
-            rows.unionByName(marks), batch_id, f"{self.warehouse}/_transactions", "_tx", "_events", ["_place"], ["_place"], writer
+            held.filter("_kind <> 'other'").drop("_kind"), batch_id, f"{self.warehouse}/_transactions", "_tx", "_events", ["_place"], ["_place"], writer
         )
-        others = parsed.filter(~change & part("status").isNull()).select(*cols)
-        return others.unionByName(whole.select(*cols))
+        return held.filter("_kind = 'other'").select(*cols).unionByName(whole.select(*cols))
 
     def open_transactions(self, seconds: float = 0, writer: str = MAIN) -> DataFrame:
         """Transactions whose rows have waited for so many seconds."""
@@ -227,7 +241,7 @@ class Ingest:
         What no table takes is kept below ``_rejects``: per table what cannot be decoded or keyed, under ``_unplaced`` what
         names no table or one that isn't declared.
         """
-        held = named = self.named(batch).persist()
+        held = named = (self._transactional(batch) if self.source.transactional else self.named(batch)).persist()
         try:
             if self.source.transactional:
                 named = self._whole(held, batch_id, writer)
