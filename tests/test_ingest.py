@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidegate import CapturedTable, Ingest, PostgresSource
 from tidegate.operators.changes import snapshot_chunk
-from tidegate.operators.documents import patched
+from tidegate.operators.documents import assembled, patched
 from tidegate.sinks.lake import BatchTable, read_partitions
 from tidegate.sources import MongoSource, accepted, decode
 from tidegate.streaming import Measure, complete_transactions, fold_rollup, fold_transactions, open_transactions, read_rollup, rollup_parts
@@ -247,3 +247,21 @@ def test_times_have_the_unit_of_their_column(spark):
     got = accepted(decode.decode_json(feed(spark, message, {"n": -1}), columns, unit={"s": "millis", "n": "nanos"})).collect()
     assert [str(x) for x in got[0]] == ["2023-11-14 22:13:20.123000", "2023-11-14 22:13:19.999999", "2023-11-14 22:13:20.123457", "1970-01-02"]
     assert str(got[1]["n"]) == "1969-12-31 23:59:59.999999"
+
+
+def test_documents_without_patches_are_not_parsed(spark):
+    changes = [
+        ("a", 1, "x", "set", "1", None), ("a", 2, "", "set", "as it came", None), ("b", 1, "", "set", "{}", None), ("b", 2, "", "remove", None, None),
+        ("c", 1, "", "set", '{"l":[1,2]}', None), ("c", 2, "l#1", "cut", None, 1), ("d", 1, "p.q", "set", "2", None), ("e", 1, "", "set", '{"x":1}', None),
+        ("e", 2, "#0", "cut", None, 0), ("f", 2, "", "remove", None, None), ("f", 3, "z", "set", "3", None),
+    ]
+    frame = spark.createDataFrame([(i, (o,), p, k, v, n) for i, o, p, k, v, n in changes], "_id string, _order struct<ts_us: bigint>, path string, kind string, value string, size int")
+    assert rows(assembled(frame)) == [("a", "as it came"), ("c", '{"l":[1]}'), ("d", '{"p":{"q":2}}'), ("f", '{"z":3}')]
+
+
+def test_documents_are_read_once_beside_the_filter_on_errors(spark):
+    read = decode.decode_documents(feed(spark, ({"id": "1"}, {"op": "c", "after": {"_id": 1}, "source": {"ts_us": 1}})))
+    good = accepted(read)
+    assert good.count() == 1
+    times = lambda df: df._jdf.queryExecution().executedPlan().toString().count("$.payload.id")
+    assert times(good) == times(read) > 0

@@ -12,6 +12,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 SET, REMOVE, CUT = "set", "remove", "cut"
@@ -115,14 +116,38 @@ def patched(changes: list[dict]) -> str | None:
 
 
 def assembled(rows: DataFrame) -> DataFrame:
-    """``_id, payload`` of the documents that path changes ``_id, path, kind, value, size, _order`` make."""
+    """``_id, payload`` of the documents that path changes ``_id, path, kind, value, size, _order`` make.
+
+    What comes before a document's last whole change is cut off, and only documents patched since are parsed.
+    """
     part = F.struct("_order", "path", "kind", "value", "size")
     grouped = rows.groupBy("_id").agg(F.array_sort(F.collect_list(part)).alias("changes"))
+    # A cut of the empty path counts as whole, as in patched.
+    wholes = F.transform("changes", lambda c: (c["path"] == "") | ((c["kind"] == CUT) & c["path"].rlike("^#[^#]*$")))
+    since = F.size("changes") - F.array_position(F.reverse(wholes), F.lit(True)).cast("int")  # the last whole change, from 0
+    last = F.when(F.exists(wholes, lambda w: w), since).otherwise(-1)
+    cut = grouped.select("_id", "changes", F.explode(F.array(last)).alias("last"))
+    whole = F.get("changes", F.col("last"))
+    field = lambda name: F.transform(F.slice("changes", F.col("last") + 2, F.size("changes")), lambda c: c[name]).alias(name)
+    kept = cut.select(
+        "_id", F.when(whole["kind"] == SET, whole["value"]).alias("whole"), *[field(c) for c in ("path", "kind", "value", "size")]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [patched(c) for c in b.column("changes").to_pylist()]
-            made = pa.RecordBatch.from_arrays([b.column("_id"), pa.array(texts, pa.string())], names=["_id", "payload"])
+            texts = b.column("whole")
+            later = pc.greater(pc.list_value_length(b.column("path")), 0)
+            if pc.any(later).as_py():
+                some = b.filter(later)
+                lists = zip(*[some.column(c).to_pylist() for c in ("whole", "path", "kind", "value", "size")])
+                made = [_patched_since(whole, *changes) for whole, *changes in lists]
+                texts = pc.replace_with_mask(texts, later, pa.array(made, pa.string()).cast(texts.type))
+            made = pa.RecordBatch.from_arrays([b.column("_id"), texts.cast(pa.string())], names=["_id", "payload"])
             yield made.filter(made.column("payload").is_valid())
 
-    return grouped.mapInArrow(run, "_id string, payload string")
+    return kept.mapInArrow(run, "_id string, payload string")
+
+
+def _patched_since(whole: str | None, *fields: list) -> str | None:
+    first = [] if whole is None else [{"path": "", "kind": SET, "value": whole, "size": None}]
+    return patched(first + [dict(zip(("path", "kind", "value", "size"), c)) for c in zip(*fields)])

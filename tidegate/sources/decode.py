@@ -506,6 +506,9 @@ def decode_documents(feed: DataFrame, order_ddl: str = "ts_us bigint, ord bigint
         part("source")["db"].alias("db"),
         part("source")["collection"].alias("table"),
     )
+    # exploded so that the conditions on the fields, and the filter on the error, share one reading of them
+    names = read.columns
+    read = read.select(F.explode(F.array(F.struct(*names))).alias("_r")).select("_r.*")
     nothing = F.col("payload").isNull() & F.col("changed").isNull() & F.col("removed").isNull() & F.col("cut").isNull()
     error = (
         F.when(F.col("_bad"), "malformed JSON")
