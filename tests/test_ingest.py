@@ -265,3 +265,50 @@ def test_documents_are_read_once_beside_the_filter_on_errors(spark):
     assert good.count() == 1
     times = lambda df: df._jdf.queryExecution().executedPlan().toString().count("$.payload.id")
     assert times(good) == times(read) > 0
+
+
+def test_a_batch_of_one_large_partition_is_dealt(spark, out, monkeypatch):
+    from tidegate import connect
+    from tidegate.operators.skew import dealt
+
+    sizes = []
+
+    def small(df, same):
+        pieces = dealt(df, same, 50)
+        sizes.append([r["n"] for r in pieces.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()])
+        return pieces
+
+    monkeypatch.setattr(connect, "dealt", small)
+    table = CapturedTable("s", "t", {"id": "INT"}, ("id",))
+    ingest = Ingest(spark, PostgresSource("app"), (table,), out)
+    batch = feed(spark, *[change("t", i, id=i % 300) for i in range(400)], "none", "none", (None, None)).coalesce(1)
+    for _ in range(2):
+        ingest.deliver(batch, 0)
+        assert rows(ingest.read(table)) == [(i,) for i in sorted(range(300), key=str)]
+        assert rows(read_partitions(spark, f"{out}/_rejects/_unplaced")) == [("none", "no table named")] * 2
+    assert all(sum(s) == 403 and len(s) > 4 and max(s) < 120 for s in sizes) and len(sizes) == 2
+
+
+def test_repeats_are_dealt_as_they_lay_and_small_batches_stay(spark):
+    from tidegate.operators.skew import dealt
+
+    same = spark.range(0, 400, 1, 4).select(F.lit(None).cast("string").alias("k"), "id")
+    got = dealt(same, ["k"], 20)
+    assert got.rdd.getNumPartitions() == 20 and rows(got.select("id")) == rows(same.select("id"))
+    assert len(got.groupBy(F.spark_partition_id()).count().collect()) > 1
+    assert dealt(same, ["k"], 100) is same and dealt(same.limit(0), ["k"], 1).count() == 0
+
+
+def test_one_table_is_written_without_bringing_it_together(spark, out, monkeypatch):
+    from tidegate.sinks import lake
+
+    met = []
+    monkeypatch.setattr(lake, "bring_together", lambda df, on: met.append(on) or df)
+    tables = tuple(CapturedTable("s", t, {"id": "INT"}, ("id",)) for t in "tu")
+    for some, want in ((tables[:1], []), (tables, [["table"]] * 2)):
+        ingest = Ingest(spark, PostgresSource("app"), some, f"{out}/{len(some)}")
+        ingest.deliver(feed(spark, change("t", 1, id=1), change("t", 2, id=1), change("t", 3, op="d", id=2), change("u", 1, id=1)), 0)
+        ingest.deliver(feed(spark, change("t", 2, id=2)), 1)
+        for _ in range(2):
+            assert met == want and [rows(ingest.read(t)) for t in some] == [[(1,)]] * len(some)
+            ingest.maintain()

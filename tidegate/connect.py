@@ -14,6 +14,7 @@ from .functions.typemap import struct_of
 from .operators.changes import SNAPSHOT, flatten_events, snapshot_chunk, split_key_changes
 from .operators.documents import assembled, path_changes
 from .operators.selection import TableColumns, TableSelector
+from .operators.skew import dealt
 from .sinks.lake import MAIN, LakeTable, append_partition, append_tables, writer_of
 from .sources.cdc import CHANGE_METADATA, decode_changes
 from .sources.config import DatabaseSource, MongoSource
@@ -238,9 +239,12 @@ class Ingest:
     def deliver(self, batch: DataFrame, batch_id: int, writer: str = MAIN) -> None:
         """Apply one batch; the same batch again changes nothing.
 
+        A batch of large partitions is dealt in pieces first: what a task sorts is then bounded by rows, not by the feed's splits.
+
         What no table takes is kept below ``_rejects``: per table what cannot be decoded or keyed, under ``_unplaced`` what
         names no table or one that isn't declared.
         """
+        batch = dealt(batch, [c for c in ("key", "value", "topic", "partition", "offset") if c in batch.columns])
         held = named = (self._transactional(batch) if self.source.transactional else self.named(batch)).persist()
         try:
             if self.source.transactional:

@@ -47,6 +47,27 @@ def join_by_key(
     return salted.join(salted_keys, [*on, _SALT], how).drop(_SALT)
 
 
+# Rows of a piece that a task sorts at once, and the most pieces that a shuffle writes without sorting them itself.
+ROWS_PER_PIECE = 250_000
+MOST_PIECES = 200
+
+
+def dealt(df: DataFrame, same: list[str], rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+    """The rows in pieces of some ``rows_per_piece``, if a partition of ``df`` has more; else ``df`` as it is.
+
+    A file's bytes don't tell how many rows a task gets of it: dense columns hold millions in few megabytes. The rows are
+    counted without their columns, then dealt by a hash of the columns ``same`` and of the partition they came from, so that
+    repeats of a row are spread as they were and a retried task sends every row to the same place. Pieces of more than
+    ``rows_per_piece * MOST_PIECES`` rows grow with them.
+    """
+    found = df.groupBy(F.spark_partition_id().alias("_p")).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
+    if (found["most"] or 0) <= rows_per_piece:
+        return df
+    pieces = max(-(-found["n"] // rows_per_piece), df.sparkSession.sparkContext.defaultParallelism)
+    placed = df.withColumn("_from", F.spark_partition_id())
+    return placed.repartition(min(pieces, MOST_PIECES), *same, "_from").drop("_from")
+
+
 def bring_together(df: DataFrame, on: list[str]) -> DataFrame:
     """Rows of one key in as few tasks as their size allows, by one shuffle and no scan for counting.
 

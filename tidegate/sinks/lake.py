@@ -484,19 +484,24 @@ class LakeTable(BatchTable):
 def append_tables(changes: DataFrame, tables: dict[str, LakeTable], batch_id: int, writer: str = MAIN) -> None:
     """Deliver one batch to tables of equal key, order and columns, by one write.
 
-    ``table`` names each row's table; that of a name has its path at ``table=<name>`` below one folder. Rows of a table are
-    brought together, so tasks leave few files in each. Every table's part of the batch is then marked on its own, and the
-    same batch again replaces it.
+    ``table`` names each row's table; that of a name has its path at ``table=<name>`` below one folder. Rows of several tables
+    are brought together by table, so tasks leave few files in each; those of a single one are written where they are. Every
+    table's part of the batch is then marked on its own, and the same batch again replaces it.
     """
     one = next(iter(tables.values()))
     (root,) = {t.path.removesuffix(f"/table={name}") for name, t in tables.items()}
-    last = collapse(changes.filter(F.col("table").isin(*tables)), ["table", *one.pk], one.order_by, one.op)
+    named = changes.filter(F.col("table").isin(*tables))
+    if len(tables) == 1:
+        last = collapse(named.drop("table"), one.pk, one.order_by, one.op).withColumn("table", F.lit(next(iter(tables))))
+    else:
+        last = collapse(named, ["table", *one.pk], one.order_by, one.op)
     schema = T.StructType([f for f in last.schema if f.name != "table"])
     numbers = {name: t._schema_number(schema) for name, t in tables.items()}
     found = Observation()
     bits = [c for i, (name, t) in enumerate(tables.items()) for c in t._touched(f"t{i}", F.col("table") == name)]
     buckets = reduce(lambda out, nt: F.when(F.col("table") == nt[0], nt[1]._bucket()).otherwise(out), tables.items(), F.lit(0))
-    located = bring_together(last.withColumn("key_bucket", buckets).observe(found, *bits).drop("key_bucket"), ["table"])
+    located = last.withColumn("key_bucket", buckets).observe(found, *bits).drop("key_bucket")
+    located = located if len(tables) == 1 else bring_together(located, ["table"])
     located = located.withColumns({"tier": F.lit("delta"), **placed(batch_id, writer)})
     overwrite(located.write, root, "table", "tier", "writer", "batch")
     values = observed(found, dict)  # none where no row is left
