@@ -312,3 +312,13 @@ def test_one_table_is_written_without_bringing_it_together(spark, out, monkeypat
         for _ in range(2):
             assert met == want and [rows(ingest.read(t)) for t in some] == [[(1,)]] * len(some)
             ingest.maintain()
+
+
+def test_new_columns_are_found_by_the_parse_that_names_the_table(spark, out):
+    tables = [CapturedTable("s", "t", {"id": "INT"}, ("id",)), CapturedTable("s", "u", {"id": "INT", "a": "INT"}, ("id",))]
+    ingest = Ingest(spark, PostgresSource("app", auto_schema_change=True), tuple(tables), out)
+    wrapped = {"schema": {}, "payload": change("t", 2, id=2, b=None)}
+    named = ingest._growing(feed(spark, change("t", 1, id=1, a=1), wrapped, change("u", 3, op="d", id=3, c={"x": 1}), "none", (None, None)), tables)
+    assert rows(named.select("_table", "_more")) == [("t", ["a"]), ("t", ["b"]), ("u", ["c"]), (None, None), (None, None)]
+    ingest.deliver(feed(spark, change("t", 1, id=1, a=1), wrapped, change("u", 3, id=3)), 0)
+    assert rows(ingest.read(tables[0])) == [(1, "1", None), (2, None, None)] and rows(ingest.read(tables[1])) == [(3, None)]

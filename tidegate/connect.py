@@ -110,7 +110,8 @@ class Ingest:
         """The table with the columns that its messages have beside the declared ones, as text."""
         text = F.col("value").cast("string")
         row = F.coalesce(*[F.get_json_object(text, f"$.{p}{i}") for p in ("", "payload.") for i in ("after", "before")])
-        names = messages.select(F.explode(F.json_object_keys(row)).alias("c")).filter(~F.col("c").isin(*table.columns)).distinct()
+        there = F.col("_more") if "_more" in messages.columns else F.json_object_keys(row)
+        names = messages.select(F.explode(there).alias("c")).filter(~F.col("c").isin(*table.columns)).distinct()
         more = sorted(r["c"] for r in names.collect())  # names of columns
         return replace(table, columns={**table.columns, **dict.fromkeys(more, "VARCHAR")}) if more else table
 
@@ -137,6 +138,14 @@ class Ingest:
             *(["_t"] if more else []),
         )
 
+    def _growing(self, feed: DataFrame, tables: list[CapturedTable]) -> DataFrame:
+        """As ``named``, with the names of a row's columns but those that all ``tables`` declare as ``_more``, from the same parse."""
+        parsed = self._named(feed, "after map<string, string>, before map<string, string>")
+        image = F.coalesce(*[F.col(f"_t.{p}{i}") for p in ("", "payload.") for i in ("after", "before")])
+        known = set.intersection(*[set(t.columns) for t in tables])
+        more = F.filter(F.map_keys(image), lambda c: ~c.isin(*sorted(known)))
+        return parsed.select(*[c for c in parsed.columns if c != "_t"], more.alias("_more"))
+
     def selected(self, feed: DataFrame) -> DataFrame:
         """Messages of the selected tables with their table's name."""
         return self._select(self.named(feed))
@@ -245,7 +254,12 @@ class Ingest:
         names no table or one that isn't declared.
         """
         batch = dealt(batch, [c for c in ("key", "value", "topic", "partition", "offset") if c in batch.columns])
-        held = named = (self._transactional(batch) if self.source.transactional else self.named(batch)).persist()
+        growing = [t for t in self.tables if self._grows(t)]
+        if self.source.transactional:
+            held = self._transactional(batch)
+        else:
+            held = self._growing(batch, growing) if growing else self.named(batch)
+        named = held.persist()
         try:
             if self.source.transactional:
                 named = self._whole(held, batch_id, writer)
