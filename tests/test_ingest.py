@@ -322,3 +322,11 @@ def test_new_columns_are_found_by_the_parse_that_names_the_table(spark, out):
     assert rows(named.select("_table", "_more")) == [("t", ["a"]), ("t", ["b"]), ("u", ["c"]), (None, None), (None, None)]
     ingest.deliver(feed(spark, change("t", 1, id=1, a=1), wrapped, change("u", 3, id=3)), 0)
     assert rows(ingest.read(tables[0])) == [(1, "1", None), (2, None, None)] and rows(ingest.read(tables[1])) == [(3, None)]
+
+
+def test_plain_numbers_as_document_ids_are_not_parsed_again(spark):
+    ids = {'"7"': "7", "7": "7", '"007"': "007", '"a"': "a", '"\\"q\\""': "q", '{"$oid":"x"}': '{"$oid":"x"}', "-3": "-3"}
+    messages = [(f'{{"id":{k}}}', {"op": "c", "after": {"_id": 0}, "source": {"ts_us": 1}}) for k in ids]
+    messages.append(('{"payload":{"id":"8"}}', {"op": "c", "after": {"_id": 0}, "source": {"ts_us": 1}}))
+    messages.append((None, {"op": "c", "after": {"_id": 9}, "source": {"ts_us": 1}}))
+    assert rows(accepted(decode.decode_documents(feed(spark, *messages))).select("_id")) == sorted((v,) for v in [*ids.values(), "8", "9"])

@@ -673,10 +673,10 @@ def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same collection ingested in batches that cut through each document's changes, with a fold between."""
     collection = CapturedTable("app", "orders", DOCUMENT_COLUMNS, ("_id",))
     ingest = Ingest(spark, MongoSource("app"), (collection,), work_path(spark, "documents"))
-    feed = _order_documents(spark, sf_dir)
-    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    log = work_path(spark, "log")
+    _order_documents(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3))).write.parquet(log)
     for i in range(3):
-        ingest.deliver(feed.filter(third == i), i)
+        ingest.deliver(spark.read.parquet(log).filter(F.col("part") == i).drop("part"), i)
         if i == 1:
             ingest.maintain()
     return _fields(ingest.read(collection))

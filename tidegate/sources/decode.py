@@ -488,6 +488,8 @@ def decode_documents(feed: DataFrame, order_ddl: str = "ts_us bigint, ord bigint
     # The key's id is JSON text: a text id is quoted once more.
     plain = lambda j: F.get_json_object(F.concat(F.lit('{"v":'), j, F.lit("}")), "$.v")
     in_key = F.coalesce(F.get_json_object("_k", "$.id"), F.get_json_object("_k", "$.payload.id"))
+    # a plain number is the same text either way
+    unquoted = F.transform(F.array(in_key), lambda j: F.when(j.rlike("^(0|[1-9][0-9]{0,17})$"), j).otherwise(F.coalesce(plain(j), j)))[0]
     own = F.coalesce(F.get_json_object(part("after"), "$._id"), F.get_json_object(part("before"), "$._id"))
     changed = F.call_function("try_parse_json", part("updateDescription")["updatedFields"]).try_cast("map<string,variant>")
     read = parsed.select(
@@ -495,7 +497,7 @@ def decode_documents(feed: DataFrame, order_ddl: str = "ts_us bigint, ord bigint
         RAW,
         _malformed(m).alias("_bad"),
         F.when(part("op").isin("r", "c", "u", "d"), part("op")).alias("op"),
-        F.coalesce(plain(in_key), in_key, own).alias("_id"),
+        F.coalesce(unquoted, own).alias("_id"),
         F.when(part("op") != "d", part("after")).alias("payload"),
         F.transform_values(changed, lambda _, v: F.to_json(v)).alias("changed"),
         part("updateDescription")["removedFields"].alias("removed"),
