@@ -1,15 +1,18 @@
 """A captured database end to end: transactions, documents, groups of tables, chunks beside the log, late rows."""
 
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidegate import CapturedTable, Ingest, PostgresSource
+from tidegate import CapturedTable, Ingest, PostgresSource, connect
 from tidegate.operators.changes import snapshot_chunk
 from tidegate.operators.documents import assembled, patched
+from tidegate.operators.skew import dealt
+from tidegate.plans import source_queries
 from tidegate.sinks.lake import BatchTable, read_partitions
 from tidegate.sources import MongoSource, accepted, decode
 from tidegate.streaming import Measure, complete_transactions, fold_rollup, fold_transactions, open_transactions, read_rollup, rollup_parts
@@ -100,6 +103,46 @@ def test_envelopes_of_transactions_are_parsed_once(spark, out):
     assert rows(kept) == [("s", "t", "change", "a", 3, None), (None, None, "end", "a", None, 2)]
 
 
+def most_rows(df):
+    """Rows of the largest partition."""
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+def test_a_batch_of_transactions_is_stored_and_dealt_not_cached(spark, out, monkeypatch):
+    table = CapturedTable("s", "t", {"id": "INT"}, ("id",))
+    ingest = Ingest(spark, PostgresSource("app", transactional=True), (table,), out)
+    found, deliver = [], Ingest._deliver_group
+
+    def look(self, messages, *others):
+        found.append((most_rows(messages), "InMemoryTableScan" in messages._jdf.queryExecution().executedPlan().toString()))
+        deliver(self, messages, *others)
+
+    monkeypatch.setattr(connect, "dealt", lambda df, same: dealt(df, same, 20))
+    monkeypatch.setattr(Ingest, "_deliver_group", look)
+    changes = [change("t", i, tx=f"x{i}", place=1, id=i) for i in range(200)]
+    ends = [{"status": "END", "id": f"x{i}", "event_count": 1} for i in range(190)]
+    for _ in range(2):
+        ingest.deliver(feed(spark, *changes, *ends), 0)
+        assert rows(ingest.read(table)) == sorted(((i,) for i in range(190)), key=lambda r: str(r[0]))
+    assert all(most <= 60 and not cached for most, cached in found) and len(found) == 2
+    assert not os.path.exists(f"{out}/_transactions/read/writer=main/batch=0")
+
+
+def test_messages_of_a_feed_of_transactions_are_made_in_small_pieces(spark, out, monkeypatch):
+    monkeypatch.setattr(source_queries, "ROWS_PER_PIECE", 100, raising=False)
+    lines = [(k, n) for k in range(1, 301) for n in range(1, 4)] + [(None, 1), (None, 1), (5, None), (5, 1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int").write.parquet(f"{out}/lineitem.parquet")
+    made = source_queries._transaction_feed(spark, out)
+    assert most_rows(made) <= 300
+    got = [(r.l_orderkey, r.copy, json.loads(bytes(r.value))) for r in made.collect()]
+    twice = lambda k: 2 if k and k % 13 == 0 else 1
+    different = set(lines)
+    counts = {k: sum(o == k for o, _ in different) for k, _ in different if k and k % 10}
+    assert len(got) == sum(twice(k) for k, _ in different) + sum(twice(k) for k in counts)
+    assert {(k, m["after"].get("l_linenumber")) for k, _, m in got if m.get("op") == "c"} == different
+    assert {m["id"]: m["event_count"] - 5 for _, _, m in got if m.get("status") == "END"} == {f"tx{k}": n for k, n in counts.items()}
+
+
 def plain_step(doc, kind, path, value):
     """One change applied to a document; False if it names no place in it, as a database would report none."""
     *steps, last = path.split(".")

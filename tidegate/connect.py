@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -15,6 +16,7 @@ from .operators.changes import SNAPSHOT, flatten_events, snapshot_chunk, split_k
 from .operators.documents import assembled, path_changes
 from .operators.selection import TableColumns, TableSelector
 from .operators.skew import dealt
+from .sinks import paths
 from .sinks.lake import MAIN, LakeTable, append_partition, append_tables, writer_of
 from .sources.cdc import CHANGE_METADATA, decode_changes
 from .sources.config import DatabaseSource, MongoSource
@@ -249,33 +251,51 @@ class Ingest:
         """Apply one batch; the same batch again changes nothing.
 
         A batch of large partitions is dealt in pieces first: what a task sorts is then bounded by rows, not by the feed's splits.
+        Of a transactional source it is what the batch lets through that is dealt; the batch itself is stored as it comes.
 
         What no table takes is kept below ``_rejects``: per table what cannot be decoded or keyed, under ``_unplaced`` what
         names no table or one that isn't declared.
         """
-        batch = dealt(batch, [c for c in ("key", "value", "topic", "partition", "offset") if c in batch.columns])
-        growing = [t for t in self.tables if self._grows(t)]
+        same = [c for c in ("key", "value", "topic", "partition", "offset") if c in batch.columns]
         if self.source.transactional:
-            held = self._transactional(batch)
-        else:
-            held = self._growing(batch, growing) if growing else self.named(batch)
-        named = held.persist()
-        try:
-            if self.source.transactional:
+            with self._stored(self._transactional(batch), batch_id, writer) as held:
                 named = self._whole(held, batch_id, writer)
-            messages = self._select(named)
-            groups: dict[tuple, list[CapturedTable]] = {}
-            for table in self.tables:
-                if self._grows(table):
-                    table = self._grown(table, messages.filter((F.col("_schema") == table.schema) & (F.col("_table") == table.table)))
-                groups.setdefault((tuple(table.types.items()), table.primary_key), []).append(table)
-            with ThreadPoolExecutor(self.writers) as pool:
-                list(pool.map(lambda tables: self._deliver_group(messages, tables, batch_id, writer), groups.values()))
-            unplaced = self._undelivered(named)
-            if not unplaced.isEmpty():
-                append_partition(unplaced, f"{self.warehouse}/_rejects/_unplaced", batch_id, writer)
+                self._deliver_named(named, dealt(self._select(named), same), batch_id, writer)
+            return
+        batch = dealt(batch, same)
+        growing = [t for t in self.tables if self._grows(t)]
+        named = (self._growing(batch, growing) if growing else self.named(batch)).persist()
+        try:
+            self._deliver_named(named, self._select(named), batch_id, writer)
+        finally:
+            named.unpersist()
+
+    @contextmanager
+    def _stored(self, rows: DataFrame, batch_id: int, writer: str) -> Iterator[DataFrame]:
+        """The rows of a batch as a file table for as long as the block runs.
+
+        Rows that are read again and again are not cached: whole messages fill an executor's heap with blocks, each as large
+        as a partition, beyond what Spark counts of them, and are read whole where few columns are asked for.
+        """
+        path = f"{self.warehouse}/_transactions/read/writer={writer}/batch={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        try:
+            yield rows.sparkSession.read.schema(rows.schema).parquet(path)
         finally:
-            held.unpersist()
+            paths.delete(rows.sparkSession, path)
+
+    def _deliver_named(self, named: DataFrame, messages: DataFrame, batch_id: int, writer: str) -> None:
+        """Apply the selected ``messages`` of a batch, and keep what no table takes of all its ``named`` ones."""
+        groups: dict[tuple, list[CapturedTable]] = {}
+        for table in self.tables:
+            if self._grows(table):
+                table = self._grown(table, messages.filter((F.col("_schema") == table.schema) & (F.col("_table") == table.table)))
+            groups.setdefault((tuple(table.types.items()), table.primary_key), []).append(table)
+        with ThreadPoolExecutor(self.writers) as pool:
+            list(pool.map(lambda tables: self._deliver_group(messages, tables, batch_id, writer), groups.values()))
+        unplaced = self._undelivered(named)
+        if not unplaced.isEmpty():
+            append_partition(unplaced, f"{self.warehouse}/_rejects/_unplaced", batch_id, writer)
 
     def load(
         self,

@@ -11,6 +11,7 @@ from ..operators.changes import apply_events, apply_latest, collapse, flatten_ev
 from ..operators.changes import split_key_changes, split_transactions
 from ..operators.documents import assembled, path_changes
 from ..operators.evolve import evolve_union
+from ..operators.skew import ROWS_PER_PIECE
 from ..sinks.fanout import fan_out, fan_out_table
 from ..sinks.lake import read_partitions
 from ..sources import (
@@ -461,21 +462,25 @@ def _transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every tenth transaction stays open, every 13th has all its messages twice, every 17th order's lines name none.
     """
-    lines = load(spark, sf_dir, "lineitem").dropDuplicates(["l_orderkey", "l_linenumber"])
+    found = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    lines = found.dropDuplicates()
+    counts = lines.filter("l_orderkey % 10 <> 0").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    # Dealt while they are numbers: few megabytes of them make gigabytes of messages, which a task sorts by part.
+    pieces = max(-(-found.count() // ROWS_PER_PIECE), spark.sparkContext.defaultParallelism)
+    numbers = lines.withColumn("n", F.lit(None).cast("long")).unionByName(counts, allowMissingColumns=True)
+    numbers = numbers.repartition(pieces, "l_orderkey", "l_linenumber", "n")
     tx = F.when(F.col("l_orderkey") % 17 != 0, F.concat(F.lit("tx"), F.col("l_orderkey").cast("string")))
     row = F.struct("l_orderkey", "l_linenumber", F.lit("x").alias("label"))
     source = F.struct(F.lit("sales").alias("schema"), F.lit("lineitem").alias("table"), F.col("l_orderkey").alias("lsn"))
     about = F.struct(tx.alias("id"), F.col("l_linenumber").alias("total_order"))
     change = F.struct(F.lit("c").alias("op"), row.alias("after"), source.alias("source"), about.alias("transaction"))
-    changes = lines.select("l_orderkey", F.to_json(change).alias("value"))
-    counts = lines.filter("l_orderkey % 10 <> 0").groupBy("l_orderkey").agg(F.count("*").alias("n"))
     counted = F.array(
         F.struct(F.lit("sales.lineitem").alias("data_collection"), F.col("n").alias("event_count")),
         F.struct(F.lit("sales.others").alias("data_collection"), F.lit(5).cast("long").alias("event_count")),
     )
     ended = F.concat(F.lit("tx"), F.col("l_orderkey").cast("string"))
     end = F.struct(F.lit("END").alias("status"), ended.alias("id"), (F.col("n") + 5).alias("event_count"), counted.alias("data_collections"))
-    feed = changes.unionByName(counts.select("l_orderkey", F.to_json(end).alias("value")))
+    feed = numbers.select("l_orderkey", F.when(F.col("n").isNull(), F.to_json(change)).otherwise(F.to_json(end)).alias("value"))
     twice = F.when(F.col("l_orderkey") % 13 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     copies = feed.select("l_orderkey", F.col("value").cast("binary").alias("value"), F.explode(twice).alias("copy"))
     return copies.withColumn("key", F.lit(None).cast("binary"))
