@@ -612,7 +612,8 @@ def backfill_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = taken.select("s", F.array_compact("in").alias("in"))
     sizes = taken.select(F.explode("in").alias("split")).groupBy("split").agg(F.count("*").alias("n"))
     small = sizes.agg((F.max("n") <= 2 * per_split).alias("small"))
-    return taken.groupBy(F.size("in").cast("long").alias("times")).agg(F.count("*").alias("n")).join(F.broadcast(small))
+    found = taken.groupBy(F.size("in").cast("long").alias("times")).agg(F.count("*").alias("n"))
+    return found.withColumn("small", small.scalar())
 
 
 def _order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
